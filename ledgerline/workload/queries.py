@@ -30,6 +30,7 @@ from ledgerline.schemas import (
     MONEY,
     PAYMENTS,
     PAYMENTS_SCHEMA,
+    TRANSACTION_SOURCES,
 )
 from ledgerline.sources import readers as IN
 from ledgerline.sources import sinks as OUT
@@ -87,7 +88,7 @@ def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("csv_roundtrip")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "csv")
-    OUT.write_csv(raw_sources(spark, sf_dir)[PAYMENTS], path)
+    OUT.write_csv(raw_sources(spark, sf_dir, PAYMENTS)[PAYMENTS], path)
     return comparable(IN.read_source(spark, IN.SourceSpec("csv", path, PAYMENTS_SCHEMA)))
 
 
@@ -102,27 +103,27 @@ def wide_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("jsonl_roundtrip")
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "jsonl")
-    OUT.write_jsonl(raw_sources(spark, sf_dir)[DEVICE], path)
+    OUT.write_jsonl(raw_sources(spark, sf_dir, DEVICE)[DEVICE], path)
     return S.flatten_device(IN.read_source(spark, IN.SourceSpec("jsonl", path, DEVICE_SCHEMA)))
 
 
 @query("json_scan")
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "json")
-    OUT.write_jsonl(raw_sources(spark, sf_dir)[PAYMENTS], path)
+    OUT.write_jsonl(raw_sources(spark, sf_dir, PAYMENTS)[PAYMENTS], path)
     return comparable(IN.read_source(spark, IN.SourceSpec("JSON", path, PAYMENTS_SCHEMA)))
 
 
 @query("generic_scan_orc")
 def generic_scan_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "orc")
-    raw_sources(spark, sf_dir)[MERCHANT].write.mode("overwrite").orc(path)
+    raw_sources(spark, sf_dir, MERCHANT)[MERCHANT].write.mode("overwrite").orc(path)
     return comparable(IN.read_source(spark, IN.SourceSpec("orc", path)))
 
 
 @query("parquet_overwrite_scan")
 def parquet_overwrite_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, raw = scratch_folder(spark, "overwrite"), raw_sources(spark, sf_dir)
+    path, raw = scratch_folder(spark, "overwrite"), raw_sources(spark, sf_dir, MERCHANT, PAYMENTS)
     OUT.write_parquet(raw[MERCHANT], path)
     OUT.write_parquet_ms(raw[PAYMENTS], path, "event_time")
     return comparable(IN.read_dataset(spark, path))
@@ -131,7 +132,7 @@ def parquet_overwrite_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dataset_reassembly")
 def dataset_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark, "parts")
-    timing = raw_sources(spark, sf_dir)[FRAUD_TIMING]
+    timing = raw_sources(spark, sf_dir, FRAUD_TIMING)[FRAUD_TIMING]
     parts = {"fraud": F.col("is_fraud"), "other": ~F.col("is_fraud")}
     for part, rows in parts.items():
         OUT.write_parquet(timing.filter(rows), f"{root}/{part}")
@@ -168,17 +169,17 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rename_by_map")
 def rename_by_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(S.rename_by_map(raw_sources(spark, sf_dir)[MERCHANT]))
+    return comparable(S.rename_by_map(raw_sources(spark, sf_dir, MERCHANT)[MERCHANT]))
 
 
 @query("lineage_columns")
 def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(bronze_sources(spark, sf_dir)[MERCHANT])
+    return comparable(bronze_sources(spark, sf_dir, MERCHANT)[MERCHANT])
 
 
 @query("struct_flatten")
 def struct_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(silver_sources(spark, sf_dir)[DEVICE])
+    return comparable(silver_sources(spark, sf_dir, DEVICE)[DEVICE])
 
 
 @query("safe_decimal")
@@ -223,28 +224,28 @@ def stringify_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("flags")
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    timing = silver_sources(spark, sf_dir)[FRAUD_TIMING]
+    timing = silver_sources(spark, sf_dir, FRAUD_TIMING)[FRAUD_TIMING]
     return timing.select("transaction_id", "location_missing", "is_fraud_inconsistent")
 
 
 @query("time_of_day")
 def time_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_sources(spark, sf_dir)[FRAUD_TIMING].groupBy("time_of_day").count()
+    return raw_sources(spark, sf_dir, FRAUD_TIMING)[FRAUD_TIMING].groupBy("time_of_day").count()
 
 
 @query("day_of_week")
 def day_of_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_sources(spark, sf_dir)[FRAUD_TIMING].select("transaction_id", "day_of_week")
+    return raw_sources(spark, sf_dir, FRAUD_TIMING)[FRAUD_TIMING].select("transaction_id", "day_of_week")
 
 
 @query("null_injection")
 def null_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_sources(spark, sf_dir)[FRAUD_TIMING].select("transaction_id", "location")
+    return raw_sources(spark, sf_dir, FRAUD_TIMING)[FRAUD_TIMING].select("transaction_id", "location")
 
 
 @query("row_hash")
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = J.transaction_join(silver_sources(spark, sf_dir))
+    joined = J.transaction_join(silver_sources(spark, sf_dir, *TRANSACTION_SOURCES))
     return S.add_row_hash(S.utc_normalize(joined)).select("transaction_id", "row_hash")
 
 
@@ -253,12 +254,12 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("transaction_join")
 def transaction_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(J.transaction_join(silver_sources(spark, sf_dir)))
+    return comparable(J.transaction_join(silver_sources(spark, sf_dir, *TRANSACTION_SOURCES)))
 
 
 @query("behavior_join")
 def behavior_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_sources(spark, sf_dir)
+    silver = silver_sources(spark, sf_dir, PAYMENTS, CUSTOMER_BEHAVIOR)
     return comparable(J.behavior_join(silver[PAYMENTS], silver[CUSTOMER_BEHAVIOR]))
 
 
@@ -393,7 +394,7 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark, "profile")
     tables = {name: f"{root}/bronze/{name}" for name in (PAYMENTS, DEVICE)}
-    bronze = bronze_sources(spark, sf_dir)
+    bronze = bronze_sources(spark, sf_dir, *tables)
     for name, path in tables.items():
         OUT.write_parquet(bronze[name], path)
     profiles = profile_job(spark, {**tables, "absent": f"{root}/bronze/absent"}, f"{root}/metadata")

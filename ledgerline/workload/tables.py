@@ -10,13 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.project import lineage_columns, standardize, timestamp_normalize
-from ledgerline.plans.decompose import decompose
-from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, MONEY
+from ledgerline.operators.aggregate import behavior_rollup
+from ledgerline.operators.project import lineage_columns, nest_device, standardize, timestamp_normalize
+from ledgerline.plans.decompose import fraud_timing, merchant, payments
+from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, FRAUD_TIMING, MERCHANT, PAYMENTS, SOURCES
 
 NO_TELEMETRY = "signup"
 NO_BEHAVIOR = "MACHINERY"
 
+_WIDE_COLUMNS = (
+    "concat('TX', event_id) AS transaction_id",
+    "CAST(ts AS TIMESTAMP) AS timestamp",
+    "concat('ACC', user_id) AS sender_account",
+    "concat('ACC', (user_id * 7 + event_id) % 150) AS receiver_account",
+    "CAST(value AS DECIMAL(18,2)) AS amount",
+    "event_type AS transaction_type",
+    "c_mktsegment AS merchant_category",
+    "CASE WHEN event_id % 40 <> 0 THEN n_name END AS location",
+    "elt(event_id % 3 + 1, 'mobile', 'web', 'pos') AS device_used",
+    "(event_type = 'error' AND event_id % 3 <> 0) AS is_fraud",
+    "CASE WHEN event_type = 'error' AND event_id % 3 <> 0 AND event_id % 20 <> 1 "
+    "THEN elt(event_id % 2 + 1, 'identity', 'card_testing') END AS fraud_type",
+    "CAST(event_id % 20 + 1 AS DECIMAL(18,2)) AS velocity_score",
+    "CAST(event_id % 101 AS DOUBLE) AS geo_anomaly_score",
+    "CAST(event_id % 201 - 100 AS DOUBLE) AS spending_deviation_score",
+    "elt(event_id % 4 + 1, 'card', 'ach', 'wire', 'upi') AS payment_channel",
+    "concat('10.', user_id % 256, '.', event_id % 256, '.1') AS ip_address",
+    "md5(concat('dev-', user_id, '-', event_id % 3)) AS device_hash",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,58 +46,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def wide_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event, in the layout of the wide transaction table."""
-    events = table(spark, sf_dir, "events")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    n, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    fraud = (kind == "error") & (n % 3 != 0)
-
-    def pick(by: int, *values: str):
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (n % by + 1).cast("int"))
-
-    def text(column):
-        return column.cast("string")
-
+    events, customer, nation = (table(spark, sf_dir, name) for name in ("events", "customer", "nation"))
     return (
-        events.join(customer, user == F.col("c_custkey"), "left")
-        .join(nation, user % 25 == F.col("n_nationkey"), "left")
-        .select(
-            F.concat(F.lit("TX"), text(n)).alias("transaction_id"),
-            F.col("ts").cast("timestamp").alias("timestamp"),
-            F.concat(F.lit("ACC"), text(user)).alias("sender_account"),
-            F.concat(F.lit("ACC"), text((user * 7 + n) % 150)).alias("receiver_account"),
-            F.col("value").cast(MONEY).alias("amount"),
-            kind.alias("transaction_type"),
-            F.col("c_mktsegment").alias("merchant_category"),
-            F.when(n % 40 != 0, F.col("n_name")).alias("location"),
-            pick(3, "mobile", "web", "pos").alias("device_used"),
-            fraud.alias("is_fraud"),
-            F.when(fraud & (n % 20 != 1), pick(2, "identity", "card_testing")).alias("fraud_type"),
-            (n % 20 + 1).cast(MONEY).alias("velocity_score"),
-            (n % 101).cast("double").alias("geo_anomaly_score"),
-            (n % 201 - 100).cast("double").alias("spending_deviation_score"),
-            pick(4, "card", "ach", "wire", "upi").alias("payment_channel"),
-            F.concat(F.lit("10."), text(user % 256), F.lit("."), text(n % 256), F.lit(".1")).alias("ip_address"),
-            F.md5(F.concat(F.lit("dev-"), text(user), F.lit("-"), text(n % 3))).alias("device_hash"),
-        )
+        events.join(customer, F.expr("user_id = c_custkey"), "left")
+        .join(nation, F.expr("user_id % 25 = n_nationkey"), "left")
+        .selectExpr(*_WIDE_COLUMNS)
     )
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The sources as a decomposition of the wide table."""
+def raw_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named sources (all five by default) as a decomposition of the wide table."""
     wide = wide_transactions(spark, sf_dir)
-    sources = decompose(wide)
-    with_device = wide.filter(F.col("transaction_type") != NO_TELEMETRY)
-    with_behavior = wide.filter(F.col("merchant_category") != NO_BEHAVIOR)
-    sources[DEVICE] = decompose(with_device)[DEVICE]
-    sources[CUSTOMER_BEHAVIOR] = decompose(with_behavior)[CUSTOMER_BEHAVIOR]
-    return sources
-
-
-def bronze_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = raw_sources(spark, sf_dir)
+    parts = {
+        PAYMENTS: lambda: payments(wide),
+        MERCHANT: lambda: merchant(wide),
+        DEVICE: lambda: nest_device(wide.filter(F.col("transaction_type") != NO_TELEMETRY)),
+        CUSTOMER_BEHAVIOR: lambda: behavior_rollup(wide.filter(F.col("merchant_category") != NO_BEHAVIOR)),
+        FRAUD_TIMING: lambda: fraud_timing(wide),
+    }
+    return {name: parts[name]() for name in names or SOURCES}
+
+
+def bronze_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    raw = raw_sources(spark, sf_dir, *names)
     return {name: timestamp_normalize(lineage_columns(df, name)) for name, df in raw.items()}
 
 
-def silver_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: standardize(df) for name, df in bronze_sources(spark, sf_dir).items()}
+def silver_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    return {name: standardize(df) for name, df in bronze_sources(spark, sf_dir, *names).items()}
