@@ -59,7 +59,8 @@ def heavy_keys(*targets: tuple[DataFrame, str], share: float | None = None) -> l
 
     def heavy(row) -> HeavyKeys:
         floor = share * row["rows"]
-        values = tuple(entry["item"] for entry in row["top"] or () if entry["count"] >= floor)
+        top = [(entry["item"], entry["count"]) for entry in row["top"] or ()]
+        values = tuple(item for item, count in top if item is not None and count >= floor)
         return HeavyKeys(values, 0 < floor <= row["nulls"])
 
     return [heavy(found[at]) for at in range(len(targets))]
@@ -83,17 +84,19 @@ def left_join(
     to every salt.  A key heavy only on the right is dealt out there and its few
     left rows are copied; such a key surely has a match, so the copies that
     meet none are dropped and the result is exact.  Left NULL keys match nothing
-    and are only dealt out.  The salt is the number of the task that holds the
-    row: a task run again gives the same one.
+    and are only dealt out.  The copies are few next to the result, which has a
+    row for every pair.  The salt is the number of the task that holds the row:
+    a task run again gives the same one.
     """
     on_left = left_heavy.values
     on_right = tuple(v for v in right_heavy.values if v not in on_left)
     if not (on_left or on_right or left_heavy.nulls):
         return left.join(right, key, "left")
 
-    fan = _partitions(left)
+    # More salts than partitions, so that hashing them fills all partitions alike.
+    fan = 8 * _partitions(left)
     k, task = F.col(f"`{key}`"), F.array(_TASK)
-    every = F.array(*[F.lit(i) for i in range(fan)])
+    every = F.sequence(F.lit(0), F.lit(fan - 1))
     one = F.array(F.lit(0))
 
     def salted(df: DataFrame, dealt: Column, copied: Column) -> DataFrame:
