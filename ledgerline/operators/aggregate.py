@@ -41,53 +41,59 @@ def group_values(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(key, column).filter(F.col(column).isNotNull()).distinct()
 
 
+# Columns whose values each group lists, and the names of the lists.
+SETS = {"timestamp": "timestamps", "fraud_type": "fraud_types"}
+
+
 def _set_rows(
-    df: DataFrame, key: str, columns: Mapping[str, str], max_array: int
+    values: Mapping[str, DataFrame], key: str, max_array: int
 ) -> tuple[DataFrame, DataFrame]:
     """Sizes of the sets of every group, and the sets that are small enough.
 
     The values are counted before any is gathered, so no task ever holds more
     than `max_array` values of a group.
     """
-    kinds = dict(df.select(*columns).dtypes)
+    kinds = {c: dict(df.dtypes)[c] for c, df in values.items()}
 
-    def only(column: str) -> list[Column]:
-        return [F.col(c) if c == column else F.lit(None).cast(kinds[c]).alias(c) for c in columns]
+    def widened(df: DataFrame, column: str) -> DataFrame:
+        return df.select(key, *[F.col(c) if c == column else F.lit(None).cast(kinds[c]).alias(c) for c in kinds])
 
-    rows = [df.select(F.col(key), *only(c)).filter(F.col(c).isNotNull()) for c in columns]
-    values = reduce(DataFrame.unionByName, rows).distinct()
-    sizes = values.groupBy(key).agg(*[F.count(c).alias(f"{name}_size") for c, name in columns.items()])
-    fits = [F.col(c).isNotNull() & (F.col(f"{name}_size") <= max_array) for c, name in columns.items()]
+    rows = reduce(DataFrame.unionByName, [widened(df, c) for c, df in values.items()])
+    sizes = rows.groupBy(key).agg(*[F.count(c).alias(f"{SETS[c]}_size") for c in kinds])
+    fits = {c: F.col(c).isNotNull() & (F.col(f"{SETS[c]}_size") <= max_array) for c in kinds}
     arrays = (
-        values.join(sizes.withColumnRenamed(key, "_group"), F.col(key).eqNullSafe(F.col("_group")))
-        .filter(reduce(Column.__or__, fits))
+        rows.join(sizes.withColumnRenamed(key, "_group"), F.col(key).eqNullSafe(F.col("_group")))
+        .filter(reduce(Column.__or__, fits.values()))
         .groupBy(key)
-        .agg(
-            *[
-                F.sort_array(F.collect_list(F.when(fit, F.col(c)))).alias(name)
-                for fit, (c, name) in zip(fits, columns.items())
-            ]
-        )
+        .agg(*[F.sort_array(F.collect_list(F.when(fits[c], F.col(c)))).alias(SETS[c]) for c in kinds])
     )
     return sizes, arrays
 
 
-def fraud_by(df: DataFrame, key: str, max_array: int = MAX_ARRAY) -> DataFrame:
+def fraud_by(
+    df: DataFrame,
+    key: str,
+    max_array: int = MAX_ARRAY,
+    values: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """AGG-01..AGG-07: one row per value of `key`, with measures and value sets.
 
     `timestamps` and `fraud_types` hold the distinct non-null values, an empty
     array if there are none.  A set of more than `max_array` values does not
     belong in one row: it is NULL here, its size is in `<name>_size`, and
-    `group_values` has all of it as rows.  The frame is read three times with
+    `group_values` has all of it as rows.  `values` are those rows by column,
+    where they have been written already.  The frame is read more than once with
     few columns, so give it a written table rather than a plan of joins.
     """
-    sets = {"timestamp": "timestamps", "fraud_type": "fraud_types"}
-    kinds = dict(df.select(*sets).dtypes)
-    measures = fraud_measures(df, key)
-    sizes, arrays = _set_rows(df, key, sets, max_array)
+    if values is None:
+        values = {c: group_values(df, key, c) for c in SETS}
+    kinds = {c: dict(values[c].dtypes)[c] for c in SETS}
+    sizes, arrays = _set_rows(values, key, max_array)
 
     # At most three rows per group, each with its own columns: gather by key.
-    parts = measures.unionByName(sizes, allowMissingColumns=True).unionByName(arrays, allowMissingColumns=True)
+    parts = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [fraud_measures(df, key), sizes, arrays]
+    )
     gathered = parts.groupBy(key).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in parts.columns if c != key]
     )
@@ -104,14 +110,19 @@ def fraud_by(df: DataFrame, key: str, max_array: int = MAX_ARRAY) -> DataFrame:
         "fraud_transaction_count",
         "fraud_count",
         "fraud_amount",
-        *[whole_set(column, name) for column, name in sets.items()],
-        *[size(name).alias(f"{name}_size") for name in sets.values()],
+        *[whole_set(column, name) for column, name in SETS.items()],
+        *[size(name).alias(f"{name}_size") for name in SETS.values()],
     )
 
 
-def fraud_summary(df: DataFrame, key: str, max_array: int = MAX_ARRAY) -> DataFrame:
+def fraud_summary(
+    df: DataFrame,
+    key: str,
+    max_array: int = MAX_ARRAY,
+    values: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """PRJ-07 over `fraud_by`: the summary with its name and the time of the run."""
-    return dataset_tag(fraud_by(df, key, max_array), f"fraud_by_{key.lower()}")
+    return dataset_tag(fraud_by(df, key, max_array, values), f"fraud_by_{key.lower()}")
 
 
 def behavior_rollup(df: DataFrame, key: str = "sender_account") -> DataFrame:

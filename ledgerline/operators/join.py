@@ -173,32 +173,46 @@ def join_all(sources: Mapping[str, DataFrame]) -> DataFrame:
     return behavior_join(joined, sources.get(CUSTOMER_BEHAVIOR), heavy=senders)
 
 
-def _key_presence(base: DataFrame, others: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """Every distinct key (NULL is one) with a bit set per frame that has it."""
-    frames = [base, *others.values()]
-    tagged = [df.select(F.col(key), F.lit(1 << bit).cast("bigint").alias("bit")) for bit, df in enumerate(frames)]
-    return reduce(DataFrame.unionByName, tagged).groupBy(key).agg(F.bit_or("bit").alias("seen"))
+def key_census(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """Per frame: rows, distinct keys, and distinct keys of the first frame it lacks.
 
-
-def missing_keys(base: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """JON-03, SET-03: distinct keys of `base` that `other` lacks."""
-    return _key_presence(base, {"other": other}, key).filter(F.col("seen") == 1).select(key)
+    NULL is one key.  One shuffle on the key serves all frames, after each task
+    has reduced its rows to one per key and frame; no join, so a key that holds
+    most rows costs nothing extra.
+    """
+    names = list(frames)
+    tagged = [df.select(F.col(f"`{key}`").alias("key"), F.lit(at).alias("at")) for at, df in enumerate(frames.values())]
+    held = [F.count_if(F.col("at") == at).alias(f"n{at}") for at in range(len(names))]
+    per_key = reduce(DataFrame.unionByName, tagged).groupBy("key").agg(*held)
+    base = F.col("n0") > 0
+    counts = []
+    for at in range(len(names)):
+        n = F.col(f"n{at}")
+        counts += [
+            F.coalesce(F.sum(n), F.lit(0)).alias(f"rows{at}"),
+            F.count_if(n > 0).alias(f"distinct{at}"),
+            F.count_if(base & (n == 0)).alias(f"missing{at}"),
+        ]
+    lines = [
+        F.struct(
+            F.lit(name).alias("source"),
+            F.lit(key).alias("key"),
+            F.col(f"rows{at}").alias("row_count"),
+            F.col(f"distinct{at}").alias("distinct_count"),
+            F.col(f"missing{at}").alias("missing"),
+        )
+        for at, name in enumerate(names)
+    ]
+    return per_key.agg(*counts).select(F.inline(F.array(*lines)))
 
 
 def key_coverage(base: DataFrame, others: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """JON-03: number of distinct keys of `base` missing in each other frame.
+    """JON-03: number of distinct keys of `base` missing in each other frame."""
+    census = key_census({"": base, **others}, key)
+    return census.filter(F.col("source") != "").select("source", "key", "missing")
 
-    One shuffle on the key serves all frames, after each task has reduced its
-    rows to distinct keys; no join, so a heavy key costs nothing extra.
-    """
-    seen = F.col("seen")
-    counts = [
-        F.count_if(seen.bitwiseAND(1 << bit) == 0).alias(name) for bit, name in enumerate(others, start=1)
-    ]
-    return (
-        _key_presence(base, others, key)
-        .filter(seen.bitwiseAND(1) == 1)
-        .agg(*counts)
-        .unpivot([], list(others), "source", "missing")
-        .select("source", F.lit(key).alias("key"), "missing")
-    )
+
+def missing_keys(base: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """JON-03, SET-03: distinct keys of `base` that `other` lacks."""
+    here, there = (df.select(F.col(f"`{key}`"), F.lit(side).alias("side")) for side, df in ((1, base), (2, other)))
+    return here.unionByName(there).groupBy(key).agg(F.max("side").alias("last")).filter("last = 1").select(key)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.aggregate import distinct_row_count, null_counts, row_counts
-from ledgerline.operators.join import key_coverage
+from ledgerline.operators.join import key_census, key_coverage
 from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, FRAUD_TIMING, NULL_THRESHOLD, PAYMENTS
 
 ALERT_SCHEMA = "source string, check string, column string, observed double, expected double, message string"
@@ -33,17 +33,19 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _uniqueness_alerts(counted: DataFrame, source: Column, column: str) -> DataFrame:
+    rows, distinct = F.col("row_count"), F.col("distinct_count")
+    text = F.format_string(f"%s: {column} not unique (%d rows vs %d distinct)", source, rows, distinct)
+    return counted.filter(rows != distinct).select(
+        *_alert(source, "uniqueness", F.lit(column), rows, distinct, text)
+    )
+
+
 def uniqueness(df: DataFrame, source: str, column: str = "transaction_id") -> DataFrame | None:
     """DQ-01: rows against distinct values (NULL is one); None without the column."""
     if column not in df.columns:
         return None
-    rows, distinct = F.col("row_count"), F.col("distinct_count")
-    text = F.format_string(f"{source}: {column} not unique (%d rows vs %d distinct)", rows, distinct)
-    return (
-        distinct_row_count(df, column)
-        .filter(rows != distinct)
-        .select(*_alert(F.lit(source), "uniqueness", F.lit(column), rows, distinct, text))
-    )
+    return _uniqueness_alerts(distinct_row_count(df, column), F.lit(source), column)
 
 
 def completeness(nulls: DataFrame, source: str, threshold: float = NULL_THRESHOLD) -> DataFrame:
@@ -88,17 +90,19 @@ def row_count_mismatch(counts: DataFrame, order: Iterable[str]) -> DataFrame:
     )
 
 
+def _coverage_alerts(counted: DataFrame, base_name: str, key: str) -> DataFrame:
+    missing = F.col("missing")
+    text = F.format_string(f"%s: %d {key}s missing vs {base_name}", F.col("source"), missing)
+    return counted.filter(missing > 0).select(
+        *_alert(F.col("source"), "key_coverage", F.lit(key), missing, F.lit(0), text)
+    )
+
+
 def coverage_alerts(
     base: DataFrame, base_name: str, others: Mapping[str, DataFrame], key: str
 ) -> DataFrame:
     """DQ-05, DQ-06: sources that lack keys of the base source."""
-    missing = F.col("missing")
-    text = F.format_string(f"%s: %d {key}s missing vs {base_name}", F.col("source"), missing)
-    return (
-        key_coverage(base, others, key)
-        .filter(missing > 0)
-        .select(*_alert(F.col("source"), "key_coverage", F.lit(key), missing, F.lit(0), text))
-    )
+    return _coverage_alerts(key_coverage(base, others, key), base_name, key)
 
 
 def failure_alerts(spark, failed: Iterable[str]) -> DataFrame:
@@ -107,21 +111,28 @@ def failure_alerts(spark, failed: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(rows, ALERT_SCHEMA)
 
 
-def cross_source_alerts(
-    frames: Mapping[str, DataFrame], covered: Iterable[str] = COVERED_SOURCES
-) -> list[DataFrame]:
-    """DQ-05 and DQ-06 for the sources that are there."""
-    payments = frames.get(PAYMENTS)
-    if payments is None:
-        return []
-    checks = []
-    others = {name: frames[name] for name in covered if name in frames}
-    if others:
-        checks.append(coverage_alerts(payments, PAYMENTS, others, "transaction_id"))
-    if CUSTOMER_BEHAVIOR in frames:
-        accounts = {CUSTOMER_BEHAVIOR: frames[CUSTOMER_BEHAVIOR]}
-        checks.append(coverage_alerts(payments, PAYMENTS, accounts, "sender_account"))
-    return checks
+def transaction_alerts(
+    frames: Mapping[str, DataFrame], covered: Iterable[str] = COVERED_SOURCES, key: str = "transaction_id"
+) -> DataFrame | None:
+    """DQ-01 and DQ-05 over all sources with transaction ids, from one count of the keys."""
+    keyed = {name: df for name, df in frames.items() if key in df.columns}
+    if not keyed:
+        return None
+    if PAYMENTS in keyed:  # the census compares with its first frame
+        keyed = {PAYMENTS: keyed[PAYMENTS], **keyed}
+    counted = key_census(keyed, key)
+    unique = _uniqueness_alerts(counted, F.col("source"), key)
+    compared = [name for name in covered if name in keyed] if PAYMENTS in keyed else []
+    if not compared:
+        return unique
+    return unique.unionByName(_coverage_alerts(counted.filter(F.col("source").isin(compared)), PAYMENTS, key))
+
+
+def account_alerts(frames: Mapping[str, DataFrame], key: str = "sender_account") -> DataFrame | None:
+    """DQ-06: accounts of payments without behavior."""
+    if PAYMENTS not in frames or CUSTOMER_BEHAVIOR not in frames:
+        return None
+    return coverage_alerts(frames[PAYMENTS], PAYMENTS, {CUSTOMER_BEHAVIOR: frames[CUSTOMER_BEHAVIOR]}, key)
 
 
 def alerts(
@@ -138,16 +149,15 @@ def alerts(
     if nulls is None:
         nulls = {name: null_counts(df) for name, df in frames.items()}
     counts = row_counts(frames)
-    unique = [uniqueness(df, name) for name, df in frames.items()]
     checks = [
-        *[check for check in unique if check is not None],
         *[completeness(counted, name, threshold) for name, counted in nulls.items()],
         empty_datasets(counts, frames),
         row_count_mismatch(counts, frames),
-        *cross_source_alerts(frames, covered),
+        transaction_alerts(frames, covered),
+        account_alerts(frames),
     ]
     failed = list(failed)
     if failed:
         spark = next(iter(frames.values())).sparkSession
         checks.append(failure_alerts(spark, failed))
-    return _union(checks)
+    return _union(check for check in checks if check is not None)

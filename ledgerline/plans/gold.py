@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.aggregate import MAX_ARRAY, fraud_summary, group_values
+from ledgerline.operators.aggregate import MAX_ARRAY, SETS, fraud_summary, group_values
 from ledgerline.operators.join import join_all
 from ledgerline.operators.project import add_row_hash, utc_normalize
 from ledgerline.sources.sinks import write_parquet
@@ -30,20 +30,20 @@ def write_gold(
 ) -> dict[str, DataFrame]:
     """Write the Gold table once; the summaries read it back, a few columns each.
 
-    Per key there is a summary and, as rows, every timestamp of every group:
-    `<summary>_timestamps` is whole where the summary's array is too long.
+    Per key, the distinct timestamps and fraud types of every group are written
+    as rows first.  The summary gathers its arrays from those, and they stay
+    the whole answer where a set is too long for an array.
     """
-    paths = {GOLD_TABLE: f"{root}/{GOLD_TABLE}"}
-    write_parquet(to_gold(silver, strict), paths[GOLD_TABLE])
-    gold = spark.read.parquet(paths[GOLD_TABLE])
+    tables: dict[str, DataFrame] = {}
+
+    def write(name: str, frame: DataFrame) -> DataFrame:
+        write_parquet(frame, f"{root}/{name}")
+        tables[name] = spark.read.parquet(f"{root}/{name}")
+        return tables[name]
+
+    gold = write(GOLD_TABLE, to_gold(silver, strict))
     for key in keys:
         name = f"fraud_by_{key.lower()}"
-        tables = {
-            name: fraud_summary(gold, key, max_array),
-            f"{name}_timestamps": group_values(gold, key, "timestamp"),
-            f"{name}_fraud_types": group_values(gold, key, "fraud_type"),
-        }
-        for table, frame in tables.items():
-            paths[table] = f"{root}/{table}"
-            write_parquet(frame, paths[table])
-    return {table: spark.read.parquet(path) for table, path in paths.items()}
+        values = {c: write(f"{name}_{label}", group_values(gold, key, c)) for c, label in SETS.items()}
+        write(name, fraud_summary(gold, key, max_array, values))
+    return tables
