@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ledgerline.schemas import (
 )
 from ledgerline.sources.readers import SourceSpec
 from ledgerline.sources.sinks import write_csv, write_jsonl, write_parquet, write_parquet_ms
+from ledgerline.sources.together import all_together
 
 # Old and new column names of the two flat sources.
 PAYMENTS_COLUMNS = {
@@ -108,7 +110,8 @@ def write_raw(frames: Mapping[str, DataFrame], root: str) -> dict[str, SourceSpe
     Parquet first and decompose that.
     """
     specs = raw_specs(root)
-    for name, frame in frames.items():
+
+    def write(name: str, frame: DataFrame) -> None:
         spec = specs[name]
         if spec.format == "csv":
             write_csv(frame, spec.path)
@@ -118,4 +121,6 @@ def write_raw(frames: Mapping[str, DataFrame], root: str) -> dict[str, SourceSpe
             write_parquet_ms(frame, spec.path)
         else:
             write_parquet(frame, spec.path)
+
+    all_together({name: partial(write, name, frame) for name, frame in frames.items()})
     return specs

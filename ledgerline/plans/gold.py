@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,7 @@ from ledgerline.operators.aggregate import MAX_ARRAY, SETS, fraud_summary, group
 from ledgerline.operators.join import join_all
 from ledgerline.operators.project import add_row_hash, utc_normalize
 from ledgerline.sources.sinks import write_parquet
+from ledgerline.sources.together import all_together
 
 GOLD_TABLE = "fraud_detection"
 SUMMARY_KEYS = ("Category", "Type", "location")
@@ -34,16 +36,29 @@ def write_gold(
     as rows first.  The summary gathers its arrays from those, and they stay
     the whole answer where a set is too long for an array.
     """
-    tables: dict[str, DataFrame] = {}
 
     def write(name: str, frame: DataFrame) -> DataFrame:
         write_parquet(frame, f"{root}/{name}")
-        tables[name] = spark.read.parquet(f"{root}/{name}")
-        return tables[name]
+        return spark.read.parquet(f"{root}/{name}")
 
+    def name_of(key: str) -> str:
+        return f"fraud_by_{key.lower()}"
+
+    keys = list(keys)
     gold = write(GOLD_TABLE, to_gold(silver, strict))
-    for key in keys:
-        name = f"fraud_by_{key.lower()}"
-        values = {c: write(f"{name}_{label}", group_values(gold, key, c)) for c, label in SETS.items()}
-        write(name, fraud_summary(gold, key, max_array, values))
-    return tables
+    sets = all_together(
+        {
+            f"{name_of(key)}_{label}": partial(
+                write, f"{name_of(key)}_{label}", group_values(gold, key, column)
+            )
+            for key in keys
+            for column, label in SETS.items()
+        }
+    )
+
+    def summary(key: str) -> DataFrame:
+        values = {column: sets[f"{name_of(key)}_{label}"] for column, label in SETS.items()}
+        return write(name_of(key), fraud_summary(gold, key, max_array, values))
+
+    summaries = all_together({name_of(key): partial(summary, key) for key in keys})
+    return {GOLD_TABLE: gold, **summaries, **sets}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.sources.readers import SourceSpec, path_is_missing, read_source
 from ledgerline.sources.sinks import file_row_audit, write_csv, write_jsonl
+from ledgerline.sources.together import all_together
 
 AUDIT_SCHEMA = "source string, file_path string, row_count bigint"
 
@@ -30,13 +31,13 @@ def publish(
 
     Paths in `specs` are relative to the roots; a missing folder is skipped.
     """
-    audits = []
-    for name, spec in specs.items():
+
+    def copy(name: str, spec: SourceSpec) -> DataFrame | None:
         try:
             frame = read_source(spark, _as_is(spec, f"{source_root}/{spec.path}"))
         except AnalysisException as error:
             if path_is_missing(error):
-                continue
+                return None
             raise
         target, kind = f"{target_root}/{spec.path}", spec.format.lower()
         if kind == "csv":
@@ -45,8 +46,11 @@ def publish(
             write_jsonl(frame, target)
         else:
             frame.write.mode("overwrite").format(kind).save(target)
-        copied = read_source(spark, _as_is(spec, target))
-        audits.append(file_row_audit(copied).select(F.lit(name).alias("source"), "file_path", "row_count"))
+        audit = file_row_audit(read_source(spark, _as_is(spec, target)))
+        return audit.select(F.lit(name).alias("source"), "file_path", "row_count")
+
+    copied = all_together({name: partial(copy, name, spec) for name, spec in specs.items()})
+    audits = [audit for audit in copied.values() if audit is not None]
     if not audits:
         return spark.createDataFrame([], AUDIT_SCHEMA)
     return reduce(DataFrame.unionByName, audits)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -12,6 +13,7 @@ from ledgerline.operators.project import standardize
 from ledgerline.operators.quality import COVERED_SOURCES, alerts, failure_alerts
 from ledgerline.schemas import NULL_THRESHOLD
 from ledgerline.sources.sinks import write_parquet
+from ledgerline.sources.together import together
 
 log = logging.getLogger(__name__)
 
@@ -34,16 +36,17 @@ def refine(
     written tables, and of those just the key columns.  A failing source leaves the others alone and becomes an alert.  Alerts are
     advisory unless their check is named in `fail_on`.
     """
-    silver, nulls, failed = {}, {}, []
-    for name, frame in bronze.items():
-        try:
-            table, seen = standardize(frame), Observation(f"nulls_{name}")
-            write_parquet(observe_nulls(table, seen), f"{root}/{name}")
-            nulls[name] = observed_null_counts(table, seen)
-            silver[name] = spark.read.parquet(f"{root}/{name}")
-        except Exception:  # a failing source must not stop the others
-            log.exception("%s: processing failed", name)
-            failed.append(name)
+
+    def process(name: str, frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+        table, seen = standardize(frame), Observation(f"nulls_{name}")
+        write_parquet(observe_nulls(table, seen), f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}"), observed_null_counts(table, seen)
+
+    done, failed = together({name: partial(process, name, frame) for name, frame in bronze.items()})
+    for name, error in failed.items():
+        log.error("%s: processing failed", name, exc_info=error)
+    silver = {name: frame for name, (frame, _) in done.items()}
+    nulls = {name: counted for name, (_, counted) in done.items()}
     found = alerts(silver, threshold, covered, failed, nulls) if silver else failure_alerts(spark, failed)
     refused = list(fail_on)
     if refused:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from ledgerline.operators.project import lineage_columns, timestamp_normalize
 from ledgerline.schemas import WIDE_SCHEMA
 from ledgerline.sources.sinks import write_parquet
+from ledgerline.sources.together import together
 
 LOADED, EMPTY, MISSING, FAILED = "loaded", "empty", "missing", "failed"
 
@@ -99,21 +101,25 @@ def ingest(
     row count is observed during the write) and the returned frames read the
     written table.  The second result has one status row per source.
     """
-    frames: dict[str, DataFrame] = {}
+
+    def load(name: str, spec: SourceSpec) -> tuple[DataFrame, int | None]:
+        frame = extract(spark, name, spec)
+        if root is None:
+            return frame, None
+        seen = Observation(f"rows_{name}")
+        target = f"{root}/{name}"
+        write_parquet(frame.observe(seen, F.count(F.lit(1)).alias("rows")), target, max_records_per_file)
+        return spark.read.parquet(target), seen.get["rows"]
+
+    loaded, errors = together({name: partial(load, name, spec) for name, spec in specs.items()})
     status = []
-    for name, spec in specs.items():
-        try:
-            frame, rows = extract(spark, name, spec), None
-            if root is not None:
-                seen = Observation(f"rows_{name}")
-                target = f"{root}/{name}"
-                write_parquet(frame.observe(seen, F.count(F.lit(1)).alias("rows")), target, max_records_per_file)
-                frame, rows = spark.read.parquet(target), seen.get["rows"]
-            frames[name] = frame
-            status.append((name, LOADED, rows, None))
-        except EmptySource as error:
-            status.append((name, EMPTY, 0, str(error)))
-        except Exception as error:  # a failing source must not stop the others
-            kind = MISSING if path_is_missing(error) else FAILED
-            status.append((name, kind, None, str(error).splitlines()[0]))
+    for name in specs:
+        if name in loaded:
+            status.append((name, LOADED, loaded[name][1], None))
+        elif isinstance(errors[name], EmptySource):
+            status.append((name, EMPTY, 0, str(errors[name])))
+        else:
+            kind = MISSING if path_is_missing(errors[name]) else FAILED
+            status.append((name, kind, None, str(errors[name]).splitlines()[0]))
+    frames = {name: frame for name, (frame, _) in loaded.items()}
     return frames, spark.createDataFrame(status, STATUS_SCHEMA)
