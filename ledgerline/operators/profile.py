@@ -24,21 +24,26 @@ def _as_key(field: T.StructField) -> Column:
     return column.cast("string")
 
 
-def column_metrics(df: DataFrame) -> DataFrame:
-    """Rows, nulls and distinct values (NULL is one) of every column.
+def column_metrics(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows, nulls and distinct values (NULL is one) of every column of every source.
 
-    One scan turns each row into (column, value) pairs, each task reduces them
-    to distinct pairs with a count, and one shuffle on the pair finishes the
-    job: a frequent value or NULL leaves a task as a single row, and a column
-    of unique values is spread over all tasks.
+    One scan per source turns each row into (column, value) pairs, each task
+    reduces them to distinct pairs with a count, and one shuffle on the pair
+    serves all sources: a frequent value or NULL leaves a task as a single row,
+    and a column of unique values is spread over all tasks.
     """
-    keys = df.select(*[_as_key(f).alias(f.name) for f in df.schema.fields])
+    pairs = [
+        df.select(*[_as_key(f).alias(f.name) for f in df.schema.fields])
+        .unpivot([], [F.col(f"`{c}`") for c in df.columns], "column_name", "value")
+        .select(F.lit(source).alias("source"), "column_name", "value")
+        for source, df in frames.items()
+    ]
     value, n = F.col("value"), F.col("n")
     return (
-        keys.unpivot([], [F.col(f"`{c}`") for c in df.columns], "column_name", "value")
-        .groupBy("column_name", "value")
+        reduce(DataFrame.unionByName, pairs)
+        .groupBy("source", "column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("column_name")
+        .groupBy("source", "column_name")
         .agg(
             F.sum("n").alias("row_count"),
             F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
@@ -47,15 +52,24 @@ def column_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, source: str) -> DataFrame:
-    """PRF-01: four metrics per column in long form, zeros for an empty table."""
+def profile_all(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """PRF-01, PRF-02, SET-02: four metrics per column of every source, in long form.
+
+    A column of an empty table has zeros.
+    """
     fields = [
-        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"))
+        F.struct(
+            F.lit(source).alias("source"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+        )
+        for source, df in frames.items()
         for f in df.schema.fields
     ]
-    columns = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*fields)))
-    # One row per column of the table on either side, so the broadcast is small.
-    counted = columns.join(F.broadcast(column_metrics(df)), "column_name", "left")
+    spark = next(iter(frames.values())).sparkSession
+    columns = spark.range(0, 1, 1, 1).select(F.inline(F.array(*fields)))
+    # One row per column of the tables on either side, so the broadcast is small.
+    counted = columns.join(F.broadcast(column_metrics(frames)), ["source", "column_name"], "left")
     rows, nulls, distinct = (
         F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("row_count", "null_count", "distinct_count")
     )
@@ -68,20 +82,20 @@ def profile(df: DataFrame, source: str) -> DataFrame:
     long = F.array(
         *[F.struct(F.lit(m).alias("metric"), values[m].alias("metric_value")) for m in METRICS]
     )
-    return counted.select("column_name", "data_type", F.inline(long)).select(
-        F.lit(source).alias("source"),
+    return counted.select("source", "column_name", "data_type", F.inline(long)).select(
+        "source",
         "column_name",
         "metric",
         "metric_value",
         "data_type",
         F.current_timestamp().alias("ingestion_timestamp"),
+        F.current_timestamp().alias("profiling_timestamp"),
     )
 
 
-def profile_all(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """PRF-02, SET-02: the profiles of all sources with the time of the run."""
-    profiles = [profile(df, name) for name, df in frames.items()]
-    return reduce(DataFrame.unionByName, profiles).withColumn("profiling_timestamp", F.current_timestamp())
+def profile(df: DataFrame, source: str) -> DataFrame:
+    """PRF-01 for one table."""
+    return profile_all({source: df}).drop("profiling_timestamp")
 
 
 def columns_per_source(profiles: DataFrame) -> DataFrame:

@@ -58,36 +58,56 @@ def completeness(nulls: DataFrame, source: str, threshold: float = NULL_THRESHOL
     )
 
 
-def _listed(counts: DataFrame, order: Iterable[str], entry: Column, keep: Column | None = None) -> DataFrame:
-    """All entries of the small row-count table as one text, in source order."""
+def row_count_alerts(counts: DataFrame, order: Iterable[str]) -> DataFrame:
+    """DQ-03, DQ-04: sources without rows, and unequal counts, each as one alert.
+
+    `counts` has a row per source; `order` is the order they are listed in.
+    """
     position = F.array_position(F.array(*[F.lit(name) for name in order]), F.col("source"))
-    item = F.struct(position.alias("at"), entry.alias("text"))
-    rows = counts if keep is None else counts.filter(keep)
-    listed = F.transform(F.sort_array(F.collect_list(item)), lambda x: x["text"])
-    return rows.agg(
-        F.count(F.lit(1)).alias("sources"),
+    empty = F.col("row_count") == 0
+    pair = F.concat_ws("=", F.col("source"), F.col("row_count").cast("string"))
+
+    def listed(text: Column) -> Column:
+        items = F.sort_array(F.collect_list(F.when(text.isNotNull(), F.struct(position.alias("at"), text.alias("text")))))
+        return F.array_join(F.transform(items, lambda item: item["text"]), ", ")
+
+    found = counts.agg(
+        F.count_if(empty).alias("empty"),
         F.count_distinct("row_count").alias("different"),
-        F.array_join(listed, ", ").alias("text"),
+        listed(F.when(empty, F.col("source"))).alias("empty_names"),
+        listed(pair).alias("pairs"),
     )
+    none = F.lit(None)
+    alerts_found = [
+        _alert(
+            none,
+            "empty_datasets",
+            none,
+            F.col("empty"),
+            F.lit(0),
+            F.concat(F.lit("Empty datasets detected: "), F.col("empty_names")),
+        ),
+        _alert(
+            none,
+            "row_count_mismatch",
+            none,
+            F.col("different"),
+            F.lit(1),
+            F.concat(F.lit("Row count mismatch across sources: "), F.col("pairs")),
+        ),
+    ]
+    lines = F.array(*[F.struct(*alert) for alert in alerts_found])
+    return found.select(F.inline(lines)).filter(F.col("observed") > F.col("expected"))
 
 
 def empty_datasets(counts: DataFrame, order: Iterable[str]) -> DataFrame:
     """DQ-03: one alert naming the sources without rows."""
-    listed = _listed(counts, order, F.col("source"), F.col("row_count") == 0)
-    text = F.concat(F.lit("Empty datasets detected: "), F.col("text"))
-    return listed.filter(F.col("sources") > 0).select(
-        *_alert(F.lit(None), "empty_datasets", F.lit(None), F.col("sources"), F.lit(0), text)
-    )
+    return row_count_alerts(counts, order).filter(F.col("check") == "empty_datasets")
 
 
 def row_count_mismatch(counts: DataFrame, order: Iterable[str]) -> DataFrame:
     """DQ-04: one alert with all counts if they are not the same everywhere."""
-    entry = F.concat_ws("=", F.col("source"), F.col("row_count").cast("string"))
-    listed = _listed(counts, order, entry)
-    text = F.concat(F.lit("Row count mismatch across sources: "), F.col("text"))
-    return listed.filter(F.col("different") > 1).select(
-        *_alert(F.lit(None), "row_count_mismatch", F.lit(None), F.col("different"), F.lit(1), text)
-    )
+    return row_count_alerts(counts, order).filter(F.col("check") == "row_count_mismatch")
 
 
 def _coverage_alerts(counted: DataFrame, base_name: str, key: str) -> DataFrame:
@@ -148,11 +168,13 @@ def alerts(
     """
     if nulls is None:
         nulls = {name: null_counts(df) for name, df in frames.items()}
-    counts = row_counts(frames)
+        counts = row_counts(frames)
+    else:
+        counted = [df.select(F.lit(name).alias("source"), "row_count").distinct() for name, df in nulls.items()]
+        counts = _union(counted)
     checks = [
         *[completeness(counted, name, threshold) for name, counted in nulls.items()],
-        empty_datasets(counts, frames),
-        row_count_mismatch(counts, frames),
+        row_count_alerts(counts, frames),
         transaction_alerts(frames, covered),
         account_alerts(frames),
     ]

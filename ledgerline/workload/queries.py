@@ -377,7 +377,7 @@ def row_count_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = bronze_sources(spark, sf_dir)
     frames["refunds"] = frames[PAYMENTS].filter(F.col("amount") < 0)
     counts = A.row_counts(frames)
-    return Q.empty_datasets(counts, frames).unionByName(Q.row_count_mismatch(counts, frames))
+    return Q.row_count_alerts(counts, frames)
 
 
 @query("alerts")

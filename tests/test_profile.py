@@ -22,7 +22,7 @@ def mixed(spark):
 
 def test_distinct_counts_equal_one_column_at_a_time(spark):
     df = mixed(spark)
-    got = {r["column_name"]: r for r in P.column_metrics(df).collect()}
+    got = {r["column_name"]: r for r in P.column_metrics({'t': df}).collect()}
     for name in df.columns:
         assert got[name]["distinct_count"] == df.select(name).distinct().count(), name
         assert got[name]["null_count"] == df.filter(F.col(name).isNull()).count(), name
@@ -55,13 +55,12 @@ def test_profile_of_an_empty_table(spark, rows):
     assert rows(got.filter("metric = 'row_count'"), "column_name", "data_type") == [("a", "int"), ("b", "struct<c:int>")]
 
 
-def test_one_scan_one_pair_shuffle(spark, tmp_path):
+def test_one_scan_per_source_one_pair_shuffle(spark, tmp_path):
     spark.range(10).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    plan = P.column_metrics(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1
-    assert plan.count("Exchange hashpartitioning(column_name") == 2
-    assert "Exchange hashpartitioning(column_name" in plan and "value" in plan
+    plan = P.column_metrics({"x": df, "y": df})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning(source") == 2
 
 
 def test_review(spark, rows):
