@@ -14,6 +14,16 @@ HASH_SEPARATOR = "||"
 NULL_MARK = "\\N"
 
 
+def quoted(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def named(column: str) -> str:
+    """A column name as SQL, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def safe_decimal(column: Column, kind: T.DecimalType = MONEY) -> Column:
     """CST-03: fixed decimal rounded half-up; NULL for bad text, NaN or overflow."""
     return column.try_cast(kind)

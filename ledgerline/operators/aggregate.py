@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import flag_to_int
+from ledgerline.functions.columns import flag_to_int, named, quoted
 from ledgerline.operators.project import dataset_tag
 
 # Longest set kept as one array value; longer ones are kept as rows.
@@ -152,12 +152,12 @@ def behavior_rollup(df: DataFrame, key: str = "sender_account") -> DataFrame:
 
 def row_count(df: DataFrame) -> DataFrame:
     """AGG-09: number of rows, as a table."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"))
+    return df.selectExpr("count(1) AS row_count")
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """AGG-09 per source."""
-    counted = [row_count(df).select(F.lit(name).alias("source"), "row_count") for name, df in frames.items()]
+    counted = [df.selectExpr(f"{quoted(name)} AS source", "count(1) AS row_count") for name, df in frames.items()]
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -166,43 +166,40 @@ def distinct_row_count(df: DataFrame, column: str) -> DataFrame:
     return (
         df.groupBy(column)
         .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.count(F.lit(1)).alias("distinct_count"),
-        )
+        .selectExpr("coalesce(sum(n), 0) AS row_count", "count(1) AS distinct_count")
     )
 
 
-def _null_counters(df: DataFrame) -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns],
-    ]
+def _null_counters(columns: Iterable[str]) -> list[str]:
+    return ["count(1) AS _rows", *[f"count_if({named(c)} IS NULL) AS {named(c)}" for c in columns]]
 
 
 def _long_null_counts(wide: DataFrame, columns: Iterable[str]) -> DataFrame:
-    rows, nulls = F.col("_rows"), F.col("null_count")
-    return wide.unpivot("_rows", [F.col(f"`{c}`") for c in columns], "column_name", "null_count").select(
+    lines = ", ".join(f"{quoted(c)}, {named(c)}" for c in columns)
+    return wide.selectExpr(
+        "_rows AS row_count", f"stack({len(columns)}, {lines}) AS (column_name, null_count)"
+    ).selectExpr(
         "column_name",
-        rows.alias("row_count"),
+        "row_count",
         "null_count",
-        F.when(rows > 0, nulls / rows).otherwise(0.0).alias("null_share"),
+        "CASE WHEN row_count > 0 THEN null_count / row_count ELSE 0.0D END AS null_share",
     )
 
 
 def null_counts(df: DataFrame) -> DataFrame:
     """AGG-11, FLT-01: rows and nulls of every column, from one scan and no data shuffle."""
-    return _long_null_counts(df.agg(*_null_counters(df)), df.columns)
+    return _long_null_counts(df.selectExpr(*_null_counters(df.columns)), df.columns)
 
 
 def observe_nulls(df: DataFrame, observation: Observation) -> DataFrame:
     """The frame, counting its rows and nulls while another action runs over it."""
-    return df.observe(observation, *_null_counters(df))
+    return df.observe(observation, *[F.expr(counter) for counter in _null_counters(df.columns)])
 
 
 def observed_null_counts(df: DataFrame, observation: Observation) -> DataFrame:
     """AGG-11 from an observation of `df` whose action has ended: no further scan."""
-    schema = ", ".join(f"`{c}` bigint" for c in ("_rows", *df.columns))
+    names = ("_rows", *df.columns)
     seen = observation.get
-    row = tuple(seen[c] for c in ("_rows", *df.columns))
-    return _long_null_counts(df.sparkSession.createDataFrame([row], schema), df.columns)
+    schema = ", ".join(f"{named(c)} bigint" for c in names)
+    counted = df.sparkSession.createDataFrame([tuple(seen[c] for c in names)], schema)
+    return _long_null_counts(counted, df.columns)

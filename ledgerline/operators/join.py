@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import named, quoted
 from ledgerline.operators.project import new_columns_only
 from ledgerline.schemas import CUSTOMER_BEHAVIOR, LINEAGE, PAYMENTS, TRANSACTION_SOURCES
 
@@ -180,30 +181,20 @@ def key_census(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
     has reduced its rows to one per key and frame; no join, so a key that holds
     most rows costs nothing extra.
     """
-    names = list(frames)
-    tagged = [df.select(F.col(f"`{key}`").alias("key"), F.lit(at).alias("at")) for at, df in enumerate(frames.values())]
-    held = [F.count_if(F.col("at") == at).alias(f"n{at}") for at in range(len(names))]
-    per_key = reduce(DataFrame.unionByName, tagged).groupBy("key").agg(*held)
-    base = F.col("n0") > 0
-    counts = []
-    for at in range(len(names)):
-        n = F.col(f"n{at}")
-        counts += [
-            F.coalesce(F.sum(n), F.lit(0)).alias(f"rows{at}"),
-            F.count_if(n > 0).alias(f"distinct{at}"),
-            F.count_if(base & (n == 0)).alias(f"missing{at}"),
-        ]
-    lines = [
-        F.struct(
-            F.lit(name).alias("source"),
-            F.lit(key).alias("key"),
-            F.col(f"rows{at}").alias("row_count"),
-            F.col(f"distinct{at}").alias("distinct_count"),
-            F.col(f"missing{at}").alias("missing"),
-        )
-        for at, name in enumerate(names)
-    ]
-    return per_key.agg(*counts).select(F.inline(F.array(*lines)))
+    marks = range(len(frames))
+    tagged = [df.selectExpr(f"{named(key)} AS key", f"{at} AS at") for at, df in zip(marks, frames.values())]
+    per_key = (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy("key")
+        .agg(*[F.expr(f"count_if(at = {at}) AS n{at}") for at in marks])
+    )
+    lines = ", ".join(
+        f"{quoted(name)}, coalesce(sum(n{at}), 0), count_if(n{at} > 0), count_if(n0 > 0 AND n{at} = 0)"
+        for at, name in zip(marks, frames)
+    )
+    return per_key.selectExpr(
+        f"stack({len(frames)}, {lines}) AS (source, row_count, distinct_count, missing)"
+    ).selectExpr("source", f"{quoted(key)} AS key", "row_count", "distinct_count", "missing")
 
 
 def key_coverage(base: DataFrame, others: Mapping[str, DataFrame], key: str) -> DataFrame:

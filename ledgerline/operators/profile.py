@@ -5,48 +5,70 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-METRICS = ("row_count", "null_count", "null_pct", "distinct_count")
+from ledgerline.functions.columns import named, quoted
 
 
-def _as_key(field: T.StructField) -> Column:
-    """A text that is equal exactly when the values are equal."""
-    column, kind = F.col(f"`{field.name}`"), field.dataType
-    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(column, {"ignoreNullFields": "false"})
-    if isinstance(kind, T.BinaryType):
-        return F.hex(column)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        column = column + F.lit(0).cast(kind)  # -0.0 and 0.0 are one value
-    return column.cast("string")
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+
+
+def _slots(field: T.StructField) -> tuple[str, str, str]:
+    """SQL for a value as text, as whole number or as double, equal exactly when the values are.
+
+    One of the three has the value, the others are NULL; a NULL leaves all three
+    NULL.  Numbers and times keep to numbers, which are cheaper to hash than text.
+    """
+    column, kind = named(field.name), field.dataType
+    text, whole, real = "CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
+    if isinstance(kind, _WHOLE):
+        whole = f"CAST({column} AS BIGINT)"
+    elif isinstance(kind, T.DateType):
+        whole = f"CAST(unix_date({column}) AS BIGINT)"
+    elif isinstance(kind, T.TimestampType):
+        whole = f"unix_micros({column})"
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        whole = f"CAST({column} * CAST(1{'0' * kind.scale} AS DECIMAL({kind.scale + 1},0)) AS BIGINT)"
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        real = f"CAST({column} AS DOUBLE)"
+    elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        text = f"to_json({column}, map('ignoreNullFields', 'false'))"
+    elif isinstance(kind, T.BinaryType):
+        text = f"hex({column})"
+    else:
+        text = f"CAST({column} AS STRING)"
+    return text, whole, real
+
+
+def _columns_of(frames: Mapping[str, DataFrame]) -> list[tuple[str, T.StructField]]:
+    return [(source, field) for source, df in frames.items() for field in df.schema.fields]
 
 
 def column_metrics(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, nulls and distinct values (NULL is one) of every column of every source.
 
-    One scan per source turns each row into (column, value) pairs, each task
-    reduces them to distinct pairs with a count, and one shuffle on the pair
-    serves all sources: a frequent value or NULL leaves a task as a single row,
-    and a column of unique values is spread over all tasks.
+    `at` numbers the columns of all sources in order.  One scan per source turns
+    each row into (column, value) pairs, each task reduces them to distinct
+    pairs with a count, and one shuffle on the pair serves all sources: a
+    frequent value or NULL leaves a task as a single row, and a column of unique
+    values is spread over all tasks.
     """
-    pairs = [
-        df.select(*[_as_key(f).alias(f.name) for f in df.schema.fields])
-        .unpivot([], [F.col(f"`{c}`") for c in df.columns], "column_name", "value")
-        .select(F.lit(source).alias("source"), "column_name", "value")
-        for source, df in frames.items()
-    ]
-    value, n = F.col("value"), F.col("n")
+    pairs, first = [], 0
+    for df in frames.values():
+        fields = df.schema.fields
+        cells = ", ".join(", ".join((str(at), *_slots(field))) for at, field in enumerate(fields, first))
+        pairs.append(df.selectExpr(f"stack({len(fields)}, {cells}) AS (at, text, whole, real)"))
+        first += len(fields)
     return (
         reduce(DataFrame.unionByName, pairs)
-        .groupBy("source", "column_name", "value")
+        .groupBy("at", "text", "whole", "real")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("source", "column_name")
+        .groupBy("at")
         .agg(
             F.sum("n").alias("row_count"),
-            F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
+            F.expr("coalesce(sum(n) FILTER (WHERE text IS NULL AND whole IS NULL AND real IS NULL), 0)").alias("null_count"),
             F.count(F.lit(1)).alias("distinct_count"),
         )
     )
@@ -57,39 +79,35 @@ def profile_all(frames: Mapping[str, DataFrame]) -> DataFrame:
 
     A column of an empty table has zeros.
     """
-    fields = [
-        F.struct(
-            F.lit(source).alias("source"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-        )
-        for source, df in frames.items()
-        for f in df.schema.fields
-    ]
-    spark = next(iter(frames.values())).sparkSession
-    columns = spark.range(0, 1, 1, 1).select(F.inline(F.array(*fields)))
-    # One row per column of the tables on either side, so the broadcast is small.
-    counted = columns.join(F.broadcast(column_metrics(frames)), ["source", "column_name"], "left")
-    rows, nulls, distinct = (
-        F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("row_count", "null_count", "distinct_count")
+    fields = _columns_of(frames)
+    names = ", ".join(
+        f"{at}, {quoted(source)}, {quoted(f.name)}, {quoted(f.dataType.simpleString())}"
+        for at, (source, f) in enumerate(fields)
     )
-    values = {
-        "row_count": rows,
-        "null_count": nulls,
-        "null_pct": F.when(rows > 0, nulls / rows * 100).otherwise(0.0),
-        "distinct_count": distinct,
-    }
-    long = F.array(
-        *[F.struct(F.lit(m).alias("metric"), values[m].alias("metric_value")) for m in METRICS]
+    spark = next(iter(frames.values())).sparkSession
+    columns = spark.range(0, 1, 1, 1).selectExpr(
+        f"stack({len(fields)}, {names}) AS (at, source, column_name, data_type)"
     )
-    return counted.select("source", "column_name", "data_type", F.inline(long)).select(
+    # One row per column of the tables on either side, so the broadcast is small.
+    counted = columns.join(F.broadcast(column_metrics(frames)), "at", "left")
+    return counted.selectExpr(
+        "source",
+        "column_name",
+        "data_type",
+        """stack(4,
+          'row_count', CAST(coalesce(row_count, 0) AS DOUBLE),
+          'null_count', CAST(coalesce(null_count, 0) AS DOUBLE),
+          'null_pct', CASE WHEN row_count > 0 THEN null_count / row_count * 100 ELSE 0.0D END,
+          'distinct_count', CAST(coalesce(distinct_count, 0) AS DOUBLE)
+        ) AS (metric, metric_value)""",
+    ).selectExpr(
         "source",
         "column_name",
         "metric",
         "metric_value",
         "data_type",
-        F.current_timestamp().alias("ingestion_timestamp"),
-        F.current_timestamp().alias("profiling_timestamp"),
+        "current_timestamp() AS ingestion_timestamp",
+        "current_timestamp() AS profiling_timestamp",
     )
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import quoted
 from ledgerline.operators.aggregate import distinct_row_count, null_counts, row_counts
 from ledgerline.operators.join import key_census, key_coverage
 from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, FRAUD_TIMING, NULL_THRESHOLD, PAYMENTS
@@ -18,26 +19,34 @@ ALERT_SCHEMA = "source string, check string, column string, observed double, exp
 COVERED_SOURCES = (DEVICE, FRAUD_TIMING)
 
 
-def _alert(source: Column, check: str, column: Column, observed: Column, expected: Column, message: Column):
-    return [
-        source.cast("string").alias("source"),
-        F.lit(check).alias("check"),
-        column.cast("string").alias("column"),
-        observed.cast("double").alias("observed"),
-        expected.cast("double").alias("expected"),
-        message.alias("message"),
-    ]
+def _alert(
+    counted: DataFrame, check: str, source: str, column: str, observed: str, expected: str, message: str
+) -> DataFrame:
+    """Alert rows out of a small counted table; all arguments but `check` are SQL."""
+    return counted.selectExpr(
+        f"CAST({source} AS STRING) AS source",
+        f"{quoted(check)} AS check",
+        f"CAST({column} AS STRING) AS column",
+        f"CAST({observed} AS DOUBLE) AS observed",
+        f"CAST({expected} AS DOUBLE) AS expected",
+        f"{message} AS message",
+    )
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _uniqueness_alerts(counted: DataFrame, source: Column, column: str) -> DataFrame:
-    rows, distinct = F.col("row_count"), F.col("distinct_count")
-    text = F.format_string(f"%s: {column} not unique (%d rows vs %d distinct)", source, rows, distinct)
-    return counted.filter(rows != distinct).select(
-        *_alert(source, "uniqueness", F.lit(column), rows, distinct, text)
+def _uniqueness_alerts(counted: DataFrame, source: str, column: str) -> DataFrame:
+    text = quoted(f"%s: {column} not unique (%d rows vs %d distinct)")
+    return _alert(
+        counted.filter("row_count <> distinct_count"),
+        "uniqueness",
+        source,
+        quoted(column),
+        "row_count",
+        "distinct_count",
+        f"format_string({text}, {source}, row_count, distinct_count)",
     )
 
 
@@ -45,16 +54,19 @@ def uniqueness(df: DataFrame, source: str, column: str = "transaction_id") -> Da
     """DQ-01: rows against distinct values (NULL is one); None without the column."""
     if column not in df.columns:
         return None
-    return _uniqueness_alerts(distinct_row_count(df, column), F.lit(source), column)
+    return _uniqueness_alerts(distinct_row_count(df, column), quoted(source), column)
 
 
 def completeness(nulls: DataFrame, source: str, threshold: float = NULL_THRESHOLD) -> DataFrame:
     """DQ-02: columns whose null share is above the threshold, given `null_counts`."""
-    share, name = F.col("null_share"), F.col("column_name")
-    text = F.format_string("%s: %s has %.2f%% nulls", F.lit(source), name, share * 100)
-    return (
-        nulls.filter(share > threshold)
-        .select(*_alert(F.lit(source), "completeness", name, share, F.lit(threshold), text))
+    return _alert(
+        nulls.filter(f"null_share > {threshold}D"),
+        "completeness",
+        quoted(source),
+        "column_name",
+        "null_share",
+        f"{threshold}D",
+        f"format_string('%s: %s has %.2f%% nulls', {quoted(source)}, column_name, null_share * 100)",
     )
 
 
@@ -63,58 +75,54 @@ def row_count_alerts(counts: DataFrame, order: Iterable[str]) -> DataFrame:
 
     `counts` has a row per source; `order` is the order they are listed in.
     """
-    position = F.array_position(F.array(*[F.lit(name) for name in order]), F.col("source"))
-    empty = F.col("row_count") == 0
-    pair = F.concat_ws("=", F.col("source"), F.col("row_count").cast("string"))
-
-    def listed(text: Column) -> Column:
-        items = F.sort_array(F.collect_list(F.when(text.isNotNull(), F.struct(position.alias("at"), text.alias("text")))))
-        return F.array_join(F.transform(items, lambda item: item["text"]), ", ")
-
-    found = counts.agg(
-        F.count_if(empty).alias("empty"),
-        F.count_distinct("row_count").alias("different"),
-        listed(F.when(empty, F.col("source"))).alias("empty_names"),
-        listed(pair).alias("pairs"),
+    names = ", ".join(quoted(name) for name in order)
+    place = f"array_position(array({names}), source)"
+
+    def listed(text: str, rows: str) -> str:
+        item = f"CASE WHEN {rows} THEN struct({place} AS at, {text} AS text) END"
+        return f"array_join(transform(sort_array(collect_list({item})), item -> item.text), ', ')"
+
+    found = counts.selectExpr(
+        "count_if(row_count = 0) AS empty",
+        "count(DISTINCT row_count) AS different",
+        f"{listed('source', 'row_count = 0')} AS empty_names",
+        f"{listed('concat(source, chr(61), row_count)', 'true')} AS pairs",
+    ).selectExpr(
+        """stack(2,
+          'empty_datasets', empty, 0, concat('Empty datasets detected: ', empty_names),
+          'row_count_mismatch', different, 1, concat('Row count mismatch across sources: ', pairs)
+        ) AS (check, observed, expected, message)"""
+    )
+    return found.filter("observed > expected").selectExpr(
+        "CAST(NULL AS STRING) AS source",
+        "check",
+        "CAST(NULL AS STRING) AS column",
+        "CAST(observed AS DOUBLE) AS observed",
+        "CAST(expected AS DOUBLE) AS expected",
+        "message",
     )
-    none = F.lit(None)
-    alerts_found = [
-        _alert(
-            none,
-            "empty_datasets",
-            none,
-            F.col("empty"),
-            F.lit(0),
-            F.concat(F.lit("Empty datasets detected: "), F.col("empty_names")),
-        ),
-        _alert(
-            none,
-            "row_count_mismatch",
-            none,
-            F.col("different"),
-            F.lit(1),
-            F.concat(F.lit("Row count mismatch across sources: "), F.col("pairs")),
-        ),
-    ]
-    lines = F.array(*[F.struct(*alert) for alert in alerts_found])
-    return found.select(F.inline(lines)).filter(F.col("observed") > F.col("expected"))
 
 
 def empty_datasets(counts: DataFrame, order: Iterable[str]) -> DataFrame:
     """DQ-03: one alert naming the sources without rows."""
-    return row_count_alerts(counts, order).filter(F.col("check") == "empty_datasets")
+    return row_count_alerts(counts, order).filter("check = 'empty_datasets'")
 
 
 def row_count_mismatch(counts: DataFrame, order: Iterable[str]) -> DataFrame:
     """DQ-04: one alert with all counts if they are not the same everywhere."""
-    return row_count_alerts(counts, order).filter(F.col("check") == "row_count_mismatch")
+    return row_count_alerts(counts, order).filter("check = 'row_count_mismatch'")
 
 
 def _coverage_alerts(counted: DataFrame, base_name: str, key: str) -> DataFrame:
-    missing = F.col("missing")
-    text = F.format_string(f"%s: %d {key}s missing vs {base_name}", F.col("source"), missing)
-    return counted.filter(missing > 0).select(
-        *_alert(F.col("source"), "key_coverage", F.lit(key), missing, F.lit(0), text)
+    text = quoted(f"%s: %d {key}s missing vs {base_name}")
+    return _alert(
+        counted.filter("missing > 0"),
+        "key_coverage",
+        "source",
+        quoted(key),
+        "missing",
+        "0",
+        f"format_string({text}, source, missing)",
     )
 
 
@@ -141,7 +149,7 @@ def transaction_alerts(
     if PAYMENTS in keyed:  # the census compares with its first frame
         keyed = {PAYMENTS: keyed[PAYMENTS], **keyed}
     counted = key_census(keyed, key)
-    unique = _uniqueness_alerts(counted, F.col("source"), key)
+    unique = _uniqueness_alerts(counted, "source", key)
     compared = [name for name in covered if name in keyed] if PAYMENTS in keyed else []
     if not compared:
         return unique
@@ -170,7 +178,7 @@ def alerts(
         nulls = {name: null_counts(df) for name, df in frames.items()}
         counts = row_counts(frames)
     else:
-        counted = [df.select(F.lit(name).alias("source"), "row_count").distinct() for name, df in nulls.items()]
+        counted = [df.selectExpr(f"{quoted(name)} AS source", "row_count").distinct() for name, df in nulls.items()]
         counts = _union(counted)
     checks = [
         *[completeness(counted, name, threshold) for name, counted in nulls.items()],
