@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
@@ -19,9 +20,10 @@ def together(tasks: Mapping[str, Callable[[], T]]) -> tuple[dict[str, T], dict[s
     """Results and errors by name, in the order of the tasks; one error stops no other task."""
     if not tasks:
         return {}, {}
+    in_session = inheritable_thread_target(SparkSession.active())
     results, errors = {}, {}
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        waiting = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        waiting = {name: pool.submit(in_session(task)) for name, task in tasks.items()}
         for name, future in waiting.items():
             try:
                 results[name] = future.result()

@@ -314,6 +314,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "csv_roundtrip": _ON_RAW + _PAYMENTS_RAW,
         "json_scan": _ON_RAW + _PAYMENTS_RAW,
+        "json_multiline_scan": _ON_RAW + _PAYMENTS_RAW,
         "parquet_overwrite_scan": _ON_RAW + payments_ms,
         "wide_csv_scan": _ON_WIDE
         + """SELECT transaction_id, "timestamp", sender_account, receiver_account, CAST(amount AS DOUBLE) AS amount,
@@ -372,7 +373,11 @@ FROM t""",
         + """SELECT transaction_id AS ID, coalesce(merchant_category, 'nan') AS Category,
        coalesce(transaction_type, 'nan') AS Type, CAST(amount AS DOUBLE) AS Amount,
        coalesce(location, 'nan') AS Location FROM wide""",
-        "flags": _ON_SILVER + "SELECT transaction_id, location_missing, is_fraud_inconsistent FROM fraud_timing",
+        "location_missing": _ON_SILVER
+        + """SELECT location, location_missing, count(*) AS row_count FROM payments
+GROUP BY location, location_missing""",
+        "fraud_inconsistent": _ON_SILVER
+        + "SELECT transaction_id, location_missing, is_fraud_inconsistent FROM fraud_timing",
         "time_of_day": _ON_RAW + 'SELECT time_of_day, count(*) AS "count" FROM raw_fraud_timing GROUP BY time_of_day',
         "day_of_week": _ON_RAW + "SELECT transaction_id, day_of_week FROM raw_fraud_timing",
         "null_injection": _ON_RAW + "SELECT transaction_id, location FROM raw_fraud_timing",

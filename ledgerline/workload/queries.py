@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,6 +115,24 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(IN.read_source(spark, IN.SourceSpec("JSON", path, PAYMENTS_SCHEMA)))
 
 
+def _json_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One JSON array per batch of JSON objects."""
+    for batch in batches:
+        yield pd.DataFrame({"value": ["[" + ",\n".join(batch["value"]) + "]"]})
+
+
+@query("json_multiline_scan")
+def json_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold one JSON array each, over several lines."""
+    path = scratch_folder(spark, "json-arrays")
+    objects = raw_sources(spark, sf_dir, PAYMENTS)[PAYMENTS].select(
+        F.to_json(F.struct("*"), {"timestampFormat": OUT.TEXT_TIMESTAMP}).alias("value")
+    )
+    arrays = objects.mapInPandas(_json_arrays, "value string")
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return comparable(IN.read_source(spark, IN.SourceSpec("json", path, PAYMENTS_SCHEMA, multi_line=True)))
+
+
 @query("generic_scan_orc")
 def generic_scan_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "orc")
@@ -222,8 +241,14 @@ def stringify_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(D.merchant(wide_transactions(spark, sf_dir), missing="nan"))
 
 
-@query("flags")
-def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("location_missing")
+def location_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payments = silver_sources(spark, sf_dir, PAYMENTS)[PAYMENTS]
+    return payments.groupBy("location", "location_missing").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("fraud_inconsistent")
+def fraud_inconsistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     timing = silver_sources(spark, sf_dir, FRAUD_TIMING)[FRAUD_TIMING]
     return timing.select("transaction_id", "location_missing", "is_fraud_inconsistent")
 
