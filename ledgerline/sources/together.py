@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
+MOST_AT_ONCE = 8
+
 
 def together(tasks: Mapping[str, Callable[[], T]]) -> tuple[dict[str, T], dict[str, Exception]]:
     """Results and errors by name, in the order of the tasks; one error stops no other task."""
@@ -22,7 +24,7 @@ def together(tasks: Mapping[str, Callable[[], T]]) -> tuple[dict[str, T], dict[s
         return {}, {}
     in_session = inheritable_thread_target(SparkSession.active())
     results, errors = {}, {}
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+    with ThreadPoolExecutor(max_workers=min(len(tasks), MOST_AT_ONCE)) as pool:
         waiting = {name: pool.submit(in_session(task)) for name, task in tasks.items()}
         for name, future in waiting.items():
             try:
