@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chunks, records, warc
+from ledgerline.llm import chunks, external, grammar, leaks, records, toxicity, warc
 from ledgerline.llm.common import read_table
 from ledgerline.sources.scratch import scratch_folder
 
@@ -20,12 +20,43 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op2_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = grammar.find_secrets(docs)
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(grammar.span_list(F.col("base")), 256).alias("base_sha256"),
+        grammar.span_list(F.concat("base", "learned")).alias("spans"),
+    )
+
+
 @query
 def op4_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return chunks.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
 
 
+@query
+def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "shards")
+    external.external_shuffle(read_table(spark, sf_dir, "documents"), folder, shards=24)
+    return external.read_shards(spark, folder).select(
+        "doc_id",
+        external.record_size(F.col("text")).alias("size"),
+        external.text_crc32(F.col("text")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-records")
@@ -35,6 +66,19 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit_chain(docs, read_table(spark, sf_dir, "labels"), ("quality", "toxic"))
+    scored = toxicity.score(docs, chain).drop("text")
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+@query
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "warc")
