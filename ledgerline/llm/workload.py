@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chunks, external, grammar, leaks, records, toxicity, warc
+from ledgerline.llm import chunks, external, grammar, leaks, neardup, records, toxicity, warc
 from ledgerline.llm.common import read_table
 from ledgerline.sources.scratch import scratch_folder
 
@@ -36,6 +36,11 @@ def op2_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, similarity=0.8)
+
+
 @query
 def op4_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
