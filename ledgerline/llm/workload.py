@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chunks, external, grammar, leaks, neardup, records, toxicity, warc
+from ledgerline.llm import brown, chunks, external, grammar, leaks, neardup, records, toxicity, warc
 from ledgerline.llm.common import read_table
 from ledgerline.sources.scratch import scratch_folder
 
@@ -62,6 +62,11 @@ def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-records")
