@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import brown, chunks, external, grammar, leaks, neardup, records, toxicity, warc
+from ledgerline.llm import brown, chunks, external, grammar, imatch, leaks, neardup, records, toxicity, warc
 from ledgerline.llm.common import read_table
 from ledgerline.sources.scratch import scratch_folder
 
@@ -20,6 +20,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
