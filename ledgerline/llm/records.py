@@ -35,7 +35,9 @@ HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 MASK = 0xA282EAD8
 #: Words whose ids a worker remembers; beyond that it forgets all and starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+#: Words that a worker may have met, by hash; and characters of the texts it looks at together.
+MET_BITS, TOGETHER = 22, 1 << 18
 
 
 def masked(data: bytes) -> int:
@@ -73,12 +75,24 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(payload, f"<u{width}", offset=BODY.size)
 
 
+class _Remembered(dict):
+    """Ids by word; words that are not kept are looked up among those of the texts at hand."""
+
+    def __init__(self):
+        self.passing: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.passing[word]
+
+
 class WordEncoder:
-    """Ids of a text by the tokenizers library, remembered by white-space word.
+    """Ids of texts by the tokenizers library, remembered by white-space word.
 
     For tokenizers that split at white space and drop it, the ids of a text are
     those of its words in turn.  Words are cut at ASCII white space only; a piece
-    that holds other white space goes to the library as it stands.
+    that holds other white space goes to the library as it stands.  New words
+    reach the library as one text, a special token between each two.  A word is
+    remembered from its second meeting on, since most are met once.
     """
 
     def __init__(self, path: str):
@@ -88,21 +102,45 @@ class WordEncoder:
         self.library.no_padding()
         self.library.no_truncation()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def ids(self, text: str, end_id: int | None) -> np.ndarray:
-        words = text.encode().split()
-        known = self.known
-        new = [w for w in set(words) if w not in known]
+        special = [(str(t), at) for at, t in self.library.get_added_tokens_decoder().items() if t.special]
+        self.between, self.between_id = special[-1] if special else ("", -1)
+        self.known = _Remembered()
+        self.met = bytearray(1 << MET_BITS)
+
+    def _coded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        mark = self.between.encode()
+        alone = [w for w in words if not mark or mark in w]
+        joined = [w for w in words if mark and mark not in w] if alone else words
+        out = {w: np.array(self.library.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes() for w in alone}
+        if joined:
+            (coded,) = self.library.encode_batch_fast([self.between.join(w.decode() for w in joined)], add_special_tokens=False)
+            ids = np.array(coded.ids, self.kind)
+            ends = np.append(np.flatnonzero(ids == self.between_id), len(ids)).tolist()
+            data, width = ids.tobytes(), self.kind.itemsize
+            start = 0
+            for w, end in zip(joined, ends, strict=True):
+                out[w] = data[start * width : end * width]
+                start = end + 1
+        return out
+
+    def many(self, listed: list[str], end_id: int | None) -> Iterator[np.ndarray]:
+        """Ids of each text, with `end_id` behind them if given."""
+        known, met, mask = self.known, self.met, (1 << MET_BITS) - 1
+        words = [text.encode().split() for text in listed]
+        new = [w for w in set().union(*words) if w not in known]
         if len(known) + len(new) > REMEMBERED:
             known.clear()
-            new = list(set(words))
-        if new:
-            coded = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(c.ids, self.kind).tobytes()) for w, c in zip(new, coded))
-        data = b"".join(map(known.__getitem__, words))
-        ids = np.frombuffer(data, self.kind)
-        return ids if end_id is None else np.append(ids, np.array([end_id], self.kind))
+            new = list(set().union(*words))
+        known.passing = self._coded(new)
+        close = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
+        for own in words:
+            yield np.frombuffer(b"".join([*map(known.__getitem__, own), close]), self.kind)
+        for w in new:
+            at = hash(w) & mask
+            if met[at]:
+                known[w] = known.passing[w]
+            met[at] = 1
+        known.passing = {}
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -133,9 +171,15 @@ def write_records(
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
-        ids = batch.column(0).to_pylist()
-        out = [frame(payload_of(d, coder.ids(t, end_id))) for d, t in zip(ids, texts(batch))]
+        coder, out, held, size = encoder(tokenizer), [], [], 0
+        ids = iter(batch.column(0).to_pylist())
+        for text in texts(batch):
+            held.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                out += [frame(payload_of(next(ids), coded)) for coded in coder.many(held, end_id)]
+                held, size = [], 0
+        out += [frame(payload_of(next(ids), coded)) for coded in coder.many(held, end_id)]
         yield pa.record_batch([pa.array(out, pa.binary())], ["frame"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
