@@ -28,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.llm.bits import HashBits
 from ledgerline.llm.common import map_batches, texts, written
+from ledgerline.llm.records import byte_signs
 
 WINDOW = 5  # the rolling hash sees 2**5 bytes
 LEAST, AVERAGE_BITS = 256, 10  # bytes of a chunk: at least, and the power of two that a cut takes on average
@@ -101,10 +102,7 @@ class ByteBpe:
             spec = json.load(file)
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        # The printable stand-ins for bytes that byte-level vocabularies use.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in set(plain)]
-        byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+        byte = byte_signs()
         ranks = {
             bytes(byte[c] for c in token): at for token, at in spec["model"]["vocab"].items() if token not in self.special
         }

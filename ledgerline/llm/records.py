@@ -18,6 +18,7 @@ by part number is the order of the documents.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -75,6 +76,17 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(payload, f"<u{width}", offset=BODY.size)
 
 
+#: Words whose lower case and pieces do not depend on the library's version of Unicode.
+EASY = re.compile("[!-~\xa1-\xac\xae-\u012f]+")
+
+
+def byte_signs() -> dict[str, int]:
+    """The printable stand-ins for bytes that byte-level vocabularies use."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class _Remembered(dict):
     """Ids by word; words that are not kept are looked up among those of the texts at hand."""
 
@@ -102,25 +114,72 @@ class WordEncoder:
         self.library.no_padding()
         self.library.no_truncation()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        special = [(str(t), at) for at, t in self.library.get_added_tokens_decoder().items() if t.special]
-        self.between, self.between_id = special[-1] if special else ("", -1)
+        added = self.library.get_added_tokens_decoder()
+        self.special = [str(t) for t in added.values()]
+        self.between, self.between_id = next(((str(t), at) for at, t in added.items() if t.special), ("", -1))
+        self.merges = None
+        self._read_merges(path)
         self.known = _Remembered()
         self.met = bytearray(1 << MET_BITS)
 
-    def _coded(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _read_merges(self, path: str) -> None:
+        """A rank-merging encoder with the same vocabulary, where the file is of the kind it can stand for.
+
+        The sign \\x01 behind a piece stands for the suffix that ends words: it
+        merges with the last byte before anything else does.  The tests hold the
+        ids against the library's.
+        """
+        import regex
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        suffix = spec["model"].get("end_of_word_suffix")
+        normal = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", ())]
+        cut = [x["type"] for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", ())]
+        if not suffix or normal != ["NFC", "Replace", "Lowercase"] or cut != ["Split", "ByteLevel"]:
+            return
+        byte = byte_signs()
+        added = {x["content"] for x in spec["added_tokens"]}
+        ranks = {}
+        for token, at in spec["model"]["vocab"].items():
+            if token not in added:
+                ends = token.endswith(suffix) and token != suffix
+                ranks[bytes(byte[c] for c in token.removesuffix(suffix if ends else ""))  + b"\x01" * ends] = at
+        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.merges = tiktoken.Encoding("words", pat_str=r"[^\x01\n]+\x01|\n", mergeable_ranks=ranks, special_tokens={})
+        self.line_id = ranks[b"\n"]
+
+    def _by_library(self, words: list[bytes]) -> dict[bytes, bytes]:
         mark = self.between.encode()
         alone = [w for w in words if not mark or mark in w]
         joined = [w for w in words if mark and mark not in w] if alone else words
         out = {w: np.array(self.library.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes() for w in alone}
         if joined:
             (coded,) = self.library.encode_batch_fast([self.between.join(w.decode() for w in joined)], add_special_tokens=False)
-            ids = np.array(coded.ids, self.kind)
-            ends = np.append(np.flatnonzero(ids == self.between_id), len(ids)).tolist()
-            data, width = ids.tobytes(), self.kind.itemsize
-            start = 0
-            for w, end in zip(joined, ends, strict=True):
-                out[w] = data[start * width : end * width]
-                start = end + 1
+            out.update(self._cut(joined, coded.ids, self.between_id))
+        return out
+
+    def _cut(self, words: list[bytes], ids: list[int], between: int) -> Iterator[tuple[bytes, bytes]]:
+        """The ids of each of some words that were encoded with `between` between them."""
+        all_ids = np.array(ids, self.kind)
+        ends = np.append(np.flatnonzero(all_ids == between), len(all_ids)).tolist()
+        data, width, start = all_ids.tobytes(), self.kind.itemsize, 0
+        for word, end in zip(words, ends, strict=True):
+            yield word, data[start * width : end * width]
+            start = end + 1
+
+    def _coded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if self.merges is None:
+            return self._by_library(words)
+        texts = [w.decode() for w in words]
+        easy = [EASY.fullmatch(t) is not None and not any(x in t for x in self.special) for t in texts]
+        rest = [w for w, e in zip(words, easy) if not e]
+        out = self._by_library(rest) if rest else {}
+        if len(rest) < len(words):
+            joined = "\n".join(t for t, e in zip(texts, easy) if e).lower()
+            ids = self.merges.encode_ordinary(self.pieces.sub("\\g<0>\x01", joined))
+            out.update(self._cut([w for w, e in zip(words, easy) if e], ids, self.line_id))
         return out
 
     def many(self, listed: list[str], end_id: int | None) -> Iterator[np.ndarray]:
