@@ -1,3 +1,69 @@
-"""placeholder"""
+"""From documents to token ids: toxic texts, near copies and benchmark passages go, secrets are blanked, the rest is encoded.
+
+Each stage takes (spark, docs, sf_dir) and returns a frame; `run` writes it as
+Parquet and gives what it reads back to the next.  All stages but the last
+return the columns of `documents`.  A row without an id passes the stages that
+compare documents, for nothing can be said about it there.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import chunks, grammar, leaks, neardup, toxicity
+from ledgerline.llm.common import read_table, written
+
+#: SQL cannot express a trained classifier or a tokenizer; the tests hold each stage against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.5) -> DataFrame:
+    """Documents whose probability of being toxic, at the end of the chain, is below the threshold."""
+    chain = toxicity.fit_chain(docs, read_table(spark, sf_dir, "labels"), ("quality", "toxic"))
+    return toxicity.score(docs, chain).filter(F.col("p_toxic") < threshold).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that with the smallest id."""
+    found = neardup.near_duplicates(docs, words=5, similarity=0.8)
+    return _without(docs, found.filter(~F.col("kept")).select("doc_id"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = leaks.leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.select("doc_id").distinct())
+
+
+def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, a mark in the place of each secret."""
+    return grammar.redact(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, with their number and digests."""
+    return chunks.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The documents whose id is not among the `bad` ones.  Both sides of the join are tables, read as they are."""
+    return docs.join(written(bad, "dropped"), "doc_id", "left_anti").select(*docs.columns)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("secrets", blank_secrets),
+    ("bpe", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over `documents`, each one's rows written and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
