@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import brown, chunks, external, grammar, imatch, leaks, neardup, records, toxicity, warc
-from ledgerline.llm.common import read_table
+from ledgerline.llm.common import read_table, written
 from ledgerline.sources.scratch import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,17 +99,20 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "warc")
     warc.write_warc(read_table(spark, sf_dir, "pages"), folder)
     captures = warc.assemble(warc.read_warc(spark, folder, keep_blocks=False)).select(
-        "capture_id", "capture", warc.page_id_of(F.col("metadata.block")).alias("page_id")
+        "capture_id",
+        "capture.record_type",
+        "capture.payload_bytes",
+        "capture.payload_digest",
+        F.coalesce("capture.refers_to_id", "capture_id").alias("stored_id"),
+        warc.page_id_of(F.col("metadata.block")).alias("page_id"),
     )
-    stored = captures.filter("capture.record_type = 'response'").select(
-        F.col("capture_id").alias("of"), F.col("page_id").alias("refers_to")
-    )
-    return captures.join(
-        stored.dropDuplicates(["of"]), F.col("capture.refers_to_id") == F.col("of"), "left"
-    ).select(
+    captures = written(captures, "captures")
+    # A response is found under its own id, so no key is NULL; a much revisited one is split by adaptive execution.
+    stored = captures.filter("record_type = 'response'").groupBy("capture_id").agg(F.min("page_id").alias("stored_page"))
+    return captures.join(stored.withColumnRenamed("capture_id", "stored_id"), "stored_id", "left").select(
         "page_id",
-        F.col("capture.payload_bytes").alias("payload_bytes"),
-        F.col("capture.payload_digest").alias("payload_digest"),
-        F.col("capture.record_type").alias("record_type"),
-        "refers_to",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.when(F.col("record_type") == "revisit", F.col("stored_page")).alias("refers_to"),
     )
