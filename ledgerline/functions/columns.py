@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from ledgerline.schemas import MONEY
 
 HASH_SEPARATOR = "||"
-NULL_MARK = "\\N"
 
 
 def quoted(text: str) -> str:
@@ -72,6 +71,8 @@ def chosen_share(key: Column, share: float, seed: int = 42) -> Column:
     partitioning picks the same rows.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}-"), key.cast("string")))
+    if 0 < share * 10_000 < 1:
+        raise ValueError(f"a share of {share} is below the resolution of a hundredth of a percent")
     bucket = F.conv(F.substring(digest, 1, 6), 16, 10).cast("bigint") % 10_000
     return bucket < round(share * 10_000)
 
@@ -81,15 +82,47 @@ def blank_share(column: Column, key: Column, share: float = 0.01, seed: int = 42
     return F.when(F.coalesce(chosen_share(key, share, seed), F.lit(False)), F.lit(None)).otherwise(column)
 
 
-def row_hash(names: Sequence[str], strict: bool = True) -> Column:
+# Finer than a millisecond and free of the session's zone, so that values are equal in text when they are equal.
+EXACT_JSON = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def exact_text(field: T.StructField) -> Column:
+    """A value as text that is equal exactly when the values are, in any session; NULL stays NULL.
+
+    Times are counts since the epoch, nested values are JSON, and the entries of
+    a map stand in key order.
+    """
+    column, kind = F.col(named(field.name)), field.dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(column)), EXACT_JSON)
+    if isinstance(kind, (T.StructType, T.ArrayType)):
+        return F.to_json(column, EXACT_JSON)
+    return column.cast("string")
+
+
+def row_hash(fields: Sequence[T.StructField], strict: bool = True) -> Column:
     """DRV-06: SHA-256 over the columns as text.
 
-    Strict: sorted by name and NULL written as a mark, so that neither column
-    order nor the place of a NULL can make two rows look alike.  Otherwise the
-    given order is kept and NULLs are skipped.
+    Strict: sorted by name, each value after its length and NULL as a mark of its
+    own, so that no two different rows give one text, whatever the column order,
+    the values or the session's zone.  Otherwise the given order is kept, values
+    are joined by a separator and NULLs are skipped.
     """
-    if strict:
-        parts = [F.coalesce(F.col(f"`{n}`").cast("string"), F.lit(NULL_MARK)) for n in sorted(names)]
-    else:
-        parts = [F.col(f"`{n}`").cast("string") for n in names]
-    return F.sha2(F.concat_ws(HASH_SEPARATOR, *parts), 256)
+    if not strict:
+        return F.sha2(F.concat_ws(HASH_SEPARATOR, *[F.col(named(f.name)).cast("string") for f in fields]), 256)
+    parts = []
+    for field in sorted(fields, key=lambda f: f.name):
+        text = exact_text(field)
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat(F.lit(""), *parts), 256)

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import flag_to_int, named, quoted
 from ledgerline.operators.project import dataset_tag
 
-# Longest set kept as one array value; longer ones are kept as rows.
-MAX_ARRAY = 100_000
-
-
 def fraud_amount(amount: Column, is_fraud: Column) -> Column:
     """AGG-06: sum of the amounts of fraud rows; all other rows count 0."""
     return F.sum(F.when(is_fraud.cast("boolean"), amount).otherwise(0))
@@ -26,11 +22,15 @@ def fraud_measures(df: DataFrame, key: str) -> DataFrame:
     The distinct count makes Spark shuffle on (key, transaction_id), so a key
     value that holds most rows is still spread over all tasks.
     """
-    return df.groupBy(key).agg(
+    return df.groupBy(key).agg(*_measures())
+
+
+def _measures() -> list[Column]:
+    return [
         F.count_distinct("transaction_id").alias("fraud_transaction_count"),
         F.sum(flag_to_int(F.col("is_fraud"))).alias("fraud_count"),
         fraud_amount(F.col("amount"), F.col("is_fraud")).alias("fraud_amount"),
-    )
+    ]
 
 
 def group_values(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -41,88 +41,43 @@ def group_values(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(key, column).filter(F.col(column).isNotNull()).distinct()
 
 
-# Columns whose values each group lists, and the names of the lists.
+# Columns whose distinct values each group has, and the names of the sets.
 SETS = {"timestamp": "timestamps", "fraud_type": "fraud_types"}
 
 
-def _set_rows(
-    values: Mapping[str, DataFrame], key: str, max_array: int
-) -> tuple[DataFrame, DataFrame]:
-    """Sizes of the sets of every group, and the sets that are small enough.
+def set_sizes(values: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """Number of values of each set of every group, from the rows of `group_values`."""
+    rows = [df.select(key, F.lit(column).alias("_set")) for column, df in values.items()]
+    return (
+        reduce(DataFrame.unionByName, rows)
+        .groupBy(key)
+        .agg(*[F.count_if(F.col("_set") == column).alias(f"{SETS[column]}_size") for column in values])
+    )
 
-    The values are counted before any is gathered, so no task ever holds more
-    than `max_array` values of a group.
-    """
-    kinds = {c: dict(df.dtypes)[c] for c, df in values.items()}
 
-    def widened(df: DataFrame, column: str) -> DataFrame:
-        return df.select(key, *[F.col(c) if c == column else F.lit(None).cast(kinds[c]).alias(c) for c in kinds])
+def fraud_by(df: DataFrame, key: str, values: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """AGG-01..AGG-07: one row per value of `key`, with measures and the sizes of its value sets.
 
-    rows = reduce(DataFrame.unionByName, [widened(df, c) for c, df in values.items()])
-    sizes = rows.groupBy(key).agg(*[F.count(c).alias(f"{SETS[c]}_size") for c in kinds])
-    fits = {c: F.col(c).isNotNull() & (F.col(f"{SETS[c]}_size") <= max_array) for c in kinds}
-    arrays = (
-        rows.join(sizes.withColumnRenamed(key, "_group"), F.col(key).eqNullSafe(F.col("_group")))
-        .filter(reduce(Column.__or__, fits.values()))
-        .groupBy(key)
-        .agg(*[F.sort_array(F.collect_list(F.when(fits[c], F.col(c)))).alias(SETS[c]) for c in kinds])
-    )
-    return sizes, arrays
-
-
-def fraud_by(
-    df: DataFrame,
-    key: str,
-    max_array: int = MAX_ARRAY,
-    values: Mapping[str, DataFrame] | None = None,
-) -> DataFrame:
-    """AGG-01..AGG-07: one row per value of `key`, with measures and value sets.
-
-    `timestamps` and `fraud_types` hold the distinct non-null values, an empty
-    array if there are none.  A set of more than `max_array` values does not
-    belong in one row: it is NULL here, its size is in `<name>_size`, and
-    `group_values` has all of it as rows.  `values` are those rows by column,
-    where they have been written already.  The frame is read more than once with
-    few columns, so give it a written table rather than a plan of joins.
+    A set may have as many values as a group has rows, so it is no value of one
+    row: all of it, at any size, are the rows of `group_values`.  `values` are
+    those rows by column where they have been written already; without them the
+    same shuffle that counts the transactions counts the sets.
     """
     if values is None:
-        values = {c: group_values(df, key, c) for c in SETS}
-    kinds = {c: dict(values[c].dtypes)[c] for c in SETS}
-    sizes, arrays = _set_rows(values, key, max_array)
-
-    # At most three rows per group, each with its own columns: gather by key.
-    parts = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [fraud_measures(df, key), sizes, arrays]
-    )
+        sizes = [F.count_distinct(column).alias(f"{name}_size") for column, name in SETS.items()]
+        return df.groupBy(key).agg(*_measures(), *sizes)
+    # At most two rows per group, each with its own columns: gather by key.
+    parts = fraud_measures(df, key).unionByName(set_sizes(values, key), allowMissingColumns=True)
     gathered = parts.groupBy(key).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in parts.columns if c != key]
     )
-
-    def size(name: str) -> Column:
-        return F.coalesce(F.col(f"{name}_size"), F.lit(0))
-
-    def whole_set(column: str, name: str) -> Column:
-        empty = F.array().cast(f"array<{kinds[column]}>")
-        return F.when(size(name) <= max_array, F.coalesce(F.col(name), empty)).alias(name)
-
-    return gathered.select(
-        key,
-        "fraud_transaction_count",
-        "fraud_count",
-        "fraud_amount",
-        *[whole_set(column, name) for column, name in SETS.items()],
-        *[size(name).alias(f"{name}_size") for name in SETS.values()],
-    )
+    sizes = {f"{name}_size": F.coalesce(f"{name}_size", F.lit(0)) for name in SETS.values()}
+    return gathered.withColumns(sizes)
 
 
-def fraud_summary(
-    df: DataFrame,
-    key: str,
-    max_array: int = MAX_ARRAY,
-    values: Mapping[str, DataFrame] | None = None,
-) -> DataFrame:
+def fraud_summary(df: DataFrame, key: str, values: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """PRJ-07 over `fraud_by`: the summary with its name and the time of the run."""
-    return dataset_tag(fraud_by(df, key, max_array, values), f"fraud_by_{key.lower()}")
+    return dataset_tag(fraud_by(df, key, values), f"fraud_by_{key.lower()}")
 
 
 def behavior_rollup(df: DataFrame, key: str = "sender_account") -> DataFrame:

@@ -4,71 +4,104 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.columns import named, quoted
 from ledgerline.operators.project import new_columns_only
 from ledgerline.schemas import CUSTOMER_BEHAVIOR, LINEAGE, PAYMENTS, TRANSACTION_SOURCES
 
-_SALT, _TASK, _HIT = "_salt", "_task", "_hit"
+_SALT, _TASK, _HIT, _FAN, _SIDE, _THERE = "_salt", "_task", "_hit", "_fan", "_side", "_there"
+
+# Rows below which no key is worth a salt, and the most items that Spark's sketch tracks.
+LEAST_ROWS = 10_000
+MOST_TRACKED = 1_000_000
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Key values that hold a large share of the rows, and whether NULL does."""
+    """Key values that alone would fill a partition, with their rows, and whether NULL does.
+
+    `rows` are those of each value, and `full` those that fill a partition; both
+    are estimates and set only how many tasks share a key.
+    """
 
     values: tuple = ()
     nulls: bool = False
+    rows: tuple[int, ...] = field(default=(), compare=False)
+    full: int = field(default=LEAST_ROWS, compare=False)
 
     def __bool__(self) -> bool:
         return bool(self.values) or self.nulls
 
     def __or__(self, other: "HeavyKeys") -> "HeavyKeys":
-        return HeavyKeys(tuple(dict.fromkeys(self.values + other.values)), self.nulls or other.nulls)
+        """Heavy in either; a key of both has the rows that their join makes of it."""
+        counts = dict(zip(self.values, self.rows))
+        for value, rows in zip(other.values, other.rows):
+            counts[value] = min(counts.get(value, 1) * rows, 1 << 62)
+        values = tuple(dict.fromkeys(self.values + other.values))
+        known = tuple(counts[v] for v in values) if all(v in counts for v in values) else ()
+        return HeavyKeys(values, self.nulls or other.nulls, known, max(self.full, other.full))
+
+    def fans(self, most: int) -> dict:
+        """Tasks to share each key: as many partitions as its rows fill, `most` where they are not known."""
+        if not self.rows:
+            return dict.fromkeys(self.values, most)
+        return {v: max(2, min(most, -(-n // self.full))) for v, n in zip(self.values, self.rows)}
 
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def heavy_keys(*targets: tuple[DataFrame, str], share: float | None = None) -> list[HeavyKeys]:
-    """For each (frame, key column), the values holding at least `share` of its rows.
+def _comparable(df: DataFrame, key: str) -> Column:
+    """The key in a form that the sketch and a literal can hold."""
+    column = F.col(f"`{key}`")
+    return F.hex(column) if isinstance(df.schema[key].dataType, T.BinaryType) else column
+
+
+def heavy_keys(
+    *targets: tuple[DataFrame, str], share: float | None = None, least: int = LEAST_ROWS
+) -> list[HeavyKeys]:
+    """For each (frame, key column), the values holding at least `share` of its rows, and `least` rows.
 
-    Runs one job over all targets: narrow scans that keep a fixed-size
-    frequent-items sketch per task and shuffle no keys.  At most 1/share values
-    can qualify, so the answer is small whatever the data; the sketch tracks
-    enough items to miss none of them.  By default a key is heavy when it alone
-    would fill a shuffle partition.
+    Runs one job over all targets: narrow scans that keep a frequent-items sketch
+    per task and shuffle no keys.  At most 1/share values can qualify, so the
+    answer is small whatever the data; the sketch tracks enough items to miss
+    none of them.  By default a key is heavy when it alone would fill a shuffle
+    partition, however many partitions there are.
     """
     if share is None:
-        share = min(max(1.0 / _partitions(targets[0][0]), 0.001), 0.05)
+        share = 1.0 / max(_partitions(targets[0][0]), 20)
     most = math.ceil(1.0 / share)
+    tracked = min(16 * most, MOST_TRACKED)
     sketches = [
-        df.select(F.col(f"`{key}`").alias("key")).agg(
+        df.select(_comparable(df, key).alias("key")).agg(
             F.lit(at).alias("at"),
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("key").isNull()).alias("nulls"),
-            F.expr(f"approx_top_k(key, {2 * most}, {16 * most})").alias("top"),
+            F.transform(
+                F.expr(f"approx_top_k(key, {min(2 * most, tracked)}, {tracked})"),
+                lambda x: F.struct(x["item"].cast("string").alias("item"), x["count"].alias("count")),
+            ).alias("top"),
         )
         for at, (df, key) in enumerate(targets)
     ]
     found = {row["at"]: row for row in reduce(DataFrame.union, sketches).collect()}
 
-    def heavy(row) -> HeavyKeys:
-        floor = share * row["rows"]
+    def heavy(at: int) -> HeavyKeys:
+        row = found[at]
+        floor = max(share * row["rows"], least)
         top = [(entry["item"], entry["count"]) for entry in row["top"] or ()]
-        values = tuple(item for item, count in top if item is not None and count >= floor)
-        return HeavyKeys(values, 0 < floor <= row["nulls"])
+        kept = [(item, count) for item, count in top if item is not None and count >= floor]
+        values, rows = tuple(item for item, _ in kept), tuple(count for _, count in kept)
+        return HeavyKeys(values, floor <= row["nulls"], rows, max(int(floor), 1))
 
-    return [heavy(found[at]) for at in range(len(targets))]
-
-
-def _is_one_of(key: Column, values: Iterable) -> Column:
-    return F.coalesce(key.isin(list(values)), F.lit(False))
+    return [heavy(at) for at in range(len(targets))]
 
 
 def left_join(
@@ -78,40 +111,56 @@ def left_join(
     left_heavy: HeavyKeys = HeavyKeys(),
     right_heavy: HeavyKeys = HeavyKeys(),
 ) -> DataFrame:
-    """USING left join, with the rows of heavy keys spread over all partitions.
+    """USING left join, with the rows of heavy keys spread over several partitions.
 
     Without heavy keys this is the plain join, and the optimizer picks its form.
-    A key heavy on the left is dealt out by task and its right rows are copied
-    to every salt.  A key heavy only on the right is dealt out there and its few
-    left rows are copied; such a key surely has a match, so the copies that
-    meet none are dropped and the result is exact.  Left NULL keys match nothing
-    and are only dealt out.  The copies are few next to the result, which has a
-    row for every pair.  The salt is the number of the task that holds the row:
-    a task run again gives the same one.
+    A key heavy on the left is dealt out by task and its right rows are copied to
+    its salts.  A key heavy only on the right is dealt out there and its left
+    rows are copied; whether such a key has a match is looked up in the right
+    side itself, so a left row is copied only if it does, and the copies that
+    meet none are dropped.  The result is exact whatever the heavy keys are, also
+    if they were found before a table changed.  Left NULL keys match nothing and
+    are only dealt out.  A key has as many salts as its rows fill partitions, so
+    there are fewer copies than rows of the result.  The salt is the number of
+    the task that holds the row: a task run again gives the same one.
     """
     on_left = left_heavy.values
     on_right = tuple(v for v in right_heavy.values if v not in on_left)
     if not (on_left or on_right or left_heavy.nulls):
         return left.join(right, key, "left")
 
-    # More salts than partitions, so that hashing them fills all partitions alike.
-    fan = 8 * _partitions(left)
-    k, task = F.col(f"`{key}`"), F.array(_TASK)
-    every = F.sequence(F.lit(0), F.lit(fan - 1))
-    one = F.array(F.lit(0))
+    most = 8 * _partitions(left)
+    fans = {v: (n, "l") for v, n in left_heavy.fans(most).items()}
+    fans |= {v: (n, "r") for v, n in right_heavy.fans(most).items() if v not in fans}
+    plan = left.sparkSession.createDataFrame(
+        [(v, n, side) for v, (n, side) in fans.items()], f"_heavy string, {_FAN} int, {_SIDE} string"
+    )
+    k = F.col(f"`{key}`")
+
+    def planned(df: DataFrame) -> DataFrame:
+        # The plan has a row per heavy key, at most one per shuffle partition.
+        return df.join(F.broadcast(plan), _comparable(df, key).cast("string") == F.col("_heavy"), "left").drop("_heavy")
 
     def salted(df: DataFrame, dealt: Column, copied: Column) -> DataFrame:
-        salts = F.when(dealt, task).when(copied, every).otherwise(one)
-        tagged = df.withColumn(_TASK, F.spark_partition_id() % fan)
-        return tagged.withColumn(_SALT, F.explode(salts)).drop(_TASK)
+        task, every = F.array(F.pmod(F.spark_partition_id(), F.col(_FAN))), F.sequence(F.lit(0), F.col(_FAN) - 1)
+        salts = F.when(dealt, task).when(copied, every).otherwise(F.array(F.lit(0)))
+        return df.withColumn(_SALT, F.explode(salts))
 
-    heavy_left, heavy_right = _is_one_of(k, on_left), _is_one_of(k, on_right)
-    spread_left = salted(left, k.isNull() | heavy_left, heavy_right)
-    spread_right = salted(right.filter(k.isNotNull()), heavy_right, heavy_left).withColumn(_HIT, F.lit(True))
+    is_left, is_right = F.coalesce(F.col(_SIDE) == "l", F.lit(False)), F.coalesce(F.col(_SIDE) == "r", F.lit(False))
+    spread_left = planned(left)
+    if on_right:
+        there = planned(right).filter(is_right).select(key).distinct().withColumn(_THERE, F.lit(True))
+        spread_left = spread_left.join(F.broadcast(there), key, "left").withColumn(_THERE, F.coalesce(_THERE, F.lit(False)))
+    else:
+        spread_left = spread_left.withColumn(_THERE, F.lit(False))
+    null_fan = F.when(k.isNull() & F.lit(left_heavy.nulls), F.lit(most)).otherwise(F.col(_FAN))
+    spread_left = spread_left.withColumn(_FAN, null_fan)
+    spread_left = salted(spread_left, is_left | (k.isNull() & F.lit(left_heavy.nulls)), is_right & F.col(_THERE))
+    spread_right = salted(planned(right.filter(k.isNotNull())), is_right, is_left).drop(_FAN, _SIDE).withColumn(_HIT, F.lit(True))
     joined = spread_left.join(spread_right, [key, _SALT], "left")
     if on_right:
-        joined = joined.filter(F.col(_HIT).isNotNull() | ~heavy_right)
-    return joined.drop(_SALT, _HIT)
+        joined = joined.filter(F.col(_HIT).isNotNull() | ~F.col(_THERE))
+    return joined.select(*[c for c in joined.columns if c not in (_SALT, _HIT, _FAN, _SIDE, _THERE)])
 
 
 def transaction_join(
@@ -140,7 +189,7 @@ def transaction_join(
         theirs = heavy.get(name, HeavyKeys())
         joined = left_join(joined, right, key, seen, theirs)
         # Matches of a key heavy on the right make it heavy in the result too.
-        seen = seen | HeavyKeys(theirs.values)
+        seen = seen | HeavyKeys(theirs.values, rows=theirs.rows, full=theirs.full)
     return joined
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.columns import named, quoted
+from ledgerline.functions.columns import EXACT_JSON, named, quoted
 
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
@@ -34,7 +34,9 @@ def _slots(field: T.StructField) -> tuple[str, str, str]:
     elif isinstance(kind, (T.FloatType, T.DoubleType)):
         real = f"CAST({column} AS DOUBLE)"
     elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        text = f"to_json({column}, map('ignoreNullFields', 'false'))"
+        value = f"array_sort(map_entries({column}))" if isinstance(kind, T.MapType) else column
+        options = ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in EXACT_JSON.items())
+        text = f"to_json({value}, map({options}))"
     elif isinstance(kind, T.BinaryType):
         text = f"hex({column})"
     else:

@@ -115,4 +115,4 @@ def add_row_hash(df: DataFrame, strict: bool = True) -> DataFrame:
     digest in every run; otherwise all columns count.
     """
     skip = {ROW_HASH, *LINEAGE} if strict else {ROW_HASH}
-    return df.withColumn(ROW_HASH, row_hash([c for c in df.columns if c not in skip], strict))
+    return df.withColumn(ROW_HASH, row_hash([f for f in df.schema.fields if f.name not in skip], strict))

@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.aggregate import MAX_ARRAY, SETS, fraud_summary, group_values
+from ledgerline.operators.aggregate import SETS, fraud_summary, group_values
 from ledgerline.operators.join import join_all
 from ledgerline.operators.project import add_row_hash, utc_normalize
 from ledgerline.sources.sinks import write_parquet
@@ -27,14 +27,12 @@ def write_gold(
     silver: Mapping[str, DataFrame],
     root: str,
     keys: Iterable[str] = SUMMARY_KEYS,
-    max_array: int = MAX_ARRAY,
     strict: bool = True,
 ) -> dict[str, DataFrame]:
     """Write the Gold table once; the summaries read it back, a few columns each.
 
     Per key, the distinct timestamps and fraud types of every group are written
-    as rows first.  The summary gathers its arrays from those, and they stay
-    the whole answer where a set is too long for an array.
+    as rows; the summary counts those.
     """
 
     def write(name: str, frame: DataFrame) -> DataFrame:
@@ -58,7 +56,7 @@ def write_gold(
 
     def summary(key: str) -> DataFrame:
         values = {column: sets[f"{name_of(key)}_{label}"] for column, label in SETS.items()}
-        return write(name_of(key), fraud_summary(gold, key, max_array, values))
+        return write(name_of(key), fraud_summary(gold, key, values))
 
     summaries = all_together({name_of(key): partial(summary, key) for key in keys})
     return {GOLD_TABLE: gold, **summaries, **sets}

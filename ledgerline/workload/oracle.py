@@ -115,19 +115,10 @@ _ON_FACTS = _over(_WIDE, _RAW, _SILVER, _FACTS)
 _PAYMENTS_RAW = """SELECT tx_id, event_time, sender_account, receiver_account,
        CAST(amount AS DOUBLE) AS amount, payment_channel, location FROM raw_payments"""
 
-MAX_ARRAY = 100_000
-
-
-def _text_set(column: str) -> str:
-    return f"coalesce(string_agg(DISTINCT CAST({column} AS VARCHAR), ',' ORDER BY CAST({column} AS VARCHAR)), '')"
-
-
 def _fraud_by(key: str, extra: str = "") -> str:
     return f"""SELECT {key}, count(DISTINCT transaction_id) AS fraud_transaction_count,
        CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS fraud_count,
        CAST(sum(CASE WHEN is_fraud THEN amount ELSE 0 END) AS DOUBLE) AS fraud_amount,
-       CASE WHEN count(DISTINCT "timestamp") <= {MAX_ARRAY} THEN {_text_set('"timestamp"')} END AS timestamps,
-       CASE WHEN count(DISTINCT fraud_type) <= {MAX_ARRAY} THEN {_text_set("fraud_type")} END AS fraud_types,
        count(DISTINCT "timestamp") AS timestamps_size,
        count(DISTINCT fraud_type) AS fraud_types_size,
        'fraud_by_{key.lower()}' AS dataset_type{extra}

@@ -50,11 +50,11 @@ def skewed(spark, n, hot, share, null_share=0):
 
 def test_heavy_keys_are_found(spark):
     df = skewed(spark, 9000, "hot", 3, 3)
-    (found,) = J.heavy_keys((df, "k"))
+    (found,) = J.heavy_keys((df, "k"), least=100)
     assert found == J.HeavyKeys(("hot",), True)
-    (even,) = J.heavy_keys((spark.range(1000).select(F.col("id").alias("k")), "k"))
+    (even,) = J.heavy_keys((spark.range(1000).select(F.col("id").alias("k")), "k"), least=1)
     assert not even
-    (none,) = J.heavy_keys((df.limit(0), "k"))
+    (none,) = J.heavy_keys((df.limit(0), "k"), least=1)
     assert not none
 
 
@@ -62,7 +62,7 @@ def test_heavy_keys_are_found(spark):
 def test_salted_join_equals_plain_join(spark, rows, left_hot, right_hot):
     left = skewed(spark, 90, left_hot, 3, 3).union(frame(spark, [("q", -1), ("h", -2)], "k string, v long"))
     right = skewed(spark, 60, right_hot, 3, 6).withColumnRenamed("v", "w")
-    l_heavy, r_heavy = J.heavy_keys((left, "k"), (right, "k"), share=0.2)
+    l_heavy, r_heavy = J.heavy_keys((left, "k"), (right, "k"), share=0.2, least=1)
     assert l_heavy.values == (left_hot,) and r_heavy.values == (right_hot,) and l_heavy.nulls
     salted = J.left_join(left, right, "k", l_heavy, r_heavy)
     assert salted.columns == ["k", "v", "w"]
@@ -84,6 +84,51 @@ def test_heavy_rows_spread_over_partitions(spark):
     assert plain > 20000 and salted < 15000
 
 
+def test_stale_heavy_keys_lose_no_row(spark, rows):
+    left = frame(spark, [("a", 1), ("b", 2), (None, 3)], "k string, l int")
+    right = frame(spark, [("a", 10)], "k string, r int")
+    for stale in (J.HeavyKeys(("b",)), J.HeavyKeys(("a", "b", "c"), True)):
+        got = J.transaction_join({"l": left, "r": right}, ("l", "r"), "k", heavy={"r": stale})
+        assert rows(got) == rows(left.join(right, "k", "left"))
+        got = J.transaction_join({"l": left, "r": right}, ("l", "r"), "k", heavy={"l": stale})
+        assert rows(got) == rows(left.join(right, "k", "left"))
+
+
+def test_a_small_right_side_has_no_heavy_keys(spark):
+    left = spark.range(20_000).select((F.col("id") % 250).cast("string").alias("k"), F.col("id").alias("l"))
+    right = spark.range(150).select(F.col("id").cast("string").alias("k"), F.col("id").alias("r"))
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert not any(J.heavy_keys((left, "k"), (right, "k")))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert J.transaction_join({"l": left, "r": right}, ("l", "r"), "k").count() == 20_000
+
+
+def test_a_key_is_heavy_at_any_number_of_partitions(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") < 100, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        (found,) = J.heavy_keys((df, "k"), least=50)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found.values == ("hot",)
+
+
+def test_copies_follow_the_rows_of_a_key(spark):
+    heavy = J.HeavyKeys(("a", "b"), rows=(1_000, 10), full=100)
+    assert heavy.fans(64) == {"a": 10, "b": 2}
+    assert J.HeavyKeys(("a",)).fans(64) == {"a": 64}
+
+
+def test_binary_keys(spark, rows):
+    left = frame(spark, [(bytearray(b"x"), i) for i in range(50)] + [(bytearray(b"\xff"), -1)], "k binary, l int")
+    right = frame(spark, [(bytearray(b"x"), 7)], "k binary, r int")
+    found = J.heavy_keys((left, "k"), share=0.5, least=1)[0]
+    assert found.values == ("78",)
+    assert rows(J.left_join(left, right, "k", found)) == rows(left.join(right, "k", "left"))
+
+
 def test_salted_chain_with_hot_middle(spark, rows):
     """A key heavy in the second source only is heavy for the third join."""
     a = frame(spark, [("h", 1), ("x", 2), ("y", 3)], "k string, a int")

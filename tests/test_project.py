@@ -121,7 +121,7 @@ def test_strict_hash_ignores_order_and_lineage(spark):
     df = spark.createDataFrame([("x", None, "y", "s1")], "a string, b string, c string, source_system string")
     one = S.add_row_hash(df).first()["row_hash"]
     two = S.add_row_hash(df.select("c", F.lit("s2").alias("source_system"), "b", "a")).first()["row_hash"]
-    assert one == two == hashlib.sha256(b"x||\\N||y").hexdigest()
+    assert one == two == hashlib.sha256(b"1:x-1:y").hexdigest()
 
 
 def test_strict_hash_keeps_null_places_apart(spark):
@@ -132,6 +132,29 @@ def test_strict_hash_keeps_null_places_apart(spark):
     assert loose == {hashlib.sha256(b"x||y").hexdigest()}
 
 
+def test_strict_hash_tells_marks_and_separators_from_values(spark):
+    data = [("\\N", "x"), (None, "x"), ("a||b", "c"), ("a", "b||c"), ("-", "x"), ("1:x", "")]
+    df = spark.createDataFrame(data, "a string, b string")
+    assert S.add_row_hash(df).select("row_hash").distinct().count() == len(data)
+
+
+def test_strict_hash_is_the_same_in_every_zone(spark):
+    df = spark.sql("SELECT timestamp_micros(1700000000123456) AS t, array(timestamp_micros(1)) AS a, date'2024-01-01' AS d")
+    seen = set()
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            seen.add(S.add_row_hash(df).first()["row_hash"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(seen) == 1
+
+
+def test_shares_below_the_resolution_are_refused(spark):
+    with pytest.raises(ValueError, match="resolution"):
+        C.blank_share(F.col("x"), F.col("k"), 0.00004)
+
+
 def test_utc_normalize_by_type_or_name(spark):
     df = spark.sql(
         "SELECT TIMESTAMP_NTZ '2024-01-01 10:00:00' AS event_time, 'night' AS time_of_day, 1.239D AS amount"
