@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 from ledgerline.functions.columns import EXACT_JSON, named, quoted
 
 
+PROFILE_SCHEMA = (
+    "source string, column_name string, metric string, metric_value double, data_type string, "
+    "ingestion_timestamp timestamp, profiling_timestamp timestamp"
+)
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
 

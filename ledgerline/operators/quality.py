@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import quoted
-from ledgerline.operators.aggregate import distinct_row_count, null_counts, row_counts
+from ledgerline.operators.aggregate import distinct_row_count, null_counts
 from ledgerline.operators.join import key_census, key_coverage
 from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, FRAUD_TIMING, NULL_THRESHOLD, PAYMENTS
+from ledgerline.sources.together import all_together
 
 ALERT_SCHEMA = "source string, check string, column string, observed double, expected double, message string"
 
@@ -163,6 +164,12 @@ def account_alerts(frames: Mapping[str, DataFrame], key: str = "sender_account")
     return coverage_alerts(frames[PAYMENTS], PAYMENTS, {CUSTOMER_BEHAVIOR: frames[CUSTOMER_BEHAVIOR]}, key)
 
 
+def _counted_once(df: DataFrame) -> DataFrame:
+    """The null counts as a local table of one row per column, for all checks that read them."""
+    counts = null_counts(df)
+    return df.sparkSession.createDataFrame(counts.collect(), counts.schema)
+
+
 def alerts(
     frames: Mapping[str, DataFrame],
     threshold: float = NULL_THRESHOLD,
@@ -172,14 +179,13 @@ def alerts(
 ) -> DataFrame:
     """DQ-08: every alert of the standardized sources as one table.
 
-    `nulls` are the `null_counts` of the sources where they are known already.
+    `nulls` are the `null_counts` of the sources where they are known already;
+    otherwise each source is scanned once for them, here.
     """
     if nulls is None:
-        nulls = {name: null_counts(df) for name, df in frames.items()}
-        counts = row_counts(frames)
-    else:
-        counted = [df.selectExpr(f"{quoted(name)} AS source", "row_count").distinct() for name, df in nulls.items()]
-        counts = _union(counted)
+        nulls = all_together({name: partial(_counted_once, df) for name, df in frames.items()})
+    counted = [df.selectExpr(f"{quoted(name)} AS source", "row_count").distinct() for name, df in nulls.items()]
+    counts = _union(counted)
     checks = [
         *[completeness(counted, name, threshold) for name, counted in nulls.items()],
         row_count_alerts(counts, frames),

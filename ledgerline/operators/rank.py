@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALED_MEASURES = ("fraud_transaction_count", "fraud_amount")
@@ -42,11 +42,16 @@ def sort_desc(df: DataFrame, measure: str, *tie_break: str) -> DataFrame:
 
 
 def top_n(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
-    """TOP-01: the first n; each task keeps only n rows."""
-    return sort_desc(df, measure, key).limit(n)
+    """TOP-01: the first n with their rank; each task keeps only n rows, and only those are numbered."""
+    first = sort_desc(df, measure, key).limit(n)
+    order = Window.orderBy(F.col(measure).desc_nulls_last(), key)
+    return first.withColumn("rank", F.row_number().over(order))
 
 
 def ranked_summary(summary: DataFrame, key: str, measure: str, n: int | None = None) -> DataFrame:
-    """JOB-06: scaled measures in rank order, the table behind a bar chart."""
+    """JOB-06: scaled measures in rank order, the table behind a bar chart.
+
+    Read the summary from a written table: its rows are few, and the bounds read it too.
+    """
     scaled = minmax_scale(summary.select(key, *SCALED_MEASURES))
     return sort_desc(scaled, measure, key) if n is None else top_n(scaled, measure, key, n)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators import profile as P
 from ledgerline.sources.readers import read_existing
-from ledgerline.sources.sinks import write_parquet
+from ledgerline.sources.sinks import write_partition
 from ledgerline.sources.together import together
 
 log = logging.getLogger(__name__)
@@ -18,14 +19,14 @@ log = logging.getLogger(__name__)
 
 def _write_profile(name: str, frame: DataFrame, root: str) -> None:
     # A profile has four rows per column: one file is enough.
-    profile = P.profile_all({name: frame}).drop("source")
-    write_parquet(profile, f"{root}/source={name}", files=1)
+    write_partition(P.profile_all({name: frame}), root, name, files=1)
 
 
 def profile_job(spark: SparkSession, tables: Mapping[str, str], root: str) -> DataFrame:
     """SNK-03: profile the tables that exist, each written to its own `source=` directory.
 
-    A source that fails keeps its earlier profile and stops no other one.
+    A source that fails keeps its earlier profile and stops no other one.  Returns
+    the profiles of the sources that were asked for, as far as there are any.
     """
     present = read_existing(spark, tables)
     _, failed = together(
@@ -33,7 +34,10 @@ def profile_job(spark: SparkSession, tables: Mapping[str, str], root: str) -> Da
     )
     for name, error in failed.items():
         log.error("%s: profiling failed", name, exc_info=error)
-    return spark.read.parquet(root)
+    written = read_existing(spark, {name: f"{root}/source={name}" for name in tables})
+    if not written:
+        return spark.createDataFrame([], P.PROFILE_SCHEMA)
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("source"), "*") for name, df in written.items()])
 
 
 def review(profiles: DataFrame) -> dict[str, DataFrame]:

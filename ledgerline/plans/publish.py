@@ -11,42 +11,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.sources.readers import SourceSpec, path_is_missing, read_source
-from ledgerline.sources.sinks import file_row_audit, write_csv, write_jsonl
+from ledgerline.sources.sinks import file_row_audit
 from ledgerline.sources.together import all_together
 
 AUDIT_SCHEMA = "source string, file_path string, row_count bigint"
+TEXT_FORMATS = ("csv", "json", "jsonl")
 
 
 def _as_is(spec: SourceSpec, path: str) -> SourceSpec:
-    """CSV values are copied as text, so that no number is written another way."""
+    """CSV is read without a schema, for only its rows are counted."""
     if spec.format.lower() == "csv":
         return replace(spec, path=path, schema=None, options={**spec.options, "inferSchema": False})
     return replace(spec, path=path)
 
 
+def _copy_text(spark: SparkSession, path: str, target: str) -> None:
+    """Copy files as they are, one by one, each a row: no field, separator or header is looked at.
+
+    The text sink closes a file with a line end, so one that has none gets it.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    text = F.col("content").cast("string")
+    files.select(F.regexp_replace(text, "\\n\\z", "").alias("value")).write.mode("overwrite").option(
+        "maxRecordsPerFile", 1
+    ).text(target)
+
+
 def publish(
     spark: SparkSession, source_root: str, target_root: str, specs: Mapping[str, SourceSpec]
 ) -> DataFrame:
     """SNK-07: replace each target folder by its source and count rows per file.
 
     Paths in `specs` are relative to the roots; a missing folder is skipped.
+    Text formats are copied byte for byte, others are written from what Spark
+    reads.  Every file is in the audit, also without rows.
     """
 
     def copy(name: str, spec: SourceSpec) -> DataFrame | None:
+        source, target, kind = f"{source_root}/{spec.path}", f"{target_root}/{spec.path}", spec.format.lower()
         try:
-            frame = read_source(spark, _as_is(spec, f"{source_root}/{spec.path}"))
+            frame = read_source(spark, _as_is(spec, source))
         except AnalysisException as error:
             if path_is_missing(error):
                 return None
             raise
-        target, kind = f"{target_root}/{spec.path}", spec.format.lower()
-        if kind == "csv":
-            write_csv(frame, target)
-        elif kind in ("json", "jsonl"):
-            write_jsonl(frame, target)
+        if kind in TEXT_FORMATS:
+            _copy_text(spark, source, target)
         else:
-            frame.write.mode("overwrite").format(kind).save(target)
-        audit = file_row_audit(read_source(spark, _as_is(spec, target)))
+            frame.write.mode("overwrite").options(**spec.options).format(kind).save(target)
+        listed = spark.read.format("binaryFile").load(target).select(F.col("_metadata.file_path").alias("file_path"))
+        audit = file_row_audit(read_source(spark, _as_is(spec, target)), listed)
         return audit.select(F.lit(name).alias("source"), "file_path", "row_count")
 
     copied = all_together({name: partial(copy, name, spec) for name, spec in specs.items()})
@@ -54,3 +68,8 @@ def publish(
     if not audits:
         return spark.createDataFrame([], AUDIT_SCHEMA)
     return reduce(DataFrame.unionByName, audits)
+
+
+def audit_totals(audit: DataFrame) -> DataFrame:
+    """Files and rows of each source."""
+    return audit.groupBy("source").agg(F.count("file_path").alias("file_count"), F.sum("row_count").alias("row_count"))

@@ -33,7 +33,8 @@ def refine(
     """Standardize and write each source, then check what was written.
 
     Rows and nulls are counted while writing; only the key checks read the
-    written tables, and of those just the key columns.  A failing source leaves the others alone and becomes an alert.  Alerts are
+    written tables, and of those just the key columns.  Alerts are kept in
+    `_alerts` below the root.  A failing source leaves the others alone and becomes an alert.  Alerts are
     advisory unless their check is named in `fail_on`.
     """
 
@@ -48,6 +49,9 @@ def refine(
     silver = {name: frame for name, (frame, _) in done.items()}
     nulls = {name: counted for name, (_, counted) in done.items()}
     found = alerts(silver, threshold, covered, failed, nulls) if silver else failure_alerts(spark, failed)
+    # Written once: whoever shows, logs or tests the alerts reads them back.
+    write_parquet(found, f"{root}/_alerts", files=1)
+    found = spark.read.parquet(f"{root}/_alerts")
     refused = list(fail_on)
     if refused:
         # At most one alert per check and column, so the rows are few.

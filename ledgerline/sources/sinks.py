@@ -23,9 +23,9 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, column: str = "source") -> None:
-    """SNK-03: one directory per value; only the values present are replaced."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+def write_partition(df: DataFrame, root: str, value: str, column: str = "source", files: int | None = None) -> None:
+    """SNK-03: the directory of one value of a partition column; other values stay as they are."""
+    write_parquet(df.drop(column), f"{root}/{column}={value}", files=files)
 
 
 # The writers' default drops what is finer than a millisecond.
@@ -60,7 +60,13 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     )
 
 
-def file_row_audit(df: DataFrame) -> DataFrame:
-    """SNK-07: data rows per file of a scanned table (a CSV header is not a row)."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+def file_row_audit(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """SNK-07: data rows per file of a scanned table (a CSV header is not a row).
 
+    With `files`, a frame of file paths, those without a row are listed too.
+    """
+    counted = df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+    if files is None:
+        return counted
+    listed = files.select("file_path", F.lit(0).cast("bigint").alias("row_count"))
+    return counted.unionByName(listed).groupBy("file_path").agg(F.sum("row_count").alias("row_count"))

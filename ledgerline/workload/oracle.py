@@ -44,8 +44,7 @@ raw_merchant AS (
   SELECT transaction_id AS ID, merchant_category AS Category, transaction_type AS Type,
          amount AS Amount, location AS Location FROM wide),
 raw_device AS (
-  SELECT transaction_id, device_used, device_hash, ip_address FROM wide
-  WHERE transaction_type <> '{NO_TELEMETRY}'),
+  SELECT transaction_id, device_used, device_hash, ip_address FROM wide),
 rollup_all AS (
   SELECT sender_account, merchant_category,
          {_mean_micros("amount")} AS mean_amount,
@@ -56,7 +55,7 @@ rollup_all AS (
          avg(geo_anomaly_score) AS avg_geo_anomaly_score,
          avg(spending_deviation_score) AS avg_spending_deviation_score
   FROM wide WHERE sender_account IS NOT NULL GROUP BY sender_account, merchant_category),
-rollup AS (SELECT * FROM rollup_all WHERE merchant_category <> '{NO_BEHAVIOR}'),
+rollup AS (SELECT * FROM rollup_all),
 raw_fraud_timing AS (
   SELECT transaction_id, date_trunc('millisecond', "timestamp") AS "timestamp",
          CASE WHEN CAST('0x' || substr(md5('42-' || transaction_id), 1, 6) AS BIGINT) % 10000 < 100
@@ -67,6 +66,11 @@ raw_fraud_timing AS (
          dayname("timestamp") AS day_of_week
   FROM wide)"""
 
+# The same with the keys that device and behavior lack in the queries about missing keys.
+_GAPS = _RAW.replace(
+    "device_hash, ip_address FROM wide)", f"device_hash, ip_address FROM wide WHERE transaction_type <> '{NO_TELEMETRY}')"
+).replace("(SELECT * FROM rollup_all)", f"(SELECT * FROM rollup_all WHERE merchant_category <> '{NO_BEHAVIOR}')")
+
 _SILVER = """
 payments AS (
   SELECT tx_id AS transaction_id, event_time, sender_account, receiver_account, amount, payment_channel,
@@ -111,6 +115,7 @@ _ON_WIDE = _over(_WIDE)
 _ON_RAW = _over(_WIDE, _RAW)
 _ON_SILVER = _over(_WIDE, _RAW, _SILVER)
 _ON_FACTS = _over(_WIDE, _RAW, _SILVER, _FACTS)
+_ON_GAPS = _over(_WIDE, _GAPS, _SILVER, _FACTS)
 
 _PAYMENTS_RAW = """SELECT tx_id, event_time, sender_account, receiver_account,
        CAST(amount AS DOUBLE) AS amount, payment_channel, location FROM raw_payments"""
@@ -299,6 +304,25 @@ def _coverage(other: str, key: str) -> str:
 
 _SOURCES = {name: name for name in _SILVER_COLUMNS}
 
+_HASHED = (
+    "transaction_id event_time sender_account receiver_account amount payment_channel location location_missing "
+    "Category Type device_hash device_used ip_address timestamp is_fraud fraud_type time_of_day day_of_week "
+    "is_fraud_inconsistent avg_amount_last_24h tx_count_last_24h max_velocity_score mean_velocity_score "
+    "min_velocity_score avg_geo_anomaly_score avg_spending_deviation_score"
+).split()
+
+
+def _row_text() -> str:
+    """Each Gold column by name, its length before it; times in microseconds."""
+    parts = []
+    for column in sorted(_HASHED):
+        text = f'epoch_us("{column}")' if column in ("timestamp", "event_time") else f'"{column}"'
+        if column in ("avg_amount_last_24h", "mean_velocity_score"):
+            text = f"CAST({text} AS DECIMAL(18,2))"
+        text = f"CAST({text} AS VARCHAR)"
+        parts.append(f"coalesce(length({text}) || ':' || {text}, '-')")
+    return " || ".join(parts)
+
 
 def oracle_sql() -> dict[str, str]:
     payments_ms = _PAYMENTS_RAW.replace("event_time,", "date_trunc('millisecond', event_time) AS event_time,")
@@ -317,7 +341,7 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT ID, Category, Type, CAST(Amount AS DOUBLE) AS Amount, Location FROM raw_merchant",
         "dataset_reassembly": _ON_RAW + "SELECT * FROM raw_fraud_timing",
         "file_row_audit": _ON_RAW
-        + "SELECT source, n AS row_count FROM ("
+        + "SELECT source, true AS has_files, n AS row_count FROM ("
         + _counts(
             {
                 "payments": "raw_payments",
@@ -373,21 +397,24 @@ GROUP BY location, location_missing""",
         "day_of_week": _ON_RAW + "SELECT transaction_id, day_of_week FROM raw_fraud_timing",
         "null_injection": _ON_RAW + "SELECT transaction_id, location FROM raw_fraud_timing",
         "row_hash": _ON_FACTS
-        + "SELECT transaction_id, sha256(concat_ws('||', "
-        + ", ".join(
-            f"""coalesce(CAST("{c}" AS VARCHAR), '\\N')"""
-            for c in sorted(
-                "transaction_id event_time sender_account receiver_account amount payment_channel location "
-                "location_missing Category Type device_hash device_used ip_address timestamp is_fraud fraud_type "
-                "time_of_day day_of_week is_fraud_inconsistent".split()
+        + f"SELECT transaction_id, sha256({_row_text()}) AS row_hash FROM (SELECT g.*, b.* EXCLUDE (sender_account, "
+        "source_system) FROM facts g LEFT JOIN customer_behavior b ON b.sender_account = g.sender_account)",
+        "decompose": _ON_RAW
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS source, {key} AS \"key\" FROM {relation}"
+            for name, key, relation in (
+                ("payments", "tx_id", "raw_payments"),
+                ("merchant", "ID", "raw_merchant"),
+                ("device", "transaction_id", "raw_device"),
+                ("customer_behavior", "sender_account", "rollup"),
+                ("fraud_timing", "transaction_id", "raw_fraud_timing"),
             )
-        )
-        + ")) AS row_hash FROM facts",
+        ),
         "transaction_join": _ON_FACTS + "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM facts",
         "behavior_join": _ON_SILVER
         + f"""SELECT p.* REPLACE (CAST(p.amount AS DOUBLE) AS amount), {_BEHAVIOR}
 FROM payments p LEFT JOIN customer_behavior b ON b.sender_account = p.sender_account""",
-        "gold_table": _ON_FACTS
+        "gold_table": _ON_GAPS
         + f"""SELECT g.* REPLACE (CAST(g.amount AS DOUBLE) AS amount), {_BEHAVIOR}
 FROM facts g LEFT JOIN customer_behavior b ON b.sender_account = g.sender_account""",
         "duplicate_key_join": """SELECT o_orderkey AS transaction_id, o_orderstatus AS status,
@@ -396,7 +423,10 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
         "heavy_key_join": """SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity, flag_rows
 FROM lineitem LEFT JOIN (SELECT l_returnflag AS flag, count(*) AS flag_rows FROM lineitem GROUP BY l_returnflag)
   ON flag = l_returnflag""",
-        "key_coverage": _ON_SILVER
+        "heavy_right_join": """SELECT f.l_returnflag, l_orderkey, l_linenumber, l_quantity
+FROM (SELECT DISTINCT l_returnflag FROM lineitem UNION ALL SELECT 'none-' || r_regionkey FROM region) f
+LEFT JOIN lineitem l ON l.l_returnflag = f.l_returnflag""",
+        "key_coverage": _ON_GAPS
         + "\nUNION ALL\n".join(
             f"SELECT '{other}' AS source, '{key}' AS \"key\", missing FROM {_missing(other, key)}"
             for other, key in (
@@ -420,7 +450,7 @@ FROM lineitem LEFT JOIN (SELECT l_returnflag AS flag, count(*) AS flag_rows FROM
         "completeness": _ON_SILVER + _completeness(0.01),
         "row_count_checks": _ON_SILVER
         + _row_count_checks({**_SOURCES, "refunds": "(SELECT * FROM payments WHERE amount < 0)"}),
-        "alerts": _ON_SILVER
+        "alerts": _ON_GAPS
         + "\nUNION ALL\n".join(
             [
                 *[
@@ -437,7 +467,11 @@ FROM lineitem LEFT JOIN (SELECT l_returnflag AS flag, count(*) AS flag_rows FROM
             ]
         ),
         "profile": _ON_RAW + _profile_select(),
-        "profile_written": _ON_RAW + _profile_select(("payments", "device")),
+        "profile_written": _ON_RAW + _profile_select(),
+        "nested_profile": """WITH t AS (SELECT epoch_us(ts) + event_id % 3 AS a, event_type, user_id FROM events)
+SELECT 'stamp' AS column_name, CAST(count(DISTINCT a || event_type) AS DOUBLE) AS metric_value FROM t
+UNION ALL SELECT 'times', CAST(count(DISTINCT a) AS DOUBLE) FROM t
+UNION ALL SELECT 'users', CAST(count(DISTINCT event_type || user_id) AS DOUBLE) FROM t""",
         "profile_columns": _on_profiles(
             """SELECT source, string_agg(DISTINCT column_name, ',' ORDER BY column_name) AS column_names
 FROM profiles GROUP BY source"""
@@ -452,7 +486,11 @@ FROM profiles GROUP BY source"""
             """SELECT source, column_name, metric, round_even(metric_value, 1) AS metric_value FROM profiles
 WHERE metric IN ('null_count', 'null_pct') AND metric_value > 0"""
         ),
-        "medallion_run": _ON_FACTS + _fraud_by("location", ", count(*) AS hashes"),
+        "medallion_run": _ON_FACTS
+        + " UNION ALL ".join(
+            _fraud_by(key, ", count(*) AS hashes").replace(f"SELECT {key},", f'SELECT {key} AS "key",', 1)
+            for key in ("Category", "Type", "location")
+        ),
     }
     for key in ("Category", "Type", "location"):
         low = key.lower()
@@ -465,8 +503,10 @@ WHERE metric IN ('null_count', 'null_pct') AND metric_value > 0"""
         )
         sql[f"scaled_{low}"] = _ON_FACTS + _scaled(key)
     for label, measure in (("count", "fraud_transaction_count"), ("amount", "fraud_amount")):
-        sql[f"top_locations_by_{label}"] = _ON_FACTS + (
-            f"SELECT location, {measure} FROM ({_scaled('location')}) "
-            f"ORDER BY {measure} DESC NULLS LAST, location NULLS FIRST LIMIT 20"
-        )
+        for name, key in (("top_locations", "location"), ("ranked_category", "Category"), ("ranked_type", "Type")):
+            order = f"{measure} DESC NULLS LAST, {key} NULLS FIRST"
+            sql[f"{name}_by_{label}"] = _ON_FACTS + (
+                f"SELECT row_number() OVER (ORDER BY {order}) AS rank, {key}, {measure} FROM ({_scaled(key)}) "
+                f"ORDER BY {order} LIMIT 20"
+            )
     return sql

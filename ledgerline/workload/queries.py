@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +18,9 @@ from ledgerline.operators import project as S
 from ledgerline.operators import quality as Q
 from ledgerline.operators import rank as R
 from ledgerline.plans import decompose as D
-from ledgerline.plans.gold import GOLD_TABLE, to_gold, write_gold
-from ledgerline.plans.profiling import profile_job
-from ledgerline.plans.publish import publish
+from ledgerline.plans.gold import GOLD_TABLE, SUMMARY_KEYS, to_gold, write_gold
+from ledgerline.plans.profiling import profile_job, review
+from ledgerline.plans.publish import audit_totals, publish
 from ledgerline.plans.refine import refine
 from ledgerline.schemas import (
     CUSTOMER_BEHAVIOR,
@@ -36,6 +36,7 @@ from ledgerline.schemas import (
 from ledgerline.sources import readers as IN
 from ledgerline.sources import sinks as OUT
 from ledgerline.sources.scratch import scratch_folder
+from ledgerline.sources.together import all_together
 from ledgerline.workload.tables import bronze_sources, raw_sources, silver_sources, table, wide_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,12 +78,35 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Gold columns the summaries read, written once and read back."""
-    path = scratch_folder(spark, "facts")
-    OUT.write_parquet(J.join_all(silver_sources(spark, sf_dir)).select(*FACT_COLUMNS), path)
+    """The Gold columns that the summaries read, from the sources that have them.
+
+    The sources are plans here, not tables, so heavy keys are not looked for:
+    that would run each of them twice.
+    """
+    order = (PAYMENTS, MERCHANT, FRAUD_TIMING)
+    return J.transaction_join(silver_sources(spark, sf_dir, *order), order, heavy={}).select(*FACT_COLUMNS)
+
+
+def written_measures(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """The measures per value of a key, a few rows, written once for all who read them."""
+    path = scratch_folder(spark, "measures")
+    OUT.write_parquet(A.fraud_measures(gold_facts(spark, sf_dir), key), path)
     return spark.read.parquet(path)
 
 
+def reviewed(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
+    """A part of the review of a written profile of all five sources."""
+    return comparable(review(written_profile(spark, sf_dir))[part])
+
+
+def written_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_folder(spark, "profile")
+    bronze = bronze_sources(spark, sf_dir)
+    tables = {name: f"{root}/bronze/{name}" for name in bronze}
+    all_together({name: partial(OUT.write_parquet, bronze[name], path) for name, path in tables.items()})
+    return profile_job(spark, {**tables, "absent": f"{root}/bronze/absent"}, f"{root}/metadata")
+
+
 # Scans and sinks ---------------------------------------------------------------
 
 
@@ -167,7 +191,8 @@ def file_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "absent": IN.SourceSpec("parquet", "/absent"),
     }
     audit = publish(spark, landing, target, relative)
-    return audit.groupBy("source").agg(F.sum("row_count").alias("row_count"))
+    totals = audit_totals(audit)
+    return totals.withColumn("file_count", F.col("file_count") > 0).withColumnRenamed("file_count", "has_files")
 
 
 @query("ingest_status")
@@ -270,8 +295,17 @@ def null_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("row_hash")
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = J.transaction_join(silver_sources(spark, sf_dir, *TRANSACTION_SOURCES))
-    return S.add_row_hash(S.utc_normalize(joined)).select("transaction_id", "row_hash")
+    """The digest over all Gold columns."""
+    return to_gold(silver_sources(spark, sf_dir)).select("transaction_id", "row_hash")
+
+
+@query("decompose")
+def decomposed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-01 with all its sources: rows, and a column of each in one table."""
+    parts = D.decompose(wide_transactions(spark, sf_dir))
+    columns = {PAYMENTS: "tx_id", MERCHANT: "ID", DEVICE: "transaction_id", CUSTOMER_BEHAVIOR: "sender_account", FRAUD_TIMING: "transaction_id"}
+    keys = [df.select(F.lit(name).alias("source"), F.col(columns[name]).alias("key")) for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, keys)
 
 
 # Joins ---------------------------------------------------------------------------
@@ -290,7 +324,8 @@ def behavior_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gold_table")
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(to_gold(silver_sources(spark, sf_dir)).drop("row_hash"))
+    """Left joins whose right sides lack keys."""
+    return comparable(to_gold(silver_sources(spark, sf_dir, gaps=True)).drop("row_hash"))
 
 
 @query("duplicate_key_join")
@@ -313,9 +348,20 @@ def heavy_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.behavior_join(items, per_flag, "l_returnflag")
 
 
+@query("heavy_right_join")
+def heavy_right_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per return flag, and one flag that no line item has, joined to all line items."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    flags = items.select("l_returnflag").distinct().unionByName(
+        table(spark, sf_dir, "region").select(F.concat(F.lit("none-"), "r_regionkey").alias("l_returnflag"))
+    )
+    (heavy,) = J.heavy_keys((items, "l_returnflag"), least=100)
+    return J.left_join(flags, items, "l_returnflag", right_heavy=heavy)
+
+
 @query("key_coverage")
 def key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_sources(spark, sf_dir)
+    silver = silver_sources(spark, sf_dir, gaps=True)
     by_transaction = {name: silver[name] for name in (MERCHANT, DEVICE, FRAUD_TIMING)}
     by_account = {CUSTOMER_BEHAVIOR: silver[CUSTOMER_BEHAVIOR]}
     return J.key_coverage(silver[PAYMENTS], by_transaction, "transaction_id").unionByName(
@@ -347,16 +393,15 @@ def _summary_queries(key: str) -> None:
 
     @query(f"timestamps_by_{low}")
     def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return A.group_values(J.join_all(silver_sources(spark, sf_dir)), key, "timestamp")
+        return A.group_values(gold_facts(spark, sf_dir), key, "timestamp")
 
     @query(f"fraud_types_by_{low}")
     def fraud_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return A.group_values(J.join_all(silver_sources(spark, sf_dir)), key, "fraud_type")
+        return A.group_values(gold_facts(spark, sf_dir), key, "fraud_type")
 
     @query(f"scaled_{low}")
     def scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-        measures = A.fraud_measures(J.join_all(silver_sources(spark, sf_dir)), key)
-        ranked = R.ranked_summary(measures, key, "fraud_transaction_count")
+        ranked = R.ranked_summary(written_measures(spark, sf_dir, key), key, "fraud_transaction_count")
         return ranked.select(key, *[F.round(m, 9).alias(m) for m in R.SCALED_MEASURES])
 
 
@@ -364,15 +409,18 @@ for _key in ("Category", "Type", "location"):
     _summary_queries(_key)
 
 
-def _top_queries(label: str, measure: str) -> None:
-    @query(f"top_locations_by_{label}")
-    def top(spark: SparkSession, sf_dir: str) -> DataFrame:
-        measures = A.fraud_measures(J.join_all(silver_sources(spark, sf_dir)), "location")
-        return R.ranked_summary(measures, "location", measure, n=20).select("location", F.round(measure, 9).alias(measure))
+def _ranked_queries(name: str, key: str, measure: str) -> None:
+    @query(name)
+    def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The first twenty with their ranks."""
+        top = R.ranked_summary(written_measures(spark, sf_dir, key), key, measure, n=20)
+        return top.select("rank", key, F.round(measure, 9).alias(measure))
 
 
-_top_queries("count", "fraud_transaction_count")
-_top_queries("amount", "fraud_amount")
+for _label, _measure in (("count", "fraud_transaction_count"), ("amount", "fraud_amount")):
+    _ranked_queries(f"top_locations_by_{_label}", "location", _measure)
+    _ranked_queries(f"ranked_category_by_{_label}", "Category", _measure)
+    _ranked_queries(f"ranked_type_by_{_label}", "Type", _measure)
 
 
 @query("row_counts")
@@ -407,7 +455,7 @@ def row_count_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("alerts")
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.alerts(silver_sources(spark, sf_dir), failed=["refunds"])
+    return Q.alerts(silver_sources(spark, sf_dir, gaps=True), failed=["refunds"])
 
 
 @query("profile")
@@ -415,45 +463,34 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(P.profile_all(bronze_sources(spark, sf_dir)))
 
 
-@query("profile_written")
-def profile_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark, "profile")
-    tables = {name: f"{root}/bronze/{name}" for name in (PAYMENTS, DEVICE)}
-    bronze = bronze_sources(spark, sf_dir, *tables)
-    for name, path in tables.items():
-        OUT.write_parquet(bronze[name], path)
-    profiles = profile_job(spark, {**tables, "absent": f"{root}/bronze/absent"}, f"{root}/metadata")
-    return comparable(profiles)
-
-
-@query("profile_columns")
-def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(P.columns_per_source(P.profile_all(bronze_sources(spark, sf_dir))))
-
-
-@query("column_names")
-def column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.column_names(P.profile_all(bronze_sources(spark, sf_dir)))
-
-
-@query("data_types")
-def data_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.data_types(P.profile_all(bronze_sources(spark, sf_dir)))
-
-
-@query("struct_columns")
-def struct_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(P.struct_columns(P.profile_all(bronze_sources(spark, sf_dir))))
+@query("nested_profile")
+def nested_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs and arrays whose times differ by microseconds, and maps, told apart exactly."""
+    events = table(spark, sf_dir, "events")
+    at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 3)
+    nested = events.select(
+        F.struct(at.alias("at"), F.col("event_type").alias("kind")).alias("stamp"),
+        F.array(at).alias("times"),
+        F.create_map(F.col("event_type"), F.col("user_id")).alias("users"),
+    )
+    counts = P.profile_all({"events": nested}).filter("metric = 'distinct_count'")
+    return counts.select("column_name", "metric_value")
 
 
-@query("profile_row_counts")
-def profile_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.row_counts_by_source(P.profile_all(bronze_sources(spark, sf_dir)))
+@query("profile_written")
+def profile_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(written_profile(spark, sf_dir))
 
 
-@query("null_issues")
-def null_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.null_issues(P.profile_all(bronze_sources(spark, sf_dir)))
+for _query, _part in (
+    ("profile_columns", "columns_per_source"),
+    ("column_names", "column_names"),
+    ("data_types", "data_types"),
+    ("struct_columns", "struct_columns"),
+    ("profile_row_counts", "row_counts"),
+    ("null_issues", "null_issues"),
+):
+    query(_query)(partial(reviewed, part=_part))
 
 
 # The whole way -----------------------------------------------------------------------------
@@ -461,12 +498,18 @@ def null_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("medallion_run")
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files in five formats to Bronze, Silver, Gold and the location summary."""
+    """Raw files in five formats to Bronze, Silver, Gold and the three summaries, which are returned in one table."""
     root = scratch_folder(spark, "medallion")
-    specs = D.write_raw(raw_sources(spark, sf_dir), f"{root}/raw")
+    OUT.write_parquet(wide_transactions(spark, sf_dir), f"{root}/wide")
+    specs = D.write_raw(D.decompose(spark.read.parquet(f"{root}/wide")), f"{root}/raw")
     bronze, _ = IN.ingest(spark, specs, f"{root}/bronze")
     silver, _ = refine(spark, bronze, f"{root}/silver")
-    tables = write_gold(spark, silver, f"{root}/gold", keys=("location",))
-    facts, summary = tables[GOLD_TABLE], tables["fraud_by_location"]
-    spread = facts.groupBy("location").agg(F.count("row_hash").alias("hashes"))
-    return comparable(summary.join(spread, summary["location"].eqNullSafe(spread["location"])).drop(spread["location"]))
+    tables = write_gold(spark, silver, f"{root}/gold")
+    parts = [
+        tables[f"fraud_by_{key.lower()}"].withColumnRenamed(key, "key").join(
+            tables[GOLD_TABLE].groupBy(F.col(key).alias("same")).agg(F.count("row_hash").alias("hashes")),
+            F.col("key").eqNullSafe(F.col("same")),
+        ).drop("same")
+        for key in SUMMARY_KEYS
+    ]
+    return comparable(reduce(DataFrame.unionByName, parts))

@@ -1,8 +1,6 @@
 """The five transaction sources, derived by Spark from the driver tables.
 
 Events play the transactions, customers and nations give category and place.
-Device telemetry starts after sign-up, and no behavior is kept for accounts of
-one segment, so both sources miss some keys of payments.
 """
 
 from __future__ import annotations
@@ -12,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.aggregate import behavior_rollup
 from ledgerline.operators.project import lineage_columns, nest_device, standardize, timestamp_normalize
-from ledgerline.plans.decompose import fraud_timing, merchant, payments
-from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, FRAUD_TIMING, MERCHANT, PAYMENTS, SOURCES
+from ledgerline.plans.decompose import decompose
+from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, SOURCES
 
 NO_TELEMETRY = "signup"
 NO_BEHAVIOR = "MACHINERY"
@@ -54,23 +52,24 @@ def wide_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The named sources (all five by default) as a decomposition of the wide table."""
+def raw_sources(spark: SparkSession, sf_dir: str, *names: str, gaps: bool = False) -> dict[str, DataFrame]:
+    """The named sources (all five by default) as a decomposition of the wide table.
+
+    With `gaps`, for the queries that look for missing keys, device telemetry
+    lacks sign-ups and behavior lacks the accounts of one segment.
+    """
     wide = wide_transactions(spark, sf_dir)
-    parts = {
-        PAYMENTS: lambda: payments(wide),
-        MERCHANT: lambda: merchant(wide),
-        DEVICE: lambda: nest_device(wide.filter(F.col("transaction_type") != NO_TELEMETRY)),
-        CUSTOMER_BEHAVIOR: lambda: behavior_rollup(wide.filter(F.col("merchant_category") != NO_BEHAVIOR)),
-        FRAUD_TIMING: lambda: fraud_timing(wide),
-    }
-    return {name: parts[name]() for name in names or SOURCES}
-
-
-def bronze_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    raw = raw_sources(spark, sf_dir, *names)
+    parts = decompose(wide)
+    if gaps:
+        parts[DEVICE] = nest_device(wide.filter(F.col("transaction_type") != NO_TELEMETRY))
+        parts[CUSTOMER_BEHAVIOR] = behavior_rollup(wide.filter(F.col("merchant_category") != NO_BEHAVIOR))
+    return {name: parts[name] for name in names or SOURCES}
+
+
+def bronze_sources(spark: SparkSession, sf_dir: str, *names: str, gaps: bool = False) -> dict[str, DataFrame]:
+    raw = raw_sources(spark, sf_dir, *names, gaps=gaps)
     return {name: timestamp_normalize(lineage_columns(df, name)) for name, df in raw.items()}
 
 
-def silver_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {name: standardize(df) for name, df in bronze_sources(spark, sf_dir, *names).items()}
+def silver_sources(spark: SparkSession, sf_dir: str, *names: str, gaps: bool = False) -> dict[str, DataFrame]:
+    return {name: standardize(df) for name, df in bronze_sources(spark, sf_dir, *names, gaps=gaps).items()}

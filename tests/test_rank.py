@@ -26,6 +26,7 @@ def test_rank_order_and_limit(spark):
     data = [(f"L{i:02d}", i // 2, Decimal(i)) for i in range(30)] + [("none", 3, None)]
     summary = spark.createDataFrame(data, SCHEMA)
     top = [r["location"] for r in R.ranked_summary(summary, "location", "fraud_transaction_count", n=20).collect()]
+    assert R.ranked_summary(summary, "location", "fraud_amount", n=20).agg({"rank": "max"}).first()[0] == 20
     assert len(top) == 20 and top[:4] == ["L28", "L29", "L26", "L27"]
     every = [r["location"] for r in R.ranked_summary(summary, "location", "fraud_amount").collect()]
     assert every[0] == "L29" and every[-1] == "none" and len(every) == 31
@@ -35,7 +36,9 @@ def test_top_n_plan(spark):
     summary = spark.createDataFrame([("a", 1, Decimal(1))], SCHEMA)
     plan = R.ranked_summary(summary, "location", "fraud_amount", n=5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # Only the limited rows are numbered.
+    assert plan.index("Window") < plan.index("TakeOrderedAndProject")
 
 
 def test_bounds(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.plans.publish import publish
+from ledgerline.plans.publish import audit_totals, publish
 from ledgerline.sources import readers as IN
 from ledgerline.sources import sinks as OUT
 from ledgerline.sources.scratch import scratch_folder
@@ -111,8 +111,8 @@ def test_parquet_overwrite_and_layout(spark, tmp_path):
 
 def test_partitioned_write_replaces_only_what_it_holds(spark, tmp_path, rows):
     path = str(tmp_path / "m")
-    OUT.write_partitioned(spark.createDataFrame([("a", 1), ("b", 2)], "source string, n int"), path)
-    OUT.write_partitioned(spark.createDataFrame([("b", 3)], "source string, n int"), path)
+    for source, n in (("a", 1), ("b", 2), ("b", 3)):
+        OUT.write_partition(spark.createDataFrame([(source, n)], "source string, n int"), path, source)
     assert (tmp_path / "m" / "source=a").is_dir()
     assert rows(spark.read.parquet(path), "source", "n") == [("a", 1), ("b", 3)]
 
@@ -144,6 +144,28 @@ def test_publish_replaces_audits_and_skips(spark, tmp_path, rows):
     assert publish(spark, str(landing), str(target), {"gone": specs["gone"]}).count() == 0
 
 
+def test_publish_keeps_text_files_as_they_are(spark, tmp_path, rows):
+    landing, target = tmp_path / "landing", tmp_path / "target"
+    files = {
+        "dev/a.json": '{"id": "1", "os": "x", "extra": {"n": 1}}\n{"id": "2"}\n',
+        "pay/a.csv": "id;amount\nT1;1,50\n",
+        "pay/b.csv": "id;amount\n",
+    }
+    for name, text in files.items():
+        (landing / name).parent.mkdir(parents=True, exist_ok=True)
+        (landing / name).write_text(text)
+    specs = {
+        "dev": IN.SourceSpec("jsonl", "dev", "id string"),
+        "pay": IN.SourceSpec("csv", "pay", options={"sep": ";"}),
+    }
+    audit = publish(spark, str(landing), str(target), specs)
+    for folder in ("dev", "pay"):
+        copied = sorted(f.read_text() for f in (target / folder).glob("part-*"))
+        assert copied == sorted(text for name, text in files.items() if name.startswith(folder))
+    assert rows(audit, "source", "row_count") == [("dev", 2), ("pay", 0), ("pay", 1)]
+    assert rows(audit_totals(audit)) == [("dev", 1, 2), ("pay", 2, 1)]
+
+
 def test_scratch_follows_the_session(spark, tmp_path):
     before = spark.conf.get("spark.checkpoint.dir", None)
     spark.conf.set("spark.checkpoint.dir", str(tmp_path)) if before is None else None
