@@ -42,6 +42,8 @@ MERCHANT_COLUMNS = {
     "amount": "Amount",
     "location": "Location",
 }
+# The columns of the wide table that the labels keep.
+TIMING_COLUMNS = ("transaction_id", "timestamp", "location", "is_fraud", "fraud_type")
 
 
 def payments(wide: DataFrame) -> DataFrame:
@@ -59,7 +61,7 @@ def merchant(wide: DataFrame, missing: str | None = None) -> DataFrame:
 def fraud_timing(wide: DataFrame, blank: float = 0.01, seed: int = 42) -> DataFrame:
     """CST-06, CST-07, DRV-03..05: labels, day parts, some locations blanked."""
     return (
-        wide.select("transaction_id", "timestamp", "location", "is_fraud", "fraud_type")
+        wide.select(*TIMING_COLUMNS)
         .withColumn("timestamp", C.to_milliseconds(C.coerce_timestamp(F.col("timestamp"))))
         .withColumns(
             {

@@ -64,6 +64,7 @@ WIDE_SCHEMA = _fields(
     ("device_hash", _S),
 )
 
+# The columns of the raw files, in their order.
 # CSV and JSON carry no types, and inference reads short ids such as "T12" as
 # timestamps, so these sources have a schema. Parquet brings its own.
 PAYMENTS_SCHEMA = _fields(
