@@ -21,15 +21,16 @@ def components(edges: DataFrame) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    now = written(edges.filter("a <> b").select(larger, smaller), "edges")
     seen = state(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), "m"), F.struct("a", "m"))).alias("e"))
+        after = written(small.select(F.col("e.a"), F.col("e.m").alias("b")).filter("a <> b").distinct(), "edges")
         after_seen = state(after)
         if after_seen == seen:
             break

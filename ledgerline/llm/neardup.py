@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -198,21 +199,22 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     # A class in many large buckets is near the middle of its group: as a pivot it links most.
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     active = written(classes.drop("bands").join(weight, "node"), "bucket-classes")
-    members = shared.select("key", "node").join(active.select("node", "n", "sig", "weight"), "node")
     held = written(_texts_of(docs, active.select("node", "rep"), words), "bucket-texts")
     labels = active.select("node", F.col("node").alias("label"))
+    members = shared.select("key", "node").join(
+        active.select("node", F.col("node").alias("label"), "n", "sig", "weight"), "node"
+    )
 
     agreement = 2.0**-LOW_BITS + (1 - 2.0**-LOW_BITS) * similarity
     least = similarity - 5 * math.sqrt(agreement * (1 - agreement) / MINIMA) / (1 - 2.0**-LOW_BITS)
-    tried: DataFrame | None = None
-    groups, first = 1, True
+    tried: list[DataFrame] = []
+    groups = 1
     while True:
-        tagged = members.join(labels, "node")
         whole = F.struct("weight", "node", "label", "n", "sig")
         pivots = written(
-            tagged.groupBy("key", F.pmod(F.xxhash64("label"), F.lit(groups)).alias("g")).agg(F.max(whole).alias("p")), "pivots"
+            members.groupBy("key", F.pmod(F.xxhash64("label"), F.lit(groups)).alias("g")).agg(F.max(whole).alias("p")), "pivots"
         )
-        against = tagged.join(pivots.select("key", "p"), "key").filter("label <> p.label")
+        against = members.join(pivots.select("key", "p"), "key").filter("label <> p.label")
         alike = (F.least("n", "p.n") >= similarity * F.greatest("n", "p.n")) & (estimate(F.col("sig"), F.col("p.sig")) >= least)
         pairs = against.filter(alike).select(
             F.col("node").alias("member"),
@@ -220,24 +222,26 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
             F.greatest("node", "p.node").alias("b"),
             estimate(F.col("sig"), F.col("p.sig")).alias("est"),
         )
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        # A pair that came up before was confirmed, refused or settled by others.
+        if tried:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
         pairs = written(pairs.groupBy("a", "b").agg(F.first("member").alias("member"), F.first("est").alias("est")), "pairs")
-        if first:
+        tried.append(pairs.select("a", "b"))
+        before = labels
+        if groups == 1:
             # One likely link for each class settles most components; few pairs are left to confirm.
             best = pairs.groupBy("member").agg(F.max(F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-            labels, tried = _linked(labels, best, held, words, similarity), best
-            pairs = pairs.join(best, ["a", "b"], "left_anti")
-        open_pairs = written(_apart(pairs.select("a", "b"), labels), "pairs")
-        if not open_pairs.isEmpty():
-            labels = _linked(labels, open_pairs, held, words, similarity)
-        tried = written((tried or open_pairs).unionByName(open_pairs).distinct(), "tried")
+            labels = _linked(labels, best, held, words, similarity)
+            pairs = _apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), labels)
+        labels = _linked(labels, pairs, held, words, similarity)
         left = members.join(pivots.select("key", F.col("p.node").alias("node")), ["key", "node"], "left_anti")
-        mixed = left.join(labels, "node").groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        if labels is not before:
+            left = left.drop("label").join(labels, "node")
+        mixed = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         members = written(left.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "members")
         if members.isEmpty():
             return labels
-        groups, first = groups * 4, False
+        groups *= 8
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -248,7 +252,9 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _linked(labels: DataFrame, pairs: DataFrame, held: DataFrame, words: int, similarity: float) -> DataFrame:
     """Labels after the links among the pairs have been confirmed."""
-    links = _confirmed(pairs, held, words, similarity)
+    links = written(_confirmed(pairs, held, words, similarity), "links")
+    if links.isEmpty():
+        return labels
     one, other = (labels.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
     between = links.join(one, "a").join(other, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("lower"))
