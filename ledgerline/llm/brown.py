@@ -80,32 +80,33 @@ def _g(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def best_class(right: np.ndarray, left: np.ndarray, own: float, now: int, counts: np.ndarray) -> int:
-    """The class that a unit should move to.
+def exchange(counts: np.ndarray, right: np.ndarray, left: np.ndarray, own: float, now: int) -> int:
+    """Move a unit to the class where the likelihood gains most; `counts` follow, the new class is returned.
 
     `right` and `left` count the classes after and before the unit's tokens,
     `own` the pairs of the unit with itself, `counts` all class pairs, the unit
     being in class `now`.  The gain is that of sum g(pairs) - sum g(starts) -
     sum g(ends) with g(x) = x log x, the unit taken out first.
     """
-    m = counts.astype(np.float64).copy()
-    right, left = right.astype(np.float64).copy(), left.astype(np.float64).copy()
-    m[now] -= right
-    m[:, now] -= left
-    m[now, now] += own
+    counts[now] -= right
+    counts[:, now] -= left
+    counts[now, now] += own
     # Pairs with itself are no fixed context: they move along.
     right[now] -= own
     left[now] -= own
-    across = np.flatnonzero(right)
-    down = np.flatnonzero(left)
-    gain = (_g(m[:, across] + right[across]) - _g(m[:, across])).sum(axis=1)
-    gain += (_g(m[down] + left[down][:, None]) - _g(m[down])).sum(axis=0)
-    corner = np.diagonal(m)
+    across, down = np.flatnonzero(right), np.flatnonzero(left)
+    gain = (_g(counts[:, across] + right[across]) - _g(counts[:, across])).sum(axis=1)
+    gain += (_g(counts[down] + left[down][:, None]) - _g(counts[down])).sum(axis=0)
+    corner = np.diagonal(counts)
     gain += _g(corner + right + left + own) - _g(corner + right) - _g(corner + left) + _g(corner)
-    starts, ends = m.sum(axis=1), m.sum(axis=0)
+    starts, ends = counts.sum(axis=1), counts.sum(axis=0)
     gain -= _g(starts + right.sum() + own) - _g(starts)
     gain -= _g(ends + left.sum() + own) - _g(ends)
-    return int(gain.argmax()) if gain.max() > gain[now] + 1e-9 else now
+    new = int(gain.argmax()) if gain.max() > gain[now] + 1e-9 else now
+    counts[new] += right
+    counts[:, new] += left
+    counts[new, new] += own
+    return new
 
 
 @dataclass(frozen=True)
@@ -141,8 +142,9 @@ def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int) ->
     """Class of each unit, and the counts of class pairs.
 
     A unit's neighbours are units, so its row is bounded by their number.  Each
-    pass moves half of the units, all against the same counts; the driver holds
-    the class of each unit and the class pairs, both of a bounded size.
+    pass moves half of the units, one after the other within a task; what tasks
+    move meanwhile they learn of before the next pass.  The driver holds the
+    class of each unit and the class pairs, both of a bounded size.
     """
     units = len(sizes)
     side = [
@@ -165,7 +167,7 @@ def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int) ->
     for turn in range(passes):
 
         def move(batch: pa.RecordBatch, assigned=assigned, counts=counts, turn=turn) -> Iterator[pa.RecordBatch]:
-            rows = []
+            rows, assigned, counts = [], assigned.copy(), counts.astype(np.float64)
             for unit, after, n, before, n_before in zip(*batch.columns):
                 u = unit.as_py()
                 if (zlib.crc32(str(u).encode()) + turn) % 2:
@@ -174,7 +176,8 @@ def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int) ->
                 n, n_before = n.values.to_numpy(), n_before.values.to_numpy()
                 right = np.bincount(assigned[after], n, classes)
                 left = np.bincount(assigned[before], n_before, classes)
-                rows.append((u, best_class(right, left, float(n[after == u].sum()), int(assigned[u]), counts)))
+                assigned[u] = exchange(counts, right, left, float(n[after == u].sum()), int(assigned[u]))
+                rows.append((u, int(assigned[u])))
             columns = list(zip(*rows)) or [(), ()]
             yield pa.record_batch([pa.array(c, pa.int32()) for c in columns], schema=out)
 
