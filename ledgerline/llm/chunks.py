@@ -32,6 +32,8 @@ from ledgerline.llm.records import byte_signs
 
 WINDOW = 5  # the rolling hash sees 2**5 bytes
 LEAST, AVERAGE_BITS = 256, 10  # bytes of a chunk: at least, and the power of two that a cut takes on average
+#: Begins the names of columns that come and go on the way, apart from those of the documents.
+OWN = "_bpe_"
 SURE = re.compile(rb"[!-~](?=[ \n])")
 _TABLE = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -191,7 +193,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = True) ->
     per_hash = map_batches(docs.select("text"), count, pa.schema([("low", pa.int64())])).groupBy("low").count()
     shared = HashBits.of(per_hash.filter("count > 1"), F.col("low"))
     own = list(to_arrow_schema(docs.select(*others).schema))
-    later = [("todo", pa.string()), ("hashes", pa.list_(pa.binary())), ("at", pa.list_(pa.int32()))]
+    later = [(f"{OWN}todo", pa.string()), (f"{OWN}hashes", pa.list_(pa.binary())), (f"{OWN}at", pa.list_(pa.int32()))]
 
     def home(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         coder, rows = encoder(tokenizer), []
@@ -207,8 +209,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = True) ->
         yield pa.record_batch(arrays, names=[*others, *names, *(n for n, _ in later)])
 
     first = map_batches(docs, home, pa.schema([*own, *made, *later]))
-    first = written(first.withColumn("row", F.monotonically_increasing_id()), "bpe-texts")
-    todo = first.filter("todo IS NOT NULL")
+    first = written(first.withColumn(f"{OWN}row", F.monotonically_increasing_id()), "bpe-texts")
+    waits = F.col(f"{OWN}todo").isNotNull()
+    todo = first.filter(waits)
+    plain = todo.select(*[F.col(f"{OWN}{c}").alias(c) for c in ("row", "todo", "at", "hashes")])
 
     def split(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """One row per marked chunk with its bytes."""
@@ -230,10 +234,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = True) ->
         yield pa.record_batch(batch_of(rows, fields), names=[n for n, _ in fields])
 
     binary = pa.schema([("hash", pa.binary()), ("chunk", pa.binary())])
-    once = map_batches(todo.select("todo", "at", "hashes"), split, binary).groupBy("hash").agg(F.first("chunk").alias("chunk"))
+    once = map_batches(plain.select("todo", "at", "hashes"), split, binary).groupBy("hash").agg(F.first("chunk").alias("chunk"))
     coded = map_batches(once, encode, pa.schema([("hash", pa.binary()), ("coded", pa.binary())]))
-    places = todo.select("row", F.explode(F.arrays_zip("at", "hashes")).alias("p")).select("row", "p.at", F.col("p.hashes").alias("hash"))
-    ready = places.join(coded, "hash").groupBy("row").agg(F.collect_list(F.struct("at", "coded")).alias("ready"))
+    places = plain.select("row", F.explode(F.arrays_zip("at", "hashes")).alias("p")).select("row", "p.at", F.col("p.hashes").alias("hash"))
+    ready = places.join(coded, "hash").groupBy("row").agg(F.collect_list(F.struct("at", "coded")).alias(f"{OWN}ready"))
 
     def join(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         coder, rows = encoder(tokenizer), []
@@ -242,7 +246,6 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = True) ->
             rows.append(summary(coder, assembled(coder, text.as_py().encode(), known)))
         yield pa.record_batch([*batch.columns[2:], *batch_of(rows, made)], names=[*others, *names])
 
-    late = map_batches(
-        todo.join(ready, "row", "left").select("todo", "ready", *others), join, pa.schema([*own, *made])
-    )
-    return first.filter("todo IS NULL").select(*others, *names).unionByName(late)
+    matched = todo.join(ready.withColumnRenamed("row", f"{OWN}row"), f"{OWN}row", "left")
+    late = map_batches(matched.select(f"{OWN}todo", f"{OWN}ready", *others), join, pa.schema([*own, *made]))
+    return first.filter(~waits).select(*others, *names).unionByName(late)

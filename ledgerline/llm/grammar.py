@@ -264,15 +264,15 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **limits) -> DataFrame:
     """
     names = docs.columns
     key = F.monotonically_increasing_id()
-    numbered = written(docs.withColumn("_row", key), "redact")
-    found = find_secrets(numbered.select("_row", "text"), **limits)
-    spans = found.select("_row", F.concat("base", "learned").alias("_spans")).filter(F.size("_spans") > 0)
+    numbered = written(docs.withColumn("_redact_row", key), "redact")
+    found = find_secrets(numbered.select("_redact_row", "text"), **limits)
+    spans = found.select("_redact_row", F.concat("base", "learned").alias("_redact_spans")).filter(F.size("_redact_spans") > 0)
     out = to_arrow_schema(docs.schema)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = batch.schema.get_field_index("text")
         rows = []
-        for value, marked in zip(batch.column(at), batch.column(batch.schema.get_field_index("_spans"))):
+        for value, marked in zip(batch.column(at), batch.column(batch.schema.get_field_index("_redact_spans"))):
             text = value.as_py()
             if found_here := marked.as_py():
                 pieces, done = [], 0
@@ -286,8 +286,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **limits) -> DataFrame:
         columns[names.index("text")] = pa.array(rows, out.field("text").type)
         if "n_chars" in names:
             k = names.index("n_chars")
-            changed = [len(t) if s.is_valid and t is not None else old.as_py() for t, s, old in zip(rows, batch.column(batch.schema.get_field_index("_spans")), columns[k])]
+            changed = [len(t) if s.is_valid and t is not None else old.as_py() for t, s, old in zip(rows, batch.column(batch.schema.get_field_index("_redact_spans")), columns[k])]
             columns[k] = pa.array(changed, out.field("n_chars").type)
         yield pa.record_batch(columns, names=names)
 
-    return map_batches(numbered.join(spans, "_row", "left"), work, out)
+    return map_batches(numbered.join(spans, "_redact_row", "left"), work, out)
