@@ -263,7 +263,7 @@ def toxic_docs(docs, spark, n=600):
 def test_chain_finds_held_out_toxic_texts(spark, docs):
     frame, labels = toxic_docs(docs, spark)
     chain = toxicity.fit_chain(frame, labels.filter("doc_id < 400"), ("quality", "toxic"))
-    assert len(chain.weights[1]) == len(chain.weights[0]) == len(chain.words) + 2
+    assert len(chain.weights[1]) == len(chain.weights[0]) == len(chain.features) + 2
     scored = {r["doc_id"]: r for r in toxicity.score(frame, chain).collect()}
     right = [(scored[k]["p_toxic"] >= 0.5) == (k % 5 == 0) for k in range(400, 600)]
     assert sum(right) / len(right) > 0.95
