@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from ledgerline.sources.scratch import scratch_folder
@@ -26,6 +27,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a side that joins may send to every task; the tables it is used for have rows of at most 200 bytes.
+SMALL_ROWS = 100_000
+
+
+def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table, marked for broadcast if it has few rows; a larger one is left to shuffle.
+
+    `rows` is its number of rows, or a bound of it, where that is known.
+    """
+    count = df.count() if rows is None else rows
+    return F.broadcast(df) if count <= SMALL_ROWS else df
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: pa.Schema
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import if_small, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,8 @@ def components(edges: DataFrame) -> DataFrame:
     then does so for the smaller ones; the number of steps grows with the
     logarithm of a component's size.  Neighbours are never gathered: a step is
     a minimum per node, combined in each task first, and an equi-join, which
-    adaptive execution splits at the centre of a large star.
+    adaptive execution splits at the centre of a large star; the minima of a
+    small graph go to all tasks instead.
     """
 
     def state(df: DataFrame) -> tuple:
@@ -27,9 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(if_small(low, 2 * seen[0]), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), "m"), F.struct("a", "m"))).alias("e"))
+        small = large.join(if_small(low, 2 * seen[0]), "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), "m"), F.struct("a", "m"))).alias("e"))
         after = written(small.select(F.col("e.a"), F.col("e.m").alias("b")).filter("a <> b").distinct(), "edges")
         after_seen = state(after)
         if after_seen == seen:

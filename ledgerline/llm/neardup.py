@@ -8,7 +8,9 @@ for then no pair that is left can join two components.  A pair is looked at only
 while its two classes are in different components.  First by its packed
 signatures: the low bits of the minima, compared by counting bits and corrected
 for the chance that low bits agree by accident.  What may be similar is
-confirmed on the full sets.
+confirmed on the full sets.  After the first round, shingles that only one of
+the remaining classes has bound what it can share with any other, exactly, so
+variants that lie too far from all others are not compared one by one.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bits import HashBits
-from ledgerline.llm.common import map_batches, texts, written
+from ledgerline.llm.common import if_small, map_batches, texts, written
 from ledgerline.llm.graph import components
 from ledgerline.llm.shingles import gram_hashes, word_hashes, words_of
 
@@ -138,7 +140,7 @@ def _confirmed(pairs: DataFrame, held: DataFrame, words: int, similarity: float)
         yield pa.record_batch([pa.array(c, pa.binary()) for c in columns], schema=out)
 
     one, other = (held.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    joined = pairs.select("a", "b").join(one, "a").join(other, "b")
+    joined = one.join(if_small(pairs.select("a", "b")), "a").join(other, "b")
     return map_batches(joined.select("a", "b", "text_a", "text_b"), work, out)
 
 
@@ -202,7 +204,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     held = written(_texts_of(docs, active.select("node", "rep"), words), "bucket-texts")
     labels = active.select("node", F.col("node").alias("label"))
     members = shared.select("key", "node").join(
-        active.select("node", F.col("node").alias("label"), "n", "sig", "weight"), "node"
+        active.select("node", F.col("node").alias("label"), "n", F.lit(0).cast("bigint").alias("own"), "sig", "weight"), "node"
     )
 
     agreement = 2.0**-LOW_BITS + (1 - 2.0**-LOW_BITS) * similarity
@@ -210,12 +212,16 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     tried: list[DataFrame] = []
     groups = 1
     while True:
-        whole = F.struct("weight", "node", "label", "n", "sig")
+        whole = F.struct("weight", "node", "label", "n", "own", "sig")
         pivots = written(
             members.groupBy("key", F.pmod(F.xxhash64("label"), F.lit(groups)).alias("g")).agg(F.max(whole).alias("p")), "pivots"
         )
-        against = members.join(pivots.select("key", "p"), "key").filter("label <> p.label")
-        alike = (F.least("n", "p.n") >= similarity * F.greatest("n", "p.n")) & (estimate(F.col("sig"), F.col("p.sig")) >= least)
+        few = pivots.count()
+        against = members.join(if_small(pivots.select("key", "p"), few), "key").filter("label <> p.label")
+        # Two sets share no more than what either has in common with any other.
+        most = F.least(F.col("n") - F.col("own"), F.col("p.n") - F.col("p.own"))
+        possible = 100 * most >= round(similarity * 100) * (F.col("n") + F.col("p.n") - most)
+        alike = possible & (estimate(F.col("sig"), F.col("p.sig")) >= least)
         pairs = against.filter(alike).select(
             F.col("node").alias("member"),
             F.least("node", "p.node").alias("a"),
@@ -224,29 +230,54 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
         )
         # A pair that came up before was confirmed, refused or settled by others.
         if tried:
-            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
+            pairs = pairs.join(if_small(reduce(DataFrame.unionByName, tried)), ["a", "b"], "left_anti")
         pairs = written(pairs.groupBy("a", "b").agg(F.first("member").alias("member"), F.first("est").alias("est")), "pairs")
         tried.append(pairs.select("a", "b"))
         before = labels
         if groups == 1:
             # One likely link for each class settles most components; few pairs are left to confirm.
             best = pairs.groupBy("member").agg(F.max(F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+            best = written(best, "best")
             labels = _linked(labels, best, held, words, similarity)
-            pairs = _apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), labels)
+            pairs = written(_apart(pairs.join(if_small(best), ["a", "b"], "left_anti").select("a", "b"), labels), "pairs")
         labels = _linked(labels, pairs, held, words, similarity)
-        left = members.join(pivots.select("key", F.col("p.node").alias("node")), ["key", "node"], "left_anti")
+        spent = pivots.select("key", F.col("p.node").alias("node"))
+        left = members.join(if_small(spent, few), ["key", "node"], "left_anti")
         if labels is not before:
-            left = left.drop("label").join(labels, "node")
+            left = left.drop("label").join(if_small(labels), "node")
         mixed = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         members = written(left.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "members")
         if members.isEmpty():
             return labels
+        if groups == 1:
+            members = members.drop("own").join(if_small(_own_shingles(members, held, words)), "node")
         groups *= 8
 
 
+def _own_shingles(members: DataFrame, held: DataFrame, words: int) -> DataFrame:
+    """(node, own): how many shingles of a class no other class among the members has."""
+    out = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sets = [shingle_set(t, words).view(np.int64) for t in texts(batch)]
+        yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=out)
+
+    nodes = written(members.select("node").distinct(), "active")
+    sets = map_batches(held.join(if_small(nodes), "node", "left_semi").select("node", "text"), work, out)
+    single = (
+        sets.select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
+        .filter("df = 1")
+    )
+    counts = nodes.select("node", F.lit(0).alias("k")).unionByName(single.select("node", F.lit(1).alias("k")))
+    return written(counts.groupBy("node").agg(F.sum("k").alias("own")), "own-shingles")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends have different labels."""
-    one, other = (labels.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
+    known = if_small(labels)
+    one, other = (known.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
     return pairs.join(one, "a").join(other, "b").filter("label_a <> label_b").select("a", "b")
 
 
@@ -255,7 +286,8 @@ def _linked(labels: DataFrame, pairs: DataFrame, held: DataFrame, words: int, si
     links = written(_confirmed(pairs, held, words, similarity), "links")
     if links.isEmpty():
         return labels
-    one, other = (labels.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
+    known = if_small(labels)
+    one, other = (known.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
     between = links.join(one, "a").join(other, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    merged = components(between).select(F.col("node").alias("label"), F.col("label").alias("lower"))
-    return written(labels.join(merged, "label", "left").select("node", F.coalesce("lower", "label").alias("label")), "labels")
+    merged = written(components(between).select(F.col("node").alias("label"), F.col("label").alias("lower")), "merged")
+    return written(labels.join(if_small(merged), "label", "left").select("node", F.coalesce("lower", "label").alias("label")), "labels")
