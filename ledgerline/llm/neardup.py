@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     have the same result.  Other columns are not looked at.
 
     A pair at the threshold is missed by all bands with probability
-    (1 - 0.8**4)**32 < 1e-7; the estimate drops a pair only when it lies five
+    (1 - 0.8**4)**32 < 1e-7; the estimate drops a pair only when it lies four
     standard deviations below.
     """
     signed = written(signatures(docs, words), "signatures")
@@ -208,13 +208,15 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     )
 
     agreement = 2.0**-LOW_BITS + (1 - 2.0**-LOW_BITS) * similarity
-    least = similarity - 5 * math.sqrt(agreement * (1 - agreement) / MINIMA) / (1 - 2.0**-LOW_BITS)
+    least = similarity - 4 * math.sqrt(agreement * (1 - agreement) / MINIMA) / (1 - 2.0**-LOW_BITS)
     tried: list[DataFrame] = []
     groups = 1
     while True:
         whole = F.struct("weight", "node", "label", "n", "own", "sig")
+        # A bucket gets more pivots each round: of more labels, and later of more members of a label.
+        group = (F.pmod(F.xxhash64("label"), F.lit(groups)), F.pmod(F.xxhash64("node"), F.lit(max(1, groups // 64))))
         pivots = written(
-            members.groupBy("key", F.pmod(F.xxhash64("label"), F.lit(groups)).alias("g")).agg(F.max(whole).alias("p")), "pivots"
+            members.groupBy("key", group[0].alias("g"), group[1].alias("h")).agg(F.max(whole).alias("p")), "pivots"
         )
         few = pivots.count()
         against = members.join(if_small(pivots.select("key", "p"), few), "key").filter("label <> p.label")
@@ -251,7 +253,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
             return labels
         if groups == 1:
             members = members.drop("own").join(if_small(_own_shingles(members, held, words)), "node")
-        groups *= 8
+        groups = min(groups * 8, 1 << 40)
 
 
 def _own_shingles(members: DataFrame, held: DataFrame, words: int) -> DataFrame:
