@@ -155,6 +155,43 @@ def test_leaks_that_every_document_has_are_found(spark, docs):
     assert leaks.leaks(docs(pairs), bench).count() == 50
 
 
+def test_leaks_common_edited_copy_is_found(spark, docs):
+    words = [f"v{k}" for k in range(40)]
+    edited = " ".join("new" if k in (10, 20) else w for k, w in enumerate(words))
+    pairs = [(i, f"a{i} b{i} {edited} c{i}") for i in range(50)] + [(50, " ".join(words)), (51, "nothing of it")]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in leaks.leaks(docs(pairs), bench).collect()}
+    assert set(got) == set(range(51)) and got[50] == 1.0
+
+
+def test_leaks_equal_alignment_of_every_pair(spark, docs):
+    draw = random.Random(5)
+    common = [f"c{k}" for k in range(12)]
+    items = [[draw.choice(common + [f"i{j}x{k}" for k in range(9)]) for _ in range(draw.randint(4, 24))] for j in range(12)]
+    pairs = []
+    for i in range(150):
+        body = list(draw.choice(items))
+        if i % 5 == 0:
+            body = [x for w in body for x in (w, f"p{i}")]
+        elif i % 5 == 1:
+            body = [w if k % 4 != 3 else f"p{i}" for k, w in enumerate(body)]
+        elif i % 5 == 2:
+            body = [w if k % 3 != 2 else f"p{i}" for k, w in enumerate(body)]
+        else:
+            rate = draw.random() / 2
+            body = [w for w in body if draw.random() > rate]
+        pairs.append((i, " ".join([draw.choice(common) for _ in range(20)] + body + [draw.choice(common) for _ in range(20)])))
+    bench = spark.createDataFrame([(j, " ".join(item)) for j, item in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks.leaks(docs(pairs), bench).collect()}
+    want = {}
+    for i, text in pairs:
+        for j, item in enumerate(items):
+            score = smith_waterman(item, text.split()) / (leaks.MATCH * len(item))
+            if score >= 0.5:
+                want[i, j] = score
+    assert got == want
+
+
 def test_leaks_of_odd_rows(spark, odd, clashing):
     bench = spark.createDataFrame([(1, "same words here and there again"), (1, "same words here and there again")], "item_id bigint, text string")
     for frame in (odd, clashing):
