@@ -3,20 +3,23 @@
 Words fall into classes; a text's probability is that of its class transitions
 times that of each word within its class.  Classes are found by exchange: a unit
 leaves its class and goes where the likelihood of the corpus gains most.  The
-units are the frequent words, one each, and groups of the other words by their
-last letters.  Emission counts are exact for every word: those of the more
-frequent ones are sent to all tasks, bounded by their share of the corpus, and
-those of all others are joined.
+units are at first the frequent words, one each, and groups of the other words by
+their last letters; then each of the other words leaves its group and is moved by
+its own contexts.  Classes and emission counts are exact for every word: those of
+the more frequent ones are sent to all tasks, bounded by their share of the
+corpus, and those of all others are joined.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +32,12 @@ SUFFIXES = 1 << SUFFIX_BITS
 #: Words whose hashes a worker remembers; beyond that it forgets all and starts anew.
 REMEMBERED = 500_000
 SMOOTH = 0.1
+#: Exchange ends where a sweep raises the log-likelihood by less than this share of what the classes explain.
+TOLERANCE = 1e-3
+#: Gains that differ by less than this share are equal but for rounding; a unit stays then.
+NOISE = 1e-10
+#: A sweep that loses, for tasks move units at the same time, is done again in twice the parts, up to so many.
+PARTS = 16
 
 
 def word_hash(word: bytes) -> int:
@@ -88,6 +97,10 @@ def exchange(counts: np.ndarray, right: np.ndarray, left: np.ndarray, own: float
     being in class `now`.  The gain is that of sum g(pairs) - sum g(starts) -
     sum g(ends) with g(x) = x log x, the unit taken out first.
     """
+    # The tokens of a class, whatever stands beside them.
+    starts, ends = counts.sum(axis=1), counts.sum(axis=0)
+    starts[now] -= right.sum()
+    ends[now] -= left.sum()
     counts[now] -= right
     counts[:, now] -= left
     counts[now, now] += own
@@ -99,22 +112,66 @@ def exchange(counts: np.ndarray, right: np.ndarray, left: np.ndarray, own: float
     gain += (_g(counts[down] + left[down][:, None]) - _g(counts[down])).sum(axis=0)
     corner = np.diagonal(counts)
     gain += _g(corner + right + left + own) - _g(corner + right) - _g(corner + left) + _g(corner)
-    starts, ends = counts.sum(axis=1), counts.sum(axis=0)
     gain -= _g(starts + right.sum() + own) - _g(starts)
     gain -= _g(ends + left.sum() + own) - _g(ends)
-    new = int(gain.argmax()) if gain.max() > gain[now] + 1e-9 else now
+    new = int(gain.argmax()) if gain.max() > gain[now] + NOISE * (1 + abs(gain[now])) else now
     counts[new] += right
     counts[:, new] += left
     counts[new, new] += own
     return new
 
 
+def best_classes(
+    counts: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray, now: np.ndarray
+) -> np.ndarray:
+    """The class that `exchange` finds for each of many words, all taken out of the same `counts` one at a time.
+
+    `right` and `left` have a row a word.  Only what a word meets is looked at.
+    """
+    rows, classes = np.arange(len(now)), len(counts)
+    starts, ends = counts.sum(axis=1), counts.sum(axis=0)
+    out, into = right.sum(axis=1), left.sum(axis=1)
+    # Class pairs of each word's own row and column of classes, without the word.
+    gain = np.zeros(right.shape)
+    for mine, other, table in ((right, left, counts), (left, right, counts.T)):
+        word, met = np.nonzero(mine)
+        base = table[:, met].T.copy()
+        base[np.arange(len(word)), now[word]] -= mine[word, met]
+        same = np.flatnonzero(met == now[word])
+        base[same] -= other[word[same]]
+        base[same, met[same]] += own[word[same]]
+        add = mine[word, met] - np.where(met == now[word], own[word], 0)
+        change = _g(base + add[:, None]) - _g(base)
+        has, first = np.unique(word, return_index=True)
+        if len(has):
+            gain[has] += np.add.reduceat(change, first, axis=0)
+    corner = np.broadcast_to(np.diagonal(counts), right.shape).copy()
+    corner[rows, now] += own - right[rows, now] - left[rows, now]
+    after, before = right.copy(), left.copy()
+    after[rows, now] -= own
+    before[rows, now] -= own
+    gain += _g(corner + after + before + own[:, None]) - _g(corner + after) - _g(corner + before) + _g(corner)
+    for total, moved in ((starts, out), (ends, into)):
+        rest = np.broadcast_to(total, right.shape).copy()
+        rest[rows, now] -= moved
+        gain -= _g(rest + moved[:, None]) - _g(rest)
+    new = gain.argmax(axis=1)
+    return np.where(gain[rows, new] > gain[rows, now] + NOISE * (1 + np.abs(gain[rows, now])), new, now)
+
+
+def explained(counts: np.ndarray) -> float:
+    """What the classes add to the log-likelihood of the corpus: the part of it that exchange can change."""
+    counts = counts.astype(np.float64)
+    return float(_g(counts).sum() - _g(counts.sum(axis=1)).sum() - _g(counts.sum(axis=0)).sum() + _g(counts.sum()))
+
+
 @dataclass(frozen=True)
 class Model:
-    """What a task needs: counts of the head words, classes of the units, and log10 tables."""
+    """What a task needs: counts and classes of the head words, classes of the units, and log10 tables."""
 
     head: np.ndarray
     head_log: np.ndarray
+    head_class: np.ndarray
     frequent: np.ndarray
     unit_class: np.ndarray
     transition: np.ndarray
@@ -138,13 +195,14 @@ def _pairs_with(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return map_batches(docs, work, schema).groupBy("prev", "next").agg(F.sum("n").alias("n"))
 
 
-def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int) -> tuple[np.ndarray, np.ndarray]:
+def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Class of each unit, and the counts of class pairs.
 
     A unit's neighbours are units, so its row is bounded by their number.  Each
-    pass moves half of the units, one after the other within a task; what tasks
+    pass moves half of the units, or a smaller part after one that lost, one after the other within a task; what tasks
     move meanwhile they learn of before the next pass.  The driver holds the
-    class of each unit and the class pairs, both of a bounded size.
+    class of each unit and the class pairs, both of a bounded size.  Passes end
+    where a sweep of them gains less than TOLERANCE, or after `passes`.
     """
     units = len(sizes)
     side = [
@@ -164,13 +222,16 @@ def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int) ->
     assigned[np.argsort(-sizes, kind="stable")] = np.arange(units) % classes
     counts = _class_pairs(contexts, assigned, classes)
     out = pa.schema([("unit", pa.int32()), ("class", pa.int32())])
-    for turn in range(passes):
+    parts, calm = 2, 0
+    for turn in itertools.count():
+        if turn == passes or calm == parts:
+            return assigned, counts
 
-        def move(batch: pa.RecordBatch, assigned=assigned, counts=counts, turn=turn) -> Iterator[pa.RecordBatch]:
+        def move(batch: pa.RecordBatch, assigned=assigned, counts=counts, parts=parts, turn=turn) -> Iterator[pa.RecordBatch]:
             rows, assigned, counts = [], assigned.copy(), counts.astype(np.float64)
             for unit, after, n, before, n_before in zip(*batch.columns):
                 u = unit.as_py()
-                if (zlib.crc32(str(u).encode()) + turn) % 2:
+                if (zlib.crc32(str(u).encode()) + turn) % parts:
                     continue
                 after, before = after.values.to_numpy(), before.values.to_numpy()
                 n, n_before = n.values.to_numpy(), n_before.values.to_numpy()
@@ -182,12 +243,16 @@ def _exchange(pairs: DataFrame, sizes: np.ndarray, classes: int, passes: int) ->
             yield pa.record_batch([pa.array(c, pa.int32()) for c in columns], schema=out)
 
         moved = map_batches(contexts, move, out).toArrow()
-        before, assigned = assigned, assigned.copy()
-        assigned[moved.column("unit").to_numpy()] = moved.column("class").to_numpy()
-        counts = _class_pairs(contexts, assigned, classes)
-        if turn and (before == assigned).all():
-            break
-    return assigned, counts
+        trial = assigned.copy()
+        trial[moved.column("unit").to_numpy()] = moved.column("class").to_numpy()
+        after = _class_pairs(contexts, trial, classes)
+        gain = explained(after) - explained(counts)
+        if gain < 0 and parts < PARTS:
+            parts, calm = 2 * parts, 0
+            continue
+        calm = calm + 1 if gain <= TOLERANCE / parts * abs(explained(after)) else 0
+        if gain > 0:
+            assigned, counts = trial, after
 
 
 def _class_pairs(contexts: DataFrame, assigned: np.ndarray, classes: int) -> np.ndarray:
@@ -208,6 +273,152 @@ def _class_pairs(contexts: DataFrame, assigned: np.ndarray, classes: int) -> np.
     return counts.reshape(classes, classes)
 
 
+def _rare_contexts(docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int) -> tuple[DataFrame, DataFrame]:
+    """What the words that are not frequent meet in training texts.
+
+    First (h, fixed): pairs of a key and n, the key being the class of a frequent
+    word after h, or `classes` and that of one before it.  Then (prev, next, n)
+    where neither word is frequent.
+    """
+    schema = pa.schema([("h", pa.int64()), ("next", pa.int64()), ("key", pa.int32()), ("n", pa.int64())])
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        end = np.array([END], np.uint64)
+        parts = [tokens(t) for d, t in zip(batch.column(0).to_pylist(), texts(batch)) if not held_out(d)]
+        words = np.concatenate([end, *parts])
+        at = places(frequent, words)
+        kind = np.where(at >= 0, assigned[at], -1)
+        rare = np.flatnonzero(at < 0)
+        names, number = np.unique(words[rare], return_inverse=True)
+        code = np.zeros(len(words), np.int64)
+        code[rare] = number
+        p, q = at[:-1] < 0, at[1:] < 0
+        after, before, both = np.flatnonzero(p & ~q), np.flatnonzero(~p & q), np.flatnonzero(p & q)
+        keys = np.concatenate([code[after] * 2 * classes + kind[after + 1], code[before + 1] * 2 * classes + classes + kind[before]])
+        key, n = np.unique(keys, return_counts=True)
+        yield pa.record_batch(
+            [pa.array(names[key // (2 * classes)].view(np.int64)), pa.nulls(len(key), pa.int64()), pa.array((key % (2 * classes)).astype(np.int32)), pa.array(n)],
+            schema=schema,
+        )
+        key, n = np.unique(code[both] * max(len(names), 1) + code[both + 1], return_counts=True)
+        first, second = names[key // max(len(names), 1)], names[key % max(len(names), 1)]
+        yield pa.record_batch(
+            [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.nulls(len(key), pa.int32()), pa.array(n)], schema=schema
+        )
+
+    found = written(map_batches(docs, work, schema).groupBy("h", "next", "key").agg(F.sum("n").alias("n")), "rare-contexts")
+    fixed = found.filter("next IS NULL").groupBy("h").agg(F.collect_list(F.struct("key", "n")).alias("fixed"))
+    return fixed, found.filter("next IS NOT NULL").select(F.col("h").alias("prev"), "next", "n")
+
+
+def _spread(
+    docs: DataFrame, others: DataFrame, frequent: np.ndarray, assigned: np.ndarray, counts: np.ndarray
+) -> tuple[DataFrame, np.ndarray]:
+    """(h, c, class) of all words that are not frequent, and the counts of class pairs.
+
+    A word starts in the class of its group and goes where the likelihood gains
+    most by its own contexts.  The classes of frequent words stay; those of the
+    others are joined anew for each sweep.  Sweeps end where one gains less than
+    TOLERANCE.  One that loses, for tasks move words at the same time, is not kept
+    and done again with half of the words, down to a sixteenth.
+    """
+    classes = len(counts)
+    group_class = assigned[len(frequent) :]
+    fixed, both = _rare_contexts(docs, frequent, assigned, classes)
+    fixed = written(others.select("h", "c").join(fixed, "h", "left"), "rare-words")
+    word_schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("class", pa.int32())])
+    out = pa.schema([("key", pa.int32()), ("n", pa.int64())])
+
+    def first_class(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        h = batch.column(0).to_numpy()
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=word_schema)
+
+    def met(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, key and n of the entries of a list column."""
+        column = batch.column(batch.schema.get_field_index(name))
+        lengths = np.array(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), np.int64)
+        flat = column.flatten()
+        return np.repeat(np.arange(len(lengths)), lengths), flat.field(0).to_numpy(), flat.field(1).to_numpy()
+
+    def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Right, left and own counts and the class of each word of a batch."""
+        total = np.zeros((batch.num_rows, 2 * classes + 1))
+        for name in ("fixed", "moving"):
+            row, key, n = met(batch, name)
+            np.add.at(total, (row, key), n)
+        return total[:, :classes], total[:, classes:-1], total[:, -1], batch.column(batch.schema.get_field_index("class")).to_numpy()
+
+    def pairs_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Class pairs with a word that is not frequent: those that it begins, and those after a frequent word."""
+        total = np.zeros((classes, classes))
+        for piece in _pieces(batch):
+            right, _, _, now = tables(piece)
+            np.add.at(total, now, right)
+            row, key, n = met(piece, "fixed")
+            mine = key >= classes
+            np.add.at(total, (key[mine] - classes, now[row[mine]]), n[mine])
+        key = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(total.ravel()[key].astype(np.int64))], schema=out)
+
+    def class_pairs(state: DataFrame) -> np.ndarray:
+        summed = map_batches(state, pairs_of, out).groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+        found = np.zeros(classes * classes, np.int64)
+        found[summed.column("key").to_numpy()] = summed.column("n").to_numpy()
+        return found.reshape(classes, classes)
+
+    def with_contexts(words: DataFrame) -> DataFrame:
+        kinds = words.select("h", "class")
+        ways = [
+            both.join(kinds.withColumnRenamed("h", b), b).select(F.col(a).alias("h"), (F.col("class") + k * classes).alias("key"), "n")
+            for k, (a, b) in enumerate((("prev", "next"), ("next", "prev")))
+        ]
+        itself = both.filter("prev = next").select(F.col("prev").alias("h"), F.lit(2 * classes).alias("key"), "n")
+        summed = ways[0].unionByName(ways[1]).unionByName(itself).groupBy("h", "key").agg(F.sum("n").alias("n"))
+        moving = summed.groupBy("h").agg(F.collect_list(F.struct("key", "n")).alias("moving"))
+        return written(words.join(fixed.select("h", "fixed"), "h").join(moving, "h", "left"), "rare-state")
+
+    words = written(map_batches(fixed.select("h", "c"), first_class, word_schema), "rare-classes")
+    state = with_contexts(words)
+    rest = counts - class_pairs(state)  # pairs of frequent words, which stay
+    parts = 1
+    for turn in itertools.count():
+
+        def move(batch: pa.RecordBatch, counts=counts.astype(np.float64), parts=parts, turn=turn) -> Iterator[pa.RecordBatch]:
+            counts = counts.copy()
+            for piece in _pieces(batch):
+                right, left, own, now = tables(piece)
+                h, c = (piece.column(piece.schema.get_field_index(x)) for x in ("h", "c"))
+                mine = ((h.to_numpy() >> SUFFIX_BITS) + turn) % parts == 0
+                new = np.where(mine, best_classes(counts, right, left, own, now), now)
+                # What this piece moved, the next one knows.
+                went = np.flatnonzero(new != now)
+                for at, sign in ((now, -1), (new, 1)):
+                    np.add.at(counts, at[went], sign * right[went])
+                    np.add.at(counts.T, at[went], sign * left[went])
+                np.maximum(counts, 0, out=counts)
+                yield pa.record_batch([h, c, pa.array(new.astype(np.int32))], schema=word_schema)
+
+        moved = written(map_batches(state, move, word_schema), "rare-classes")
+        after_state = with_contexts(moved)
+        after = rest + class_pairs(after_state)
+        gain = explained(after) - explained(counts)
+        if gain > 0:
+            words, state, counts = moved, after_state, after
+        elif gain < 0 and parts < PARTS:
+            parts *= 2
+            continue
+        if gain <= TOLERANCE * abs(explained(counts)):
+            return words, counts
+
+
+def _pieces(batch: pa.RecordBatch, most: int = 2_048) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces, the first of one row, each twice as long as the one before."""
+    at, rows = 0, 1
+    while at < batch.num_rows:
+        yield batch.slice(at, rows)
+        at, rows = at + rows, min(2 * rows, most)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(h, c): the hash and the count of every token of the training texts."""
     schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
@@ -220,7 +431,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs, work, schema).groupBy("h").agg(F.sum("n").alias("c"))
 
 
-def fit(docs: DataFrame, counts: DataFrame, classes: int, passes: int, head_bits: int, unit_bits: int) -> Model:
+def fit(
+    docs: DataFrame, counts: DataFrame, classes: int, passes: int | None, head_bits: int, unit_bits: int
+) -> tuple[Model, DataFrame]:
+    """The model, and (h, c, class) of the words that are not frequent."""
     totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
 
@@ -248,12 +462,21 @@ def fit(docs: DataFrame, counts: DataFrame, classes: int, passes: int, head_bits
     for row in others.groupBy(group).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect():
         sizes[len(frequent) + row["group"]], kinds[len(frequent) + row["group"]] = row["c"], row["k"]
     assigned, pairs = _exchange(_pairs_with(docs, frequent), sizes, classes, passes)
+    words, pairs = _spread(docs, others, frequent, assigned, pairs)
     smoothed = pairs + SMOOTH
-    class_n = np.bincount(assigned, sizes, classes)
-    class_v = np.bincount(assigned, kinds, classes)
-    return Model(
+    known = len(frequent)
+    class_n = np.bincount(assigned[:known], sizes[:known], classes)
+    class_v = np.bincount(assigned[:known], kinds[:known], classes)
+    for row in words.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect():
+        class_n[row["class"]] += row["c"]
+        class_v[row["class"]] += row["k"]
+    head_class = assigned[units_of(frequent, head)]
+    more = words.filter(F.col("c") * (1 << head_bits) >= n).select("h", "class").toArrow()
+    head_class[places(head, more.column("h").to_numpy().view(np.uint64))] = more.column("class").to_numpy()
+    model = Model(
         head,
         np.log10(head_count + SMOOTH),
+        head_class,
         frequent,
         assigned,
         np.log10(smoothed / smoothed.sum(axis=1, keepdims=True)),
@@ -261,10 +484,11 @@ def fit(docs: DataFrame, counts: DataFrame, classes: int, passes: int, head_bits
         n,
         v,
     )
+    return model, words
 
 
 def score(
-    docs: DataFrame, classes: int = 64, passes: int = 6, head_bits: int = 20, unit_bits: int = 14
+    docs: DataFrame, classes: int = 64, passes: int | None = None, head_bits: int = 20, unit_bits: int = 14
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -278,11 +502,14 @@ def score(
     scored each.  Without training texts all tokens are unknown.
 
     Words with 2**-head_bits of all tokens or more, at most 2**head_bits of them,
-    are sent to every task, and units for the exchange need 2**-unit_bits.
+    are sent to every task, and units for the first exchange need 2**-unit_bits; it
+    has at most `passes` passes, if given.  All other training words are then moved
+    each by its own contexts.  A word that was never seen has the class that the
+    group of its last letters had before.
     """
     docs = docs.select("doc_id", "text")
     counts = written(word_counts(docs), "word-counts")
-    model = fit(docs, counts, classes, passes, head_bits, unit_bits)
+    model, words = fit(docs, counts, classes, passes, head_bits, unit_bits)
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -293,20 +520,26 @@ def score(
             ("class_sum", pa.float64()),
             ("tail", pa.list_(pa.int64())),
             ("times", pa.list_(pa.int32())),
+            ("from", pa.list_(pa.int32())),
+            ("to", pa.list_(pa.int32())),
         ]
     )
 
     def local(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        """All but the counts of rarer words, which are listed."""
+        """All but the counts and moves of rarer words, which are listed: a class, or -1 and less for a place in `tail`."""
         end_class = model.unit_class[units_of(model.frequent, np.array([END], np.uint64))]
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch)):
             h = tokens(text)
             at = places(model.head, h)
-            kind = model.unit_class[units_of(model.frequent, h)]
-            moves = model.transition[np.concatenate([end_class, kind[:-1]]), kind]
-            tail, times = np.unique(h[at < 0], return_counts=True)
-            inside = at[at >= 0]
+            rare = at < 0
+            tail, place, times = np.unique(h[rare], return_inverse=True, return_counts=True)
+            inside = at[~rare]
+            kind = np.empty(len(h), np.int64)
+            kind[~rare], kind[rare] = model.head_class[inside], -1 - place
+            first = np.concatenate([end_class, kind[:-1]])
+            known = (first >= 0) & (kind >= 0)
+            moves = model.transition[first[known], kind[known]]
             rows.append(
                 (
                     doc_id,
@@ -314,9 +547,11 @@ def score(
                     len(h),
                     len(inside),
                     float(model.head_log[inside].sum()),
-                    float(moves.sum() - model.below[kind].sum()),
+                    float(moves.sum() - model.below[kind[~rare]].sum()),
                     tail.view(np.int64),
                     times.astype(np.int32),
+                    first[~known].astype(np.int32),
+                    kind[~known].astype(np.int32),
                 )
             )
         columns = list(zip(*rows)) or [()] * len(schema)
@@ -324,20 +559,42 @@ def score(
 
     rows = written(map_batches(docs, local, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("h"), F.col("t.times").alias("k"))
-    found = rare.join(counts, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    # Without training texts not even the end is a head word.
+    found = rare.join(words, "h", "left").withColumns({"c": F.coalesce("c", F.lit(0)), "class": F.coalesce("class", F.lit(-1))})
     per_row = found.groupBy("row").agg(
         F.sum(F.col("k") * F.log10(F.col("c") + F.lit(SMOOTH))).alias("tail_sum"),
         F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("tail_known"),
+        F.collect_list(F.struct("h", "class")).alias("kinds"),
+    )
+    moved_schema = pa.schema([("row", pa.int64()), ("tail_sum", pa.float64()), ("tail_known", pa.int64()), ("moves", pa.float64())])
+
+    def close(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Moves and emissions of the rarer words of each row."""
+        moves = []
+        for kinds, tail, times, first, second in zip(*batch.columns[3:]):
+            # Both in the order of their hashes.
+            own, kind = kinds.values.field(0).to_numpy().view(np.uint64), kinds.values.field(1).to_numpy()
+            order = np.argsort(own)
+            own, kind = own[order], kind[order]
+            kind = np.where(kind >= 0, kind, model.unit_class[units_of(model.frequent, own)])
+            first, second = (x.values.to_numpy() for x in (first, second))
+            a, b = (np.where(x >= 0, x, kind[np.maximum(-1 - x, 0)]) for x in (first, second))
+            moves.append(float(model.transition[a, b].sum() - (model.below[kind] * times.values.to_numpy()).sum()))
+        yield pa.record_batch([*batch.columns[:3], pa.array(moves, pa.float64())], schema=moved_schema)
+
+    lists = rows.select("row", "tail", "times", "from", "to").filter(F.size("tail") > 0)
+    per_row = map_batches(
+        per_row.join(lists, "row").select("row", "tail_sum", "tail_known", "kinds", "tail", "times", "from", "to"), close, moved_schema
     )
     zero = F.lit(0)
     emitted = F.col("head_sum") + F.coalesce("tail_sum", zero)
     below = float(np.log10(model.n + SMOOTH * (model.v + 1)))
-    return rows.drop("tail", "times").join(per_row, "row", "left").select(
+    return rows.drop("tail", "times", "from", "to").join(per_row, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("tail_known", zero)).alias("n_known"),
         F.lit(model.n).cast("bigint").alias("train_tokens"),
         (emitted - F.col("n_tokens") * below).alias("base_score"),
-        (emitted + F.col("class_sum")).alias("score"),
+        (emitted + F.col("class_sum") + F.coalesce("moves", zero)).alias("score"),
     )

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -302,6 +303,36 @@ def test_brown_scores(spark, docs):
     assert model > base * 0.85  # both are negative: the classes know which words take turns
 
 
+def test_brown_rare_words_have_classes_of_their_own(spark, docs):
+    draw = random.Random(6)
+    nouns, verbs = [f"n{k}-xyz" for k in range(20)], [f"v{k}-xyz" for k in range(20)]
+    text = lambda: " ".join(w for _ in range(8) for w in ("the", draw.choice(nouns), "to", draw.choice(verbs)))
+    frame = docs([(k, text()) for k in range(400)])
+    rows = brown.score(frame, classes=8, unit_bits=3).collect()
+    # Only "the" and "to" are units; all else ends alike.  16 words of 20 each, not of 40.
+    unseen = [r["score"] / 16 for r in rows if r["held_out"]]
+    assert len(unseen) > 20 and sum(unseen) / len(unseen) > -math.log10(28)
+    joined = {r["doc_id"]: r["score"] for r in brown.score(frame, classes=8, unit_bits=3, head_bits=4).collect()}
+    assert sum(joined[r["doc_id"]] / 16 for r in rows if r["held_out"]) / len(unseen) > -math.log10(28)
+
+
+def test_brown_exchange_of_many_words_equals_one_at_a_time():
+    draw = np.random.default_rng(3)
+    for _ in range(30):
+        units, classes = 40, 6
+        pairs = draw.poisson(0.5, (units, units)).astype(float)
+        group = draw.integers(0, classes, units)
+        into = np.eye(classes)[group]
+        counts, right, left = into.T @ pairs @ into, pairs @ into, pairs.T @ into
+        own = np.diagonal(pairs).copy()
+        want = [brown.exchange(counts.copy(), right[u].copy(), left[u].copy(), own[u], group[u]) for u in range(units)]
+        assert brown.best_classes(counts, right, left, own, group).tolist() == want
+        for u in range(units):
+            moved = [np.eye(classes)[[*group[:u], k, *group[u + 1 :]]] for k in range(classes)]
+            value = [brown.explained(x.T @ pairs @ x) for x in moved]
+            assert value[want[u]] == pytest.approx(max(value))
+
+
 def test_brown_of_odd_rows(spark, odd, clashing, docs):
     for frame in (odd, clashing):
         rows = brown.score(frame, classes=4, passes=2).collect()
