@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import brown, chunks, external, grammar, imatch, leaks, neardup, records, toxicity, warc
+from ledgerline.llm import brown, chunks, divergence, external, grace, grammar, imatch, leaks, neardup, negatives, records, toxicity, warc
 from ledgerline.llm.common import read_table, written
 from ledgerline.sources.scratch import scratch_folder
 
@@ -116,3 +116,21 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.when(F.col("record_type") == "revisit", F.col("stored_page")).alias("refers_to"),
     )
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"), least_docs=30, first=50)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = grace.exact_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
