@@ -38,6 +38,13 @@ class HeavyKeys:
     def __bool__(self) -> bool:
         return bool(self.values) or self.nulls
 
+    @classmethod
+    def of(cls, top: Iterable[tuple[str | None, int]], rows: int, nulls: int, share: float, least: int) -> "HeavyKeys":
+        """Out of the most frequent items of a column with `rows` rows: those that hold `share` of them, and `least`."""
+        floor = max(share * rows, least)
+        kept = [(item, count) for item, count in top if item is not None and count >= floor]
+        return cls(tuple(item for item, _ in kept), floor <= nulls, tuple(count for _, count in kept), max(int(floor), 1))
+
     def __or__(self, other: "HeavyKeys") -> "HeavyKeys":
         """Heavy in either; a key of both has the rows that their join makes of it."""
         counts = dict(zip(self.values, self.rows))
@@ -58,7 +65,12 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _comparable(df: DataFrame, key: str) -> Column:
+def default_share(df: DataFrame) -> float:
+    """The share of the rows with which a key alone fills a shuffle partition."""
+    return 1.0 / max(_partitions(df), 20)
+
+
+def comparable_key(df: DataFrame, key: str) -> Column:
     """The key in a form that the sketch and a literal can hold."""
     column = F.col(f"`{key}`")
     return F.hex(column) if isinstance(df.schema[key].dataType, T.BinaryType) else column
@@ -76,11 +88,11 @@ def heavy_keys(
     partition, however many partitions there are.
     """
     if share is None:
-        share = 1.0 / max(_partitions(targets[0][0]), 20)
+        share = default_share(targets[0][0])
     most = math.ceil(1.0 / share)
     tracked = min(16 * most, MOST_TRACKED)
     sketches = [
-        df.select(_comparable(df, key).alias("key")).agg(
+        df.select(comparable_key(df, key).alias("key")).agg(
             F.lit(at).alias("at"),
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("key").isNull()).alias("nulls"),
@@ -95,11 +107,8 @@ def heavy_keys(
 
     def heavy(at: int) -> HeavyKeys:
         row = found[at]
-        floor = max(share * row["rows"], least)
         top = [(entry["item"], entry["count"]) for entry in row["top"] or ()]
-        kept = [(item, count) for item, count in top if item is not None and count >= floor]
-        values, rows = tuple(item for item, _ in kept), tuple(count for _, count in kept)
-        return HeavyKeys(values, floor <= row["nulls"], rows, max(int(floor), 1))
+        return HeavyKeys.of(top, row["rows"], row["nulls"], share, least)
 
     return [heavy(at) for at in range(len(targets))]
 
@@ -139,7 +148,7 @@ def left_join(
 
     def planned(df: DataFrame) -> DataFrame:
         # The plan has a row per heavy key, at most one per shuffle partition.
-        return df.join(F.broadcast(plan), _comparable(df, key).cast("string") == F.col("_heavy"), "left").drop("_heavy")
+        return df.join(F.broadcast(plan), comparable_key(df, key).cast("string") == F.col("_heavy"), "left").drop("_heavy")
 
     def salted(df: DataFrame, dealt: Column, copied: Column) -> DataFrame:
         task, every = F.array(F.pmod(F.spark_partition_id(), F.col(_FAN))), F.sequence(F.lit(0), F.col(_FAN) - 1)
@@ -173,16 +182,16 @@ def transaction_join(
 
     Left columns win name clashes, an absent source is skipped, an absent first
     source is an error.  Duplicate keys on the right multiply rows.  `heavy`
-    names the heavy keys per source; None looks for them (one job),
-    an empty mapping takes the keys as even.
+    names the heavy keys per source; without it those that the sources bring
+    along count (`sketch.KnownKeys`), and sources without any are taken as even:
+    no job runs here.  `heavy_keys` looks for them in a scan.
     """
     first, *rest = order
     if sources.get(first) is None:
         raise ValueError(f"source {first} is missing: nothing to join the others to")
     present = [name for name in rest if sources.get(name) is not None]
     if heavy is None:
-        names = (first, *present)
-        heavy = dict(zip(names, heavy_keys(*[(sources[name], key) for name in names])))
+        heavy = {name: known_heavy(sources, name, key) for name in (first, *present)}
     joined, seen = sources[first], heavy.get(first, HeavyKeys())
     for name in present:
         right = new_columns_only(joined, sources[name], key)
@@ -201,26 +210,25 @@ def behavior_join(
 ) -> DataFrame:
     """JON-02: left-join per-account behavior; pass through when it is absent.
 
-    One account may send a large share of all payments, so its rows are dealt
-    out.  `heavy` saves the search when the caller already knows such keys from
-    a cheaper scan.
+    One account may send a large share of all payments, so the rows of `heavy`
+    keys are dealt out; without any the join is the plain one.
     """
     if behavior is None:
         return df
-    if heavy is None:
-        (heavy,) = heavy_keys((df, key))
-    return left_join(df, behavior.drop(*LINEAGE), key, heavy)
+    return left_join(df, behavior.drop(*LINEAGE), key, heavy or HeavyKeys())
+
+
+def known_heavy(sources: Mapping[str, DataFrame], name: str, key: str) -> HeavyKeys:
+    """The heavy keys that a mapping of tables brings along for a column, none if it brings none."""
+    return getattr(sources, "heavy", {}).get((name, key), HeavyKeys())
 
 
 def join_all(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """JON-01 then JON-02, looking for all heavy keys in one job."""
-    names = [name for name in TRANSACTION_SOURCES if sources.get(name) is not None]
-    if PAYMENTS not in names:
-        return transaction_join(sources)
-    targets = [(sources[name], "transaction_id") for name in names]
-    *by_source, senders = heavy_keys(*targets, (sources[PAYMENTS], "sender_account"))
-    joined = transaction_join(sources, heavy=dict(zip(names, by_source)))
-    return behavior_join(joined, sources.get(CUSTOMER_BEHAVIOR), heavy=senders)
+    """JON-01 then JON-02, with the heavy keys that the sources bring along."""
+    joined = transaction_join(sources)
+    return behavior_join(
+        joined, sources.get(CUSTOMER_BEHAVIOR), heavy=known_heavy(sources, PAYMENTS, "sender_account")
+    )
 
 
 def key_census(frames: Mapping[str, DataFrame], key: str) -> DataFrame:

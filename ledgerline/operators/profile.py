@@ -20,14 +20,27 @@ PROFILE_SCHEMA = (
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
 
+#: Bytes of a text up to which it stands for itself.
+SHORT = 16
+
+
+def _short(text: str) -> str:
+    """SQL for a text as bytes: itself if it is short, else a mark and its 128-bit digest, which no short one equals.
+
+    What is shuffled for a value is thus bounded, however long the texts are.
+    """
+    digest = f"concat(X'FF', unhex(md5(CAST({text} AS BINARY))))"
+    return f"CASE WHEN octet_length({text}) <= {SHORT} THEN CAST({text} AS BINARY) ELSE {digest} END"
+
+
 def _slots(field: T.StructField) -> tuple[str, str, str]:
-    """SQL for a value as text, as whole number or as double, equal exactly when the values are.
+    """SQL for a value as bytes, as whole number or as double, equal exactly when the values are.
 
     One of the three has the value, the others are NULL; a NULL leaves all three
     NULL.  Numbers and times keep to numbers, which are cheaper to hash than text.
     """
     column, kind = named(field.name), field.dataType
-    text, whole, real = "CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
+    text, whole, real = "CAST(NULL AS BINARY)", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
     if isinstance(kind, _WHOLE):
         whole = f"CAST({column} AS BIGINT)"
     elif isinstance(kind, T.DateType):
@@ -41,11 +54,11 @@ def _slots(field: T.StructField) -> tuple[str, str, str]:
     elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         value = f"array_sort(map_entries({column}))" if isinstance(kind, T.MapType) else column
         options = ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in EXACT_JSON.items())
-        text = f"to_json({value}, map({options}))"
+        text = _short(f"to_json({value}, map({options}))")
     elif isinstance(kind, T.BinaryType):
-        text = f"hex({column})"
+        text = f"CASE WHEN octet_length({column}) <= {SHORT} THEN {column} ELSE concat(X'FF', unhex(md5({column}))) END"
     else:
-        text = f"CAST({column} AS STRING)"
+        text = _short(f"CAST({column} AS STRING)")
     return text, whole, real
 
 

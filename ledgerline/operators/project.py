@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.columns import coerce_timestamp, row_hash, safe_decimal
-from ledgerline.schemas import DECIMAL_COLUMNS, LINEAGE, RENAMES, TIMESTAMP_COLUMNS
+from ledgerline.schemas import DECIMAL_COLUMNS, LINEAGE, MONEY, RENAMES, TIMESTAMP_COLUMNS
 
 ROW_HASH = "row_hash"
 
@@ -50,14 +50,27 @@ def timestamp_normalize(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp") for name in plain}) if plain else df
 
 
+#: Before the name of a cast column: whether its value was there and could not be cast.
+FAILED = "_failed_"
+
+
 def cast_columns(
     df: DataFrame,
     decimals: Iterable[str] = DECIMAL_COLUMNS,
     timestamps: Iterable[str] = TIMESTAMP_COLUMNS,
+    failures: bool = False,
 ) -> DataFrame:
-    """CST-02, CST-03: named timestamp and decimal columns, bad values to NULL."""
+    """CST-02, CST-03: named timestamp and decimal columns, bad values to NULL.
+
+    With `failures` a boolean column for each of them says which values those
+    were; a column that has its type already cannot fail and gets none.
+    """
     casts = {c: coerce_timestamp(F.col(c)) for c in timestamps if c in df.columns}
     casts |= {c: safe_decimal(F.col(c)) for c in decimals if c in df.columns}
+    if failures:
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        open_ones = [c for c in casts if not isinstance(kinds[c], (T.TimestampType, T.TimestampNTZType)) and kinds[c] != MONEY]
+        casts |= {f"{FAILED}{c}": F.col(c).isNotNull() & casts[c].isNull() for c in open_ones}
     return df.withColumns(casts) if casts else df
 
 
@@ -90,9 +103,14 @@ def add_flags(df: DataFrame) -> DataFrame:
     return df.withColumns(flags) if flags else df
 
 
-def standardize(df: DataFrame) -> DataFrame:
-    """The Silver form of any source: rename, cast, flatten, flag."""
-    return add_flags(flatten_device(cast_columns(rename_by_map(df))))
+def standardize(df: DataFrame, failures: bool = False) -> DataFrame:
+    """The Silver form of any source: rename, cast, flatten, flag; with `failures` also which casts failed."""
+    return add_flags(flatten_device(cast_columns(rename_by_map(df), failures=failures)))
+
+
+def without_failures(df: DataFrame) -> DataFrame:
+    """A standardized frame without the columns that say which casts failed."""
+    return df.drop(*[c for c in df.columns if c.startswith(FAILED)])
 
 
 def utc_normalize(df: DataFrame, by_name: bool = False) -> DataFrame:

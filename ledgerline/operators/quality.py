@@ -9,9 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import quoted
-from ledgerline.operators.aggregate import distinct_row_count, null_counts
+from ledgerline.operators.aggregate import (
+    check_counters,
+    distinct_row_count,
+    long_cast_failures,
+    long_null_counts,
+)
 from ledgerline.operators.join import key_census, key_coverage
-from ledgerline.schemas import CUSTOMER_BEHAVIOR, DEVICE, FRAUD_TIMING, NULL_THRESHOLD, PAYMENTS
+from ledgerline.schemas import (
+    CAST_ALERT,
+    CUSTOMER_BEHAVIOR,
+    DEVICE,
+    EMPTY_ALERT,
+    FAILURE_ALERT,
+    FRAUD_TIMING,
+    MISMATCH_ALERT,
+    MISSING_ALERT,
+    NULLS_ALERT,
+    NULL_THRESHOLD,
+    PAYMENTS,
+    UNIQUE_ALERT,
+)
 from ledgerline.sources.together import all_together
 
 ALERT_SCHEMA = "source string, check string, column string, observed double, expected double, message string"
@@ -39,7 +57,7 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def _uniqueness_alerts(counted: DataFrame, source: str, column: str) -> DataFrame:
-    text = quoted(f"%s: {column} not unique (%d rows vs %d distinct)")
+    text = quoted(UNIQUE_ALERT.format(column=column))
     return _alert(
         counted.filter("row_count <> distinct_count"),
         "uniqueness",
@@ -67,7 +85,20 @@ def completeness(nulls: DataFrame, source: str, threshold: float = NULL_THRESHOL
         "column_name",
         "null_share",
         f"{threshold}D",
-        f"format_string('%s: %s has %.2f%% nulls', {quoted(source)}, column_name, null_share * 100)",
+        f"format_string({quoted(NULLS_ALERT)}, {quoted(source)}, column_name, null_share * 100)",
+    )
+
+
+def cast_alerts(failures: DataFrame, source: str) -> DataFrame:
+    """CST-02, CST-03, CST-06: columns with values that could not be cast, given `cast_failures`."""
+    return _alert(
+        failures.filter("failed_count > 0"),
+        "cast",
+        quoted(source),
+        "column_name",
+        "failed_count",
+        "0",
+        f"format_string({quoted(CAST_ALERT)}, {quoted(source)}, failed_count, column_name)",
     )
 
 
@@ -89,9 +120,9 @@ def row_count_alerts(counts: DataFrame, order: Iterable[str]) -> DataFrame:
         f"{listed('source', 'row_count = 0')} AS empty_names",
         f"{listed('concat(source, chr(61), row_count)', 'true')} AS pairs",
     ).selectExpr(
-        """stack(2,
-          'empty_datasets', empty, 0, concat('Empty datasets detected: ', empty_names),
-          'row_count_mismatch', different, 1, concat('Row count mismatch across sources: ', pairs)
+        f"""stack(2,
+          'empty_datasets', empty, 0, concat({quoted(EMPTY_ALERT)}, empty_names),
+          'row_count_mismatch', different, 1, concat({quoted(MISMATCH_ALERT)}, pairs)
         ) AS (check, observed, expected, message)"""
     )
     return found.filter("observed > expected").selectExpr(
@@ -115,7 +146,7 @@ def row_count_mismatch(counts: DataFrame, order: Iterable[str]) -> DataFrame:
 
 
 def _coverage_alerts(counted: DataFrame, base_name: str, key: str) -> DataFrame:
-    text = quoted(f"%s: %d {key}s missing vs {base_name}")
+    text = quoted(MISSING_ALERT.format(key=key, base=base_name))
     return _alert(
         counted.filter("missing > 0"),
         "key_coverage",
@@ -136,7 +167,7 @@ def coverage_alerts(
 
 def failure_alerts(spark, failed: Iterable[str]) -> DataFrame:
     """DQ-07: one alert per source that could not be processed."""
-    rows = [(name, "processing", None, None, None, f"{name}: processing failed") for name in failed]
+    rows = [(name, "processing", None, None, None, FAILURE_ALERT % name) for name in failed]
     return spark.createDataFrame(rows, ALERT_SCHEMA)
 
 
@@ -164,10 +195,11 @@ def account_alerts(frames: Mapping[str, DataFrame], key: str = "sender_account")
     return coverage_alerts(frames[PAYMENTS], PAYMENTS, {CUSTOMER_BEHAVIOR: frames[CUSTOMER_BEHAVIOR]}, key)
 
 
-def _counted_once(df: DataFrame) -> DataFrame:
-    """The null counts as a local table of one row per column, for all checks that read them."""
-    counts = null_counts(df)
-    return df.sparkSession.createDataFrame(counts.collect(), counts.schema)
+def _counted_once(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Null counts and failed casts out of one scan, whose single row all checks share."""
+    counts = df.selectExpr(*check_counters(df.columns))
+    row = df.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    return long_null_counts(row, df.columns), long_cast_failures(row, df.columns)
 
 
 def alerts(
@@ -176,18 +208,23 @@ def alerts(
     covered: Iterable[str] = COVERED_SOURCES,
     failed: Iterable[str] = (),
     nulls: Mapping[str, DataFrame] | None = None,
+    casts: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """DQ-08: every alert of the standardized sources as one table.
 
-    `nulls` are the `null_counts` of the sources where they are known already;
-    otherwise each source is scanned once for them, here.
+    `nulls` are the `null_counts` of the sources and `casts` their `cast_failures`
+    where they are known already; otherwise each source is scanned once for both,
+    here, and has the cast alerts that `standardize(failures=True)` lets it tell.
     """
     if nulls is None:
-        nulls = all_together({name: partial(_counted_once, df) for name, df in frames.items()})
+        counted = all_together({name: partial(_counted_once, df) for name, df in frames.items()})
+        nulls = {name: found for name, (found, _) in counted.items()}
+        casts = {name: found for name, (_, found) in counted.items()}
     counted = [df.selectExpr(f"{quoted(name)} AS source", "row_count").distinct() for name, df in nulls.items()]
     counts = _union(counted)
     checks = [
         *[completeness(counted, name, threshold) for name, counted in nulls.items()],
+        *[cast_alerts(found, name) for name, found in (casts or {}).items()],
         row_count_alerts(counts, frames),
         transaction_alerts(frames, covered),
         account_alerts(frames),

@@ -7,13 +7,14 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.aggregate import SETS, fraud_summary, group_values
+from ledgerline.operators.aggregate import SETS, fraud_parts, summary_of, values_of
 from ledgerline.operators.join import join_all
 from ledgerline.operators.project import add_row_hash, utc_normalize
 from ledgerline.sources.sinks import write_parquet
 from ledgerline.sources.together import all_together
 
 GOLD_TABLE = "fraud_detection"
+PARTS = "_fraud_parts"
 SUMMARY_KEYS = ("Category", "Type", "location")
 
 
@@ -32,7 +33,7 @@ def write_gold(
     """Write the Gold table once; the summaries read it back, a few columns each.
 
     Per key, the distinct timestamps and fraud types of every group are written
-    as rows; the summary counts those.
+    as rows, out of the same parts as the summaries.
     """
 
     def write(name: str, frame: DataFrame) -> DataFrame:
@@ -44,19 +45,10 @@ def write_gold(
 
     keys = list(keys)
     gold = write(GOLD_TABLE, to_gold(silver, strict))
-    sets = all_together(
-        {
-            f"{name_of(key)}_{label}": partial(
-                write, f"{name_of(key)}_{label}", group_values(gold, key, column)
-            )
-            for key in keys
-            for column, label in SETS.items()
-        }
-    )
-
-    def summary(key: str) -> DataFrame:
-        values = {column: sets[f"{name_of(key)}_{label}"] for column, label in SETS.items()}
-        return write(name_of(key), fraud_summary(gold, key, values))
-
-    summaries = all_together({name_of(key): partial(summary, key) for key in keys})
-    return {GOLD_TABLE: gold, **summaries, **sets}
+    # One scan of Gold and one shuffle make the distinct pairs of all summaries and sets.
+    parts = write(PARTS, fraud_parts(gold, keys))
+    made = {
+        f"{name_of(key)}_{label}": values_of(parts, key, column) for key in keys for column, label in SETS.items()
+    }
+    made |= {name_of(key): summary_of(parts, key) for key in keys}
+    return {GOLD_TABLE: gold, **all_together({name: partial(write, name, frame) for name, frame in made.items()})}

@@ -4,36 +4,42 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import profile as P
 from ledgerline.sources.readers import read_existing
-from ledgerline.sources.sinks import write_partition
-from ledgerline.sources.together import together
+from ledgerline.sources.sinks import write_partitions
 
 log = logging.getLogger(__name__)
 
 
-def _write_profile(name: str, frame: DataFrame, root: str) -> None:
-    # A profile has four rows per column: one file is enough.
-    write_partition(P.profile_all({name: frame}), root, name, files=1)
-
-
 def profile_job(spark: SparkSession, tables: Mapping[str, str], root: str) -> DataFrame:
-    """SNK-03: profile the tables that exist, each written to its own `source=` directory.
+    """SNK-03, PRF-02: profile the tables that exist, in one shuffle and one write, each to its own `source=` directory.
 
-    A source that fails keeps its earlier profile and stops no other one.  Returns
-    the profiles of the sources that were asked for, as far as there are any.
+    Directories of other sources stay as they are.  If that write fails, the
+    sources are profiled one by one: one that fails then keeps its earlier
+    profile and stops no other.  Returns the profiles of the sources that were
+    asked for, as far as there are any.
     """
     present = read_existing(spark, tables)
-    _, failed = together(
-        {name: partial(_write_profile, name, frame, root) for name, frame in present.items()}
-    )
-    for name, error in failed.items():
-        log.error("%s: profiling failed", name, exc_info=error)
+
+    def write(frames: Mapping[str, DataFrame]) -> None:
+        write_partitions(P.profile_all(frames), root)
+
+    if present:
+        try:
+            write(present)
+        except Exception as error:
+            log.warning("profiles are written one by one", exc_info=error)
+            # One after the other: dynamic overwrites of one folder must not overlap.
+            for name, frame in present.items():
+                try:
+                    write({name: frame})
+                except Exception as fault:
+                    log.error("%s: profiling failed", name, exc_info=fault)
     written = read_existing(spark, {name: f"{root}/source={name}" for name in tables})
     if not written:
         return spark.createDataFrame([], P.PROFILE_SCHEMA)

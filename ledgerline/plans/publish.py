@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import replace
 from functools import partial, reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.readers import SourceSpec, path_is_missing, read_source
+from ledgerline.sources.files import BINARY_BYTES, WHOLE_BYTES, Files, contents_of, copy_files, replacing
+from ledgerline.sources.readers import SourceSpec, read_source
 from ledgerline.sources.sinks import file_row_audit
 from ledgerline.sources.together import all_together
 
@@ -25,41 +26,44 @@ def _as_is(spec: SourceSpec, path: str) -> SourceSpec:
     return replace(spec, path=path)
 
 
-def _copy_text(spark: SparkSession, path: str, target: str) -> None:
-    """Copy files as they are, one by one, each a row: no field, separator or header is looked at.
-
-    The text sink closes a file with a line end, so one that has none gets it.
-    """
-    files = spark.read.format("binaryFile").load(path)
-    text = F.col("content").cast("string")
-    files.select(F.regexp_replace(text, "\\n\\z", "").alias("value")).write.mode("overwrite").option(
-        "maxRecordsPerFile", 1
-    ).text(target)
+def _is_on(option: object) -> bool:
+    return str(option).lower() == "true"
 
 
 def publish(
-    spark: SparkSession, source_root: str, target_root: str, specs: Mapping[str, SourceSpec]
+    spark: SparkSession,
+    source_root: str,
+    target_root: str,
+    specs: Mapping[str, SourceSpec],
+    whole_bytes: int | None = None,
 ) -> DataFrame:
     """SNK-07: replace each target folder by its source and count rows per file.
 
     Paths in `specs` are relative to the roots; a missing folder is skipped.
-    Text formats are copied byte for byte, others are written from what Spark
-    reads.  Every file is in the audit, also without rows.
+    Files keep their names and bytes (`copy_files`).  A file beyond `whole_bytes`
+    (by default 256 MB of lines, 1 GB of anything else) that cannot be copied by
+    lines has its source written anew from what Spark reads; JSON over several lines has no such
+    form, and is an error.  A target is replaced when its copy is complete.  Every file is in
+    the audit, also without rows.
     """
 
     def copy(name: str, spec: SourceSpec) -> DataFrame | None:
         source, target, kind = f"{source_root}/{spec.path}", f"{target_root}/{spec.path}", spec.format.lower()
-        try:
-            frame = read_source(spark, _as_is(spec, source))
-        except AnalysisException as error:
-            if path_is_missing(error):
-                return None
-            raise
-        if kind in TEXT_FORMATS:
-            _copy_text(spark, source, target)
-        else:
-            frame.write.mode("overwrite").options(**spec.options).format(kind).save(target)
-        listed = spark.read.format("binaryFile").load(target).select(F.col("_metadata.file_path").alias("file_path"))
+        if not Files(spark).exists(source):
+            return None
+        # A record of several lines may lie across two splits, so such files are only copied whole.
+        lines = kind in TEXT_FORMATS and not (spec.multi_line or _is_on(spec.options.get("multiLine", False)))
+        header = kind == "csv" and _is_on(spec.options.get("header", True))
+        with replacing(spark, target) as staged:
+            limit = whole_bytes or (WHOLE_BYTES if lines else BINARY_BYTES)
+            if not copy_files(spark, source, staged, lines, header, limit):
+                if kind in ("json", "jsonl"):
+                    raise ValueError(f"{source} has a file of more than {limit} bytes whose records span lines")
+                frame = read_source(spark, _as_is(spec, source))
+                frame.write.options(**spec.options).format(kind).save(staged)
+        # As the metadata of a scan spells them.
+        paths = [(re.sub(r"^(\w+):///", r"\1:/", path),) for path in contents_of(spark, target).inputFiles()]
+        listed = spark.createDataFrame(paths, "file_path string")
         audit = file_row_audit(read_source(spark, _as_is(spec, target)), listed)
         return audit.select(F.lit(name).alias("source"), "file_path", "row_count")
 

@@ -37,6 +37,17 @@ NULL_THRESHOLD = 0.05
 
 MONEY = T.DecimalType(18, 2)
 
+# The sentences of the alerts, as format strings.
+UNIQUE_ALERT = "%s: {column} not unique (%d rows vs %d distinct)"
+NULLS_ALERT = "%s: %s has %.2f%% nulls"
+EMPTY_ALERT = "Empty datasets detected: "
+MISMATCH_ALERT = "Row count mismatch across sources: "
+MISSING_ALERT = "%s: %d {key}s missing vs {base}"
+FAILURE_ALERT = "%s: processing failed"
+
+# A sentence of this library's own.
+CAST_ALERT = "%s: %d values of %s could not be read"
+
 
 def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in pairs])

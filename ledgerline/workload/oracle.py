@@ -291,6 +291,10 @@ def _row_count_checks(sources: dict[str, str]) -> str:
     )
 
 
+def _number(column: str) -> str:
+    return f"CAST(substr({column}, 3) AS BIGINT)"
+
+
 def _missing(other: str, key: str, base: str = "payments") -> str:
     return f"(SELECT count(*) AS missing FROM (SELECT {key} FROM {base} EXCEPT SELECT {key} FROM {other}))"
 
@@ -340,8 +344,13 @@ def oracle_sql() -> dict[str, str]:
         "generic_scan_orc": _ON_RAW
         + "SELECT ID, Category, Type, CAST(Amount AS DOUBLE) AS Amount, Location FROM raw_merchant",
         "dataset_reassembly": _ON_RAW + "SELECT * FROM raw_fraud_timing",
+        "uneven_parts": _ON_RAW
+        + f"""SELECT tx_id, n, CASE WHEN n % 3 <> 1 THEN payment_channel END AS payment_channel,
+       CASE WHEN n % 3 = 1 THEN location END AS location, CASE WHEN n % 3 <> 2 THEN n END AS x,
+       CASE WHEN n % 3 = 1 THEN location END AS y
+FROM (SELECT *, {_number("tx_id")} AS n FROM raw_payments)""",
         "file_row_audit": _ON_RAW
-        + "SELECT source, true AS has_files, n AS row_count FROM ("
+        + "SELECT source, NULL AS file_name, true AS has_files, n AS row_count FROM ("
         + _counts(
             {
                 "payments": "raw_payments",
@@ -351,9 +360,19 @@ def oracle_sql() -> dict[str, str]:
                 "fraud_timing": "raw_fraud_timing",
             }
         )
-        + ")",
+        + f""") UNION ALL
+SELECT 'payments_files', printf('payments-%s-%03d.csv', payment_channel, {_number("tx_id")} // 5000), true, count(*)
+FROM raw_payments GROUP BY ALL
+UNION ALL
+SELECT 'device_files', printf('device-%03d.json.gz', {_number("transaction_id")} // 5000), true, count(*) FROM raw_device GROUP BY ALL""",
+        "quarantine": _ON_RAW
+        + f"""SELECT 'payments_broken' AS source, CASE n WHEN 0 THEN 'TX' || substr(tx_id, 3, 1) ELSE 'cut' END AS "start",
+       CASE n WHEN 0 THEN tx_id ELSE 'cut' END AS "key"
+FROM (SELECT tx_id, {_number("tx_id")} % 50 AS n FROM raw_payments) WHERE n IN (0, 1)
+UNION ALL
+SELECT 'device_broken', '{{"t', NULL FROM raw_device WHERE {_number("transaction_id")} % 50 = 2""",
         "ingest_status": _ON_RAW
-        + "SELECT source, 'loaded' AS status, n AS row_count FROM ("
+        + "SELECT source, 'loaded' AS status, n AS row_count, CAST(0 AS BIGINT) AS malformed FROM ("
         + _counts(
             {
                 "payments": "raw_payments",
@@ -363,8 +382,10 @@ def oracle_sql() -> dict[str, str]:
                 "fraud_timing": "raw_fraud_timing",
             }
         )
-        + """) UNION ALL SELECT 'no_rows', 'empty', CAST(0 AS BIGINT)
-UNION ALL SELECT 'no_path', 'missing', NULL UNION ALL SELECT 'no_match', 'failed', NULL""",
+        + f""") UNION ALL SELECT 'no_rows', 'empty', CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+UNION ALL SELECT 'no_path', 'missing', NULL, NULL UNION ALL SELECT 'no_match', 'failed', NULL, NULL
+UNION ALL SELECT 'payments_broken', 'loaded', count(*), count(*) FILTER ({_number("tx_id")} % 50 IN (0, 1)) FROM raw_payments
+UNION ALL SELECT 'device_broken', 'loaded', count(*), count(*) FILTER ({_number("transaction_id")} % 50 = 2) FROM raw_device""",
         "rename_by_map": _ON_RAW
         + """SELECT ID AS transaction_id, Category, Type, CAST(Amount AS DOUBLE) AS amount,
        Location AS location FROM raw_merchant""",
@@ -443,6 +464,21 @@ LEFT JOIN lineitem l ON l.l_returnflag = f.l_returnflag""",
        CAST(mean_velocity AS DOUBLE) / 1e6 AS mean_velocity_score,
        CAST(min_velocity_score AS DOUBLE) AS min_velocity_score,
        avg_geo_anomaly_score, avg_spending_deviation_score FROM rollup_all""",
+        "key_sketches": " UNION ALL ".join(
+            f"SELECT 'lineitem' AS source, '{c}' AS \"column\", {c} AS item, count(*) AS item_count FROM lineitem GROUP BY {c}"
+            for c in ("l_returnflag", "l_linestatus")
+        ),
+        "bucketed_census": _ON_GAPS
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS source, 'transaction_id' AS \"key\", count(*) AS row_count, "
+            f"count(DISTINCT transaction_id) AS distinct_count, (SELECT missing FROM {_missing(name, 'transaction_id')}) AS missing FROM {name}"
+            for name in _SOURCES
+            if name != "customer_behavior"
+        ),
+        "fraud_summaries": _ON_FACTS
+        + " UNION ALL ".join(
+            _fraud_by(key).replace(f"SELECT {key},", f'SELECT {key} AS "key",', 1) for key in ("Category", "Type", "location")
+        ),
         "row_counts": _ON_SILVER + f"SELECT source, n AS row_count FROM ({_counts(_SOURCES)})",
         "uniqueness": _uniqueness("orders", "o_orderkey", "orders")
         + "\nUNION ALL\n"
@@ -463,6 +499,8 @@ LEFT JOIN lineitem l ON l.l_returnflag = f.l_returnflag""",
                 _coverage("device", "transaction_id"),
                 _coverage("fraud_timing", "transaction_id"),
                 _coverage("customer_behavior", "sender_account"),
+                _alert("'payments'", "cast", "'amount'", "n", "0", "'payments: ' || n || ' values of amount could not be read'")
+                + f" FROM (SELECT count(*) AS n FROM raw_payments WHERE {_number('tx_id')} % 50 = 0) WHERE n > 0",
                 _alert("'refunds'", "processing", "NULL", "NULL", "NULL", "'refunds: processing failed'"),
             ]
         ),
@@ -492,6 +530,7 @@ WHERE metric IN ('null_count', 'null_pct') AND metric_value > 0"""
             for key in ("Category", "Type", "location")
         ),
     }
+    sql["bucketed_join"] = sql["transaction_join"]
     for key in ("Category", "Type", "location"):
         low = key.lower()
         sql[f"fraud_by_{low}"] = _ON_FACTS + _fraud_by(key)

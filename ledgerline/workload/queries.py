@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from functools import partial, reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from ledgerline.operators import profile as P
 from ledgerline.operators import project as S
 from ledgerline.operators import quality as Q
 from ledgerline.operators import rank as R
+from ledgerline.operators import sketch as K
 from ledgerline.plans import decompose as D
 from ledgerline.plans.gold import GOLD_TABLE, SUMMARY_KEYS, to_gold, write_gold
 from ledgerline.plans.profiling import profile_job, review
@@ -35,6 +36,7 @@ from ledgerline.schemas import (
 )
 from ledgerline.sources import readers as IN
 from ledgerline.sources import sinks as OUT
+from ledgerline.sources.files import write_files
 from ledgerline.sources.scratch import scratch_folder
 from ledgerline.sources.together import all_together
 from ledgerline.workload.tables import bronze_sources, raw_sources, silver_sources, table, wide_transactions
@@ -78,13 +80,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Gold columns that the summaries read, from the sources that have them.
-
-    The sources are plans here, not tables, so heavy keys are not looked for:
-    that would run each of them twice.
-    """
+    """The Gold columns that the summaries read, from the sources that have them."""
     order = (PAYMENTS, MERCHANT, FRAUD_TIMING)
-    return J.transaction_join(silver_sources(spark, sf_dir, *order), order, heavy={}).select(*FACT_COLUMNS)
+    return J.transaction_join(silver_sources(spark, sf_dir, *order), order).select(*FACT_COLUMNS)
 
 
 def written_measures(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -182,17 +180,85 @@ def dataset_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IN.read_dataset(spark, *[f"{root}/{part}" for part in parts])
 
 
+@query("uneven_parts")
+def uneven_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parts of payments: columns that only some have, a number and a struct that one part holds narrower."""
+    root = scratch_folder(spark, "uneven")
+    payments = raw_sources(spark, sf_dir, PAYMENTS)[PAYMENTS].withColumn("n", _number("tx_id"))
+    parts = [
+        ("tx_id", "CAST(n AS INT) AS n", "payment_channel", "named_struct('x', CAST(n AS INT)) AS s"),
+        ("tx_id", "n", "location", "named_struct('y', location, 'x', n) AS s"),
+        ("n", "tx_id", "payment_channel"),
+    ]
+    for at, columns in enumerate(parts):
+        OUT.write_parquet(payments.filter(F.col("n") % 3 == at).selectExpr(*columns), f"{root}/{at}")
+    whole = IN.read_dataset(spark, *[f"{root}/{at}" for at in range(len(parts))])
+    return whole.select("tx_id", "n", "payment_channel", "location", F.col("s.x").alias("x"), F.col("s.y").alias("y"))
+
+
+#: Rows of a landing file in the query about files.
+FILE_ROWS = 5_000
+
+
+def _number(column: str) -> Column:
+    """The number of an event out of its transaction id."""
+    return F.substring(column, 3, 18).cast("bigint")
+
+
+def _landing_files(spark: SparkSession, sf_dir: str, landing: str) -> dict[str, IN.SourceSpec]:
+    """Payments as CSV files and device telemetry as compressed JSON files, some thousand rows each, under names of their own."""
+    raw = raw_sources(spark, sf_dir, PAYMENTS, DEVICE)
+    n, piece = _number("tx_id"), (_number("tx_id") / FILE_ROWS).cast("bigint")
+    named = raw[PAYMENTS].withColumn("name", F.format_string("payments-%s-%03d.csv", "payment_channel", piece))
+    lines = named.select("name", n.alias("at"), F.to_csv(F.struct(*raw[PAYMENTS].columns)).alias("value"))
+    headers = named.select("name").distinct().select("name", F.lit(-1).cast("bigint").alias("at"), F.lit(",".join(raw[PAYMENTS].columns)).alias("value"))
+    write_files(lines.unionByName(headers), f"{landing}/payments_files")
+    n, piece = _number("transaction_id"), (_number("transaction_id") / FILE_ROWS).cast("bigint")
+    telemetry = raw[DEVICE].select(F.format_string("device-%03d.json.gz", piece).alias("name"), n.alias("at"), F.to_json(F.struct("*")).alias("value"))
+    write_files(telemetry, f"{landing}/device_files", codec="gzip")
+    return {
+        "payments_files": IN.SourceSpec("csv", "/payments_files"),
+        "device_files": IN.SourceSpec("jsonl", "/device_files", DEVICE_SCHEMA),
+    }
+
+
 @query("file_row_audit")
 def file_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every published file whose name is known, and totals of the sources whose files Spark named."""
     landing, target = scratch_folder(spark, "landing"), scratch_folder(spark, "published")
     D.write_raw(raw_sources(spark, sf_dir), landing)
+    files = _landing_files(spark, sf_dir, landing)
     relative = {
         **D.raw_specs(""),
+        **files,
         "absent": IN.SourceSpec("parquet", "/absent"),
     }
     audit = publish(spark, landing, target, relative)
-    totals = audit_totals(audit)
-    return totals.withColumn("file_count", F.col("file_count") > 0).withColumnRenamed("file_count", "has_files")
+    by_name = F.col("source").isin(list(files))
+    name = F.regexp_extract("file_path", "[^/]+$", 0)
+    totals = audit_totals(audit.filter(~by_name)).select(
+        "source", F.lit(None).cast("string").alias("file_name"), (F.col("file_count") > 0).alias("has_files"), "row_count"
+    )
+    return totals.unionByName(
+        audit.filter(by_name).select("source", name.alias("file_name"), F.lit(True).alias("has_files"), "row_count")
+    )
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str, root: str) -> dict[str, IN.SourceSpec]:
+    """CSV lines with a word for an amount or with one field, and JSON lines cut in half."""
+    raw = raw_sources(spark, sf_dir, PAYMENTS, DEVICE)
+    n = _number("tx_id") % 50
+    amount = F.when(n == 0, "n/a").otherwise(F.col("amount").cast("string"))
+    line = F.to_csv(F.struct(*raw[PAYMENTS].columns), {"timestampFormat": OUT.TEXT_TIMESTAMP})
+    lines = raw[PAYMENTS].withColumn("amount", amount).select(F.when(n == 1, "cut").otherwise(line).alias("value"))
+    lines.write.text(f"{root}/raw/payments_broken")
+    text, n = F.to_json(F.struct("*")), _number("transaction_id") % 50
+    cut = F.when(n == 2, F.substring(text, 1, 20)).otherwise(text)
+    raw[DEVICE].select(cut.alias("value")).write.text(f"{root}/raw/device_broken")
+    return {
+        "payments_broken": IN.SourceSpec("csv", f"{root}/raw/payments_broken", PAYMENTS_SCHEMA, options={"header": False}),
+        "device_broken": IN.SourceSpec("jsonl", f"{root}/raw/device_broken", DEVICE_SCHEMA),
+    }
 
 
 @query("ingest_status")
@@ -204,10 +270,27 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs["no_rows"] = IN.SourceSpec("csv", f"{root}/raw/none", PAYMENTS_SCHEMA)
     specs["no_path"] = IN.SourceSpec("parquet", f"{root}/raw/absent")
     specs["no_match"] = IN.SourceSpec("csv", f"{root}/raw/payments_core", DEVICE_SCHEMA)
+    specs |= _broken_lines(spark, sf_dir, root)
     _, status = IN.ingest(spark, specs, f"{root}/bronze")
     return status.drop("message")
 
 
+@query("quarantine")
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that ingest put aside: their raw text, and the key where it could be read."""
+    root = scratch_folder(spark, "quarantine")
+    specs = _broken_lines(spark, sf_dir, root)
+    IN.ingest(spark, specs, f"{root}/bronze", drop_malformed=True)
+    keys = {"payments_broken": "tx_id", "device_broken": "transaction_id"}
+    aside = [
+        spark.read.parquet(f"{root}/bronze/{IN.QUARANTINE}/{name}").select(
+            F.lit(name).alias("source"), F.substring(IN.MALFORMED, 1, 3).alias("start"), F.col(key).alias("key")
+        )
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, aside)
+
+
 # Projection, casts, derived columns ---------------------------------------------
 
 
@@ -337,7 +420,9 @@ def duplicate_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"), "l_linenumber", "l_quantity", "l_returnflag"
     )
-    return J.transaction_join({"orders": orders, "items": items}, ("orders", "items"))
+    names = ("orders", "items")
+    heavy = dict(zip(names, J.heavy_keys((orders, "transaction_id"), (items, "transaction_id"))))
+    return J.transaction_join({"orders": orders, "items": items}, names, heavy=heavy)
 
 
 @query("heavy_key_join")
@@ -345,7 +430,8 @@ def heavy_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items by return flag, three keys for the whole table, joined to a row per flag."""
     items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
     per_flag = items.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("flag_rows"))
-    return J.behavior_join(items, per_flag, "l_returnflag")
+    (heavy,) = J.heavy_keys((items, "l_returnflag"))
+    return J.behavior_join(items, per_flag, "l_returnflag", heavy)
 
 
 @query("heavy_right_join")
@@ -359,6 +445,34 @@ def heavy_right_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.left_join(flags, items, "l_returnflag", right_heavy=heavy)
 
 
+@query("key_sketches")
+def key_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent keys of two batches, sketched apart and merged, with as many rows as a count gives."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+    batches = [items.filter(F.col("l_linenumber") % 2 == at) for at in (0, 1)]
+    rows = [K.sketched(df, "lineitem", ("l_returnflag", "l_linestatus")) for df in batches]
+    return K.top_items(reduce(DataFrame.unionByName, rows), 10)
+
+
+def _bucketed_silver(spark: SparkSession, sf_dir: str, gaps: bool) -> Mapping[str, DataFrame]:
+    """Silver tables bucketed by transaction id, a bucket for each shuffle partition."""
+    root = scratch_folder(spark, "bucketed")
+    bronze = bronze_sources(spark, sf_dir, *TRANSACTION_SOURCES, gaps=gaps)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    silver, _ = refine(spark, bronze, root, buckets=buckets, tables=root.rsplit("/", 1)[1].replace("-", "_"))
+    return silver
+
+
+@query("bucketed_join")
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(J.transaction_join(_bucketed_silver(spark, sf_dir, gaps=False)))
+
+
+@query("bucketed_census")
+def bucketed_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.key_census(_bucketed_silver(spark, sf_dir, gaps=True), "transaction_id")
+
+
 @query("key_coverage")
 def key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_sources(spark, sf_dir, gaps=True)
@@ -423,6 +537,18 @@ for _label, _measure in (("count", "fraud_transaction_count"), ("amount", "fraud
     _ranked_queries(f"ranked_type_by_{_label}", "Type", _measure)
 
 
+@query("fraud_summaries")
+def fraud_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three summaries from one scan of the facts."""
+    parts = A.fraud_parts(gold_facts(spark, sf_dir), SUMMARY_KEYS)
+    # Written once, as for Gold: each summary reads its own parts.
+    path = scratch_folder(spark, "parts")
+    OUT.write_parquet(parts, path)
+    parts = spark.read.parquet(path)
+    each = [A.summary_of(parts, key).withColumnRenamed(key, "key") for key in SUMMARY_KEYS]
+    return comparable(reduce(DataFrame.unionByName, each))
+
+
 @query("row_counts")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.row_counts(bronze_sources(spark, sf_dir))
@@ -455,7 +581,13 @@ def row_count_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("alerts")
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.alerts(silver_sources(spark, sf_dir, gaps=True), failed=["refunds"])
+    """Sources with gaps, and amounts of which some cannot be read."""
+    bronze = bronze_sources(spark, sf_dir, gaps=True)
+    text = F.col("amount").cast("string")
+    spoilt = F.when(_number("tx_id") % 50 == 0, F.concat(text, F.lit(" EUR"))).otherwise(text)
+    bronze[PAYMENTS] = bronze[PAYMENTS].withColumn("amount", spoilt)
+    silver = {name: S.standardize(df, failures=True) for name, df in bronze.items()}
+    return Q.alerts(silver, failed=["refunds"])
 
 
 @query("profile")

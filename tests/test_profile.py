@@ -87,3 +87,15 @@ def test_null_issue_rounding_is_half_even(spark):
         "source string, column_name string, metric string, metric_value double",
     )
     assert [r["metric_value"] for r in P.null_issues(df).collect()] == [0.2, 0.4]
+
+
+def test_long_values_travel_as_digests(spark):
+    long = "x" * 500
+    df = spark.createDataFrame(
+        [("a" * 16,), ("a" * 17,), (long,), (long,), (long + "y",), ("",), (None,)], "k string"
+    ).select("k", F.col("k").cast("binary").alias("b"), F.struct("k").alias("s"))
+    got = {r["at"]: r for r in P.column_metrics({"t": df}).collect()}
+    assert [got[at]["distinct_count"] for at in range(3)] == [6, 6, 6]
+    assert [got[at]["null_count"] for at in range(3)] == [1, 1, 0]
+    pairs = df.selectExpr(P._slots(df.schema["k"])[0] + " AS v")
+    assert pairs.selectExpr("max(octet_length(v))").first()[0] == P.SHORT + 1
