@@ -47,20 +47,32 @@ def lexicon(docs: DataFrame, common: float, least: int) -> tuple[DataFrame, Data
     return found.filter(F.col("df") <= edge).select("term"), found.filter(F.col("df") > edge).select("term")
 
 
-def _fingerprint(level: str, held: str, whole: str) -> Column:
-    """The parts of the level and of the next one; without terms in the band, `x` and the hash of all terms."""
+#: Added to the level of a text without terms in the band, so that it is compared with its like alone.
+OUTSIDE = 1_000
 
-    def row(up: int) -> Column:
-        parts = []
-        for part in range(PARTS):
-            mine = F.expr(
-                f"filter({held}, h -> pmod(h, {PARTS}) = {part} AND shiftright(h, 8) & (shiftleft(1L, {level} + {up}) - 1) = 0)"
-            )
-            parts.append(F.when(F.size(mine) > 0, F.lower(F.hex(F.xxhash64(mine)))).otherwise(""))
-        return F.concat_ws(",", *parts)
 
-    made = F.concat_ws("/", F.col(level).cast("string"), row(0), row(1))
-    return F.when(F.size(held) > 0, made).otherwise(F.concat(F.lit("x"), F.lower(F.hex(F.col(whole)))))
+def _fingerprint(level: str, held: str, drawn: str, whole: str) -> Column:
+    """The parts of the level and of the next one.
+
+    A text without terms in the band has parts of the terms that were drawn from it, at levels of
+    their own, so that its edited form is still like it; without any, `x` and the hash of all terms.
+    """
+
+    def made(terms: str, place: Column) -> Column:
+        def row(up: int) -> Column:
+            parts = []
+            for part in range(PARTS):
+                mine = F.expr(
+                    f"filter({terms}, h -> pmod(h, {PARTS}) = {part} AND shiftright(h, 8) & (shiftleft(1L, {level} + {up}) - 1) = 0)"
+                )
+                parts.append(F.when(F.size(mine) > 0, F.lower(F.hex(F.xxhash64(mine)))).otherwise(""))
+            return F.concat_ws(",", *parts)
+
+        return F.concat_ws("/", place.cast("string"), row(0), row(1))
+
+    nothing = F.concat(F.lit("x"), F.lower(F.hex(F.col(whole))))
+    outside = F.when(F.size(drawn) > 0, made(f"sort_array({drawn})", F.col(level) + OUTSIDE)).otherwise(nothing)
+    return F.when(F.size(held) > 0, made(held, F.col(level))).otherwise(outside)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -169,7 +181,7 @@ def fingerprint_edits(docs: DataFrame, common: float = 0.02, least: int = 2) ->
             f"{side}held", F.sort_array(F.array_intersect(F.coalesce("inside", empty), f"{side}drawn"))
         )
     made = held.select(
-        "doc_id", "next_id", "n_chars", "edited_sha256", *[_fingerprint(f"{s}level", f"{s}held", f"{s}whole").alias(f"{s}fingerprint") for s in sides]
+        "doc_id", "next_id", "n_chars", "edited_sha256", *[_fingerprint(f"{s}level", f"{s}held", f"{s}drawn", f"{s}whole").alias(f"{s}fingerprint") for s in sides]
     )
     made = written(made, "fingerprints")
     following = made.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
