@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from ledgerline.sources.files import Files
 from ledgerline.sources.scratch import scratch_folder
 
 
@@ -24,7 +25,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read any more, because what they led to is written itself."""
+    for table in tables:
+        Files(table.sparkSession).delete(table.scratch_path)
 
 
 #: Rows of a side that joins may send to every task; the tables it is used for have rows of at most 200 bytes.

@@ -172,6 +172,36 @@ SPAN = pa.list_(
 )
 
 
+def runs_beside(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
+    """Candidates that overlap no base span."""
+    return [
+        ("learned", a, b, word) for a, b, word in candidates(text) if not any(a < end and start < b for _, start, end, _ in base)
+    ]
+
+
+def plain_words(text: str) -> list[str]:
+    """The first few long words of letters, by hash, so that one text cannot give them all."""
+    return sorted({w for _, w in long_words(text) if w.isalpha()}, key=lambda w: hashlib.md5(w.encode()).digest())[:2]
+
+
+class Grammars:
+    """One automaton for each kind of which (kind, secret) rows have examples, and that of ordinary words."""
+
+    def __init__(self, labelled: DataFrame, sample: int, margin: float):
+        found = {}
+        for kind in ("assign", "access", "hex", "plain"):
+            drawn = labelled.filter(F.col("kind") == kind).select("secret").distinct()
+            values = [r["secret"] for r in drawn.orderBy(F.xxhash64("secret"), "secret").limit(sample).collect()]
+            if values:
+                found[kind] = Automaton(values)
+        self.plain, self.margin = found.pop("plain", None) or Automaton([]), margin
+        self.kinds = found
+
+    def accept(self, word: str) -> bool:
+        usual = self.plain.likelihood(word) + self.margin
+        return any(g.likelihood(word) >= usual for g in self.kinds.values())
+
+
 def find_secrets(docs: DataFrame, sample: int = 400, margin: float = 0.5) -> DataFrame:
     """All columns of `docs` but the text, with `base` and `learned`: arrays of (kind, start, end, secret).
 
@@ -196,14 +226,7 @@ def find_secrets(docs: DataFrame, sample: int = 400, margin: float = 0.5) -> Dat
         for value in batch.column(batch.schema.get_field_index("text")):
             text = value.as_py() or ""
             base = base_spans(text)
-            runs = [
-                ("learned", a, b, word)
-                for a, b, word in candidates(text)
-                if not any(a < end and start < b for _, start, end, _ in base)
-            ]
-            # The first few long words of a text, by hash, so that one text cannot give them all.
-            plain = sorted({w for _, w in long_words(text) if w.isalpha()}, key=lambda w: hashlib.md5(w.encode()).digest())
-            rows.append((base, runs, plain[:2]))
+            rows.append((base, runs_beside(text, base), plain_words(text)))
         fields = [f.name for f in schema]
         named = [[[dict(zip(("kind", "start", "end", "secret"), s)) for s in spans] for spans in column] for column in list(zip(*rows))[:2] or ((), ())]
         arrays = [pa.array(named[0], SPAN), pa.array(named[1], SPAN), pa.array([r[2] for r in rows], found[2][1])]
@@ -213,22 +236,12 @@ def find_secrets(docs: DataFrame, sample: int = 400, margin: float = 0.5) -> Dat
     labelled = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.secret").unionByName(
         scanned.select(F.lit("plain").alias("kind"), F.explode("plain").alias("secret"))
     )
-    grammars = {}
-    for kind in ("assign", "access", "hex", "plain"):
-        drawn = labelled.filter(F.col("kind") == kind).select("secret").distinct()
-        values = [r["secret"] for r in drawn.orderBy(F.xxhash64("secret"), "secret").limit(sample).collect()]
-        if values:
-            grammars[kind] = Automaton(values)
-    plain = grammars.pop("plain", None) or Automaton([])
+    grammars = Grammars(labelled, sample, margin)
 
     def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = batch.schema.get_field_index("runs")
         learned = [
-            [
-                run
-                for run in runs.as_py() or ()
-                if any(g.likelihood(run["secret"]) >= plain.likelihood(run["secret"]) + margin for g in grammars.values())
-            ]
+            [run for run in runs.as_py() or () if grammars.accept(run["secret"])]
             for runs in batch.column(at)
         ]
         kept = [c for k, c in enumerate(batch.columns) if k != at]
@@ -256,38 +269,52 @@ def span_list(spans: Column) -> Column:
     return F.array_join(F.transform(ranked, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", **limits) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", sample: int = 400, margin: float = 0.5) -> DataFrame:
     """`docs` with every found span of its texts replaced by `mark`, and `n_chars`, if there, brought in line.
 
     A span that begins inside the one before it is covered by the same mark.  A
-    NULL text stays NULL, and rows without secrets stay as they are.
+    NULL text stays NULL, and rows without secrets stay as they are.  An `n_chars`
+    that is no whole number stays too.
+
+    Texts are scanned twice: for the examples of the grammars, which alone are
+    written, and to blank what the patterns and the grammars find in place.
     """
-    names = docs.columns
-    key = F.monotonically_increasing_id()
-    numbered = written(docs.withColumn("_redact_row", key), "redact")
-    found = find_secrets(numbered.select("_redact_row", "text"), **limits)
-    spans = found.select("_redact_row", F.concat("base", "learned").alias("_redact_spans")).filter(F.size("_redact_spans") > 0)
-    out = to_arrow_schema(docs.schema)
+    examples = pa.schema([("kind", pa.string()), ("secret", pa.string())])
+
+    def learn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = set()
+        for value in batch.column(0):
+            text = value.as_py() or ""
+            rows.update((kind, secret) for kind, _, _, secret in base_spans(text))
+            rows.update(("plain", word) for word in plain_words(text))
+        columns = list(zip(*sorted(rows))) or ((), ())
+        yield pa.record_batch([pa.array(c, pa.string()) for c in columns], schema=examples)
+
+    grammars = Grammars(written(map_batches(docs.select("text"), learn, examples), "examples"), sample, margin)
+    out, names = to_arrow_schema(docs.schema), docs.columns
+    counted = "n_chars" in names and pa.types.is_integer(out.field("n_chars").type)
+
+    def blanked(text: str) -> str:
+        base = base_spans(text)
+        learned = [run for run in runs_beside(text, base) if grammars.accept(run[3])]
+        if not (base or learned):
+            return text
+        pieces, done = [], 0
+        for start, end in sorted((a, b) for _, a, b, _ in (*base, *learned)):
+            if start >= done:
+                pieces += [text[done:start], mark]
+            done = max(done, end)
+        return "".join((*pieces, text[done:]))
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at = batch.schema.get_field_index("text")
-        rows = []
-        for value, marked in zip(batch.column(at), batch.column(batch.schema.get_field_index("_redact_spans"))):
-            text = value.as_py()
-            if found_here := marked.as_py():
-                pieces, done = [], 0
-                for start, end in sorted((s["start"], s["end"]) for s in found_here):
-                    if start >= done:
-                        pieces += [text[done:start], mark]
-                    done = max(done, end)
-                text = "".join((*pieces, text[done:]))
-            rows.append(text)
-        columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-        columns[names.index("text")] = pa.array(rows, out.field("text").type)
-        if "n_chars" in names:
+        before = batch.column(names.index("text")).to_pylist()
+        after = [text and blanked(text) for text in before]
+        columns = list(batch.columns)
+        columns[names.index("text")] = pa.array(after, out.field("text").type)
+        if counted:
             k = names.index("n_chars")
-            changed = [len(t) if s.is_valid and t is not None else old.as_py() for t, s, old in zip(rows, batch.column(batch.schema.get_field_index("_redact_spans")), columns[k])]
-            columns[k] = pa.array(changed, out.field("n_chars").type)
+            sizes = [n if a == b else len(b) for n, a, b in zip(columns[k].to_pylist(), before, after)]
+            columns[k] = pa.array(sizes, out.field("n_chars").type)
         yield pa.record_batch(columns, names=names)
 
-    return map_batches(numbered.join(spans, "_redact_row", "left"), work, out)
+    return map_batches(docs, work, out)

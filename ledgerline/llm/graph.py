@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import if_small, written
+from ledgerline.llm.common import discard, if_small, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
         after = written(small.select(F.col("e.a"), F.col("e.m").alias("b")).filter("a <> b").distinct(), "edges")
         after_seen = state(after)
         if after_seen == seen:
+            discard(after)
             break
+        discard(now)
         now, seen = after, after_seen
     tops = now.select("b").distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(

@@ -8,9 +8,12 @@ for then no pair that is left can join two components.  A pair is looked at only
 while its two classes are in different components.  First by its packed
 signatures: the low bits of the minima, compared by counting bits and corrected
 for the chance that low bits agree by accident.  What may be similar is
-confirmed on the full sets.  After the first round, shingles that only one of
-the remaining classes has bound what it can share with any other, exactly, so
-variants that lie too far from all others are not compared one by one.
+confirmed on the full sets.
+
+Shingles that only one class has bound what it can share with any other, and so
+the sizes that a partner of it may have, exactly: variants that lie too far from
+all others are not compared.  After a few rounds of pivots the pairs that these
+bounds leave are looked up by bucket and size, which ends the search.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bits import HashBits
-from ledgerline.llm.common import if_small, map_batches, texts, written
+from ledgerline.llm.common import discard, if_small, map_batches, texts, written
 from ledgerline.llm.graph import components
 from ledgerline.llm.shingles import gram_hashes, word_hashes, words_of
 
@@ -95,27 +98,29 @@ SIGNED = pa.schema(
         ("n_shingles", pa.int64()),
         ("sig", pa.list_(pa.int64())),
         ("bands", pa.list_(pa.int64())),
+        ("row", pa.int64()),
     ]
 )
 
 
-def signatures(docs: DataFrame, words: int) -> DataFrame:
+def signatures(docs: DataFrame, words: int, row: str | None = None) -> DataFrame:
     """Per row: the key of its shingle set, the set's size, packed signature and band hashes; NULLs for no words."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch)):
+        for doc_id, number, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts(batch)):
             shingles = shingle_set(text, words)
             if len(shingles):
                 smallest = minima(shingles)
                 sig, band = packed(smallest).view(np.int64), bands(smallest).view(np.int64)
-                rows.append((doc_id, set_key(shingles), len(shingles), sig, band))
+                rows.append((doc_id, set_key(shingles), len(shingles), sig, band, number))
             else:
-                rows.append((doc_id, None, 0, None, None))
+                rows.append((doc_id, None, 0, None, None, number))
         columns = list(zip(*rows)) or [()] * len(SIGNED)
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, SIGNED)], schema=SIGNED)
 
-    return map_batches(docs.select("doc_id", "text"), work, SIGNED)
+    number = F.lit(None).cast("bigint") if row is None else F.col(row)
+    return map_batches(docs.select("doc_id", "text", number.alias("row")), work, SIGNED)
 
 
 def _confirmed(pairs: DataFrame, held: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -159,7 +164,11 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return map_batches(known, work, out).join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+#: Rounds of pivots before the pairs that are left are looked up, and standard deviations that an estimate may lie too low.
+PIVOT_ROUNDS, DEVIATIONS = 2, 6
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, row: str | None = None) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if their sets of distinct shingles of `words` words
@@ -169,13 +178,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     one shingle; one without words, or NULL, has none and is linked with nothing,
     and so is a row without an id (component NULL, kept).  Rows that repeat an id
     belong to the component of their text; those that also repeat the text all
-    have the same result.  Other columns are not looked at.
+    have the same result.  Other columns are not looked at.  With `row`, a column
+    that numbers the rows with longs, the result has it too, and `component`, which
+    is equal just for the rows of one component, NULL for rows linked with nothing.
 
     A pair at the threshold is missed by all bands with probability
-    (1 - 0.8**4)**32 < 1e-7; the estimate drops a pair only when it lies four
-    standard deviations below.
+    (1 - 0.8**4)**32 < 1e-7; the estimate drops a pair only when it lies six
+    standard deviations below, which at the threshold has a probability below 1e-7.
     """
-    signed = written(signatures(docs, words), "signatures")
+    signed = written(signatures(docs, words, row), "signatures")
     usable = signed.filter("node IS NOT NULL AND doc_id IS NOT NULL")
     classes = written(
         usable.groupBy("node").agg(
@@ -186,11 +197,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     labels = _labels(docs, classes, words, similarity)
     known = classes.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = known.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = known.join(lowest, "label").select("node", "component_id")
+    of_class = known.join(lowest, "label").select("node", "component_id", F.col("label").alias("component"))
     # A class of a third of all rows meets one row of the other side; adaptive execution splits its rows.
-    found = usable.select("doc_id", "node", "n_shingles").join(of_class, "node").select("doc_id", "n_shingles", "component_id")
-    rest = signed.filter("node IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).alias("component_id"))
-    return found.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull())
+    found = usable.select("doc_id", "node", "n_shingles", "row").join(of_class, "node").drop("node")
+    rest = signed.filter("node IS NULL OR doc_id IS NULL").select(
+        "doc_id",
+        "n_shingles",
+        "row",
+        F.when(F.col("node").isNull(), F.col("doc_id")).alias("component_id"),
+        F.lit(None).cast("binary").alias("component"),
+    )
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull()
+    more = [] if row is None else [F.col("row").alias(row), "component"]
+    return found.unionByName(rest).select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *more)
 
 
 def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -203,76 +222,113 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
     active = written(classes.drop("bands").join(weight, "node"), "bucket-classes")
     held = written(_texts_of(docs, active.select("node", "rep"), words), "bucket-texts")
     labels = active.select("node", F.col("node").alias("label"))
+    percent = round(similarity * 100)
+    own = _own_shingles(active, held, words)
+    # The largest partner that a class may have: two sets share no more than what either has in common with any other.
+    reach = F.floor(((100 + percent) * (F.col("n") - F.col("own")) - percent * F.col("n")) / percent)
+    known = active.join(if_small(own), "node").withColumn("reach", reach)
     members = shared.select("key", "node").join(
-        active.select("node", F.col("node").alias("label"), "n", F.lit(0).cast("bigint").alias("own"), "sig", "weight"), "node"
+        known.select("node", F.col("node").alias("label"), "n", "reach", "sig", "weight"), "node"
     )
+    # A partner has that share of a class's size at least.
+    members = written(members.filter(100 * F.col("reach") >= percent * F.col("n")), "members")
 
     agreement = 2.0**-LOW_BITS + (1 - 2.0**-LOW_BITS) * similarity
-    least = similarity - 4 * math.sqrt(agreement * (1 - agreement) / MINIMA) / (1 - 2.0**-LOW_BITS)
+    least = similarity - DEVIATIONS * math.sqrt(agreement * (1 - agreement) / MINIMA) / (1 - 2.0**-LOW_BITS)
     tried: list[DataFrame] = []
-    groups = 1
-    while True:
-        whole = F.struct("weight", "node", "label", "n", "own", "sig")
-        # A bucket gets more pivots each round: of more labels, and later of more members of a label.
-        group = (F.pmod(F.xxhash64("label"), F.lit(groups)), F.pmod(F.xxhash64("node"), F.lit(max(1, groups // 64))))
-        pivots = written(
-            members.groupBy("key", group[0].alias("g"), group[1].alias("h")).agg(F.max(whole).alias("p")), "pivots"
-        )
-        few = pivots.count()
-        against = members.join(if_small(pivots.select("key", "p"), few), "key").filter("label <> p.label")
-        # Two sets share no more than what either has in common with any other.
-        most = F.least(F.col("n") - F.col("own"), F.col("p.n") - F.col("p.own"))
-        possible = 100 * most >= round(similarity * 100) * (F.col("n") + F.col("p.n") - most)
-        alike = possible & (estimate(F.col("sig"), F.col("p.sig")) >= least)
-        pairs = against.filter(alike).select(
-            F.col("node").alias("member"),
-            F.least("node", "p.node").alias("a"),
-            F.greatest("node", "p.node").alias("b"),
-            estimate(F.col("sig"), F.col("p.sig")).alias("est"),
-        )
+    for turn in range(PIVOT_ROUNDS + 1):
+        mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        left = written(members.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "members")
+        discard(members)
+        members = left
+        if members.isEmpty():
+            break
+        pivots = None
+        if turn < PIVOT_ROUNDS:
+            pivots, pairs = _pivot_pairs(members, 8**turn, least)
+        else:
+            pairs = _pairs_left(members, percent, least)
         # A pair that came up before was confirmed, refused or settled by others.
         if tried:
             pairs = pairs.join(if_small(reduce(DataFrame.unionByName, tried)), ["a", "b"], "left_anti")
         pairs = written(pairs.groupBy("a", "b").agg(F.first("member").alias("member"), F.first("est").alias("est")), "pairs")
         tried.append(pairs.select("a", "b"))
-        before = labels
-        if groups == 1:
-            # One likely link for each class settles most components; few pairs are left to confirm.
-            best = pairs.groupBy("member").agg(F.max(F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-            best = written(best, "best")
-            labels = _linked(labels, best, held, words, similarity)
-            pairs = written(_apart(pairs.join(if_small(best), ["a", "b"], "left_anti").select("a", "b"), labels), "pairs")
+        # One likely link for each class settles most components; few pairs are left to confirm.
+        best = pairs.groupBy("member").agg(F.max(F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+        best = written(best, "best")
+        labels = _linked(labels, best, held, words, similarity)
+        pairs = written(_apart(pairs.join(if_small(best), ["a", "b"], "left_anti").select("a", "b"), labels), "pairs")
         labels = _linked(labels, pairs, held, words, similarity)
+        if pivots is None:
+            break
         spent = pivots.select("key", F.col("p.node").alias("node"))
-        left = members.join(if_small(spent, few), ["key", "node"], "left_anti")
-        if labels is not before:
-            left = left.drop("label").join(if_small(labels), "node")
-        mixed = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        members = written(left.join(mixed.filter("low <> high").select("key"), "key", "left_semi"), "members")
-        if members.isEmpty():
-            return labels
-        if groups == 1:
-            members = members.drop("own").join(if_small(_own_shingles(members, held, words)), "node")
-        groups = min(groups * 8, 1 << 40)
+        left = members.join(if_small(spent), ["key", "node"], "left_anti").drop("label").join(if_small(labels), "node")
+        left = written(left, "members")
+        discard(members, pivots)
+        members = left
+    return labels
+
+
+def _candidates(joined: DataFrame, least: float) -> DataFrame:
+    """(a, b, member, est) of joined rows (node, sig, other_node, other_sig) that the estimate leaves."""
+    est = estimate(F.col("sig"), F.col("other_sig"))
+    return joined.withColumn("est", est).filter(F.col("est") >= least).select(
+        F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"), F.col("node").alias("member"), "est"
+    )
+
+
+def _pivot_pairs(members: DataFrame, groups: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """Pivots of the buckets, one for each of some groups of labels, and the pairs of members with them."""
+    whole = F.struct("weight", "node", "label", "n", "reach", "sig")
+    group = F.pmod(F.xxhash64("label"), F.lit(groups))
+    pivots = written(members.groupBy("key", group.alias("g")).agg(F.max(whole).alias("p")), "pivots")
+    near = (F.col("n") <= F.col("p.reach")) & (F.col("p.n") <= F.col("reach"))
+    against = members.join(if_small(pivots.select("key", "p")), "key").filter((F.col("label") != F.col("p.label")) & near)
+    return pivots, _candidates(against.select("node", "sig", F.col("p.node").alias("other_node"), F.col("p.sig").alias("other_sig")), least)
+
+
+def _pairs_left(members: DataFrame, percent: int, least: float) -> DataFrame:
+    """All pairs of one bucket with different labels whose sizes lie within each other's reach.
+
+    A class asks only for the sizes, of those in its bucket, at which some class of another label
+    may be its partner; then bucket and size are the key of the join.
+    """
+    by_label = members.groupBy("key", "n", "label").agg(F.max("reach").alias("reach"))
+    top = by_label.groupBy("key", "n").agg(F.max(F.struct("reach", "label")).alias("top"))
+    other = by_label.join(top, ["key", "n"]).filter(F.col("label") != F.col("top.label"))
+    second = other.groupBy("key", "n").agg(F.max("reach").alias("second"))
+    sizes = written(top.join(second, ["key", "n"], "left").select("key", F.col("n").alias("size"), "top", "second"), "sizes")
+    farthest = F.when(F.col("label") == F.col("top.label"), F.col("second")).otherwise(F.col("top.reach"))
+    fits = (F.col("size") <= F.col("n")) & (100 * F.col("size") >= percent * F.col("n")) & (F.col("size") <= F.col("reach"))
+    asked = members.join(if_small(sizes), "key").filter(fits & (farthest >= F.col("n"))).select("key", "size", "node", "label", "n", "sig")
+    others = members.select(
+        "key", F.col("n").alias("size"), F.col("node").alias("other_node"), F.col("label").alias("other_label"),
+        F.col("reach").alias("other_reach"), F.col("sig").alias("other_sig"),
+    )
+    # Of two classes of one size the one with the larger key asks.
+    once = (F.col("size") < F.col("n")) | (F.col("other_node") < F.col("node"))
+    found = asked.join(others, ["key", "size"]).filter((F.col("label") != F.col("other_label")) & (F.col("other_reach") >= F.col("n")) & once)
+    return _candidates(found, least)
 
 
-def _own_shingles(members: DataFrame, held: DataFrame, words: int) -> DataFrame:
-    """(node, own): how many shingles of a class no other class among the members has."""
+def _own_shingles(nodes: DataFrame, held: DataFrame, words: int) -> DataFrame:
+    """(node, own): how many shingles of a class no other one of these classes has."""
     out = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = [shingle_set(t, words).view(np.int64) for t in texts(batch)]
         yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=out)
 
-    nodes = written(members.select("node").distinct(), "active")
-    sets = map_batches(held.join(if_small(nodes), "node", "left_semi").select("node", "text"), work, out)
+    sets = map_batches(held.select("node", "text"), work, out)
     single = (
         sets.select("node", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
         .filter("df = 1")
     )
-    counts = nodes.select("node", F.lit(0).alias("k")).unionByName(single.select("node", F.lit(1).alias("k")))
+    # A row per class with shingles of its own, and one for the class itself.
+    single = single.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+    counts = nodes.select("node", F.lit(0).cast("bigint").alias("k")).unionByName(single)
     return written(counts.groupBy("node").agg(F.sum("k").alias("own")), "own-shingles")
 
 
