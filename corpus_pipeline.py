@@ -2,13 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; `run` writes it as
 Parquet and gives what it reads back to the next.  All stages but the last
-return the columns of `documents`.  A row without an id passes the stages that
-compare documents, for nothing can be said about it there.
+return the columns of `documents`, whatever they are called.  Every stage judges
+rows, not ids, so of rows that share an id each has its own fate.  NULL and empty
+texts are clean and like nothing, and pass.  An empty table stays empty.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +28,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: flo
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id."""
-    found = neardup.near_duplicates(docs, words=5, similarity=0.8)
-    return _without(docs, found.filter(~F.col("kept")).select("doc_id"))
+    """One row of each group of near copies: that with the smallest id, and of rows that repeat it one.
+
+    A row without words is like nothing, and one without an id is left alone.
+    """
+    rows, number = _numbered(docs)
+    found = written(neardup.near_duplicates(rows, words=5, similarity=0.8, row=number), "near-copies")
+    grouped = found.filter("component IS NOT NULL")
+    first = grouped.groupBy("component").agg(F.min(F.struct("doc_id", number)).alias("first"))
+    more = grouped.join(first, "component").filter(F.col("first") != F.struct("doc_id", number))
+    return _without(rows, more, number)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = leaks.leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select("doc_id").distinct())
+    """Rows without a passage of the benchmark."""
+    rows, number = _numbered(docs)
+    found = leaks.leaks(rows.select(F.col(number).alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.select(F.col("doc_id").alias(number)).distinct(), number)
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +57,25 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return chunks.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
-    """The documents whose id is not among the `bad` ones.  Both sides of the join are tables, read as they are."""
-    return docs.join(written(bad, "dropped"), "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number of each row, and the name of its column, which no other has.
+
+    The number is a hash of the file and the place of the row in it, so it is the
+    same in every scan, whatever ids repeat or are missing.  A frame that is no
+    file scan is written first.
+    """
+    name = "row_" + "_".join(docs.columns)
+    number = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name)
+    try:
+        return docs.select(*docs.columns, number), name
+    except AnalysisException:
+        docs = written(docs, "numbered")
+        return docs.select(*docs.columns, number), name
+
+
+def _without(rows: DataFrame, bad: DataFrame, number: str) -> DataFrame:
+    """The rows whose number is not among the `bad` ones.  Both sides of the join are tables, read as they are."""
+    return rows.join(written(bad.select(number), "dropped"), number, "left_anti").drop(number)
 
 
 STAGES = [
