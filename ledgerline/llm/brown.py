@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_batches, signed, texts, written
+from ledgerline.llm.common import discard, map_batches, signed, texts, written
 from ledgerline.llm.shingles import words_of
 
 SUFFIX_BITS = 10
@@ -273,33 +273,49 @@ def _class_pairs(contexts: DataFrame, assigned: np.ndarray, classes: int) -> np.
     return counts.reshape(classes, classes)
 
 
-def _rare_contexts(docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int) -> tuple[DataFrame, DataFrame]:
-    """What the words that are not frequent meet in training texts.
+#: Sweeps over the words that are not frequent, at most, and the kinds of keys that their contexts have: the class of a
+#: frequent word after the word and of another one, of a frequent word before it and of another one, and the word itself.
+SWEEPS = 6
+NEXT, NEXT_RARE, PREV, PREV_RARE, ITSELF = range(5)
 
-    First (h, fixed): pairs of a key and n, the key being the class of a frequent
-    word after h, or `classes` and that of one before it.  Then (prev, next, n)
-    where neither word is frequent.
+
+def _rare_contexts(
+    docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the words that are not frequent meet in training texts, from one scan.
+
+    First (h, met): pairs of a key and n, the key being a kind of neighbour times
+    `classes` and its class, that of its group for a word that is not frequent.
+    Then (prev, next, n) where neither word is frequent, and the table of both.
     """
     schema = pa.schema([("h", pa.int64()), ("next", pa.int64()), ("key", pa.int32()), ("n", pa.int64())])
+    keys = ITSELF * classes + 1
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         end = np.array([END], np.uint64)
         parts = [tokens(t) for d, t in zip(batch.column(0).to_pylist(), texts(batch)) if not held_out(d)]
         words = np.concatenate([end, *parts])
-        at = places(frequent, words)
-        kind = np.where(at >= 0, assigned[at], -1)
-        rare = np.flatnonzero(at < 0)
+        unit = units_of(frequent, words)
+        kind, known = assigned[unit], unit < len(frequent)
+        rare = np.flatnonzero(~known)
         names, number = np.unique(words[rare], return_inverse=True)
         code = np.zeros(len(words), np.int64)
         code[rare] = number
-        p, q = at[:-1] < 0, at[1:] < 0
-        after, before, both = np.flatnonzero(p & ~q), np.flatnonzero(~p & q), np.flatnonzero(p & q)
-        keys = np.concatenate([code[after] * 2 * classes + kind[after + 1], code[before + 1] * 2 * classes + classes + kind[before]])
-        key, n = np.unique(keys, return_counts=True)
+        p, q, same = ~known[:-1], ~known[1:], words[:-1] == words[1:]
+        after, before, itself = np.flatnonzero(p & ~same), np.flatnonzero(q & ~same), np.flatnonzero(p & same)
+        met = np.concatenate(
+            [
+                code[after] * keys + np.where(known[after + 1], NEXT, NEXT_RARE) * classes + kind[after + 1],
+                code[before + 1] * keys + np.where(known[before], PREV, PREV_RARE) * classes + kind[before],
+                code[itself] * keys + ITSELF * classes,
+            ]
+        )
+        key, n = np.unique(met, return_counts=True)
         yield pa.record_batch(
-            [pa.array(names[key // (2 * classes)].view(np.int64)), pa.nulls(len(key), pa.int64()), pa.array((key % (2 * classes)).astype(np.int32)), pa.array(n)],
+            [pa.array(names[key // keys].view(np.int64)), pa.nulls(len(key), pa.int64()), pa.array((key % keys).astype(np.int32)), pa.array(n)],
             schema=schema,
         )
+        both = np.flatnonzero(p & q)
         key, n = np.unique(code[both] * max(len(names), 1) + code[both + 1], return_counts=True)
         first, second = names[key // max(len(names), 1)], names[key % max(len(names), 1)]
         yield pa.record_batch(
@@ -307,8 +323,8 @@ def _rare_contexts(docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray,
         )
 
     found = written(map_batches(docs, work, schema).groupBy("h", "next", "key").agg(F.sum("n").alias("n")), "rare-contexts")
-    fixed = found.filter("next IS NULL").groupBy("h").agg(F.collect_list(F.struct("key", "n")).alias("fixed"))
-    return fixed, found.filter("next IS NOT NULL").select(F.col("h").alias("prev"), "next", "n")
+    met = found.filter("next IS NULL").groupBy("h").agg(F.collect_list(F.struct("key", "n")).alias("met"))
+    return met, found.filter("next IS NOT NULL").select(F.col("h").alias("prev"), "next", "n"), found
 
 
 def _spread(
@@ -317,98 +333,109 @@ def _spread(
     """(h, c, class) of all words that are not frequent, and the counts of class pairs.
 
     A word starts in the class of its group and goes where the likelihood gains
-    most by its own contexts.  The classes of frequent words stay; those of the
-    others are joined anew for each sweep.  Sweeps end where one gains less than
-    TOLERANCE.  One that loses, for tasks move words at the same time, is not kept
-    and done again with half of the words, down to a sixteenth.
+    most by its own contexts.  While words move, frequent neighbours have their
+    class and others that of their group; so contexts are gathered once, and a
+    sweep is one pass over them.  Sweeps end where one gains less than TOLERANCE;
+    one that loses, for tasks move words at the same time, is not kept and done
+    again with half of the words.  At the end all pairs are counted by the real
+    classes on both sides; if those explain less than the groups did, the groups
+    stay.
     """
     classes = len(counts)
     group_class = assigned[len(frequent) :]
-    fixed, both = _rare_contexts(docs, frequent, assigned, classes)
-    fixed = written(others.select("h", "c").join(fixed, "h", "left"), "rare-words")
-    word_schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("class", pa.int32())])
+    met, both, table = _rare_contexts(docs, frequent, assigned, classes)
+    entries = pa.list_(pa.struct([("key", pa.int32()), ("n", pa.int64())]))
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("met", entries), ("class", pa.int32())])
     out = pa.schema([("key", pa.int32()), ("n", pa.int64())])
 
     def first_class(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h = batch.column(0).to_numpy()
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=word_schema)
+        yield pa.record_batch([*batch.columns, pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=schema)
 
-    def met(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, key and n of the entries of a list column."""
-        column = batch.column(batch.schema.get_field_index(name))
+    def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """A row of counts by key for each word of a batch, and the words' classes."""
+        total = np.zeros((batch.num_rows, ITSELF * classes + 1))
+        column = batch.column(2)
         lengths = np.array(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), np.int64)
         flat = column.flatten()
-        return np.repeat(np.arange(len(lengths)), lengths), flat.field(0).to_numpy(), flat.field(1).to_numpy()
-
-    def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Right, left and own counts and the class of each word of a batch."""
-        total = np.zeros((batch.num_rows, 2 * classes + 1))
-        for name in ("fixed", "moving"):
-            row, key, n = met(batch, name)
-            np.add.at(total, (row, key), n)
-        return total[:, :classes], total[:, classes:-1], total[:, -1], batch.column(batch.schema.get_field_index("class")).to_numpy()
-
-    def pairs_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        """Class pairs with a word that is not frequent: those that it begins, and those after a frequent word."""
-        total = np.zeros((classes, classes))
-        for piece in _pieces(batch):
-            right, _, _, now = tables(piece)
-            np.add.at(total, now, right)
-            row, key, n = met(piece, "fixed")
-            mine = key >= classes
-            np.add.at(total, (key[mine] - classes, now[row[mine]]), n[mine])
-        key = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(total.ravel()[key].astype(np.int64))], schema=out)
+        np.add.at(total, (np.repeat(np.arange(len(lengths)), lengths), flat.field(0).to_numpy()), flat.field(1).to_numpy())
+        return total, batch.column(3).to_numpy()
+
+    def class_pairs(state: DataFrame, rare_next: bool) -> np.ndarray:
+        """Class pairs that a word begins, and those after a frequent word; those of two words that are not frequent on demand."""
 
-    def class_pairs(state: DataFrame) -> np.ndarray:
-        summed = map_batches(state, pairs_of, out).groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            summed = np.zeros((classes, classes))
+            for piece in _pieces(batch):
+                total, now = tables(piece)
+                right = total[:, :classes]
+                if rare_next:
+                    right = right + total[:, NEXT_RARE * classes : PREV * classes]
+                    np.add.at(summed, (now, now), total[:, -1])
+                np.add.at(summed, now, right)
+                np.add.at(summed.T, now, total[:, PREV * classes : PREV_RARE * classes])
+            key = np.flatnonzero(summed)
+            yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(summed.ravel()[key].astype(np.int64))], schema=out)
+
+        return matrix(map_batches(state, work, out))
+
+    def matrix(pairs: DataFrame) -> np.ndarray:
+        summed = pairs.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
         found = np.zeros(classes * classes, np.int64)
         found[summed.column("key").to_numpy()] = summed.column("n").to_numpy()
         return found.reshape(classes, classes)
 
-    def with_contexts(words: DataFrame) -> DataFrame:
-        kinds = words.select("h", "class")
-        ways = [
-            both.join(kinds.withColumnRenamed("h", b), b).select(F.col(a).alias("h"), (F.col("class") + k * classes).alias("key"), "n")
-            for k, (a, b) in enumerate((("prev", "next"), ("next", "prev")))
-        ]
-        itself = both.filter("prev = next").select(F.col("prev").alias("h"), F.lit(2 * classes).alias("key"), "n")
-        summed = ways[0].unionByName(ways[1]).unionByName(itself).groupBy("h", "key").agg(F.sum("n").alias("n"))
-        moving = summed.groupBy("h").agg(F.collect_list(F.struct("key", "n")).alias("moving"))
-        return written(words.join(fixed.select("h", "fixed"), "h").join(moving, "h", "left"), "rare-state")
-
-    words = written(map_batches(fixed.select("h", "c"), first_class, word_schema), "rare-classes")
-    state = with_contexts(words)
-    rest = counts - class_pairs(state)  # pairs of frequent words, which stay
+    contexts = others.select("h", "c").join(met, "h", "left").select("h", "c", "met")
+    state = first = written(map_batches(contexts, first_class, schema), "rare-words")
+    start, groups = counts, first.select("h", "c", "class")
+    rest = counts - class_pairs(state, True)  # pairs of frequent words, which stay
     parts = 1
-    for turn in itertools.count():
+    for turn in range(SWEEPS):
 
         def move(batch: pa.RecordBatch, counts=counts.astype(np.float64), parts=parts, turn=turn) -> Iterator[pa.RecordBatch]:
             counts = counts.copy()
             for piece in _pieces(batch):
-                right, left, own, now = tables(piece)
-                h, c = (piece.column(piece.schema.get_field_index(x)) for x in ("h", "c"))
-                mine = ((h.to_numpy() >> SUFFIX_BITS) + turn) % parts == 0
+                total, now = tables(piece)
+                own, at = total[:, -1], np.arange(len(now))
+                right = total[:, :classes] + total[:, NEXT_RARE * classes : PREV * classes]
+                left = total[:, PREV * classes : PREV_RARE * classes] + total[:, PREV_RARE * classes : ITSELF * classes]
+                right[at, now] += own
+                left[at, now] += own
+                mine = ((piece.column(0).to_numpy() >> SUFFIX_BITS) + turn) % parts == 0
                 new = np.where(mine, best_classes(counts, right, left, own, now), now)
                 # What this piece moved, the next one knows.
                 went = np.flatnonzero(new != now)
-                for at, sign in ((now, -1), (new, 1)):
-                    np.add.at(counts, at[went], sign * right[went])
-                    np.add.at(counts.T, at[went], sign * left[went])
+                for there, sign in ((now, -1), (new, 1)):
+                    np.add.at(counts, there[went], sign * right[went])
+                    np.add.at(counts.T, there[went], sign * left[went])
                 np.maximum(counts, 0, out=counts)
-                yield pa.record_batch([h, c, pa.array(new.astype(np.int32))], schema=word_schema)
+                yield pa.record_batch([*piece.columns[:3], pa.array(new.astype(np.int32))], schema=schema)
 
-        moved = written(map_batches(state, move, word_schema), "rare-classes")
-        after_state = with_contexts(moved)
-        after = rest + class_pairs(after_state)
+        moved = written(map_batches(state, move, schema), "rare-words")
+        after = rest + class_pairs(moved, True)
         gain = explained(after) - explained(counts)
         if gain > 0:
-            words, state, counts = moved, after_state, after
-        elif gain < 0 and parts < PARTS:
-            parts *= 2
-            continue
+            if state is not first:
+                discard(state)
+            state, counts = moved, after
+        else:
+            discard(moved)
+            if gain < 0 and parts < PARTS:
+                parts *= 2
+                continue
         if gain <= TOLERANCE * abs(explained(counts)):
-            return words, counts
+            break
+    # By the real classes of both words, whatever the sweeps took for them.
+    words = state.select("h", "c", "class")
+    kind = words.select("h", "class")
+    known = both.join(kind.select(F.col("h").alias("prev"), F.col("class").alias("a")), "prev").join(
+        kind.select(F.col("h").alias("next"), F.col("class").alias("b")), "next"
+    )
+    exact = rest + class_pairs(state, False) + matrix(known.select((F.col("a") * classes + F.col("b")).alias("key"), "n"))
+    discard(table)
+    if explained(exact) <= explained(start):
+        return groups, start
+    return words, exact
 
 
 def _pieces(batch: pa.RecordBatch, most: int = 2_048) -> Iterator[pa.RecordBatch]:
@@ -504,7 +531,7 @@ def score(
     Words with 2**-head_bits of all tokens or more, at most 2**head_bits of them,
     are sent to every task, and units for the first exchange need 2**-unit_bits; it
     has at most `passes` passes, if given.  All other training words are then moved
-    each by its own contexts.  A word that was never seen has the class that the
+    each by its own contexts, in `SWEEPS` sweeps at most.  A word that was never seen has the class that the
     group of its last letters had before.
     """
     docs = docs.select("doc_id", "text")

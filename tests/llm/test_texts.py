@@ -316,6 +316,44 @@ def test_brown_rare_words_have_classes_of_their_own(spark, docs):
     assert sum(joined[r["doc_id"]] / 16 for r in rows if r["held_out"]) / len(unseen) > -math.log10(28)
 
 
+@pytest.mark.parametrize("head_bits", [20, 4])
+def test_brown_score_equals_a_plain_recount(spark, docs, head_bits):
+    """The model's probability of each text, from its classes and counts that are made anew here."""
+    draw = random.Random(9)
+    words = ["the", "to", *(f"n{k}-xyz" for k in range(15)), *(f"v{k}-abc" for k in range(15))]
+    pairs = [(k, " ".join(draw.choice(words[:2] if j % 2 else words) for j in range(draw.randint(0, 30)))) for k in range(150)]
+    pairs += [(k, "the " + "never-seen-%d" % k) for k in range(900, 960) if zlib.crc32(str(k).encode()) % 10 == 0]
+    frame = docs(pairs)
+    model, rest = brown.fit(frame, chunks.written(brown.word_counts(frame), "counts"), 6, None, head_bits, 3)
+    kind = {int(h): int(model.unit_class[at]) for at, h in enumerate(model.frequent)}
+    kind |= {r["h"] & (1 << 64) - 1: r["class"] for r in rest.collect()}
+
+    def class_of(word):
+        h = brown.word_hash(word)
+        group = len(model.frequent) + (h & (brown.SUFFIXES - 1))
+        return kind.get(h, int(model.unit_class[group]))
+
+    counts, moves = Counter(), np.zeros((6, 6))
+    before = [b"", *(w.encode() for i, t in pairs if zlib.crc32(str(i).encode()) % 10 for w in [*t.split(), ""])]
+    counts.update(before[1:])
+    for a, b in zip(before, before[1:]):
+        moves[class_of(a), class_of(b)] += 1
+    n, v = np.zeros(6), np.zeros(6)
+    for w, c in counts.items():
+        n[class_of(w)] += c
+        v[class_of(w)] += 1
+    moves += 0.1
+    step = np.log10(moves / moves.sum(axis=1, keepdims=True))
+    texts = dict(pairs)
+    for r in brown.score(frame, classes=6, unit_bits=3, head_bits=head_bits).collect():
+        want, last = 0.0, class_of(b"")
+        for w in [*texts[r["doc_id"]].split(), ""]:
+            now = class_of(w.encode())
+            want += step[last, now] + math.log10(counts[w.encode()] + 0.1) - math.log10(n[now] + 0.1 * (v[now] + 1))
+            last = now
+        assert r["score"] == pytest.approx(want), r["doc_id"]
+
+
 def test_brown_exchange_of_many_words_equals_one_at_a_time():
     draw = np.random.default_rng(3)
     for _ in range(30):
