@@ -245,7 +245,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
             break
         pivots = None
         if turn < PIVOT_ROUNDS:
-            pivots, pairs = _pivot_pairs(members, 8**turn, least)
+            pivots, pairs = _pivot_pairs(members, 2**turn, least)
         else:
             pairs = _pairs_left(members, percent, least)
         # A pair that came up before was confirmed, refused or settled by others.
