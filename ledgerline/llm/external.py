@@ -1,18 +1,22 @@
 """Two-pass external shuffle: rows dealt at random into shards of equal row counts.
 
 Pass one scatters rows over buckets of a size that one task can hold, by a
-seeded hash.  Pass two shuffles each bucket (Spark's `shuffle` is Fisher-Yates)
-and writes it.  A bucket's rows take consecutive places in the shuffled order,
-so it lands in one shard or two, and no shuffle by shard is needed.
+seeded hash of each row's place in its file, so rows are spread whatever they
+hold.  Pass two shuffles each bucket (Spark's `shuffle` is Fisher-Yates) and
+writes it.  A bucket's rows take consecutive places in the shuffled order, so it
+lands in one shard or two, and no shuffle by shard is needed.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Bytes of a bucket on average.  The hash spreads rows evenly, so a bucket exceeds
-#: it by little, but for single rows that are longer themselves.
+from ledgerline.llm.common import written
+
+#: Bytes of a bucket on average.  The hash spreads rows evenly, so a bucket exceeds it by little, but for single rows
+#: that are longer themselves.  There is a task for each bucket: larger ones suit larger tables and executors.
 BUCKET_BYTES = 8 << 20
 
 
@@ -47,38 +51,51 @@ def external_shuffle(
     """Write `doc_id`, `text` and the columns in `keep` as shards 0 to `shards` - 1 of a Parquet folder.
 
     Law `rows`: row counts of two shards differ by one at most, and `slot` counts
-    a shard's rows from 0 without gaps.  NULL ids and texts are rows like others.
-    Rows that repeat an id and a text share a bucket, copies of a text under
-    other ids do not.  Other columns are left out; those in `keep` must be
-    orderable, for a bucket is sorted before it is shuffled, so that a task that
-    runs again gives the same order.  With fewer rows than shards the last shards
-    have none; an empty table writes no shard.
+    a shard's rows from 0 without gaps.  NULL ids and texts are rows like others,
+    and so is each of the rows that repeat one.  Other columns are left out;
+    those in `keep` must be orderable, for a bucket is sorted before it is
+    shuffled, so that a task that runs again gives the same order.  With fewer
+    rows than shards the last shards have none; an empty table writes no shard.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", *keep)
+    rows = _placed(docs.select("doc_id", "text", *keep))
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(record_size(F.col("text"))).alias("bytes")).first()
-    n, buckets = totals["n"], max(1, -(-(totals["bytes"] or 0) // bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id", text_crc32(F.col("text"))), F.lit(buckets))
-    scattered = rows.withColumn("bucket", bucket)
+    n, tasks = totals["n"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Tasks follow the buckets, and a small table has enough of them to keep the cores busy.
+    buckets = max(-(-(totals["bytes"] or 0) // bucket_bytes), tasks, 1)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "row_place"), F.lit(buckets)).cast("int").alias("row_bucket")
+    row = F.struct("doc_id", "text", *keep).alias("row")
 
-    counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
     # One row per bucket meets in this window, not one per document.
-    before = counts.select(
-        "bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before")
-    )
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    held = F.collect_list(F.struct("doc_id", "text", *keep)).alias("held")
+    order = Window.orderBy("row_bucket")
+    before = counts.select("row_bucket", (F.sum("n").over(order) - F.col("n")).alias("before"))
+    # What comes before a bucket travels with its rows, so the buckets need no join, however many they are.
+    scattered = rows.select(bucket, row).unionByName(before, allowMissingColumns=True)
     shuffled = (
-        scattered.repartition(tasks, "bucket")
-        .groupBy("bucket")
-        .agg(held)
-        .join(before, "bucket")
-        .select("before", F.posexplode(F.shuffle(F.sort_array("held"), seed)).alias("at", "row"))
+        scattered.repartition(buckets, "row_bucket")
+        .groupBy("row_bucket")
+        .agg(F.max("before").alias("before"), F.sort_array(F.collect_list("row")).alias("held"))
+        .select("before", F.posexplode(F.shuffle("held", seed)).alias("at", "row"))
     )
     shard, slot = shard_of(F.col("before") + F.col("at"), n, shards)
     shuffled.select("row.*", shard, slot).write.partitionBy("shard").option("compression", "zstd").parquet(folder)
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows with a hash of their file and their place in it, the same in every scan and in every attempt.
+
+    A frame that is no file scan is written first.  The names of its files differ
+    from run to run, but for the number of the task.
+    """
+    place = F.col("_metadata.row_index")
+    try:
+        return rows.select("*", F.xxhash64("_metadata.file_path", place).alias("row_place"))
+    except AnalysisException:
+        part = F.regexp_extract(F.col("_metadata.file_name"), r"part-\d+", 0)
+        return written(rows, "to-shuffle").select("*", F.xxhash64(part, place).alias("row_place"))
+
+
 def read_shards(spark: SparkSession, folder: str, schema: str = "doc_id BIGINT, text STRING, slot BIGINT") -> DataFrame:
     """Rows of the shards with their `shard`; `schema` names the written columns."""
     return spark.read.schema(f"{schema}, shard INT").parquet(folder)
