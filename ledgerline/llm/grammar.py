@@ -1,18 +1,21 @@
 """Secrets by pattern, and by format grammars inferred from the secrets that patterns found.
 
 Grammar inference: the found credentials of a kind build a prefix tree with
-counts; states whose outgoing frequencies do not differ by more than chance
-allows (Hoeffding bounds, checked down the tree) are merged.  What remains is a
-probabilistic automaton.  Another one is inferred from ordinary long words.  A
-candidate is a secret if some credential automaton gives its characters a much
-higher likelihood than the one of ordinary words does.
+counts, over classes of characters, but over a character itself where so many
+samples share it that it belongs to the format.  States whose outgoing
+frequencies do not differ by more than chance allows (Hoeffding bounds, checked
+down the tree) are merged.  What remains is a probabilistic automaton with the
+lengths that end in it.  Another one is inferred from ordinary words.  A
+candidate is a secret if some credential automaton has a path for it, and it is
+much likelier there, length included, than among ordinary words.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerline.llm.common import map_batches, written
+from ledgerline.llm.common import map_batches, texts, written
 
 # The patterns of the three base kinds, in the order in which kinds are listed.
 ASSIGN = re.compile(
@@ -32,9 +35,13 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "learned")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: Characters of a candidate at least, and the shape of one.
-LONG = 16
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Signs of a candidate at least, as many as the shortest credential that trains a grammar, and the shape of one.
+SHORT = 6
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+#: Pieces between white space that can hold a hex span.
+LONG = 24
+#: Log odds against a candidate being a secret: one in ten thousand.
+MARGIN = 9.2
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 
@@ -61,56 +68,88 @@ def long_words(text: str) -> Iterator[tuple[int, str]]:
             at += len(word)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, str]]:
-    """Long runs of letters, digits and the signs of base64 that mix letters and digits."""
-    for at, word in long_words(text):
-        for m in RUN.finditer(word):
-            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]):
-                yield at + m.start(), at + m.end(), m[0]
+def candidates(text: str, base: list[tuple[str, int, int, str]]) -> Iterator[tuple[int, int, str]]:
+    """Runs of letters, digits and the signs of base64, and what base spans leave of them."""
+    spans = sorted((a, b) for _, a, b, _ in base)
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        if spans:
+            for a, b in spans:
+                if a < end and start < b:
+                    if a - start >= SHORT:
+                        yield start, a, text[start:a]
+                    start = max(start, b)
+            if end - start < SHORT:
+                continue
+        yield start, end, text[start:end]
+
+
+# Classes of characters with the number of their members; any other character is a class of its own.
+CLASSES = {"0": "0123456789", "a": "abcdef", "g": "ghijklmnopqrstuvwxyz", "A": "ABCDEF", "G": "GHIJKLMNOPQRSTUVWXYZ"}
+CLASS = {c: f"[{name}]" for name, members in CLASSES.items() for c in members}
+SIZE = {f"[{name}]": len(members) for name, members in CLASSES.items()}
+
+
+def literals(chars: Iterable[str]) -> set[str]:
+    """Characters that stand out of their class: at least eight, and four times as many as if all of it were alike."""
+    count = Counter(chars)
+    classes: Counter = Counter()
+    for c, n in count.items():
+        classes[CLASS.get(c, c)] += n
+    return {c for c, n in count.items() if c in CLASS and n >= 8 and n * SIZE[CLASS[c]] > 4 * classes[CLASS[c]]}
 
 
 class Automaton:
-    """A probabilistic deterministic automaton over characters, inferred by state merging."""
+    """A probabilistic deterministic automaton over character classes and literals, inferred by state merging."""
 
     def __init__(self, samples: Iterable[str], alpha: float = 0.05):
         self.next: list[dict[str, int]] = [{}]
         self.seen: list[dict[str, int]] = [{}]
         self.ends: list[int] = [0]
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
-        for sample in samples:
-            state = 0
-            for c in sample:
-                self.seen[state][c] = self.seen[state].get(c, 0) + 1
-                if c not in self.next[state]:
-                    self.next[state][c] = len(self.next)
-                    self.next.append({})
-                    self.seen.append({})
-                    self.ends.append(0)
-                state = self.next[state][c]
-            self.ends[state] += 1
+        samples = list(samples)
+        self.lengths = Counter(map(len, samples))
+        todo = [(0, 0, samples)]
+        while todo:
+            state, depth, here = todo.pop()
+            longer = [x for x in here if len(x) > depth]
+            self.ends[state] = len(here) - len(longer)
+            own, below = literals(x[depth] for x in longer), defaultdict(list)
+            for x in longer:
+                c = x[depth]
+                below[c if c in own else CLASS.get(c, c)].append(x)
+            for symbol, those in below.items():
+                self.seen[state][symbol] = len(those)
+                self.next[state][symbol] = len(self.next)
+                todo.append((len(self.next), depth + 1, those))
+                self.next.append({})
+                self.seen.append({})
+                self.ends.append(0)
         self._merge()
         self._weigh()
 
     def _total(self, state: int) -> int:
         return self.ends[state] + sum(self.seen[state].values())
 
-    def _alike(self, a: int, b: int) -> bool:
-        """Could both states' counts come from one distribution, here and further down?"""
-        todo = [(a, b)]
+    def _alike(self, a: int, b: int) -> float | None:
+        """Log-likelihood of what is below b if it began at a, or none if both can't come from one distribution."""
+        todo, total = [(a, b)], 0.0
         while todo:
             a, b = todo.pop()
             n, m = self._total(a), self._total(b)
-            if not n or not m:
+            if not m:
                 continue
-            most = self.bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
-            if abs(self.ends[a] / n - self.ends[b] / m) > most:
-                return False
+            most = self.bound * (1 / math.sqrt(max(n, 1)) + 1 / math.sqrt(m))
+            if n and abs(self.ends[a] / n - self.ends[b] / m) > most:
+                return None
             for c in self.seen[a].keys() | self.seen[b].keys():
-                if abs(self.seen[a].get(c, 0) / n - self.seen[b].get(c, 0) / m) > most:
-                    return False
+                k, here = self.seen[a].get(c, 0), self.seen[b].get(c, 0)
+                if n and abs(k / n - here / m) > most:
+                    return None
+                total += here * math.log((k + 0.05) / (n + 1))
                 if c in self.next[a] and c in self.next[b]:
                     todo.append((self.next[a][c], self.next[b][c]))
-        return True
+        return total
 
     def _fold(self, a: int, b: int) -> None:
         """Add the tree below b to the automaton at a."""
@@ -126,26 +165,22 @@ class Automaton:
                     self.next[a][c] = self.next[b][c]
 
     def _merge(self) -> None:
-        """States are settled from the root outwards; each new one joins a settled one if it can."""
+        """Of the states next to settled ones that of most samples joins the settled one that suits it best, or settles."""
         settled = [0]
-        at = 0
-        while at < len(settled):
-            state = settled[at]
-            for c in sorted(self.next[state]):
-                child = self.next[state][c]
-                if child in settled:
-                    continue
-                for old in settled:
-                    if self._alike(old, child):
-                        self.next[state][c] = old
-                        self._fold(old, child)
-                        break
-                else:
-                    settled.append(child)
-            at += 1
-            # A fold may have given an earlier state new children.
-            if at == len(settled):
-                at = next((k for k, s in enumerate(settled) if any(x not in settled for x in self.next[s].values())), at)
+        while True:
+            known = set(settled)
+            fringe = [(-self._total(x), s, c) for s in settled for c, x in self.next[s].items() if x not in known]
+            if not fringe:
+                break
+            _, state, c = min(fringe)
+            child = self.next[state][c]
+            suits = [(found, -k, old) for k, old in enumerate(settled) if (found := self._alike(old, child)) is not None]
+            if suits:
+                old = max(suits)[2]
+                self.next[state][c] = old
+                self._fold(old, child)
+            else:
+                settled.append(child)
         place = {s: k for k, s in enumerate(settled)}
         self.next = [{c: place[x] for c, x in self.next[s].items()} for s in settled]
         self.seen = [self.seen[s] for s in settled]
@@ -153,103 +188,140 @@ class Automaton:
 
     def _weigh(self) -> None:
         self.weights = []
-        for state in range(len(self.next)):
-            total = self._total(state) + 1
-            self.weights.append({c: math.log(n / total) for c, n in self.seen[state].items()})
-        self.rare = [math.log(1 / (96 * (self._total(s) + 1))) for s in range(len(self.next))]
-
-    def likelihood(self, text: str) -> float:
-        """Mean log-likelihood of a character; what a state never saw counts as rare and stays in it."""
-        state, total = 0, 0.0
+        for seen in self.seen:
+            total = sum(seen.values()) + 1
+            self.weights.append({c: math.log(n / total / SIZE.get(c, 1)) for c, n in seen.items()})
+        # What a state never saw comes once in all it saw, and is then spread as all signs of the samples are.
+        usual: Counter = Counter()
+        for seen in self.seen:
+            for c, n in seen.items():
+                usual[CLASS.get(c, c)] += n
+        everything = sum(usual.values()) + 96
+        self.usual = {c: math.log((n + 1) / everything / SIZE.get(c, 1)) for c, n in usual.items()}
+        self.unusual = math.log(1 / everything)
+        self.escape = [-math.log(sum(seen.values()) + 1) for seen in self.seen]
+        total = sum(self.lengths.values()) + 1
+        self.long = {n: math.log(k / total) for n, k in self.lengths.items()}
+        self.unheard = math.log(0.1 / total)
+
+    def likelihood(self, text: str, strict: bool = False) -> float:
+        """Log-likelihood of the signs of a text and of its length.
+
+        If `strict`, what a state never saw is impossible.  Else it counts as
+        rare, and the automaton begins anew there, as compound words do; and the
+        text is at least as likely as signs drawn from all of the samples.
+        """
+        state, total, long = 0, 0.0, self.long.get(len(text), self.unheard)
         for c in text:
-            total += self.weights[state].get(c, self.rare[state])
-            state = self.next[state].get(c, state)
-        return total / max(len(text), 1)
+            weights = self.weights[state]
+            if c not in weights:
+                c = CLASS.get(c, c)
+                if c not in weights:
+                    if strict:
+                        return -math.inf
+                    total += self.escape[state] + self.usual.get(c, self.unusual)
+                    state = self.next[0].get(c, 0)
+                    continue
+            total += weights[c]
+            state = self.next[state][c]
+        if strict:
+            return long + total
+        return long + max(total, sum(self.usual.get(CLASS.get(c, c), self.unusual) for c in text))
 
 
 SPAN = pa.list_(
     pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("secret", pa.string())])
 )
+EXAMPLES = pa.schema([("kind", pa.string()), ("secret", pa.string())])
+
+
+def ordinary(text: str, base: list[tuple[str, int, int, str]], words: int) -> list[str]:
+    """The first `words` distinct candidates of a text, by hash, so that one text cannot give them all."""
+    found = {zlib.crc32(w.encode()): w for w in {w for _, _, w in candidates(text, base)}}
+    return [found[h] for h in sorted(found)[:words]]
+
 
+def learn(docs: DataFrame, sample: int, margin: float, words: int) -> Grammars:
+    """Grammars from the credentials and ordinary words of all texts; only these examples are written."""
 
-def runs_beside(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """Candidates that overlap no base span."""
-    return [
-        ("learned", a, b, word) for a, b, word in candidates(text) if not any(a < end and start < b for _, start, end, _ in base)
-    ]
+    def examples(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = set()
+        for text in texts(batch):
+            base = base_spans(text)
+            rows.update((kind, secret) for kind, _, _, secret in base)
+            rows.update(("plain", word) for word in ordinary(text, base, words))
+        columns = list(zip(*sorted(rows))) or ((), ())
+        yield pa.record_batch([pa.array(c, pa.string()) for c in columns], schema=EXAMPLES)
+
+    return Grammars(written(map_batches(docs.select("text"), examples, EXAMPLES), "examples"), sample, margin)
 
 
-def plain_words(text: str) -> list[str]:
-    """The first few long words of letters, by hash, so that one text cannot give them all."""
-    return sorted({w for _, w in long_words(text) if w.isalpha()}, key=lambda w: hashlib.md5(w.encode()).digest())[:2]
+#: Signs of a training example at most: this and their number bound what the driver holds. Candidates have any length.
+LONGEST = 256
+#: Candidates whose verdict a worker remembers.
+REMEMBERED = 300_000
 
 
 class Grammars:
     """One automaton for each kind of which (kind, secret) rows have examples, and that of ordinary words."""
 
     def __init__(self, labelled: DataFrame, sample: int, margin: float):
-        found = {}
+        found, labelled = {}, labelled.filter(F.length("secret") <= LONGEST)
         for kind in ("assign", "access", "hex", "plain"):
             drawn = labelled.filter(F.col("kind") == kind).select("secret").distinct()
             values = [r["secret"] for r in drawn.orderBy(F.xxhash64("secret"), "secret").limit(sample).collect()]
             if values:
                 found[kind] = Automaton(values)
         self.plain, self.margin = found.pop("plain", None) or Automaton([]), margin
-        self.kinds = found
+        self.kinds, self.known = found, {}
 
     def accept(self, word: str) -> bool:
-        usual = self.plain.likelihood(word) + self.margin
-        return any(g.likelihood(word) >= usual for g in self.kinds.values())
-
-
-def find_secrets(docs: DataFrame, sample: int = 400, margin: float = 0.5) -> DataFrame:
+        verdict = self.known.get(word)
+        if verdict is None:
+            likely = max((g.likelihood(word, strict=True) for g in self.kinds.values()), default=-math.inf)
+            verdict = likely > -math.inf and likely >= self.plain.likelihood(word) + self.margin
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            if len(word) <= LONGEST:
+                self.known[word] = verdict
+        return verdict
+
+    def spans(self, text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
+        """Candidates beside the base spans that are secrets by their format."""
+        if not self.kinds:
+            return []
+        return [("learned", a, b, word) for a, b, word in candidates(text, base) if self.accept(word)]
+
+
+def find_secrets(docs: DataFrame, sample: int = 400, margin: float = MARGIN, words: int = 2) -> DataFrame:
     """All columns of `docs` but the text, with `base` and `learned`: arrays of (kind, start, end, secret).
 
     Places are code points of the whole text, ends exclusive.  A NULL text has
     none.  Rows that repeat are searched each; columns of `docs` with these names
     give way.  Grammars are inferred from at most `sample` distinct secrets of
-    each kind, and as many ordinary long words: those of the smallest hash.  A
-    kind that was never found infers no grammar, and without ordinary words an
-    empty one stands for them.  A candidate that overlaps a base span is that
-    span; another is `learned` if its likelihood per character, in natural logs,
-    is above that of ordinary words by `margin`.
-
-    Texts are scanned once; only what was found is written and read again.
+    each kind, of `LONGEST` signs or less, and as many ordinary words, of which a
+    text offers `words`: those of the smallest hash.  A kind that was never found
+    infers no grammar, and without ordinary words an empty one stands for them.
+    What a base span covers is that span; of the rest each run of six signs or
+    more is `learned` if a grammar has a path for all its signs and its
+    log-likelihood is above that of ordinary words by `margin`.
+
+    Texts are scanned twice: for the examples, which alone are written, and to
+    find what the patterns and the grammars know.
     """
-    docs = docs.drop("base", "learned", "runs", "plain")
+    docs = docs.drop("base", "learned")
     others = [c for c in docs.columns if c != "text"]
-    found = [("base", SPAN), ("runs", SPAN), ("plain", pa.list_(pa.string()))]
-    schema = pa.schema([*to_arrow_schema(docs.select(*others).schema), *found])
+    grammars = learn(docs, sample, margin, words)
+    schema = pa.schema([*to_arrow_schema(docs.select(*others).schema), ("base", SPAN), ("learned", SPAN)])
+    fields = ("kind", "start", "end", "secret")
 
     def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for value in batch.column(batch.schema.get_field_index("text")):
-            text = value.as_py() or ""
-            base = base_spans(text)
-            rows.append((base, runs_beside(text, base), plain_words(text)))
-        fields = [f.name for f in schema]
-        named = [[[dict(zip(("kind", "start", "end", "secret"), s)) for s in spans] for spans in column] for column in list(zip(*rows))[:2] or ((), ())]
-        arrays = [pa.array(named[0], SPAN), pa.array(named[1], SPAN), pa.array([r[2] for r in rows], found[2][1])]
-        yield pa.record_batch([*(batch.column(batch.schema.get_field_index(c)) for c in others), *arrays], names=fields)
-
-    scanned = written(map_batches(docs, scan, schema), "secret-spans")
-    labelled = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.secret").unionByName(
-        scanned.select(F.lit("plain").alias("kind"), F.explode("plain").alias("secret"))
-    )
-    grammars = Grammars(labelled, sample, margin)
+        base = [base_spans(text) for text in texts(batch)]
+        learned = [grammars.spans(text, b) for text, b in zip(texts(batch), base)]
+        spans = [pa.array([[dict(zip(fields, s)) for s in row] for row in side], SPAN) for side in (base, learned)]
+        yield pa.record_batch([*(batch.column(batch.schema.get_field_index(c)) for c in others), *spans], names=schema.names)
 
-    def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at = batch.schema.get_field_index("runs")
-        learned = [
-            [run for run in runs.as_py() or () if grammars.accept(run["secret"])]
-            for runs in batch.column(at)
-        ]
-        kept = [c for k, c in enumerate(batch.columns) if k != at]
-        names = [n for k, n in enumerate(batch.schema.names) if k != at]
-        yield pa.record_batch([*kept, pa.array(learned, SPAN)], names=[*names, "learned"])
-
-    judged = pa.schema([*to_arrow_schema(docs.select(*others).schema), ("base", SPAN), ("learned", SPAN)])
-    return map_batches(scanned.drop("plain"), judge, judged)
+    return map_batches(docs, scan, schema)
 
 
 def span_list(spans: Column) -> Column:
@@ -269,7 +341,7 @@ def span_list(spans: Column) -> Column:
     return F.array_join(F.transform(ranked, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", sample: int = 400, margin: float = 0.5) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", sample: int = 400, margin: float = MARGIN, words: int = 2) -> DataFrame:
     """`docs` with every found span of its texts replaced by `mark`, and `n_chars`, if there, brought in line.
 
     A span that begins inside the one before it is covered by the same mark.  A
@@ -279,24 +351,13 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", sample: int = 400, margin: f
     Texts are scanned twice: for the examples of the grammars, which alone are
     written, and to blank what the patterns and the grammars find in place.
     """
-    examples = pa.schema([("kind", pa.string()), ("secret", pa.string())])
-
-    def learn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = set()
-        for value in batch.column(0):
-            text = value.as_py() or ""
-            rows.update((kind, secret) for kind, _, _, secret in base_spans(text))
-            rows.update(("plain", word) for word in plain_words(text))
-        columns = list(zip(*sorted(rows))) or ((), ())
-        yield pa.record_batch([pa.array(c, pa.string()) for c in columns], schema=examples)
-
-    grammars = Grammars(written(map_batches(docs.select("text"), learn, examples), "examples"), sample, margin)
+    grammars = learn(docs, sample, margin, words)
     out, names = to_arrow_schema(docs.schema), docs.columns
     counted = "n_chars" in names and pa.types.is_integer(out.field("n_chars").type)
 
     def blanked(text: str) -> str:
         base = base_spans(text)
-        learned = [run for run in runs_beside(text, base) if grammars.accept(run[3])]
+        learned = grammars.spans(text, base)
         if not (base or learned):
             return text
         pieces, done = [], 0

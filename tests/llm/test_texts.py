@@ -241,16 +241,72 @@ def test_inferred_grammars_find_more(docs):
     assert not rows[101]["learned"] and not rows[5]["learned"] and len(rows[5]["base"]) == 1
 
 
+DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+FORMATS = {
+    "prefixed": lambda pick: "ghp_" + pick(36, LETTERS + LETTERS.upper() + DIGITS),
+    "base64": lambda pick: pick(40, LETTERS + LETTERS.upper() + DIGITS + "+/"),
+    "short": lambda pick: "zq" + pick(7, DIGITS),
+    "letters": lambda pick: pick(20, LETTERS.upper()),
+}
+
+
+def test_formats_that_no_base_pattern_catches_are_learned(docs):
+    """Formats seen behind `token=` are found bare; ordinary words, dates, file names and UUIDs are left alone."""
+    draw = random.Random(6)
+    pick = lambda n, of: "".join(draw.choice(of) for _ in range(n))
+    vocabulary = [pick(draw.randint(3, 12), LETTERS) for _ in range(800)]
+
+    def plain():
+        day = f"20{pick(2, DIGITS)}-0{draw.randint(1, 9)}-1{pick(1, DIGITS)}"
+        uuid = "-".join(pick(n, DIGITS + "abcdef") for n in (8, 4, 4, 4, 12))
+        others = [day, uuid, f"Report_{draw.choice(vocabulary)}_{day}.pdf", draw.choice(vocabulary).title() + "Factory"]
+        return [draw.choice(others) if draw.random() < 0.05 else draw.choice(vocabulary) for _ in range(60)]
+
+    pairs, bare = [], {}
+    for k in range(600):
+        words, name = plain(), list(FORMATS)[k % 4]
+        if k < 400:
+            words[9] = f"token={FORMATS[name](pick)}"
+        elif k < 500:
+            words[20] = FORMATS[name](pick)
+            start = len(" ".join(words[:20])) + 1
+            bare[k] = (name, start, start + len(words[20]))
+        pairs.append((k, " ".join(words)))
+    rows = {r["doc_id"]: [(s["start"], s["end"]) for s in r["learned"]] for r in grammar.find_secrets(docs(pairs)).collect()}
+    for name in FORMATS:
+        mine = [k for k in bare if bare[k][0] == name]
+        assert sum(bare[k][1:] in rows[k] for k in mine) >= 0.9 * len(mine), name
+    assert sum(len(rows[k]) for k in rows) <= len(bare) + 10
+
+
+def test_remainders_beside_base_spans_are_candidates():
+    text = "xyzxyzxyz/0123456789abcdef01234567/ABCDEFGH end"
+    base = grammar.base_spans(text)
+    assert [s[0] for s in base] == ["hex"]
+    assert [w for _, _, w in grammar.candidates(text, base)] == ["xyzxyzxyz/", "/ABCDEFGH"]
+    assert [w for _, _, w in grammar.candidates("short longer", [])] == ["longer"]
+
+
 def test_automaton_prefers_its_format():
     draw = random.Random(2)
     hexes = grammar.Automaton("".join(draw.choice("0123456789abcdef") for _ in range(30)) for _ in range(200))
     plain = grammar.Automaton(["wonderful", "marvellous", "extraordinary", "internationalization"] * 5)
-    assert hexes.likelihood("0123abcd4567") > plain.likelihood("0123abcd4567") + 0.5
-    assert plain.likelihood("extraordinary") > hexes.likelihood("extraordinary") + 0.5
-    assert len(hexes.next) < 30
+    word = "0123abcd4567" * 2 + "89abcd"
+    assert hexes.likelihood(word) > plain.likelihood(word) + grammar.MARGIN
+    assert hexes.likelihood(word) > hexes.likelihood(word[:-1]) + 2
+    assert plain.likelihood("extraordinary") > hexes.likelihood("extraordinary") + grammar.MARGIN
+    assert hexes.likelihood("extraordinary", strict=True) == -math.inf
     assert grammar.Automaton([]).likelihood("x") < 0
 
 
+def test_automaton_keeps_literals():
+    draw = random.Random(4)
+    keys = grammar.Automaton("ghp_" + "".join(draw.choice(LETTERS + DIGITS) for _ in range(20)) for _ in range(100))
+    assert 5 <= len(keys.next) < 60
+    assert keys.likelihood("ghp_" + "a1b2c3d4e5" * 2, strict=True) > -math.inf
+    assert keys.likelihood("ghq_" + "a1b2c3d4e5" * 2, strict=True) == -math.inf
+
+
 def test_redaction(docs, clashing):
     rows = {r["doc_id"]: r for r in grammar.redact(docs(SECRETS)).collect()}
     assert rows[1]["text"] == "[SECRET]' then [SECRET]\" and token:short" and rows[1]["n_chars"] == len(rows[1]["text"])
