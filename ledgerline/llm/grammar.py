@@ -99,6 +99,11 @@ def literals(chars: Iterable[str]) -> set[str]:
     return {c for c, n in count.items() if c in CLASS and n >= 8 and n * SIZE[CLASS[c]] > 4 * classes[CLASS[c]]}
 
 
+def kinds_of(text: str) -> tuple[bool, bool, bool]:
+    """Has it small letters, capitals, digits?"""
+    return text != text.upper(), text != text.lower(), any(map(str.isdigit, text))
+
+
 class Automaton:
     """A probabilistic deterministic automaton over character classes and literals, inferred by state merging."""
 
@@ -108,7 +113,7 @@ class Automaton:
         self.ends: list[int] = [0]
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         samples = list(samples)
-        self.lengths = Counter(map(len, samples))
+        self.lengths, self.mixes = Counter(map(len, samples)), {kinds_of(x) for x in samples}
         todo = [(0, 0, samples)]
         while todo:
             state, depth, here = todo.pop()
@@ -207,7 +212,8 @@ class Automaton:
     def likelihood(self, text: str, strict: bool = False) -> float:
         """Log-likelihood of the signs of a text and of its length.
 
-        If `strict`, what a state never saw is impossible.  Else it counts as
+        If `strict`, what a state never saw is impossible, and so are kinds of
+        signs (digits alone, say) that no sample had together.  Else it counts as
         rare, and the automaton begins anew there, as compound words do; and the
         text is at least as likely as signs drawn from all of the samples.
         """
@@ -225,7 +231,7 @@ class Automaton:
             total += weights[c]
             state = self.next[state][c]
         if strict:
-            return long + total
+            return long + total if kinds_of(text) in self.mixes else -math.inf
         return long + max(total, sum(self.usual.get(CLASS.get(c, c), self.unusual) for c in text))
 
 
@@ -303,8 +309,9 @@ def find_secrets(docs: DataFrame, sample: int = 400, margin: float = MARGIN, wor
     text offers `words`: those of the smallest hash.  A kind that was never found
     infers no grammar, and without ordinary words an empty one stands for them.
     What a base span covers is that span; of the rest each run of six signs or
-    more is `learned` if a grammar has a path for all its signs and its
-    log-likelihood is above that of ordinary words by `margin`.
+    more is `learned` if a grammar has a path for all its signs and an example
+    with the same kinds of signs, and its log-likelihood is above that of
+    ordinary words by `margin`.
 
     Texts are scanned twice: for the examples, which alone are written, and to
     find what the patterns and the grammars know.

@@ -296,6 +296,7 @@ def test_automaton_prefers_its_format():
     assert hexes.likelihood(word) > hexes.likelihood(word[:-1]) + 2
     assert plain.likelihood("extraordinary") > hexes.likelihood("extraordinary") + grammar.MARGIN
     assert hexes.likelihood("extraordinary", strict=True) == -math.inf
+    assert hexes.likelihood("4041894974608795", strict=True) == -math.inf
     assert grammar.Automaton([]).likelihood("x") < 0
 
 
