@@ -70,18 +70,15 @@ def long_words(text: str) -> Iterator[tuple[int, str]]:
 
 def candidates(text: str, base: list[tuple[str, int, int, str]]) -> Iterator[tuple[int, int, str]]:
     """Runs of letters, digits and the signs of base64, and what base spans leave of them."""
-    spans = sorted((a, b) for _, a, b, _ in base)
+    if base:
+        # Blanks in the place of base spans: one pass, however many spans a long text has.
+        pieces, done = [], 0
+        for start, end in sorted((a, b) for _, a, b, _ in base):
+            pieces += [text[done:start], " " * (end - max(start, done))]
+            done = max(done, end)
+        text = "".join((*pieces, text[done:]))
     for m in RUN.finditer(text):
-        start, end = m.span()
-        if spans:
-            for a, b in spans:
-                if a < end and start < b:
-                    if a - start >= SHORT:
-                        yield start, a, text[start:a]
-                    start = max(start, b)
-            if end - start < SHORT:
-                continue
-        yield start, end, text[start:end]
+        yield *m.span(), m[0]
 
 
 # Classes of characters with the number of their members; any other character is a class of its own.

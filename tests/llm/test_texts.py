@@ -285,6 +285,12 @@ def test_remainders_beside_base_spans_are_candidates():
     assert [s[0] for s in base] == ["hex"]
     assert [w for _, _, w in grammar.candidates(text, base)] == ["xyzxyzxyz/", "/ABCDEFGH"]
     assert [w for _, _, w in grammar.candidates("short longer", [])] == ["longer"]
+    overlapping = "token=0123456789abcdef01234567/secret=abcdefgh lengthy"
+    base = grammar.base_spans(overlapping)
+    assert len(base) > 1
+    for start, end, word in grammar.candidates(overlapping, base):
+        assert overlapping[start:end] == word and not any(start < b and a < end for _, a, b, _ in base)
+    assert [w for _, _, w in grammar.candidates(overlapping, base)][-1] == "lengthy"
 
 
 def test_automaton_prefers_its_format():
