@@ -93,15 +93,15 @@ def leaks(
     A passage that scores `least` holds at least `least_pairs` of the item's pairs
     of neighbours, with at most one word put in between.  So it holds one of any
     set of the item's pairs that leaves out fewer than that: its most common ones
-    are left out, the others are seeds.  How common pairs are is read from one
-    document in 16; this decides what is compared, not what is found.  `least`
+    are left out, the others are seeds.  How common pairs are is counted over all
+    documents; this decides what is compared, not what is found.  `least`
     must exceed 0.25 + 0.75 / n, below which a passage may have no such pair.
 
     Items of fewer than n words are found as whole documents only.  NULL or empty
     texts and items match nothing; rows without an id are left out; repeated rows
     of a document or an item give one row of the result, the best.
 
-    Documents are scanned once, and that part of them twice.  Bitmaps of fixed size
+    Documents are scanned twice, to count and to find.  Bitmaps of fixed size
     drop the pairs that are no seeds; what is left keeps the words around it, as
     hashes, and is joined to the items exactly.  Joins are on pairs and item rows:
     adaptive execution splits one that a third of all documents holds.
@@ -149,8 +149,7 @@ def leaks(
         gram, times = np.unique(np.concatenate(parts), return_counts=True)
         yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(times)], schema=df_schema)
 
-    some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0)
-    common = map_batches(some, count, df_schema).groupBy("gram").agg(F.sum("n").alias("df"))
+    common = map_batches(known, count, df_schema).groupBy("gram").agg(F.sum("n").alias("df"))
     of_item = grams.join(common, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     # An item's grams are few: as many as its words.
     ranked = of_item.groupBy("item_row", "need").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("all"))

@@ -12,10 +12,7 @@ def words_of(text: str) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    known: dict[bytes, int] = {}
-    for w in set(words):
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -9,6 +9,7 @@ import pytest
 
 from ledgerline.llm import imatch, leaks, neardup
 from ledgerline.llm.graph import components
+from ledgerline.llm.shingles import word_hashes
 
 
 def brute(pairs, words, percent):
@@ -192,6 +193,19 @@ def test_leaks_equal_alignment_of_every_pair(spark, docs):
     assert got == want
 
 
+def test_leak_seeds_are_the_rarest_pairs_of_all_documents(spark, docs, monkeypatch):
+    tables, write = {}, leaks.written
+    monkeypatch.setattr(leaks, "written", lambda frame, label: tables.setdefault(label, write(frame, label)))
+    words = [f"v{k}" for k in range(20)]
+    # The pair of words k and k + 1 is in the documents 0 to k.
+    pairs = [(i, " ".join(f"v{k} v{k + 1} x{i}y{k} z{i}y{k}" for k in range(i, 19))) for i in range(19)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    leaks.leaks(docs(pairs), bench).count()
+    hashes = word_hashes([w.encode() for w in words])
+    rarest = leaks.pair_hashes(hashes[:-1], hashes[1:])[: 19 - leaks.least_pairs(20, 0.5) + 1]
+    assert {r["gram"] for r in tables["seeds"].collect()} == set(rarest.view(np.int64).tolist())
+
+
 def test_leaks_of_odd_rows(spark, odd, clashing):
     bench = spark.createDataFrame([(1, "same words here and there again"), (1, "same words here and there again")], "item_id bigint, text string")
     for frame in (odd, clashing):
