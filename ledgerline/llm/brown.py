@@ -36,6 +36,8 @@ SMOOTH = 0.1
 TOLERANCE = 1e-3
 #: Gains that differ by less than this share are equal but for rounding; a unit stays then.
 NOISE = 1e-10
+#: Words whose gains are worked out at a time.
+TOGETHER = 256
 #: A sweep that loses, for tasks move units at the same time, is done again in twice the parts, up to so many.
 PARTS = 16
 
@@ -126,8 +128,13 @@ def best_classes(
 ) -> np.ndarray:
     """The class that `exchange` finds for each of many words, all taken out of the same `counts` one at a time.
 
-    `right` and `left` have a row a word.  Only what a word meets is looked at.
+    `right` and `left` have a row a word.  Only what a word meets is looked at;
+    words are taken a few at a time, as each neighbour's class makes a row of classes.
     """
+    if len(now) > TOGETHER:
+        cuts = range(TOGETHER, len(now), TOGETHER)
+        parts = zip(*(np.split(x, cuts) for x in (right, left, own, now)))
+        return np.concatenate([best_classes(counts, *part) for part in parts])
     rows, classes = np.arange(len(now)), len(counts)
     starts, ends = counts.sum(axis=1), counts.sum(axis=0)
     out, into = right.sum(axis=1), left.sum(axis=1)

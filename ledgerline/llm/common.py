@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -49,14 +51,34 @@ def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if count <= SMALL_ROWS else df
 
 
+#: Bytes of texts that a task works on at a time; a longer text is alone.
+PORTION = 8 << 20
+
+
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch with texts in slices of a bounded size, so that what is made of them is bounded too."""
+    at = batch.schema.get_field_index("text")
+    if at < 0 or batch.nbytes <= PORTION:
+        yield batch
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + PORTION, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: pa.Schema
 ) -> DataFrame:
-    """Run `work` over the Arrow batches of each task, without a shuffle."""
+    """Run `work` over the Arrow batches of each task, those with texts in portions, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from work(batch)
+            for portion in portions(batch):
+                yield from work(portion)
 
     return df.mapInArrow(run, from_arrow_schema(schema))
 

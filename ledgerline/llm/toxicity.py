@@ -211,10 +211,11 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     names = [f"p_{c}" for c in chain.categories]
     docs = docs.drop(*names)
     schema = pa.schema([*to_arrow_schema(docs.schema), *((n, pa.float64()) for n in names)])
+    # Of a task, for it gets a copy of its own.
+    known: dict[str, tuple[int, ...]] = {}
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = batch.schema.get_field_index("text")
-        known: dict[str, tuple[int, ...]] = {}
         scores = list(zip(*(chain.probabilities(t.as_py() or "", known) for t in batch.column(at)))) or [()] * len(names)
         yield pa.record_batch([*batch.columns, *(pa.array(s, pa.float64()) for s in scores)], names=schema.names)
 

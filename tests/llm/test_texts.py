@@ -4,16 +4,18 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm import brown, chunks, external, grammar, records, toxicity, warc
+from ledgerline.llm import brown, chunks, common, external, grammar, records, toxicity, warc
 from ledgerline.llm.bits import HashBits
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -474,3 +476,35 @@ def test_bitmap_has_all_that_was_added(spark):
     assert marked.has(values).all()
     assert marked.has(np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).mean() < 0.2
     assert not HashBits.of(hashes.limit(0), F.col("h"), bits=10).has(values).any()
+
+
+def test_texts_are_worked_on_in_portions(spark):
+    """What a task makes of texts at a time is bounded by their bytes, not their number."""
+    schema = pa.schema([("first", pa.int64()), ("rows", pa.int64()), ("bytes", pa.int64())])
+
+    def work(batch):
+        sizes = [len(t) for t in common.texts(batch)]
+        yield pa.record_batch([pa.array([x]) for x in (batch.column(0)[0].as_py(), len(sizes), sum(sizes))], schema=schema)
+
+    size = F.when(F.col("id") == 9, 20 << 20).when(F.col("id") != 4, 3 << 20)
+    frame = spark.range(0, 16, 1, 1).select("id", F.expr("repeat('x', 1)").alias("x"), size.cast("int").alias("size"))
+    frame = frame.select("id", F.expr("repeat(x, size)").alias("text"))
+    got = sorted(tuple(r) for r in common.map_batches(frame, work, schema).collect())
+    assert [first + rows for first, rows, _ in got] == [first for first, _, _ in got[1:]] + [16]
+    assert all(rows == 1 or size <= common.PORTION for _, rows, size in got)
+    assert sum(size for *_, size in got) == 14 * (3 << 20) + (20 << 20)
+
+
+def test_gains_of_many_words_take_bounded_memory(monkeypatch):
+    draw = np.random.default_rng(3)
+    words, classes = 2_048, 64
+    counts = draw.integers(50_000, 90_000, (classes, classes)).astype(float)
+    right, left = (draw.integers(1, 9, (words, classes)).astype(float) for _ in range(2))
+    own, now = draw.integers(0, 1, words).astype(float), draw.integers(0, classes, words)
+    tracemalloc.start()
+    got = brown.best_classes(counts, right, left, own, now)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    monkeypatch.setattr(brown, "TOGETHER", words)
+    assert (got == brown.best_classes(counts, right, left, own, now)).all()
