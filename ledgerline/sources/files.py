@@ -82,6 +82,27 @@ class Files:
         if system.exists(there) or not system.rename(self._path(source), there):
             raise OSError(f"{source} could not be renamed to {target}")
 
+    def move_all(self, moves: list[tuple[str, str]]) -> None:
+        """Rename (source, target) pairs, some at a time; a target that is there, or comes twice, is an error.
+
+        Each folder is made and listed once, so that a file costs a rename and no more.
+        """
+        folders = {posixpath.dirname(target) for _, target in moves}
+        for folder in folders:
+            self.make(folder)
+        taken = {f"{folder}/{name}" for folder in folders for name in self.names(folder)}
+        targets = [target for _, target in moves]
+        if len(taken.union(targets)) < len(taken) + len(targets):
+            raise OSError("a target of a rename is there")
+
+        def rename(some: list[tuple[str, str]]) -> None:
+            system = self._at(some[0][1])[0]
+            for source, target in some:
+                if not system.rename(self._path(source), self._path(target)):
+                    raise OSError(f"{source} could not be renamed to {target}")
+
+        all_together({str(at): partial(rename, moves[at : at + RENAMES]) for at in range(0, len(moves), RENAMES)})
+
 
 def _aside(path: str, kind: str, mark: str = "") -> str:
     """A hidden neighbour of a path: readers of the folder above pass over it."""
@@ -157,21 +178,22 @@ def write_named(rows: DataFrame, folder: str, end: str = "\n", codec: str = "non
     )
 
 
-def write_files(rows: DataFrame, folder: str, codec: str = "none") -> None:
+def write_files(rows: DataFrame, folder: str, codec: str = "none", known: DataFrame | None = None) -> None:
     """Write (name, at, value): one file of lines for each name in a new folder, in the order of `at`.
 
     A name's rows meet in one task, so names are for pieces of a size that a task writes.
+    `known` has all names, each at least once, where that is less than `rows`.
     """
     spark, staging = rows.sparkSession, _aside(folder, "parts", uuid.uuid4().hex)
     files = Files(spark)
     try:
         named = rows.select(F.xxhash64("name").alias("file"), F.lit(0).alias("block"), "at", "value")
         write_named(named.repartition("file"), staging, codec=codec)
-        names = dict(rows.select(F.xxhash64("name"), "name").distinct().toLocalIterator())
+        known = rows if known is None else known
+        names = dict(known.select(F.xxhash64("name"), "name").distinct().toLocalIterator())
         with replacing(spark, folder) as staged:
             files.make(staged)
-            for f, _, path, _ in _parts(spark, staging) if names else []:
-                files.move(path, f"{staged}/{names[f]}")
+            files.move_all([(path, f"{staged}/{names[f]}") for f, _, path, _ in (_parts(spark, staging) if names else [])])
     finally:
         files.delete(staging)
 
@@ -235,12 +257,7 @@ def copy_files(
         for f, block, path, _ in parts:
             stem, suffix = posixpath.splitext(names[f][0])
             moves.append((path, f"{target}/{stem}-{block:015d}{suffix}" if f in split else f"{target}/{names[f][0]}"))
-
-        def rename(some: list[tuple[str, str]]) -> None:
-            for old, new in some:
-                files.move(old, new)
-
-        all_together({str(at): partial(rename, moves[at : at + RENAMES]) for at in range(0, len(moves), RENAMES)})
+        files.move_all(moves)
         for path in set(all_paths(contents)) - {r["path"] for r in found}:
             files.touch(f"{target}/{relative(path)}")
     finally:

@@ -211,8 +211,10 @@ def _landing_files(spark: SparkSession, sf_dir: str, landing: str) -> dict[str,
     n, piece = _number("tx_id"), (_number("tx_id") / FILE_ROWS).cast("bigint")
     named = raw[PAYMENTS].withColumn("name", F.format_string("payments-%s-%03d.csv", "payment_channel", piece))
     lines = named.select("name", n.alias("at"), F.to_csv(F.struct(*raw[PAYMENTS].columns)).alias("value"))
-    headers = named.select("name").distinct().select("name", F.lit(-1).cast("bigint").alias("at"), F.lit(",".join(raw[PAYMENTS].columns)).alias("value"))
-    write_files(lines.unionByName(headers), f"{landing}/payments_files")
+    OUT.write_parquet(named.select("name").distinct(), f"{landing}/_names")
+    names = spark.read.parquet(f"{landing}/_names")
+    headers = names.select("name", F.lit(-1).cast("bigint").alias("at"), F.lit(",".join(raw[PAYMENTS].columns)).alias("value"))
+    write_files(lines.unionByName(headers), f"{landing}/payments_files", known=names)
     n, piece = _number("transaction_id"), (_number("transaction_id") / FILE_ROWS).cast("bigint")
     telemetry = raw[DEVICE].select(F.format_string("device-%03d.json.gz", piece).alias("name"), n.alias("at"), F.to_json(F.struct("*")).alias("value"))
     write_files(telemetry, f"{landing}/device_files", codec="gzip")

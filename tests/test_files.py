@@ -297,3 +297,25 @@ def test_quarantine_of_an_earlier_run_goes(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("id,n\ny,2\n")
     _, status = IN.ingest(spark, spec, str(tmp_path / "b"))
     assert rows(status, "row_count", "malformed") == [(1, 0)] and not (tmp_path / "b" / IN.QUARANTINE / "s").exists()
+
+
+def test_many_renames_list_each_folder_once(spark, tmp_path, monkeypatch):
+    """A file costs a rename; a target that is there is an error and stays as it is."""
+    calls, at = [], FS.Files._at
+    monkeypatch.setattr(FS.Files, "_at", lambda self, path: calls.append(path) or at(self, path))
+    names = [f"f{k}" for k in range(600)]
+    (tmp_path / "from").mkdir()
+    for name in names:
+        (tmp_path / "from" / name).write_text(name)
+    rows = spark.createDataFrame([(name, k, name) for k, name in enumerate(names[:40])], "name string, at int, value string")
+    FS.write_files(rows, str(tmp_path / "lines"))
+    assert len(calls) < 40
+    assert {f.name: f.read_text() for f in (tmp_path / "lines").glob("f*")} == {n: f"{n}\n" for n in names[:40]}
+    moves = [(f"{tmp_path}/from/{n}", f"{tmp_path}/to/{n}") for n in names]
+    FS.Files(spark).move_all(moves)
+    assert {f.name: f.read_text() for f in (tmp_path / "to").glob("f*")} == {n: n for n in names}
+    (tmp_path / "from" / "f1").write_text("new")
+    for bad in (moves[1:2], [(moves[1][0], f"{tmp_path}/to/x"), (moves[2][0], f"{tmp_path}/to/x")]):
+        with pytest.raises(OSError):
+            FS.Files(spark).move_all(bad)
+    assert (tmp_path / "to" / "f1").read_text() == "f1"
