@@ -13,7 +13,8 @@ confirmed on the full sets.
 Shingles that only one class has bound what it can share with any other, and so
 the sizes that a partner of it may have, exactly: variants that lie too far from
 all others are not compared.  After a few rounds of pivots the pairs that these
-bounds leave are looked up by bucket and size, which ends the search.
+bounds leave are looked up by the rarest shingles of each class, the place of a
+shingle bounding the size of a partner, which ends the search.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bits import HashBits
@@ -247,7 +248,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, similarity: float)
         if turn < PIVOT_ROUNDS:
             pivots, pairs = _pivot_pairs(members, 2**turn, least)
         else:
-            pairs = _pairs_left(members, percent, least)
+            pairs = _pairs_left(_by_rare_shingle(members, held, words, percent), percent, least)
         # A pair that came up before was confirmed, refused or settled by others.
         if tried:
             pairs = pairs.join(if_small(reduce(DataFrame.unionByName, tried)), ["a", "b"], "left_anti")
@@ -287,11 +288,37 @@ def _pivot_pairs(members: DataFrame, groups: int, least: float) -> tuple[DataFra
     return pivots, _candidates(against.select("node", "sig", F.col("p.node").alias("other_node"), F.col("p.sig").alias("other_sig")), least)
 
 
+def _by_rare_shingle(members: DataFrame, held: DataFrame, words: int, percent: int) -> DataFrame:
+    """The members, once for each of the shingles at which they may meet a partner, with a reach at each.
+
+    Shingles are ordered by the number of classes that have them, rare ones first.  The first one that two sets
+    have in common, at place k in one of n, leaves them n - k + 1 to share at most; so of each class only the
+    places are kept that leave a partner possible, and each bounds its size.  In a group of variants those too
+    far from the middle meet nobody at a shingle of the whole group.
+    """
+    nodes = written(members.select("node", "label", "n", "sig").distinct(), "leftover")
+    sets = written(_shingles(held.join(if_small(nodes.select("node")), "node", "left_semi"), words), "leftover-shingles")
+    spread = sets.select("node", F.explode("shingles").alias("key"))
+    df = written(spread.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "leftover-df")
+    of_node = Window.partitionBy("node")
+    # Shingles that no other one has come first, and need not be listed.
+    ordered = spread.join(if_small(df), "key").select(
+        "node", "key", F.row_number().over(of_node.orderBy("df", "key")).alias("at"), F.count(F.lit(1)).over(of_node).alias("shared")
+    )
+    known = ordered.join(if_small(nodes), "node")
+    reach = F.floor(((100 + percent) * (F.col("shared") - F.col("at") + 1) - percent * F.col("n")) / percent)
+    placed = known.withColumn("reach", reach).filter(100 * F.col("reach") >= percent * F.col("n"))
+    placed = written(placed.select("key", "node", "label", "n", "reach", "sig"), "placed")
+    discard(sets)
+    mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return placed.join(if_small(written(mixed.filter("low <> high").select("key"), "mixed")), "key", "left_semi")
+
+
 def _pairs_left(members: DataFrame, percent: int, least: float) -> DataFrame:
-    """All pairs of one bucket with different labels whose sizes lie within each other's reach.
+    """All pairs of one key with different labels whose sizes lie within each other's reach.
 
-    A class asks only for the sizes, of those in its bucket, at which some class of another label
-    may be its partner; then bucket and size are the key of the join.
+    A class asks only for the sizes, of those at its key, at which some class of another label
+    may be its partner; then key and size are what the join is on.
     """
     by_label = members.groupBy("key", "n", "label").agg(F.max("reach").alias("reach"))
     top = by_label.groupBy("key", "n").agg(F.max(F.struct("reach", "label")).alias("top"))
@@ -307,21 +334,26 @@ def _pairs_left(members: DataFrame, percent: int, least: float) -> DataFrame:
     )
     # Of two classes of one size the one with the larger key asks.
     once = (F.col("size") < F.col("n")) | (F.col("other_node") < F.col("node"))
-    found = asked.join(others, ["key", "size"]).filter((F.col("label") != F.col("other_label")) & (F.col("other_reach") >= F.col("n")) & once)
+    asked = if_small(written(asked, "asked"))
+    found = others.join(asked, ["key", "size"]).filter((F.col("label") != F.col("other_label")) & (F.col("other_reach") >= F.col("n")) & once)
     return _candidates(found, least)
 
 
-def _own_shingles(nodes: DataFrame, held: DataFrame, words: int) -> DataFrame:
-    """(node, own): how many shingles of a class no other one of these classes has."""
+def _shingles(held: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the set of each class."""
     out = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = [shingle_set(t, words).view(np.int64) for t in texts(batch)]
         yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=out)
 
-    sets = map_batches(held.select("node", "text"), work, out)
+    return map_batches(held.select("node", "text"), work, out)
+
+
+def _own_shingles(nodes: DataFrame, held: DataFrame, words: int) -> DataFrame:
+    """(node, own): how many shingles of a class no other one of these classes has."""
     single = (
-        sets.select("node", F.explode("shingles").alias("shingle"))
+        _shingles(held, words).select("node", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
         .filter("df = 1")

@@ -76,6 +76,36 @@ def test_near_duplicates_of_a_large_group(docs):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_near_duplicates_just_too_far_from_a_large_group_are_not_compared_with_all_of_it(docs, monkeypatch):
+    """Pairs of variants whose shared edits lie a little too far from the text that all others are near."""
+    draw = random.Random(8)
+    base = [f"b{k}" for k in range(200)]
+    texts = [base]
+    for i in range(60):
+        text = list(base)
+        text[draw.randrange(4, 190)] = f"x{i}"
+        texts.append(text)
+    for i in range(30):
+        places = draw.sample(range(8, 190, 5), 6)
+        for twin in range(2):
+            text = list(base)
+            for k in places:
+                text[k] = f"y{i}-{twin if k == places[0] else ''}"
+            texts.append(text)
+    pairs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    looked_up, real = [], neardup._pairs_left
+
+    def counted(*args):
+        looked_up.append(real(*args))
+        return looked_up[-1]
+
+    monkeypatch.setattr(neardup, "_pairs_left", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(docs(pairs), 4).collect()}
+    assert got == brute(pairs, 4, 80)
+    assert len({c for _, c in got.values()}) == 31
+    assert sum(df.count() for df in looked_up) <= 5 * len(pairs)
+
+
 def test_near_duplicates_of_odd_rows(odd, clashing):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == 10
