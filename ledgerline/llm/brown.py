@@ -138,34 +138,56 @@ def best_classes(
     rows, classes = np.arange(len(now)), len(counts)
     starts, ends = counts.sum(axis=1), counts.sum(axis=0)
     out, into = right.sum(axis=1), left.sum(axis=1)
-    # Class pairs of each word's own row and column of classes, without the word.
+    # Class pairs of each word's own row and column of classes, without the word.  Most words meet a class once or
+    # twice, so what that changes is worked out once; only a word's own class differs, from which it is taken out.
     gain = np.zeros(right.shape)
     for mine, other, table in ((right, left, counts), (left, right, counts.T)):
         word, met = np.nonzero(mine)
-        base = table[:, met].T.copy()
-        base[np.arange(len(word)), now[word]] -= mine[word, met]
-        same = np.flatnonzero(met == now[word])
-        base[same] -= other[word[same]]
-        base[same, met[same]] += own[word[same]]
-        add = mine[word, met] - np.where(met == now[word], own[word], 0)
-        change = _g(base + add[:, None]) - _g(base)
+        here, times = now[word], mine[word, met]
+        add = times - np.where(met == here, own[word], 0)
+        amounts, amount = np.unique(add, return_inverse=True)
+        kinds, kind = np.unique(amount * classes + met, return_inverse=True)
+        base = table[:, kinds % classes].T
+        change = (_g(base + amounts[kinds // classes][:, None]) - _g(base))[kind]
+        base = table[here, met] - times
+        change[np.arange(len(word)), here] = _g(base + add) - _g(base)
+        same = np.flatnonzero(met == here)
+        base = table[:, met[same]].T.copy()
+        base[np.arange(len(same)), here[same]] -= times[same]
+        base -= other[word[same]]
+        base[np.arange(len(same)), met[same]] += own[word[same]]
+        change[same] = _g(base + add[same][:, None]) - _g(base)
         has, first = np.unique(word, return_index=True)
         if len(has):
             gain[has] += np.add.reduceat(change, first, axis=0)
-    corner = np.broadcast_to(np.diagonal(counts), right.shape).copy()
-    corner[rows, now] += own - right[rows, now] - left[rows, now]
     after, before = right.copy(), left.copy()
     after[rows, now] -= own
     before[rows, now] -= own
-    gain += _g(corner + after + before + own[:, None]) - _g(corner + after) - _g(corner + before) + _g(corner)
+    # The pairs of a class with itself change only where a word meets it, or left it.
+    meets = (after != 0) | (before != 0) | (own != 0)[:, None]
+    meets[rows, now] = True
+    word, met = np.nonzero(meets)
+    corner = np.diagonal(counts)[met] + np.where(met == now[word], (own - right[rows, now] - left[rows, now])[word], 0)
+    a, b = after[word, met], before[word, met]
+    gain[word, met] += _g(corner + a + b + own[word]) - _g(corner + a) - _g(corner + b) + _g(corner)
     for total, moved in ((starts, out), (ends, into)):
-        rest = np.broadcast_to(total, right.shape).copy()
-        rest[rows, now] -= moved
-        gain -= _g(rest + moved[:, None]) - _g(rest)
+        amounts, amount = np.unique(moved, return_inverse=True)
+        change = (_g(total + amounts[:, None]) - _g(total))[amount]
+        rest = total[now] - moved
+        change[rows, now] = _g(rest + moved) - _g(rest)
+        gain -= change
     new = gain.argmax(axis=1)
     return np.where(gain[rows, new] > gain[rows, now] + NOISE * (1 + np.abs(gain[rows, now])), new, now)
 
 
+def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add each of the rows to the table's row at its place; places repeat."""
+    order = np.argsort(at, kind="stable")
+    places, first = np.unique(at[order], return_index=True)
+    if len(places):
+        table[places] += np.add.reduceat(rows[order], first, axis=0)
+
+
 def explained(counts: np.ndarray) -> float:
     """What the classes add to the log-likelihood of the corpus: the part of it that exchange can change."""
     counts = counts.astype(np.float64)
@@ -359,30 +381,32 @@ def _spread(
         h = batch.column(0).to_numpy()
         yield pa.record_batch([*batch.columns, pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=schema)
 
-    def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """A row of counts by key for each word of a batch, and the words' classes."""
-        total = np.zeros((batch.num_rows, ITSELF * classes + 1))
+    def entries_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of the batch, key and n of all that its words meet."""
         column = batch.column(2)
         lengths = np.array(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), np.int64)
         flat = column.flatten()
-        np.add.at(total, (np.repeat(np.arange(len(lengths)), lengths), flat.field(0).to_numpy()), flat.field(1).to_numpy())
+        return np.repeat(np.arange(len(lengths)), lengths), flat.field(0).to_numpy(), flat.field(1).to_numpy()
+
+    def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """A row of counts by key for each word of a batch, and the words' classes."""
+        row, key, n = entries_of(batch)
+        keys = ITSELF * classes + 1
+        total = np.bincount(row * keys + key, n, batch.num_rows * keys).reshape(batch.num_rows, keys)
         return total, batch.column(3).to_numpy()
 
     def class_pairs(state: DataFrame, rare_next: bool) -> np.ndarray:
         """Class pairs that a word begins, and those after a frequent word; those of two words that are not frequent on demand."""
 
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            summed = np.zeros((classes, classes))
-            for piece in _pieces(batch):
-                total, now = tables(piece)
-                right = total[:, :classes]
-                if rare_next:
-                    right = right + total[:, NEXT_RARE * classes : PREV * classes]
-                    np.add.at(summed, (now, now), total[:, -1])
-                np.add.at(summed, now, right)
-                np.add.at(summed.T, now, total[:, PREV * classes : PREV_RARE * classes])
+            row, key, n = entries_of(batch)
+            now = batch.column(3).to_numpy().astype(np.int64)[row]
+            kind, other = np.divmod(key.astype(np.int64), classes)
+            wanted = np.isin(kind, (NEXT, NEXT_RARE, PREV, ITSELF) if rare_next else (NEXT, PREV))
+            pair = np.where(kind == PREV, other * classes + now, now * classes + np.where(kind == ITSELF, now, other))
+            summed = np.bincount(pair[wanted], n[wanted], classes * classes)
             key = np.flatnonzero(summed)
-            yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(summed.ravel()[key].astype(np.int64))], schema=out)
+            yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(summed[key].astype(np.int64))], schema=out)
 
         return matrix(map_batches(state, work, out))
 
@@ -413,8 +437,8 @@ def _spread(
                 # What this piece moved, the next one knows.
                 went = np.flatnonzero(new != now)
                 for there, sign in ((now, -1), (new, 1)):
-                    np.add.at(counts, there[went], sign * right[went])
-                    np.add.at(counts.T, there[went], sign * left[went])
+                    _add_rows(counts, there[went], sign * right[went])
+                    _add_rows(counts.T, there[went], sign * left[went])
                 np.maximum(counts, 0, out=counts)
                 yield pa.record_batch([*piece.columns[:3], pa.array(new.astype(np.int32))], schema=schema)
 

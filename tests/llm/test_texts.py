@@ -508,3 +508,23 @@ def test_gains_of_many_words_take_bounded_memory(monkeypatch):
     assert peak < 100 << 20
     monkeypatch.setattr(brown, "TOGETHER", words)
     assert (got == brown.best_classes(counts, right, left, own, now)).all()
+
+
+def test_gains_of_words_met_once_take_few_logarithms(monkeypatch):
+    """What a class gains by one more word is worked out once for all words that add the same."""
+    draw = np.random.default_rng(4)
+    words, classes = 256, 64
+    counts = draw.integers(50, 900, (classes, classes)).astype(float)
+    now = draw.integers(0, classes, words)
+    right, left = (np.eye(classes)[draw.integers(0, classes, words)] for _ in range(2))
+    own = np.zeros(words)
+    want = [brown.exchange(counts.copy(), right[u].copy(), left[u].copy(), 0.0, now[u]) for u in range(words)]
+    sizes, real = [], brown._g
+
+    def counted(x):
+        sizes.append(x.size)
+        return real(x)
+
+    monkeypatch.setattr(brown, "_g", counted)
+    assert brown.best_classes(counts, right, left, own, now).tolist() == want
+    assert sum(sizes) < 4 * words * classes
