@@ -38,7 +38,7 @@ MASK = 0xA282EAD8
 #: Words whose ids a worker remembers; beyond that it forgets all and starts anew.
 REMEMBERED = 500_000
 #: Words that a worker may have met, by hash; and characters of the texts it looks at together.
-MET_BITS, TOGETHER = 22, 1 << 18
+MET_BITS, TOGETHER = 22, 1 << 20
 
 
 def masked(data: bytes) -> int:
@@ -172,12 +172,18 @@ class WordEncoder:
     def _coded(self, words: list[bytes]) -> dict[bytes, bytes]:
         if self.merges is None:
             return self._by_library(words)
-        texts = [w.decode() for w in words]
-        easy = [EASY.fullmatch(t) is not None and not any(x in t for x in self.special) for t in texts]
+        if not words:
+            return {}
+        whole = b"\n".join(words).decode()
+        texts = whole.split("\n")
+        easy = [x is not None for x in map(EASY.fullmatch, texts)]
+        # Few texts name a special token, so words are looked at one by one only then.
+        if named := [x for x in self.special if x in whole]:
+            easy = [e and not any(x in t for x in named) for e, t in zip(easy, texts)]
         rest = [w for w, e in zip(words, easy) if not e]
         out = self._by_library(rest) if rest else {}
         if len(rest) < len(words):
-            joined = "\n".join(t for t, e in zip(texts, easy) if e).lower()
+            joined = ("\n".join(t for t, e in zip(texts, easy) if e) if rest else whole).lower()
             ids = self.merges.encode_ordinary(self.pieces.sub("\\g<0>\x01", joined))
             out.update(self._cut([w for w, e in zip(words, easy) if e], ids, self.line_id))
         return out

@@ -528,3 +528,23 @@ def test_gains_of_words_met_once_take_few_logarithms(monkeypatch):
     monkeypatch.setattr(brown, "_g", counted)
     assert brown.best_classes(counts, right, left, own, now).tolist() == want
     assert sum(sizes) < 4 * words * classes
+
+
+def test_words_are_searched_for_special_tokens_only_where_a_text_names_one():
+    class Counted(list):
+        turns = 0
+
+        def __iter__(self):
+            self.turns += 1
+            return super().__iter__()
+
+    coder = records.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    coder.special = Counted(coder.special)
+    plain = " ".join(f"word{k}" for k in range(500))
+    (first,) = coder.many([plain], None)
+    assert coder.special.turns < 10
+    name = list(coder.special)[0]
+    for text in (plain, f"{plain} {name} a{name}b word7", f"Été {plain}"):
+        (ids,) = coder.many([text], None)
+        assert ids.tolist() == coder.library.encode(text, add_special_tokens=False).ids
+    assert first.tolist() == coder.library.encode(plain, add_special_tokens=False).ids
