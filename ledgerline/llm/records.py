@@ -26,19 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_batches, texts, written
+from ledgerline.llm.common import map_batches, written
 
 END = b"\n"
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<BBq")
 MASK = 0xA282EAD8
-#: Words whose ids a worker remembers; beyond that it forgets all and starts anew.
-REMEMBERED = 500_000
-#: Words that a worker may have met, by hash; and characters of the texts it looks at together.
-MET_BITS, TOGETHER = 22, 1 << 20
+#: Words whose ids a worker remembers, and bytes of them; beyond either it keeps those of the texts at hand alone.
+REMEMBERED, REMEMBERED_BYTES = 400_000, 32 << 20
 
 
 def masked(data: bytes) -> int:
@@ -76,8 +75,14 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(payload, f"<u{width}", offset=BODY.size)
 
 
-#: Words whose lower case and pieces do not depend on the library's version of Unicode.
-EASY = re.compile("[!-~\xa1-\xac\xae-\u012f]+")
+#: What words hold that may have another lower case or other pieces in another version of Unicode than the library's.
+HARD = "[^!-~\xa1-\xac\xae-\u012f]"
+
+
+def _lines(words: pa.Array) -> str:
+    """Words as lines of one text."""
+    offsets = pa.array([0, len(words)], pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words), "\n")[0].as_py()
 
 
 def byte_signs() -> dict[str, int]:
@@ -87,24 +92,15 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class _Remembered(dict):
-    """Ids by word; words that are not kept are looked up among those of the texts at hand."""
-
-    def __init__(self):
-        self.passing: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.passing[word]
-
-
 class WordEncoder:
     """Ids of texts by the tokenizers library, remembered by white-space word.
 
     For tokenizers that split at white space and drop it, the ids of a text are
     those of its words in turn.  Words are cut at ASCII white space only; a piece
     that holds other white space goes to the library as it stands.  New words
-    reach the library as one text, a special token between each two.  A word is
-    remembered from its second meeting on, since most are met once.
+    reach the library as one text, a special token between each two.  Texts are
+    Arrow columns: their words are told apart, looked up among those remembered
+    and put together again without a Python object for each.
     """
 
     def __init__(self, path: str):
@@ -119,8 +115,7 @@ class WordEncoder:
         self.between, self.between_id = next(((str(t), at) for at, t in added.items() if t.special), ("", -1))
         self.merges = None
         self._read_merges(path)
-        self.known = _Remembered()
-        self.met = bytearray(1 << MET_BITS)
+        self.known, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def _read_merges(self, path: str) -> None:
         """A rank-merging encoder with the same vocabulary, where the file is of the kind it can stand for.
@@ -150,62 +145,85 @@ class WordEncoder:
         self.merges = tiktoken.Encoding("words", pat_str=r"[^\x01\n]+\x01|\n", mergeable_ranks=ranks, special_tokens={})
         self.line_id = ranks[b"\n"]
 
-    def _by_library(self, words: list[bytes]) -> dict[bytes, bytes]:
-        mark = self.between.encode()
+    def _by_library(self, words: list[str]) -> pa.Array:
+        """The ids of each word, as bytes."""
+        mark = self.between
         alone = [w for w in words if not mark or mark in w]
         joined = [w for w in words if mark and mark not in w] if alone else words
-        out = {w: np.array(self.library.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes() for w in alone}
+        out = {w: np.array(self.library.encode(w, add_special_tokens=False).ids, self.kind).tobytes() for w in alone}
         if joined:
-            (coded,) = self.library.encode_batch_fast([self.between.join(w.decode() for w in joined)], add_special_tokens=False)
-            out.update(self._cut(joined, coded.ids, self.between_id))
-        return out
+            (coded,) = self.library.encode_batch_fast([mark.join(joined)], add_special_tokens=False)
+            out.update(zip(joined, self._cut(len(joined), np.array(coded.ids, self.kind), self.between_id).to_pylist()))
+        return pa.array([out[w] for w in words], pa.large_binary())
 
-    def _cut(self, words: list[bytes], ids: list[int], between: int) -> Iterator[tuple[bytes, bytes]]:
+    def _cut(self, words: int, ids: np.ndarray, between: int) -> pa.Array:
         """The ids of each of some words that were encoded with `between` between them."""
-        all_ids = np.array(ids, self.kind)
-        ends = np.append(np.flatnonzero(all_ids == between), len(all_ids)).tolist()
-        data, width, start = all_ids.tobytes(), self.kind.itemsize, 0
-        for word, end in zip(words, ends, strict=True):
-            yield word, data[start * width : end * width]
-            start = end + 1
-
-    def _coded(self, words: list[bytes]) -> dict[bytes, bytes]:
-        if self.merges is None:
-            return self._by_library(words)
-        if not words:
-            return {}
-        whole = b"\n".join(words).decode()
-        texts = whole.split("\n")
-        easy = [x is not None for x in map(EASY.fullmatch, texts)]
+        apart = ids == between
+        ends = np.flatnonzero(apart)
+        if len(ends) != words - 1:
+            raise ValueError(f"{len(ends) + 1} words were encoded, not {words}")
+        ends = np.concatenate([[0], ends - np.arange(len(ends)), [len(ids) - len(ends)]]).astype(np.int64)
+        return pa.Array.from_buffers(
+            pa.large_binary(), words, [None, pa.py_buffer(ends * self.kind.itemsize), pa.py_buffer(ids[~apart].astype(self.kind))]
+        )
+
+    def _coded(self, words: pa.Array) -> pa.Array:
+        """The ids of each of some different words."""
+        if self.merges is None or not len(words):
+            return self._by_library(words.to_pylist())
+        hard = pc.match_substring_regex(words, HARD)
+        whole = _lines(words)
         # Few texts name a special token, so words are looked at one by one only then.
-        if named := [x for x in self.special if x in whole]:
-            easy = [e and not any(x in t for x in named) for e, t in zip(easy, texts)]
-        rest = [w for w, e in zip(words, easy) if not e]
-        out = self._by_library(rest) if rest else {}
-        if len(rest) < len(words):
-            joined = ("\n".join(t for t, e in zip(texts, easy) if e) if rest else whole).lower()
-            ids = self.merges.encode_ordinary(self.pieces.sub("\\g<0>\x01", joined))
-            out.update(self._cut([w for w, e in zip(words, easy) if e], ids, self.line_id))
-        return out
-
-    def many(self, listed: list[str], end_id: int | None) -> Iterator[np.ndarray]:
-        """Ids of each text, with `end_id` behind them if given."""
-        known, met, mask = self.known, self.met, (1 << MET_BITS) - 1
-        words = [text.encode().split() for text in listed]
-        new = [w for w in set().union(*words) if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set().union(*words))
-        known.passing = self._coded(new)
-        close = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
-        for own in words:
-            yield np.frombuffer(b"".join([*map(known.__getitem__, own), close]), self.kind)
-        for w in new:
-            at = hash(w) & mask
-            if met[at]:
-                known[w] = known.passing[w]
-            met[at] = 1
-        known.passing = {}
+        for name in [x for x in self.special if x in whole]:
+            hard = pc.or_(hard, pc.match_substring(words, name))
+        rest = words.filter(hard)
+        if not len(rest):
+            return self._by_merges(whole, len(words))
+        easy = words.filter(pc.invert(hard))
+        parts = pa.concat_arrays([self._by_library(rest.to_pylist()), self._by_merges(_lines(easy), len(easy))])
+        is_hard, at = hard.to_numpy(zero_copy_only=False), np.empty(len(words), np.int64)
+        at[is_hard], at[~is_hard] = np.arange(len(rest)), np.arange(len(rest), len(words))
+        return parts.take(pa.array(at))
+
+    def _by_merges(self, lines: str, words: int) -> pa.Array:
+        if not words:
+            return pa.array([], pa.large_binary())
+        ids = self.merges.encode_to_numpy(self.pieces.sub("\\g<0>\x01", lines.lower()), disallowed_special=())
+        return self._cut(words, ids, self.line_id)
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """The ids of each of some different words, most of them remembered; those are remembered too."""
+        place = pc.index_in(words, value_set=self.known)
+        unknown = pc.is_null(place)
+        new = words.filter(unknown)
+        at = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        at[unknown.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, new])
+        self.ids = pa.concat_arrays([self.ids, self._coded(new)])
+        found = self.ids.take(pa.array(at))
+        if self._too_many():
+            self.known, self.ids = words, found
+            if self._too_many():
+                self.known, self.ids = words[:0].take(pa.array([], pa.int64())), found[:0].take(pa.array([], pa.int64()))
+        return found
+
+    def _too_many(self) -> bool:
+        return len(self.known) > REMEMBERED or self.known.nbytes + self.ids.nbytes > REMEMBERED_BYTES
+
+    def many(self, listed: pa.Array | list[str | None], end_id: int | None) -> Iterator[np.ndarray]:
+        """Ids of each text, with `end_id` behind them if given; a missing text is empty."""
+        column = listed if isinstance(listed, pa.Array) else pa.array(listed, pa.string())
+        split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        ends = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(), dtype=np.int64)])
+        words = split.flatten().dictionary_encode()
+        ids = self._ids_of(words.dictionary).take(words.indices)
+        # Where the ids of each word end, so where those of each text do.
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset) if len(ids) else np.zeros(1, np.int64)
+        flat = np.frombuffer(ids.buffers()[2] or b"", self.kind)
+        close = np.array([] if end_id is None else [end_id], self.kind)
+        cuts = (at[ends] // self.kind.itemsize).tolist()
+        for start, end in zip(cuts, cuts[1:]):
+            yield np.concatenate([flat[start:end], close])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -231,20 +249,13 @@ def write_records(
     A NULL text is empty.  Repeated ids keep all their rows, in any order among
     themselves; an empty table gives a folder without frames.  Other columns are
     not looked at.  The range shuffle carries the texts once; a task encodes its
-    documents one by one while it writes, so memory does not grow with the file.
+    documents in portions while it writes, so memory does not grow with the file.
     """
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        coder, out, held, size = encoder(tokenizer), [], [], 0
-        ids = iter(batch.column(0).to_pylist())
-        for text in texts(batch):
-            held.append(text)
-            size += len(text)
-            if size >= TOGETHER:
-                out += [frame(payload_of(next(ids), coded)) for coded in coder.many(held, end_id)]
-                held, size = [], 0
-        out += [frame(payload_of(next(ids), coded)) for coded in coder.many(held, end_id)]
+        ids, coded = batch.column(0).to_pylist(), encoder(tokenizer).many(batch.column(1), end_id)
+        out = [frame(payload_of(*row)) for row in zip(ids, coded, strict=True)]
         yield pa.record_batch([pa.array(out, pa.binary())], ["frame"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")

@@ -548,3 +548,26 @@ def test_words_are_searched_for_special_tokens_only_where_a_text_names_one():
         (ids,) = coder.many([text], None)
         assert ids.tolist() == coder.library.encode(text, add_special_tokens=False).ids
     assert first.tolist() == coder.library.encode(plain, add_special_tokens=False).ids
+
+
+def test_words_are_told_apart_and_put_together_without_an_object_each():
+    coder, words = records.WordEncoder(WORDS), [f"word{k}" for k in range(500)]
+    column = pa.array([" ".join(words * 400), None, " \x0b", f"{words[7]} Été <|endoftext|> {words[8]}"])
+    list(coder.many(column, 2))
+    tracemalloc.start()
+    got = [ids.tolist() if k else ids for k, ids in enumerate(coder.many(column, 2))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 200,000 words: their ids are 1.6 MB, an object for each would be 10.
+    assert peak < 6 << 20
+    assert got[1:] == [[*library(WORDS).encode(x or "", add_special_tokens=False).ids, 2] for x in column.to_pylist()[1:]]
+    assert got[0].tolist() == [*coder.library.encode(column[0].as_py(), add_special_tokens=False).ids, 2]
+
+
+def test_what_is_remembered_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(records, "REMEMBERED_BYTES", 4_000)
+    coder, plain = records.WordEncoder(WORDS), library(WORDS)
+    for text in ("a b c", " ".join(f"w{k}" for k in range(1_000)), "b " + "long" * 2_000, "a b w7"):
+        (ids,) = coder.many([text], None)
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert coder.known.nbytes + coder.ids.nbytes <= 4_000
