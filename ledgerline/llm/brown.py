@@ -6,8 +6,8 @@ leaves its class and goes where the likelihood of the corpus gains most.  The
 units are at first the frequent words, one each, and groups of the other words by
 their last letters; then each of the other words leaves its group and is moved by
 its own contexts.  Classes and emission counts are exact for every word: those of
-the more frequent ones are sent to all tasks, bounded by their share of the
-corpus, and those of all others are joined.
+the more frequent ones are sent to all tasks, bounded in number, and those of
+all others are joined.
 """
 
 from __future__ import annotations
@@ -25,12 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import discard, map_batches, signed, texts, written
-from ledgerline.llm.shingles import words_of
 
 SUFFIX_BITS = 10
 SUFFIXES = 1 << SUFFIX_BITS
-#: Words whose hashes a worker remembers; beyond that it forgets all and starts anew.
-REMEMBERED = 500_000
 SMOOTH = 0.1
 #: Exchange ends where a sweep raises the log-likelihood by less than this share of what the classes explain.
 TOLERANCE = 1e-3
@@ -51,21 +48,133 @@ def word_hash(word: bytes) -> int:
 END = word_hash(b"")
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = out = word_hash(word)
-        return out
-
-
-_HASHES = _Hashes()
+#: Constants of XXH3 for texts of up to 32 bytes: three multipliers, and the words of its secret, combined as it does.
+XX_MIX, XX_SHORT = np.uint64(0x165667919E3779F9), np.uint64(0x9FB21C651E98DF25)
+XX_TINY = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+XX_PRIME = np.uint64(0x9E3779B185EBCA87)
+_SECRET = bytes.fromhex("b8fe6c3923a44bbe7c01812cf721ad1cded46de9839097db7240a4a4b7b3671fcb79e64eccc0e578825ad07dccff7221b8084674f743248ee03590e6813a264c")
+_S4, _S8 = np.frombuffer(_SECRET, "<u4"), np.frombuffer(_SECRET, "<u8")
+#: Longest word that is hashed in columns; and words that are hashed together, so that their columns stay in the cache.
+COLUMNS, HASHED = 32, 1 << 15
+
+def _crc_steps() -> np.ndarray:
+    """The table of CRC-32: what a byte makes of a remainder of zero."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> np.uint32(1)) ^ np.uint32(0xEDB88320), table >> np.uint32(1))
+    return table.astype(np.uint32)
+
+
+_CRC = _crc_steps()
+
+
+def _u(x: int) -> np.uint64:
+    return np.uint64(x)
+
+
+def _fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Both halves of the 128-bit product, one exclusive-or the other."""
+    low, half = _u(0xFFFFFFFF), _u(32)
+    a0, a1, b0, b1 = a & low, a >> half, b & low, b >> half
+    mid = a1 * b0 + (a0 * b0 >> half)
+    high = a1 * b1 + (mid >> half) + ((a0 * b1 + (mid & low)) >> half)
+    return high ^ (a * b)
+
+
+def _finish(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> _u(37))) * XX_MIX
+    return h ^ (h >> _u(32))
+
+
+def _column_hashes(eights: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """`word_hash` of the words of 1 to 32 bytes at some places of bytes, given as 64-bit numbers; a place is 8 at least."""
+
+    def read(at: np.ndarray) -> np.ndarray:
+        """The eight bytes from each place on."""
+        k, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        return (eights[k] >> shift) | ((eights[k + 1] << _u(1)) << (_u(63) - shift))
+
+    first, last, n = read(start), read(start + size - 8), size.astype(np.uint64)
+    out = np.empty(len(start), np.uint64)
+    at = np.flatnonzero(size <= 3)
+    if len(at):
+        f, k = first[at], n[at]
+        h = ((f & _u(255)) << _u(16)) | (((f >> ((k >> _u(1)) << _u(3))) & _u(255)) << _u(24)) | (last[at] >> _u(56)) | (k << _u(8))
+        h ^= _u(int(_S4[0] ^ _S4[1]))
+        h = (h ^ (h >> _u(33))) * XX_TINY[0]
+        h = (h ^ (h >> _u(29))) * XX_TINY[1]
+        out[at] = h ^ (h >> _u(32))
+    at = np.flatnonzero((size > 3) & (size <= 8))
+    if len(at):
+        h = ((last[at] >> _u(32)) + (first[at] << _u(32))) ^ _S8[1] ^ _S8[2]
+        h ^= ((h << _u(49)) | (h >> _u(15))) ^ ((h << _u(24)) | (h >> _u(40)))
+        h *= XX_SHORT
+        h = (h ^ ((h >> _u(35)) + n[at])) * XX_SHORT
+        out[at] = h ^ (h >> _u(28))
+    at = np.flatnonzero((size > 8) & (size <= 16))
+    if len(at):
+        low, high = first[at] ^ _S8[3] ^ _S8[4], last[at] ^ _S8[5] ^ _S8[6]
+        out[at] = _finish(n[at] + low.byteswap() + high + _fold(low, high))
+    at = np.flatnonzero(size > 16)
+    if len(at):
+        here, end = start[at], start[at] + size[at]
+        h = n[at] * XX_PRIME + _fold(first[at] ^ _S8[0], read(here + 8) ^ _S8[1])
+        out[at] = _finish(h + _fold(read(end - 16) ^ _S8[2], last[at] ^ _S8[3]))
+    # The ten bits of the last three bytes, or of all where there are fewer.
+    crc = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    for k in (3, 2, 1):
+        byte = (last >> _u(64 - 8 * k)).astype(np.uint32) & np.uint32(255)
+        step = _CRC[(crc ^ byte) & np.uint32(255)] ^ (crc >> np.uint32(8))
+        crc = step if k == 1 else np.where(size >= k, step, crc)
+    return (out & ~_u(SUFFIXES - 1)) | ((~crc).astype(np.uint64) & _u(SUFFIXES - 1))
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, each text closed by an end, and where each text's tokens end."""
+    lowered = pc.ascii_lower(pc.fill_null(column.cast(pa.string()), ""))
+    offsets = np.frombuffer(lowered.buffers()[1], np.int32, len(lowered) + 1, 4 * lowered.offset).astype(np.int64) if len(lowered) else np.zeros(1, np.int64)
+    size = int(offsets[-1] - offsets[0])
+    # Eight bytes before the texts and sixteen behind them, so that whole numbers are read everywhere.
+    padded = np.full((size + 31) & ~7, 32, np.uint8)
+    if size:
+        padded[8 : 8 + size] = np.frombuffer(lowered.buffers()[2], np.uint8, size, int(offsets[0]))
+    space = _SPACE[padded[: size + 9]]
+    # Where a text begins a word ends, whatever its sign.
+    cut = space[:-1] | space[1:]
+    begins = offsets - offsets[0] + 8
+    cut[begins - 1] = True
+    edges = np.flatnonzero(cut)
+    # A word lies between two edges next to each other in whose middle there is no space.
+    inside = ~space[edges[:-1] + 1]
+    start, length = edges[:-1][inside] + 1, np.diff(edges)[inside]
+    texts_at = np.searchsorted(start, begins)
+    eights, found = padded.view(np.uint64), np.empty(len(start), np.uint64)
+    for k in range(0, len(start), HASHED):
+        part = slice(k, k + HASHED)
+        found[part] = _column_hashes(eights, start[part], length[part])
+    for k in np.flatnonzero(length > COLUMNS).tolist():
+        found[k] = word_hash(padded[start[k] : start[k] + length[k]].tobytes())
+    ends = texts_at[1:] + np.arange(1, len(offsets))
+    out = np.empty(len(found) + len(column), np.uint64)
+    word = np.ones(len(out), bool)
+    word[ends - 1] = False
+    out[word], out[ends - 1] = found, END
+    return out, ends
 
 
 def tokens(text: str) -> np.ndarray:
     """Hashes of a text's words and of the end that closes it."""
-    words = words_of(text)
-    return np.fromiter(map(_HASHES.__getitem__, [*words, b""]), np.uint64, len(words) + 1)
+    return tokens_of(pa.array([text], pa.string()))[0]
+
+
+def training_tokens(batch: pa.RecordBatch) -> np.ndarray:
+    """Tokens of the texts of a batch that are learned from, one text after the other."""
+    learned = pa.array([not held_out(d) for d in batch.column(0).to_pylist()], pa.bool_())
+    return tokens_of(batch.column(1).filter(learned))[0]
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -77,8 +186,21 @@ def places(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Place of each hash among the sorted ones, -1 where it is missing."""
     if not len(sorted_hashes):
         return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
-    return np.where(sorted_hashes[at] == hashes, at, -1)
+    # Hashes are spread evenly: their first bits tell where to look, and a step or two more where there are several.
+    bits = len(sorted_hashes).bit_length()
+    shift = _u(64 - bits)
+    first = np.searchsorted(sorted_hashes, np.arange(1 << bits, dtype=np.uint64) << shift)
+    at = np.minimum(first, len(sorted_hashes) - 1)[hashes >> shift]
+    there = sorted_hashes[at]
+    out = np.where(there == hashes, at, -1)
+    left = np.flatnonzero(there < hashes)
+    while len(left):
+        next_at = at[left] + 1
+        left, next_at = left[next_at < len(sorted_hashes)], next_at[next_at < len(sorted_hashes)]
+        at[left], there, wanted = next_at, sorted_hashes[next_at], hashes[left]
+        out[left[there == wanted]] = next_at[there == wanted]
+        left = left[there < wanted]
+    return out
 
 
 def units_of(frequent: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -207,6 +329,8 @@ class Model:
     below: np.ndarray
     n: int
     v: int
+    #: Tokens of each of the head words, at least.
+    least: int
 
 
 def _pairs_with(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -216,8 +340,7 @@ def _pairs_with(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         end = np.array([END], np.uint64)
-        parts = [tokens(t) for d, t in zip(batch.column(0).to_pylist(), texts(batch)) if not held_out(d)]
-        unit = units_of(frequent, np.concatenate([end, *parts]))
+        unit = units_of(frequent, np.concatenate([end, training_tokens(batch)]))
         key, n = np.unique(unit[:-1] * units + unit[1:], return_counts=True)
         yield pa.record_batch([pa.array((key // units).astype(np.int32)), pa.array((key % units).astype(np.int32)), pa.array(n)], schema=schema)
 
@@ -322,8 +445,7 @@ def _rare_contexts(
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         end = np.array([END], np.uint64)
-        parts = [tokens(t) for d, t in zip(batch.column(0).to_pylist(), texts(batch)) if not held_out(d)]
-        words = np.concatenate([end, *parts])
+        words = np.concatenate([end, training_tokens(batch)])
         unit = units_of(frequent, words)
         kind, known = assigned[unit], unit < len(frequent)
         rare = np.flatnonzero(~known)
@@ -482,8 +604,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        parts = [tokens(t) for d, t in zip(batch.column(0).to_pylist(), texts(batch)) if not held_out(d)]
-        h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *parts]), return_counts=True)
+        h, n = np.unique(training_tokens(batch), return_counts=True)
         yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(n)], schema=schema)
 
     return map_batches(docs, work, schema).groupBy("h").agg(F.sum("n").alias("c"))
@@ -493,17 +614,16 @@ def fit(
     docs: DataFrame, counts: DataFrame, classes: int, passes: int | None, head_bits: int, unit_bits: int
 ) -> tuple[Model, DataFrame]:
     """The model, and (h, c, class) of the words that are not frequent."""
-    totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n, v = totals["n"] or 0, totals["v"]
-
-    def at_least(bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Words with a share of the tokens of 2**-bits: at most 2**bits of them."""
-        found = counts.filter((F.col("c") * (1 << bits) >= n) | (F.col("h") == signed(END))).toArrow()
-        hashes = found.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        return hashes[order], found.column("c").to_numpy()[order]
-
-    head, head_count = at_least(head_bits)
+    # Of N tokens no more than the root of 2 N different counts are made.
+    by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("c")).toArrow()
+    times, kinds = (by_count.column(k).to_numpy() for k in range(2))
+    n, v = int((times * kinds).sum()), int(kinds.sum())
+    enough = times[np.cumsum(kinds) <= 1 << head_bits]
+    least = int(enough[-1]) if len(enough) else n + 1
+    found = counts.filter((F.col("c") >= least) | (F.col("h") == signed(END))).toArrow()
+    head, head_count = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
+    order = np.argsort(head)
+    head, head_count = head[order], head_count[order]
     frequent = head[(head_count << unit_bits >= n) | (head == np.uint64(END))]
     units = len(frequent) + SUFFIXES
     # Tokens and distinct words of each unit: groups of words by their last letters are few.
@@ -529,18 +649,19 @@ def fit(
         class_n[row["class"]] += row["c"]
         class_v[row["class"]] += row["k"]
     head_class = assigned[units_of(frequent, head)]
-    more = words.filter(F.col("c") * (1 << head_bits) >= n).select("h", "class").toArrow()
+    more = words.filter(F.col("c") >= least).select("h", "class").toArrow()
     head_class[places(head, more.column("h").to_numpy().view(np.uint64))] = more.column("class").to_numpy()
     model = Model(
         head,
         np.log10(head_count + SMOOTH),
-        head_class,
+        head_class.astype(np.int16),
         frequent,
         assigned,
         np.log10(smoothed / smoothed.sum(axis=1, keepdims=True)),
         np.log10(class_n + SMOOTH * (class_v + 1)),
         n,
         v,
+        least,
     )
     return model, words
 
@@ -559,8 +680,8 @@ def score(
     word stands for all that were never seen.  Rows that repeat count and are
     scored each.  Without training texts all tokens are unknown.
 
-    Words with 2**-head_bits of all tokens or more, at most 2**head_bits of them,
-    are sent to every task, and units for the first exchange need 2**-unit_bits; it
+    The 2**head_bits most frequent words, or fewer where counts are equal, are
+    sent to every task, and units for the first exchange need 2**-unit_bits of all tokens; it
     has at most `passes` passes, if given.  All other training words are then moved
     each by its own contexts, in `SWEEPS` sweeps at most.  A word that was never seen has the class that the
     group of its last letters had before.
@@ -586,39 +707,50 @@ def score(
     def local(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """All but the counts and moves of rarer words, which are listed: a class, or -1 and less for a place in `tail`."""
         end_class = model.unit_class[units_of(model.frequent, np.array([END], np.uint64))]
-        rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch)):
-            h = tokens(text)
-            at = places(model.head, h)
-            rare = at < 0
-            tail, place, times = np.unique(h[rare], return_inverse=True, return_counts=True)
-            inside = at[~rare]
-            kind = np.empty(len(h), np.int64)
-            kind[~rare], kind[rare] = model.head_class[inside], -1 - place
-            first = np.concatenate([end_class, kind[:-1]])
-            known = (first >= 0) & (kind >= 0)
-            moves = model.transition[first[known], kind[known]]
-            rows.append(
-                (
-                    doc_id,
-                    held_out(doc_id),
-                    len(h),
-                    len(inside),
-                    float(model.head_log[inside].sum()),
-                    float(moves.sum() - model.below[kind[~rare]].sum()),
-                    tail.view(np.int64),
-                    times.astype(np.int32),
-                    first[~known].astype(np.int32),
-                    kind[~known].astype(np.int32),
-                )
-            )
-        columns = list(zip(*rows)) or [()] * len(schema)
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        ids = batch.column(0).to_pylist()
+        h, ends = tokens_of(batch.column(1))
+        starts = ends - np.diff(ends, prepend=0)
+        row = np.repeat(np.arange(len(ids)), ends - starts)
+        at = places(model.head, h)
+        inside, rare = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        # The rarer words of each text, in the order of their hashes.
+        order = rare[np.lexsort((h[rare], row[rare]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])
+        number, tail = np.cumsum(new) - 1, order[new]
+        tails = np.searchsorted(row[tail], np.arange(len(ids) + 1))
+        kind = np.empty(len(h), np.int64)
+        kind[inside] = model.head_class[at[inside]]
+        kind[order] = -1 - (number - tails[row[order]])
+        first = np.concatenate([end_class, kind[:-1]])
+        first[starts] = end_class
+        known = (first >= 0) & (kind >= 0)
+        open_moves = np.flatnonzero(~known)
+        gained = np.zeros(len(h))
+        gained[known] = model.transition[first[known], kind[known]]
+        gained[inside] -= model.below[kind[inside]]
+        listed = np.searchsorted(row[open_moves], np.arange(len(ids) + 1))
+        columns = [
+            pa.array(ids, pa.int64()),
+            pa.array([held_out(d) for d in ids], pa.bool_()),
+            pa.array(ends - starts),
+            pa.array(np.bincount(row[inside], minlength=len(ids))),
+            pa.array(np.bincount(row[inside], model.head_log[at[inside]], len(ids))),
+            pa.array(np.bincount(row, gained, len(ids))),
+        ]
+        for cuts, values in (
+            (tails, h[tail].view(np.int64)),
+            (tails, np.bincount(number, minlength=len(tail)).astype(np.int32)),
+            (listed, first[open_moves].astype(np.int32)),
+            (listed, kind[open_moves].astype(np.int32)),
+        ):
+            columns.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values)))
+        yield pa.record_batch(columns, schema=schema)
 
     rows = written(map_batches(docs, local, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("h"), F.col("t.times").alias("k"))
     # Without training texts not even the end is a head word.
-    found = rare.join(words, "h", "left").withColumns({"c": F.coalesce("c", F.lit(0)), "class": F.coalesce("class", F.lit(-1))})
+    found = rare.join(words.filter(F.col("c") < model.least), "h", "left").withColumns({"c": F.coalesce("c", F.lit(0)), "class": F.coalesce("class", F.lit(-1))})
     per_row = found.groupBy("row").agg(
         F.sum(F.col("k") * F.log10(F.col("c") + F.lit(SMOOTH))).alias("tail_sum"),
         F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("tail_known"),

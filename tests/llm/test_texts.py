@@ -571,3 +571,35 @@ def test_what_is_remembered_of_words_is_bounded(monkeypatch):
         (ids,) = coder.many([text], None)
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
         assert coder.known.nbytes + coder.ids.nbytes <= 4_000
+
+
+def test_hashes_made_in_columns_equal_those_of_single_words():
+    draw = random.Random(5)
+    signs = [*map(chr, range(1, 128)), "É", "ß", "Σ", "\x85", "\xa0", "　", "\U0001d4b3"]
+    listed = [None, "", " \x0b", *("x" * k for k in range(1, 70)), *("Zé" * k + " " for k in range(1, 40))]
+    listed += ["".join(draw.choice(signs if draw.random() < 0.5 else " abXY") for _ in range(200)) for _ in range(50)]
+    column = pa.array(listed)
+    for part in (column, column.slice(3, 40), column[:0], column[:1]):
+        hashes, ends = brown.tokens_of(part)
+        want = [[*map(brown.word_hash, (t or "").encode().lower().split()), brown.END] for t in part.to_pylist()]
+        assert hashes.tolist() == [h for own in want for h in own]
+        assert ends.tolist() == np.cumsum([len(own) for own in want]).tolist()
+
+
+def test_places_of_hashes():
+    draw = np.random.default_rng(2)
+    for n in (0, 1, 2, 7, 1_000):
+        known = np.unique(draw.integers(0, 1 << 64, n, np.uint64))
+        near = known[: n // 2] + np.uint64(1)  # in the same place by their first bits
+        for kept in (known, np.unique(np.concatenate([known, near]))):
+            asked = np.concatenate([kept, draw.integers(0, 1 << 64, 50, np.uint64), near + np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+            at = {int(h): k for k, h in enumerate(kept)}
+            assert brown.places(kept, asked).tolist() == [at.get(int(h), -1) for h in asked]
+
+
+def test_brown_sends_as_many_words_as_it_may(docs):
+    """Words are sent by number, not by share: else the joined ones grow faster than the texts."""
+    frame = docs([(k, " ".join(f"w{j}" for j in range(k))) for k in range(1, 41) if zlib.crc32(str(k).encode()) % 10])
+    model, _ = brown.fit(frame, chunks.written(brown.word_counts(frame), "counts"), 4, 1, 4, 2)
+    assert 12 <= len(model.head) <= 17
+    assert (model.head == np.sort(model.head)).all() and len(model.head_class) == len(model.head_log) == len(model.head)
