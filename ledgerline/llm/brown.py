@@ -254,6 +254,12 @@ def best_classes(
     words are taken a few at a time, as each neighbour's class makes a row of classes.
     """
     if len(now) > TOGETHER:
+        # Most words are met once; those of one class between neighbours of the same classes go the same way.
+        once = (own == 0) & (right.sum(axis=1) == 1) & (right.max(axis=1) == 1) & (left.sum(axis=1) == 1) & (left.max(axis=1) == 1)
+        kind = (now.astype(np.int64) * len(counts) + right.argmax(axis=1)) * len(counts) + left.argmax(axis=1)
+        _, first, alike = np.unique(np.where(once, kind, -1 - np.arange(len(now))), return_index=True, return_inverse=True)
+        if len(first) < len(now):
+            return best_classes(counts, right[first], left[first], own[first], now[first])[alike]
         cuts = range(TOGETHER, len(now), TOGETHER)
         parts = zip(*(np.split(x, cuts) for x in (right, left, own, now)))
         return np.concatenate([best_classes(counts, *part) for part in parts])
@@ -431,16 +437,44 @@ SWEEPS = 6
 NEXT, NEXT_RARE, PREV, PREV_RARE, ITSELF = range(5)
 
 
+#: Bits of a packed pair that hold its key; n has the others.
+KEY_BITS = 16
+
+
+def packed(lengths: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Pairs of a key and n as bytes, so many for each row."""
+    entries = np.ascontiguousarray(n.astype(np.int64) << KEY_BITS | key)
+    ends = np.concatenate([[0], np.cumsum(8 * lengths, dtype=np.int64)])
+    offsets = pa.py_buffer(ends.astype(np.int32))
+    if ends[-1] >> 31:
+        raise ValueError("a batch has too many contexts")
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, offsets, pa.py_buffer(entries)])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, key and n of all pairs of a column of packed pairs, or of lists of those; a missing row has none."""
+    if pa.types.is_list(column.type):
+        lists = pc.list_value_length(column)
+        values = column.flatten()
+        row = np.repeat(np.arange(len(column)), pc.fill_null(lists, 0).to_numpy())
+    else:
+        values, row = column, np.arange(len(column))
+    lengths = pc.fill_null(pc.binary_length(values), 0).to_numpy() // 8
+    entries = np.frombuffer(b"".join(values.drop_null().to_pylist()), np.int64)
+    return np.repeat(row, lengths), entries & ((1 << KEY_BITS) - 1), entries >> KEY_BITS
+
+
 def _rare_contexts(
     docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What the words that are not frequent meet in training texts, from one scan.
 
-    First (h, met): pairs of a key and n, the key being a kind of neighbour times
+    First (h, met): lists of packed pairs of a key and n, the key being a kind of neighbour times
     `classes` and its class, that of its group for a word that is not frequent.
     Then (prev, next, n) where neither word is frequent, and the table of both.
+    A task's words have a row for each portion of texts, not one for each key.
     """
-    schema = pa.schema([("h", pa.int64()), ("next", pa.int64()), ("key", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("h", pa.int64()), ("next", pa.int64()), ("n", pa.int64()), ("met", pa.binary())])
     keys = ITSELF * classes + 1
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -462,19 +496,19 @@ def _rare_contexts(
             ]
         )
         key, n = np.unique(met, return_counts=True)
-        yield pa.record_batch(
-            [pa.array(names[key // keys].view(np.int64)), pa.nulls(len(key), pa.int64()), pa.array((key % keys).astype(np.int32)), pa.array(n)],
-            schema=schema,
-        )
+        word, key = np.divmod(key, keys)
+        lengths = np.bincount(word, minlength=len(names))
+        empty = pa.nulls(len(names), pa.int64())
+        yield pa.record_batch([pa.array(names.view(np.int64)), empty, empty, packed(lengths, key, n)], schema=schema)
         both = np.flatnonzero(p & q)
         key, n = np.unique(code[both] * max(len(names), 1) + code[both + 1], return_counts=True)
         first, second = names[key // max(len(names), 1)], names[key % max(len(names), 1)]
         yield pa.record_batch(
-            [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.nulls(len(key), pa.int32()), pa.array(n)], schema=schema
+            [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(n), pa.nulls(len(key), pa.binary())], schema=schema
         )
 
-    found = written(map_batches(docs, work, schema).groupBy("h", "next", "key").agg(F.sum("n").alias("n")), "rare-contexts")
-    met = found.filter("next IS NULL").groupBy("h").agg(F.collect_list(F.struct("key", "n")).alias("met"))
+    found = written(map_batches(docs, work, schema), "rare-contexts")
+    met = found.filter("next IS NULL").groupBy("h").agg(F.collect_list("met").alias("met"))
     return met, found.filter("next IS NOT NULL").select(F.col("h").alias("prev"), "next", "n"), found
 
 
@@ -495,25 +529,21 @@ def _spread(
     classes = len(counts)
     group_class = assigned[len(frequent) :]
     met, both, table = _rare_contexts(docs, frequent, assigned, classes)
-    entries = pa.list_(pa.struct([("key", pa.int32()), ("n", pa.int64())]))
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("met", entries), ("class", pa.int32())])
+    keys = ITSELF * classes + 1
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("met", pa.binary()), ("class", pa.int32())])
     out = pa.schema([("key", pa.int32()), ("n", pa.int64())])
 
     def first_class(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h = batch.column(0).to_numpy()
-        yield pa.record_batch([*batch.columns, pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=schema)
-
-    def entries_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row of the batch, key and n of all that its words meet."""
-        column = batch.column(2)
-        lengths = np.array(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), np.int64)
-        flat = column.flatten()
-        return np.repeat(np.arange(len(lengths)), lengths), flat.field(0).to_numpy(), flat.field(1).to_numpy()
+        row, key, n = unpacked(batch.column(2))
+        pair, at = np.unique(row * keys + key, return_inverse=True)
+        row, key = np.divmod(pair, keys)
+        met = packed(np.bincount(row, minlength=len(h)), key, np.bincount(at, n, len(pair)))
+        yield pa.record_batch([*batch.columns[:2], met, pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=schema)
 
     def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """A row of counts by key for each word of a batch, and the words' classes."""
-        row, key, n = entries_of(batch)
-        keys = ITSELF * classes + 1
+        row, key, n = unpacked(batch.column(2))
         total = np.bincount(row * keys + key, n, batch.num_rows * keys).reshape(batch.num_rows, keys)
         return total, batch.column(3).to_numpy()
 
@@ -521,10 +551,10 @@ def _spread(
         """Class pairs that a word begins, and those after a frequent word; those of two words that are not frequent on demand."""
 
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            row, key, n = entries_of(batch)
+            row, key, n = unpacked(batch.column(2))
             now = batch.column(3).to_numpy().astype(np.int64)[row]
-            kind, other = np.divmod(key.astype(np.int64), classes)
-            wanted = np.isin(kind, (NEXT, NEXT_RARE, PREV, ITSELF) if rare_next else (NEXT, PREV))
+            kind, other = np.divmod(key, classes)
+            wanted = (kind != PREV_RARE) if rare_next else (kind == NEXT) | (kind == PREV)
             pair = np.where(kind == PREV, other * classes + now, now * classes + np.where(kind == ITSELF, now, other))
             summed = np.bincount(pair[wanted], n[wanted], classes * classes)
             key = np.flatnonzero(summed)

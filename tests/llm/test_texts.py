@@ -603,3 +603,37 @@ def test_brown_sends_as_many_words_as_it_may(docs):
     model, _ = brown.fit(frame, chunks.written(brown.word_counts(frame), "counts"), 4, 1, 4, 2)
     assert 12 <= len(model.head) <= 17
     assert (model.head == np.sort(model.head)).all() and len(model.head_class) == len(model.head_log) == len(model.head)
+
+
+def test_words_met_once_between_the_same_classes_are_looked_at_once(monkeypatch):
+    draw = np.random.default_rng(7)
+    words, classes = 2_048, 6
+    counts = draw.integers(50, 900, (classes, classes)).astype(float)
+    now = draw.integers(0, classes, words)
+    right, left = (np.eye(classes)[draw.integers(0, classes, words)] for _ in range(2))
+    right[:100] += np.eye(classes)[draw.integers(0, classes, 100)]
+    own = np.zeros(words)
+    want = [brown.exchange(counts.copy(), right[u].copy(), left[u].copy(), 0.0, now[u]) for u in range(words)]
+    seen, real = [], np.diagonal
+
+    def counted(x):
+        seen.append(1)
+        return real(x)
+
+    monkeypatch.setattr(brown.np, "diagonal", counted)
+    assert brown.best_classes(counts, right, left, own, now).tolist() == want
+    # 216 kinds of words met once and 100 others: two groups of 256, not eight.
+    assert len(seen) == 2
+
+
+def test_packed_contexts_are_read_back():
+    lengths, key, n = np.array([2, 0, 1, 3]), np.array([5, 256, 0, 1, 2, 3]), np.array([1, 70_000, 1 << 40, 3, 2, 1])
+    column = brown.packed(lengths, key, n)
+    for part, rows in ((column, [0, 0, 2, 3, 3, 3]), (column.slice(2), [0, 1, 1, 1])):
+        row, k, m = brown.unpacked(part)
+        assert (row.tolist(), k.tolist(), m.tolist()) == (rows, key[-len(rows) :].tolist(), n[-len(rows) :].tolist())
+    lists = pa.array([[column[0].as_py(), column[2].as_py()], None, [], [column[3].as_py()]], pa.list_(pa.binary()))
+    row, k, _ = brown.unpacked(lists)
+    assert (row.tolist(), k.tolist()) == ([0, 0, 0, 3, 3, 3], key.tolist())
+    row, _, _ = brown.unpacked(lists.slice(2))
+    assert row.tolist() == [1, 1, 1]
