@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import discard, map_batches, signed, texts, written
+from ledgerline.llm.common import discard, map_batches, signed, written
 
 SUFFIX_BITS = 10
 SUFFIXES = 1 << SUFFIX_BITS
@@ -166,11 +166,6 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, ends
 
 
-def tokens(text: str) -> np.ndarray:
-    """Hashes of a text's words and of the end that closes it."""
-    return tokens_of(pa.array([text], pa.string()))[0]
-
-
 def training_tokens(batch: pa.RecordBatch) -> np.ndarray:
     """Tokens of the texts of a batch that are learned from, one text after the other."""
     learned = pa.array([not held_out(d) for d in batch.column(0).to_pylist()], pa.bool_())
