@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from ledgerline.llm.common import discard, map_batches, signed, written
 
@@ -33,8 +34,8 @@ SMOOTH = 0.1
 TOLERANCE = 1e-3
 #: Gains that differ by less than this share are equal but for rounding; a unit stays then.
 NOISE = 1e-10
-#: Words whose gains are worked out at a time.
-TOGETHER = 256
+#: Words whose gains are added up at a time, and kinds of neighbours, class and times, whose gains are kept at a time.
+TOGETHER, KINDS = 256, 8_192
 #: A sweep that loses, for tasks move units at the same time, is done again in twice the parts, up to so many.
 PARTS = 16
 
@@ -245,62 +246,89 @@ def best_classes(
 ) -> np.ndarray:
     """The class that `exchange` finds for each of many words, all taken out of the same `counts` one at a time.
 
-    `right` and `left` have a row a word.  Only what a word meets is looked at;
-    words are taken a few at a time, as each neighbour's class makes a row of classes.
+    `right` and `left` have a row a word.  Only what a word meets is looked at: what each class gains by a neighbour's class
+    met so many times is worked out once for all words, and a word's gains are sums of such rows.  Where a word is in its
+    neighbour's class, or in the class that is looked at, it is taken out of single counts.  Rows are added up for a few
+    words at a time.
     """
     if len(now) > TOGETHER:
         # Most words are met once; those of one class between neighbours of the same classes go the same way.
-        once = (own == 0) & (right.sum(axis=1) == 1) & (right.max(axis=1) == 1) & (left.sum(axis=1) == 1) & (left.max(axis=1) == 1)
-        kind = (now.astype(np.int64) * len(counts) + right.argmax(axis=1)) * len(counts) + left.argmax(axis=1)
+        once = (own == 0) & (right.sum(axis=1) == 1) & (left.sum(axis=1) == 1)
+        numbers = np.arange(len(counts), dtype=np.float64)
+        kind = ((now * len(counts) + right @ numbers) * len(counts) + left @ numbers).astype(np.int64)
         _, first, alike = np.unique(np.where(once, kind, -1 - np.arange(len(now))), return_index=True, return_inverse=True)
         if len(first) < len(now):
             return best_classes(counts, right[first], left[first], own[first], now[first])[alike]
-        cuts = range(TOGETHER, len(now), TOGETHER)
-        parts = zip(*(np.split(x, cuts) for x in (right, left, own, now)))
-        return np.concatenate([best_classes(counts, *part) for part in parts])
-    rows, classes = np.arange(len(now)), len(counts)
-    starts, ends = counts.sum(axis=1), counts.sum(axis=0)
-    out, into = right.sum(axis=1), left.sum(axis=1)
-    # Class pairs of each word's own row and column of classes, without the word.  Most words meet a class once or
-    # twice, so what that changes is worked out once; only a word's own class differs, from which it is taken out.
-    gain = np.zeros(right.shape)
-    for mine, other, table in ((right, left, counts), (left, right, counts.T)):
-        word, met = np.nonzero(mine)
-        here, times = now[word], mine[word, met]
+    rows, classes, logs = np.arange(len(now)), len(counts), _g(counts)
+    stay, sides, spots, values = np.zeros(len(now)), [], [], []
+    for mine, other, table, log in ((right, left, counts, logs), (left, right, counts.T, logs.T)):
+        cells = np.flatnonzero(mine.ravel() != 0)
+        word, met = np.divmod(cells, classes)
+        here, times = now[word], mine.ravel()[cells]
         add = times - np.where(met == here, own[word], 0)
-        amounts, amount = np.unique(add, return_inverse=True)
-        kinds, kind = np.unique(amount * classes + met, return_inverse=True)
-        base = table[:, kinds % classes].T
-        change = (_g(base + amounts[kinds // classes][:, None]) - _g(base))[kind]
-        base = table[here, met] - times
-        change[np.arange(len(word)), here] = _g(base + add) - _g(base)
-        same = np.flatnonzero(met == here)
-        base = table[:, met[same]].T.copy()
-        base[np.arange(len(same)), here[same]] -= times[same]
-        base -= other[word[same]]
-        base[np.arange(len(same)), met[same]] += own[word[same]]
-        change[same] = _g(base + add[same][:, None]) - _g(base)
-        has, first = np.unique(word, return_index=True)
-        if len(has):
-            gain[has] += np.add.reduceat(change, first, axis=0)
-    after, before = right.copy(), left.copy()
-    after[rows, now] -= own
-    before[rows, now] -= own
-    # The pairs of a class with itself change only where a word meets it, or left it.
-    meets = (after != 0) | (before != 0) | (own != 0)[:, None]
-    meets[rows, now] = True
-    word, met = np.nonzero(meets)
-    corner = np.diagonal(counts)[met] + np.where(met == now[word], (own - right[rows, now] - left[rows, now])[word], 0)
-    a, b = after[word, met], before[word, met]
-    gain[word, met] += _g(corner + a + b + own[word]) - _g(corner + a) - _g(corner + b) + _g(corner)
+        kinds, kind = np.unique(add.astype(np.int64) * classes + met, return_inverse=True)
+        if len(kinds) > KINDS and len(now) > TOGETHER:
+            parts = zip(*(np.array_split(x, 2) for x in (right, left, own, now)))
+            return np.concatenate([best_classes(counts, *part) for part in parts])
+        base = table.T[kinds % classes]
+        change = np.zeros((len(kinds) + 1, classes))
+        change[:-1] = _g(base + (kinds // classes)[:, None]) - log.T[kinds % classes]
+        # The last row is for words that meet nothing.
+        lead, begin = np.full(len(now), len(kinds)), np.ones(len(word), bool)
+        begin[1:] = word[1:] != word[:-1]
+        lead[word[begin]] = kind[begin]
+        sides.append((change, lead, word[~begin], kind[~begin]))
+        # What the word's own class has without it.
+        apart = met != here
+        stay += np.bincount(word[apart], log[here[apart], met[apart]] - _g((table[here, met] - times)[apart]), len(now))
+        at, same, more = word[~apart], here[~apart], add[~apart]
+        base = table[same, same] - times[~apart] - other[at, same] + own[at]
+        stay[at] += _g(base + more) - _g(base)
+        # The pairs of its own class with those that the word has on its other side.
+        k, far = np.nonzero(other[at])
+        k, far = k[far != same[k]], far[far != same[k]]
+        base = table[far, same[k]] - other[at[k], far]
+        spots.append(at[k] * classes + far)
+        values.append(_g(base + more[k]) - _g(base) - change[kind[~apart][k], far])
+    out, into = right.sum(axis=1), left.sum(axis=1)
+    starts, ends = counts.sum(axis=1), counts.sum(axis=0)
+    wide = int(into.max(initial=0)) + 1
+    amounts, amount = np.unique(out.astype(np.int64) * wide + into.astype(np.int64), return_inverse=True)
+    lost = _g(starts) - _g(starts + (amounts // wide)[:, None]) + _g(ends) - _g(ends + (amounts % wide)[:, None])
     for total, moved in ((starts, out), (ends, into)):
-        amounts, amount = np.unique(moved, return_inverse=True)
-        change = (_g(total + amounts[:, None]) - _g(total))[amount]
-        rest = total[now] - moved
-        change[rows, now] = _g(rest + moved) - _g(rest)
-        gain -= change
-    new = gain.argmax(axis=1)
-    return np.where(gain[rows, new] > gain[rows, now] + NOISE * (1 + np.abs(gain[rows, now])), new, now)
+        stay += _g(total[now] - moved) - _g(total[now])
+    spots, values = np.concatenate(spots), np.concatenate(values)
+    order = np.argsort(spots, kind="stable")
+    spots, values = spots[order], values[order]
+    new = np.empty(len(now), np.int64)
+    for low in range(0, len(now), TOGETHER):
+        here, size = now[low : low + TOGETHER], len(now[low : low + TOGETHER])
+        part, at = slice(low, low + size), rows[:size]
+        gain = lost[amount[part]]
+        for change, lead, word, kind in sides:
+            gain += change[lead[part]]
+            more = slice(*np.searchsorted(word, (low, low + size)))
+            has, first = np.unique(word[more], return_index=True)
+            if len(has):
+                gain[has - low] += np.add.reduceat(change[kind[more]], first, axis=0)
+        more = slice(*np.searchsorted(spots, (low * classes, (low + size) * classes)))
+        gain += np.bincount(spots[more] - low * classes, values[more], size * classes).reshape(size, classes)
+        # The pairs of a class with itself change together only where a word meets it on both sides, or meets itself.
+        after, before = right[part].copy(), left[part].copy()
+        after[at, here] -= own[part]
+        before[at, here] -= own[part]
+        word, met = np.divmod(np.flatnonzero((after != 0) & (before != 0) | (own[part] != 0)[:, None]), classes)
+        inside = met == here[word]
+        corner = np.diagonal(counts)[met] + np.where(inside, (own[part] - right[part][at, here] - left[part][at, here])[word], 0)
+        a, b, self = after[word, met], before[word, met], own[part][word]
+        both = _g(corner + a + b + self) - _g(corner + a) - _g(corner + b) + _g(corner)
+        gain[word, met] += both
+        rest = stay[part]
+        rest[word[inside]] += both[inside]
+        gain[at, here] = rest
+        best = gain.argmax(axis=1)
+        new[part] = np.where(gain[at, best] > rest + NOISE * (1 + np.abs(rest)), best, here)
+    return new
 
 
 def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
@@ -434,6 +462,8 @@ NEXT, NEXT_RARE, PREV, PREV_RARE, ITSELF = range(5)
 
 #: Bits of a packed pair that hold its key; n has the others.
 KEY_BITS = 16
+#: Words that are moved at a time, at most.
+PIECE = 8_192
 
 
 def packed(lengths: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -459,17 +489,42 @@ def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(row, lengths), entries & ((1 << KEY_BITS) - 1), entries >> KEY_BITS
 
 
-def _rare_contexts(
-    docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What the words that are not frequent meet in training texts, from one scan.
+#: Words of a row of packed words, and pairs that they have, about.
+ROW_WORDS, ROW_PAIRS = 64, 512
+#: Words, and tokens, of a bucket that rare words are dealt into by their hash, as powers of two, about; rows of packed
+#: words that are worked on at a time.
+BUCKET_WORDS, BUCKET_TOKENS = 12, 17
+ROWS = 1_024
+
+
+def blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Consecutive values as bytes, those up to the next end in each row."""
+    offsets = np.concatenate([[0], ends]) * values.itemsize
+    if offsets[-1] >> 31:
+        raise ValueError("a batch has too many contexts")
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), data])
+
+
+def flat(column: pa.Array | pa.ChunkedArray, kind: type = np.int64) -> np.ndarray:
+    """The values of all rows of a column made by `blobs`."""
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), kind)
+
 
-    First (h, met): lists of packed pairs of a key and n, the key being a kind of neighbour times
+def buckets_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The first bits of hashes, which are even; so sorted hashes have sorted buckets."""
+    return ((hashes >> _u(1)) >> _u(63 - bits)).astype(np.int32)
+
+
+def _rare_contexts(docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int, bits: int) -> DataFrame:
+    """What the words that are not frequent meet in training texts, from one scan, a row for each portion and bucket.
+
+    First (bucket, h, lengths, met): hashes, and packed pairs of a key and n for each, the key being a kind of neighbour times
     `classes` and its class, that of its group for a word that is not frequent.
-    Then (prev, next, n) where neither word is frequent, and the table of both.
-    A task's words have a row for each portion of texts, not one for each key.
+    Then (bucket, prev, next, n) where neither word is frequent, by the bucket of the first.
     """
-    schema = pa.schema([("h", pa.int64()), ("next", pa.int64()), ("n", pa.int64()), ("met", pa.binary())])
+    bytes_ = ("h", "lengths", "met", "prev", "next", "n")
+    schema = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in bytes_)])
     keys = ITSELF * classes + 1
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -493,69 +548,106 @@ def _rare_contexts(
         key, n = np.unique(met, return_counts=True)
         word, key = np.divmod(key, keys)
         lengths = np.bincount(word, minlength=len(names))
-        empty = pa.nulls(len(names), pa.int64())
-        yield pa.record_batch([pa.array(names.view(np.int64)), empty, empty, packed(lengths, key, n)], schema=schema)
+        bucket, ends = np.unique(buckets_of(names, bits), return_counts=True)
+        ends, none = np.cumsum(ends), pa.nulls(len(bucket), pa.binary())
+        pairs = np.cumsum(lengths)[ends - 1]
+        columns = [blobs(names, ends), blobs(lengths.astype(np.int32), ends), blobs(n << KEY_BITS | key, pairs)]
+        yield pa.record_batch([pa.array(bucket), *columns, none, none, none], schema=schema)
         both = np.flatnonzero(p & q)
         key, n = np.unique(code[both] * max(len(names), 1) + code[both + 1], return_counts=True)
         first, second = names[key // max(len(names), 1)], names[key % max(len(names), 1)]
-        yield pa.record_batch(
-            [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(n), pa.nulls(len(key), pa.binary())], schema=schema
-        )
+        bucket, ends = np.unique(buckets_of(first, bits), return_counts=True)
+        ends, none = np.cumsum(ends), pa.nulls(len(bucket), pa.binary())
+        columns = [blobs(x, ends) for x in (first, second, n.astype(np.int32))]
+        yield pa.record_batch([pa.array(bucket), none, none, none, *columns], schema=schema)
+
+    return written(map_batches(docs, work, schema), "rare-contexts")
+
+
+#: A row of packed words: their bucket, hashes, numbers of packed pairs, packed pairs and classes; and, in the last row that a
+#: task wrote at a time, what class pairs gained or lost by the moves that led to these classes, packed as well.
+STATE = pa.schema(
+    [("bucket", pa.int32()), ("h", pa.binary()), ("lengths", pa.binary()), ("met", pa.binary()), ("class", pa.binary()), ("moved", pa.binary())]
+)
+
+
+def _first_state(contexts: DataFrame, group_class: np.ndarray, classes: int) -> DataFrame:
+    """All words that are not frequent, with all they meet, in the classes of their groups."""
+    keys = ITSELF * classes + 1
+
+    def merge(rows: pa.Table) -> pa.Table:
+        names, number = np.unique(flat(rows.column("h"), np.uint64), return_inverse=True)
+        entries = flat(rows.column("met"))
+        word = np.repeat(number, flat(rows.column("lengths"), np.int32))
+        pair, at = np.unique(word * keys + (entries & ((1 << KEY_BITS) - 1)), return_inverse=True)
+        word, key = np.divmod(pair, keys)
+        n = np.bincount(at, entries >> KEY_BITS, len(pair)).astype(np.int64)
+        lengths = np.bincount(word, minlength=len(names))
+        pairs, place = np.cumsum(lengths), np.arange(len(names))
+        # A row ends after so many words, or where they have met enough.
+        page = (pairs - lengths) // ROW_PAIRS
+        ends = 1 + np.flatnonzero(np.append((page[1:] != page[:-1]) | (place[1:] % ROW_WORDS == 0), True))
+        columns = [
+            blobs(names, ends),
+            blobs(lengths.astype(np.int32), ends),
+            blobs(n << KEY_BITS | key, pairs[ends - 1]),
+            blobs(group_class[names & _u(SUFFIXES - 1)].astype(np.int16), ends),
+        ]
+        bucket = pa.array(np.full(len(ends), rows.column("bucket")[0].as_py(), np.int32))
+        return pa.Table.from_arrays([bucket, *columns, pa.nulls(len(ends), pa.binary())], schema=STATE)
+
+    return written(contexts.groupBy("bucket").applyInArrow(merge, from_arrow_schema(STATE)), "rare-words")
+
+
+@dataclass(frozen=True)
+class Words:
+    """Packed words of some rows: hashes, classes, and where the pairs of each word begin among all of them."""
+
+    h: np.ndarray
+    now: np.ndarray
+    begin: np.ndarray
+    entries: np.ndarray
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Words:
+        begin = np.concatenate([[0], np.cumsum(flat(batch.column(2), np.int32), dtype=np.int64)])
+        return Words(flat(batch.column(1), np.uint64), flat(batch.column(4), np.int16).astype(np.int64), begin, flat(batch.column(3)))
+
+    def pairs(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word, key and n of what some of the words meet; the first of them has number 0."""
+        entries = self.entries[self.begin[low] : self.begin[high]]
+        word = np.repeat(np.arange(high - low), np.diff(self.begin[low : high + 1]))
+        return word, entries & ((1 << KEY_BITS) - 1), entries >> KEY_BITS
+
 
-    found = written(map_batches(docs, work, schema), "rare-contexts")
-    met = found.filter("next IS NULL").groupBy("h").agg(F.collect_list("met").alias("met"))
-    return met, found.filter("next IS NOT NULL").select(F.col("h").alias("prev"), "next", "n"), found
+def _in_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, ROWS):
+        yield batch.slice(at, ROWS)
 
 
 def _spread(
-    docs: DataFrame, others: DataFrame, frequent: np.ndarray, assigned: np.ndarray, counts: np.ndarray
+    docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, counts: np.ndarray, bits: int
 ) -> tuple[DataFrame, np.ndarray]:
     """(h, c, class) of all words that are not frequent, and the counts of class pairs.
 
     A word starts in the class of its group and goes where the likelihood gains
     most by its own contexts.  While words move, frequent neighbours have their
     class and others that of their group; so contexts are gathered once, and a
-    sweep is one pass over them.  Sweeps end where one gains less than TOLERANCE;
-    one that loses, for tasks move words at the same time, is not kept and done
+    sweep is one pass over them, which also tells what class pairs gain and lose by it.  Sweeps end where one gains less
+    than TOLERANCE; one that loses, for tasks move words at the same time, is not kept and done
     again with half of the words.  At the end all pairs are counted by the real
     classes on both sides; if those explain less than the groups did, the groups
     stay.
     """
     classes = len(counts)
-    group_class = assigned[len(frequent) :]
-    met, both, table = _rare_contexts(docs, frequent, assigned, classes)
-    keys = ITSELF * classes + 1
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("met", pa.binary()), ("class", pa.int32())])
+    table = _rare_contexts(docs, frequent, assigned, classes, bits)
+    contexts = table.filter("lengths IS NOT NULL").select("bucket", "h", "lengths", "met")
     out = pa.schema([("key", pa.int32()), ("n", pa.int64())])
 
-    def first_class(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        h = batch.column(0).to_numpy()
-        row, key, n = unpacked(batch.column(2))
-        pair, at = np.unique(row * keys + key, return_inverse=True)
-        row, key = np.divmod(pair, keys)
-        met = packed(np.bincount(row, minlength=len(h)), key, np.bincount(at, n, len(pair)))
-        yield pa.record_batch([*batch.columns[:2], met, pa.array(group_class[h & (SUFFIXES - 1)].astype(np.int32))], schema=schema)
-
-    def tables(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """A row of counts by key for each word of a batch, and the words' classes."""
-        row, key, n = unpacked(batch.column(2))
-        total = np.bincount(row * keys + key, n, batch.num_rows * keys).reshape(batch.num_rows, keys)
-        return total, batch.column(3).to_numpy()
-
-    def class_pairs(state: DataFrame, rare_next: bool) -> np.ndarray:
-        """Class pairs that a word begins, and those after a frequent word; those of two words that are not frequent on demand."""
-
-        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            row, key, n = unpacked(batch.column(2))
-            now = batch.column(3).to_numpy().astype(np.int64)[row]
-            kind, other = np.divmod(key, classes)
-            wanted = (kind != PREV_RARE) if rare_next else (kind == NEXT) | (kind == PREV)
-            pair = np.where(kind == PREV, other * classes + now, now * classes + np.where(kind == ITSELF, now, other))
-            summed = np.bincount(pair[wanted], n[wanted], classes * classes)
-            key = np.flatnonzero(summed)
-            yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(summed[key].astype(np.int64))], schema=out)
-
-        return matrix(map_batches(state, work, out))
+    def sums(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        summed = np.bincount(pair, n, classes * classes)
+        key = np.flatnonzero(summed)
+        return pa.record_batch([pa.array(key.astype(np.int32)), pa.array(summed[key].astype(np.int64))], schema=out)
 
     def matrix(pairs: DataFrame) -> np.ndarray:
         summed = pairs.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
@@ -563,34 +655,66 @@ def _spread(
         found[summed.column("key").to_numpy()] = summed.column("n").to_numpy()
         return found.reshape(classes, classes)
 
-    contexts = others.select("h", "c").join(met, "h", "left").select("h", "c", "met")
-    state = first = written(map_batches(contexts, first_class, schema), "rare-words")
-    start, groups = counts, first.select("h", "c", "class")
-    rest = counts - class_pairs(state, True)  # pairs of frequent words, which stay
-    parts = 1
+    def class_pairs(key: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """The class pair of each pair that a word in class `now` makes by a key."""
+        kind, other = np.divmod(key, classes)
+        return np.where(kind == PREV, other * classes + now, now * classes + np.where(kind == ITSELF, now, other))
+
+    def delta(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        entries = flat(batch.column(0))
+        yield sums(entries & ((1 << KEY_BITS) - 1), entries >> KEY_BITS)
+
+    def guessed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Class pairs of two words that are not frequent, as the sweeps took them."""
+        for rows in _in_rows(batch):
+            words = Words.of(rows)
+            word, key, n = words.pairs(0, len(words.h))
+            pair = class_pairs(key, words.now[word])
+            wanted = (key // classes == NEXT_RARE) | (key // classes == ITSELF)
+            yield sums(pair[wanted], n[wanted])
+
+    state = first = _first_state(contexts, assigned[len(frequent) :], classes)
+    start, parts = counts, 1
     for turn in range(SWEEPS):
 
         def move(batch: pa.RecordBatch, counts=counts.astype(np.float64), parts=parts, turn=turn) -> Iterator[pa.RecordBatch]:
-            counts = counts.copy()
-            for piece in _pieces(batch):
-                total, now = tables(piece)
-                own, at = total[:, -1], np.arange(len(now))
-                right = total[:, :classes] + total[:, NEXT_RARE * classes : PREV * classes]
-                left = total[:, PREV * classes : PREV_RARE * classes] + total[:, PREV_RARE * classes : ITSELF * classes]
-                right[at, now] += own
-                left[at, now] += own
-                mine = ((piece.column(0).to_numpy() >> SUFFIX_BITS) + turn) % parts == 0
-                new = np.where(mine, best_classes(counts, right, left, own, now), now)
-                # What this piece moved, the next one knows.
-                went = np.flatnonzero(new != now)
-                for there, sign in ((now, -1), (new, 1)):
-                    _add_rows(counts, there[went], sign * right[went])
-                    _add_rows(counts.T, there[went], sign * left[went])
-                np.maximum(counts, 0, out=counts)
-                yield pa.record_batch([*piece.columns[:3], pa.array(new.astype(np.int32))], schema=schema)
-
-        moved = written(map_batches(state, move, schema), "rare-words")
-        after = rest + class_pairs(moved, True)
+            counts, size = counts.copy(), 1
+            for rows in _in_rows(batch):
+                words, low = Words.of(rows), 0
+                classed, change = words.now.copy(), np.zeros(classes * classes)
+                while low < len(words.h):
+                    # The first piece has one word, the next one twice as many, until they are many.
+                    high = min(low + size, len(words.h))
+                    now, size = words.now[low:high], min(2 * size, PIECE)
+                    word, key, n = words.pairs(low, high)
+                    kind, at = key // classes, word * classes + key % classes
+                    sides = (kind <= NEXT_RARE, (kind == PREV) | (kind == PREV_RARE))
+                    right, left = (np.bincount(at[x], n[x], len(now) * classes).reshape(-1, classes) for x in sides)
+                    own = np.bincount(word[kind == ITSELF], n[kind == ITSELF], len(now))
+                    right[np.arange(len(now)), now] += own
+                    left[np.arange(len(now)), now] += own
+                    mine = np.flatnonzero(((words.h[low:high].view(np.int64) >> SUFFIX_BITS) + turn) % parts == 0)
+                    new = now.copy()
+                    new[mine] = best_classes(counts, right[mine], left[mine], own[mine], now[mine])
+                    # What this piece moved, the next one knows.
+                    went = np.flatnonzero(new != now)
+                    for there, sign in ((now, -1), (new, 1)):
+                        _add_rows(counts, there[went], sign * right[went])
+                        _add_rows(counts.T, there[went], sign * left[went])
+                    np.maximum(counts, 0, out=counts)
+                    moved = (new != now)[word] & (kind != PREV_RARE)
+                    word, key, n = word[moved], key[moved], n[moved]
+                    for there, sign in ((now, -1), (new, 1)):
+                        change += sign * np.bincount(class_pairs(key, there[word]), n, classes * classes)
+                    classed[low:high], low = new, high
+                key = np.flatnonzero(change)
+                told = (change[key].astype(np.int64) << KEY_BITS | key).tobytes()
+                ends = np.cumsum(pc.binary_length(rows.column(1)).to_numpy() // 8)
+                told = pa.array([None] * (rows.num_rows - 1) + [told], pa.binary())
+                yield pa.record_batch([*rows.columns[:4], blobs(classed.astype(np.int16), ends), told], schema=STATE)
+
+        moved = written(map_batches(state, move, STATE), "rare-words")
+        after = counts + matrix(map_batches(moved.filter("moved IS NOT NULL").select("moved"), delta, out))
         gain = explained(after) - explained(counts)
         if gain > 0:
             if state is not first:
@@ -604,24 +728,64 @@ def _spread(
         if gain <= TOLERANCE * abs(explained(counts)):
             break
     # By the real classes of both words, whatever the sweeps took for them.
-    words = state.select("h", "c", "class")
-    kind = words.select("h", "class")
-    known = both.join(kind.select(F.col("h").alias("prev"), F.col("class").alias("a")), "prev").join(
-        kind.select(F.col("h").alias("next"), F.col("class").alias("b")), "next"
-    )
-    exact = rest + class_pairs(state, False) + matrix(known.select((F.col("a") * classes + F.col("b")).alias("key"), "n"))
+    exact = counts - matrix(map_batches(state, guessed, out)) + matrix(_rare_pairs(table, state, classes, bits))
+    kept = state if explained(exact) > explained(start) else first
+    words = written(_rows_of(kept, classes), "rare-classes")
     discard(table)
-    if explained(exact) <= explained(start):
-        return groups, start
-    return words, exact
+    return words, exact if kept is state else start
+
 
+def _rare_pairs(table: DataFrame, state: DataFrame, classes: int, bits: int) -> DataFrame:
+    """(key, n): pairs of two words that are not frequent, by the classes of both; each is looked up in its bucket."""
+    out = pa.schema([("key", pa.int32()), ("n", pa.int64())])
+    half = pa.schema([("bucket", pa.int32()), ("next", pa.binary()), ("class", pa.binary()), ("n", pa.binary())])
+    # Second words are dealt out by fewer bits, so that rows have several of them.
+    coarse = max(bits - 4, 0)
+
+    def classes_of(words: pa.Table, hashes: np.ndarray, bits: int) -> np.ndarray:
+        """Classes of some words of a bucket; the bits that all of its hashes share tell nothing of their places."""
+        h, kind = flat(words.column("h"), np.uint64) << _u(bits), flat(words.column("class"), np.int16)
+        order = np.argsort(h)
+        return kind[order][places(h[order], hashes << _u(bits))]
+
+    def of_first(words: pa.Table, pairs: pa.Table) -> pa.Table:
+        kind = classes_of(words, flat(pairs.column("prev"), np.uint64), bits) if pairs.num_rows else np.empty(0, np.int16)
+        second, n = flat(pairs.column("next"), np.uint64), flat(pairs.column("n"), np.int32)
+        order = np.argsort(second)
+        bucket, ends = np.unique(buckets_of(second[order], coarse), return_counts=True)
+        columns = [blobs(x[order], np.cumsum(ends)) for x in (second, kind, n)]
+        return pa.Table.from_arrays([pa.array(bucket), *columns], schema=half)
+
+    def of_second(words: pa.Table, pairs: pa.Table) -> pa.Table:
+        total = np.zeros(classes * classes, np.int64)
+        if pairs.num_rows:
+            second = classes_of(words, flat(pairs.column("next"), np.uint64), coarse).astype(np.int64)
+            key = flat(pairs.column("class"), np.int16).astype(np.int64) * classes + second
+            total = np.bincount(key, flat(pairs.column("n"), np.int32), classes * classes).astype(np.int64)
+        key = np.flatnonzero(total)
+        return pa.Table.from_arrays([pa.array(key.astype(np.int32)), pa.array(total[key])], schema=out)
+
+    known = state.select("bucket", "h", "class")
+    pairs = table.filter("prev IS NOT NULL").select("bucket", "prev", "next", "n")
+    found = known.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(of_first, from_arrow_schema(half))
+    wide = known.withColumn("bucket", F.shiftright("bucket", bits - coarse))
+    return wide.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(of_second, from_arrow_schema(out))
+
+
+def _rows_of(state: DataFrame, classes: int) -> DataFrame:
+    """(h, c, class): a row for each of the packed words; each of its tokens has one after it."""
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("class", pa.int32())])
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for rows in _in_rows(batch):
+            words = Words.of(rows)
+            word, key, n = words.pairs(0, len(words.h))
+            kind = key // classes
+            c = np.bincount(word, np.where((kind == PREV) | (kind == PREV_RARE), 0, n), len(words.h))
+            columns = [words.h.view(np.int64), c.astype(np.int64), words.now.astype(np.int32)]
+            yield pa.record_batch([pa.array(x) for x in columns], schema=schema)
 
-def _pieces(batch: pa.RecordBatch, most: int = 2_048) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces, the first of one row, each twice as long as the one before."""
-    at, rows = 0, 1
-    while at < batch.num_rows:
-        yield batch.slice(at, rows)
-        at, rows = at + rows, min(2 * rows, most)
+    return map_batches(state, work, schema)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -665,7 +829,8 @@ def fit(
     for row in others.groupBy(group).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect():
         sizes[len(frequent) + row["group"]], kinds[len(frequent) + row["group"]] = row["c"], row["k"]
     assigned, pairs = _exchange(_pairs_with(docs, frequent), sizes, classes, passes)
-    words, pairs = _spread(docs, others, frequent, assigned, pairs)
+    bits = min(max(v >> BUCKET_WORDS, n >> BUCKET_TOKENS).bit_length(), 24)
+    words, pairs = _spread(docs, frequent, assigned, pairs, bits)
     smoothed = pairs + SMOOTH
     known = len(frequent)
     class_n = np.bincount(assigned[:known], sizes[:known], classes)
@@ -785,17 +950,19 @@ def score(
 
     def close(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Moves and emissions of the rarer words of each row."""
-        moves = []
-        for kinds, tail, times, first, second in zip(*batch.columns[3:]):
-            # Both in the order of their hashes.
-            own, kind = kinds.values.field(0).to_numpy().view(np.uint64), kinds.values.field(1).to_numpy()
-            order = np.argsort(own)
-            own, kind = own[order], kind[order]
-            kind = np.where(kind >= 0, kind, model.unit_class[units_of(model.frequent, own)])
-            first, second = (x.values.to_numpy() for x in (first, second))
-            a, b = (np.where(x >= 0, x, kind[np.maximum(-1 - x, 0)]) for x in (first, second))
-            moves.append(float(model.transition[a, b].sum() - (model.below[kind] * times.values.to_numpy()).sum()))
-        yield pa.record_batch([*batch.columns[:3], pa.array(moves, pa.float64())], schema=moved_schema)
+        at = np.arange(batch.num_rows)
+        kinds, times, first, second = (batch.column(k).flatten() for k in (3, 5, 6, 7))
+        words, moves = (np.repeat(at, pc.list_value_length(batch.column(k)).to_numpy()) for k in (3, 6))
+        # A row's words in the order of their hashes, as the places in `tail` have it.
+        own, kind = (x.to_numpy() for x in kinds.flatten())
+        own = own.view(np.uint64)
+        order = np.lexsort((own, words))
+        own, kind = own[order], kind[order]
+        kind = np.where(kind >= 0, kind, model.unit_class[units_of(model.frequent, own)])
+        begin = np.searchsorted(words, at)[moves]
+        a, b = (np.where(x >= 0, x, kind[begin + np.maximum(-1 - x, 0)]) for x in (first.to_numpy(), second.to_numpy()))
+        gained = np.bincount(moves, model.transition[a, b], len(at)) - np.bincount(words, model.below[kind] * times.to_numpy(), len(at))
+        yield pa.record_batch([*batch.columns[:3], pa.array(gained)], schema=moved_schema)
 
     lists = rows.select("row", "tail", "times", "from", "to").filter(F.size("tail") > 0)
     per_row = map_batches(

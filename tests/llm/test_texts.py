@@ -637,3 +637,57 @@ def test_packed_contexts_are_read_back():
     assert (row.tolist(), k.tolist()) == ([0, 0, 0, 3, 3, 3], key.tolist())
     row, _, _ = brown.unpacked(lists.slice(2))
     assert row.tolist() == [1, 1, 1]
+
+
+def test_gains_of_words_of_one_piece_are_worked_out_once(monkeypatch):
+    """What a class gains by a neighbour is worked out for all words of a call, not again for each few of them."""
+    draw = np.random.default_rng(8)
+    words, classes = 2_048, 64
+    counts = draw.integers(50, 900, (classes, classes)).astype(float)
+    now = draw.integers(0, classes, words)
+    right, left = (sum(np.eye(classes)[draw.integers(0, classes, words)] for _ in range(2)) for _ in range(2))
+    own = np.zeros(words)
+    want = [brown.exchange(counts.copy(), right[u].copy(), left[u].copy(), 0.0, now[u]) for u in range(words)]
+    sizes, real = [], brown._g
+
+    def counted(x):
+        sizes.append(x.size)
+        return real(x)
+
+    monkeypatch.setattr(brown, "_g", counted)
+    assert brown.best_classes(counts, right, left, own, now).tolist() == want
+    assert sum(sizes) < words * classes
+
+
+def test_packed_words_are_read_back():
+    values = np.array([5, 1 << 60, -3, 0, 7])
+    column = brown.blobs(values, np.array([2, 2, 5]))
+    assert brown.flat(column).tolist() == values.tolist() and brown.flat(column.slice(2)).tolist() == [-3, 0, 7]
+    assert brown.flat(pa.chunked_array([column, pa.nulls(2, pa.binary()), column[:1]])).tolist() == [*values, 5, 1 << 60]
+    hashes = np.array([0, 1 << 61, 1 << 63, (1 << 64) - 1], np.uint64)
+    assert brown.buckets_of(hashes, 0).tolist() == [0] * 4 and brown.buckets_of(hashes, 3).tolist() == [0, 1, 4, 7]
+
+
+def test_brown_words_in_many_buckets_are_counted_as_in_one(spark, docs, monkeypatch):
+    """Every rare word has one row with its count, and class pairs are those of the classes, however words are dealt out."""
+    draw = random.Random(12)
+    words = ["the", "to", *(f"n{k}-xyz" for k in range(40)), *(f"v{k}-abc" for k in range(40)), "twice twice"]
+    pairs = [(k, " ".join(draw.choice(words[:2] if j % 3 else words) for j in range(draw.randint(0, 30)))) for k in range(150)]
+    frame = docs(pairs).repartition(4)
+    learned = [t.split() for i, t in pairs if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(brown.word_hash(w.encode()) for t in learned for w in t)
+    table = chunks.written(brown.word_counts(frame), "counts")
+    for bits in (12, 2, 0):
+        monkeypatch.setattr(brown, "BUCKET_WORDS", bits)
+        model, rest = brown.fit(frame, table, 6, None, 20, 3)
+        found = {r["h"] & (1 << 64) - 1: (r["c"], r["class"]) for r in rest.collect()}
+        frequent = set(model.frequent.tolist())
+        assert {h: c for h, (c, _) in found.items()} == {h: c for h, c in counts.items() if h not in frequent}
+        assert rest.count() == len(found)
+        kind = {int(h): int(model.unit_class[k]) for k, h in enumerate(model.frequent)} | {h: k for h, (_, k) in found.items()}
+        moves = np.full((6, 6), brown.SMOOTH)
+        before = [brown.END, *(h for t in learned for h in [*(brown.word_hash(w.encode()) for w in t), brown.END])]
+        for a, b in zip(before, before[1:]):
+            moves[kind[a], kind[b]] += 1
+        # A batch of texts begins after an end, which none of them tells from another text's.
+        assert np.allclose(10**model.transition, moves / moves.sum(axis=1, keepdims=True))
