@@ -462,8 +462,8 @@ NEXT, NEXT_RARE, PREV, PREV_RARE, ITSELF = range(5)
 
 #: Bits of a packed pair that hold its key; n has the others.
 KEY_BITS = 16
-#: Words that are moved at a time, at most.
-PIECE = 8_192
+#: Words that are moved at a time, at most, and words after which a task goes on from the common counts.
+PIECE, BATCH = 2_048, 10_000
 
 
 def packed(lengths: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -512,8 +512,8 @@ def flat(column: pa.Array | pa.ChunkedArray, kind: type = np.int64) -> np.ndarra
 
 
 def buckets_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The first bits of hashes, which are even; so sorted hashes have sorted buckets."""
-    return ((hashes >> _u(1)) >> _u(63 - bits)).astype(np.int32)
+    """The first bits of signed hashes, which are even; so sorted hashes have sorted buckets."""
+    return ((hashes >> 1) >> (63 - bits)).astype(np.int32)
 
 
 def _rare_contexts(docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray, classes: int, bits: int) -> DataFrame:
@@ -533,7 +533,7 @@ def _rare_contexts(docs: DataFrame, frequent: np.ndarray, assigned: np.ndarray,
         unit = units_of(frequent, words)
         kind, known = assigned[unit], unit < len(frequent)
         rare = np.flatnonzero(~known)
-        names, number = np.unique(words[rare], return_inverse=True)
+        names, number = np.unique(words[rare].view(np.int64), return_inverse=True)
         code = np.zeros(len(words), np.int64)
         code[rare] = number
         p, q, same = ~known[:-1], ~known[1:], words[:-1] == words[1:]
@@ -576,7 +576,7 @@ def _first_state(contexts: DataFrame, group_class: np.ndarray, classes: int) ->
     keys = ITSELF * classes + 1
 
     def merge(rows: pa.Table) -> pa.Table:
-        names, number = np.unique(flat(rows.column("h"), np.uint64), return_inverse=True)
+        names, number = np.unique(flat(rows.column("h")), return_inverse=True)
         entries = flat(rows.column("met"))
         word = np.repeat(number, flat(rows.column("lengths"), np.int32))
         pair, at = np.unique(word * keys + (entries & ((1 << KEY_BITS) - 1)), return_inverse=True)
@@ -591,7 +591,7 @@ def _first_state(contexts: DataFrame, group_class: np.ndarray, classes: int) ->
             blobs(names, ends),
             blobs(lengths.astype(np.int32), ends),
             blobs(n << KEY_BITS | key, pairs[ends - 1]),
-            blobs(group_class[names & _u(SUFFIXES - 1)].astype(np.int16), ends),
+            blobs(group_class[names & (SUFFIXES - 1)].astype(np.int16), ends),
         ]
         bucket = pa.array(np.full(len(ends), rows.column("bucket")[0].as_py(), np.int32))
         return pa.Table.from_arrays([bucket, *columns, pa.nulls(len(ends), pa.binary())], schema=STATE)
@@ -678,14 +678,16 @@ def _spread(
     for turn in range(SWEEPS):
 
         def move(batch: pa.RecordBatch, counts=counts.astype(np.float64), parts=parts, turn=turn) -> Iterator[pa.RecordBatch]:
-            counts, size = counts.copy(), 1
+            common, counts, size, done = counts, counts.copy(), 1, 0
             for rows in _in_rows(batch):
                 words, low = Words.of(rows), 0
                 classed, change = words.now.copy(), np.zeros(classes * classes)
                 while low < len(words.h):
                     # The first piece has one word, the next one twice as many, until they are many.
-                    high = min(low + size, len(words.h))
-                    now, size = words.now[low:high], min(2 * size, PIECE)
+                    if done == BATCH:
+                        counts, size, done = common.copy(), 1, 0
+                    high = min(low + min(size, BATCH - done), len(words.h))
+                    now, size, done = words.now[low:high], min(2 * size, PIECE), done + high - low
                     word, key, n = words.pairs(low, high)
                     kind, at = key // classes, word * classes + key % classes
                     sides = (kind <= NEXT_RARE, (kind == PREV) | (kind == PREV_RARE))
@@ -750,7 +752,7 @@ def _rare_pairs(table: DataFrame, state: DataFrame, classes: int, bits: int) ->
 
     def of_first(words: pa.Table, pairs: pa.Table) -> pa.Table:
         kind = classes_of(words, flat(pairs.column("prev"), np.uint64), bits) if pairs.num_rows else np.empty(0, np.int16)
-        second, n = flat(pairs.column("next"), np.uint64), flat(pairs.column("n"), np.int32)
+        second, n = flat(pairs.column("next")), flat(pairs.column("n"), np.int32)
         order = np.argsort(second)
         bucket, ends = np.unique(buckets_of(second[order], coarse), return_counts=True)
         columns = [blobs(x[order], np.cumsum(ends)) for x in (second, kind, n)]
